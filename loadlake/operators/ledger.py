@@ -17,24 +17,61 @@ VERSION_KEY = ("source", "resource_id", "hash_sha256")
 SERIES_KEY = ("source", "resource_id", "reference_period")
 ORDER = ("retrieved_at", "hash_sha256")
 
+def _schema(**types: str) -> T.StructType:
+    known = {"string": T.StringType(), "bigint": T.LongType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+    return T.StructType([T.StructField(name, known[kind]) for name, kind in types.items()])
+
+
 # Columns of the published ledger tables and the lifecycle's states.
-LEDGER_SCHEMA = T.StructType.fromDDL(
-    "source STRING, dataset STRING, package_id STRING, resource_id STRING, resource_name STRING,"
-    " reference_period STRING, format STRING, download_url STRING, source_published_at STRING,"
-    " source_modified_at STRING, retrieved_at TIMESTAMP, hash_sha256 STRING, etag STRING,"
-    " last_modified_http STRING, file_size BIGINT, schema_hash STRING, row_count BIGINT,"
-    " validation_status STRING, lifecycle_status STRING, is_latest_downloaded BOOLEAN,"
-    " is_latest_valid BOOLEAN, is_active_for_gold BOOLEAN, processing_version STRING, local_path STRING,"
-    " quarantine_reason STRING"
+LEDGER_SCHEMA = _schema(
+    source="string",
+    dataset="string",
+    package_id="string",
+    resource_id="string",
+    resource_name="string",
+    reference_period="string",
+    format="string",
+    download_url="string",
+    source_published_at="string",
+    source_modified_at="string",
+    retrieved_at="timestamp",
+    hash_sha256="string",
+    etag="string",
+    last_modified_http="string",
+    file_size="bigint",
+    schema_hash="string",
+    row_count="bigint",
+    validation_status="string",
+    lifecycle_status="string",
+    is_latest_downloaded="boolean",
+    is_latest_valid="boolean",
+    is_active_for_gold="boolean",
+    processing_version="string",
+    local_path="string",
+    quarantine_reason="string",
 )
-REVISION_SCHEMA = T.StructType.fromDDL(
-    "source STRING, dataset STRING, resource_id STRING, reference_period STRING, old_hash STRING,"
-    " new_hash STRING, detected_at TIMESTAMP, rows_added BIGINT, rows_removed BIGINT, rows_changed BIGINT,"
-    " downstream_reprocessed BOOLEAN"
+REVISION_SCHEMA = _schema(
+    source="string",
+    dataset="string",
+    resource_id="string",
+    reference_period="string",
+    old_hash="string",
+    new_hash="string",
+    detected_at="timestamp",
+    rows_added="bigint",
+    rows_removed="bigint",
+    rows_changed="bigint",
+    downstream_reprocessed="boolean",
 )
-LINEAGE_SCHEMA = T.StructType.fromDDL(
-    "gold_dataset STRING, gold_version STRING, source STRING, resource_id STRING, source_hash STRING,"
-    " reference_period STRING, pipeline_version STRING, created_at TIMESTAMP"
+LINEAGE_SCHEMA = _schema(
+    gold_dataset="string",
+    gold_version="string",
+    source="string",
+    resource_id="string",
+    source_hash="string",
+    reference_period="string",
+    pipeline_version="string",
+    created_at="timestamp",
 )
 LIFECYCLE_STATES = (
     "discovered",

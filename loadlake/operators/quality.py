@@ -69,7 +69,7 @@ def table_checks(
 
     if date is not None and hour is not None:
         per_date = df.groupBy(*resource, date).agg(
-            F.bit_or(F.shiftleft(F.lit(1), F.col(hour).cast("int"))).alias("__hours")
+            F.bit_or(F.call_function("shiftleft", F.lit(1), F.col(hour).cast("int"))).alias("__hours")
         )
         full = F.bit_count(F.coalesce(F.col("__hours"), F.lit(0)))
         short = per_date.groupBy(*resource).agg(F.count_if(full < 24).alias("__short_dates"))

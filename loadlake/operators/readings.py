@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlake.functions import temporal
 from loadlake.operators.calendar import with_day_type, with_local_calendar
@@ -28,16 +29,21 @@ def type_readings(
     Needs ``cod_areacarga, din_referenciautc, val_cargaglobal``; ``val_cargaglobalcons, val_consistencia,
     resource_id, retrieved_at`` are null where absent. Text that does not parse becomes null. A load of
     exactly zero marks an interval the publisher has not consolidated: it becomes null and is flagged in
-    ``is_placeholder``. Rows without a timestamp stay, see ``split_rejects``.
+    ``is_placeholder``. Fields that are typed already (parquet) are taken as they are. Rows without a timestamp stay, see ``split_rejects``.
     """
 
     def optional(name: str, dtype: str) -> Column:
         return (F.col(name) if name in raw.columns else F.lit(None)).try_cast(dtype)
 
     load = F.col("val_cargaglobal").try_cast("double")
+    stamp = F.col("din_referenciautc")
+    if isinstance(raw.schema["din_referenciautc"].dataType, T.StringType):
+        stamp = temporal.parse_utc(stamp)
+    elif isinstance(raw.schema["din_referenciautc"].dataType, T.TimestampType):
+        stamp = temporal.utc_wall_clock(stamp)
     typed = raw.select(
         F.col("cod_areacarga").alias("area"),
-        temporal.parse_utc(F.col("din_referenciautc")).alias("ts_utc"),
+        stamp.alias("ts_utc"),
         F.nullif(load, F.lit(0.0)).alias("load_mw"),
         F.coalesce(load == 0, F.lit(False)).alias("is_placeholder"),
         optional("val_cargaglobalcons", "double").alias("val_cargaglobalcons"),
