@@ -49,11 +49,8 @@ def empty_to_null(text: Column) -> Column:
 
 def reference_period(name: Column) -> Column:
     """``YYYY-MM`` stated in a resource name: digits first, then a month name; null when neither is there."""
-    month_of = F.create_map(*[F.lit(x) for pair in PORTUGUESE_MONTHS for x in pair])
-    year, month = F.regexp_extract(name, NUMERIC_PERIOD, 1), F.regexp_extract(name, NUMERIC_PERIOD, 2)
-    word = F.translate(F.lower(F.regexp_extract(name, NAMED_PERIOD, 1)), "ç", "c")
-    named_year = F.regexp_extract(name, NAMED_PERIOD, 2)
-    named = F.when(
-        word != "", F.concat(named_year, F.lit("-"), F.lpad(F.try_element_at(month_of, word).cast("string"), 2, "0"))
-    )
-    return F.when(year != "", F.concat(year, F.lit("-"), month)).otherwise(named)
+    digits = F.regexp_replace(F.regexp_substr(name, F.lit(NUMERIC_PERIOD)), r"^(\d{4})\D?(\d{2})$", "$1-$2")
+    month_of = F.create_map(*[F.lit(x) for word, number in PORTUGUESE_MONTHS for x in (word, f"{number:02d}")])
+    stated = F.regexp_substr(name, F.lit(NAMED_PERIOD))
+    word = F.translate(F.lower(F.regexp_extract(stated, NAMED_PERIOD, 1)), "ç", "c")
+    return F.coalesce(digits, F.concat(F.right(stated, F.lit(4)), F.lit("-"), F.try_element_at(month_of, word)))

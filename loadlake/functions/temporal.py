@@ -44,16 +44,12 @@ def hours_in_month(day: Column) -> Column:
     return F.dayofmonth(F.last_day(day)) * 24
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter by integer arithmetic on the year."""
-
-    def div(a: Column, b: int) -> Column:
-        return F.floor(a / b).cast("int")
-
-    golden = year % 19
-    century, rest = div(year, 100), year % 100
-    lunar = (golden * 19 + century - div(century, 4) - div(century - div(century + 8, 25) + 1, 3) + 15) % 30
-    shift = (F.lit(32) + (century % 4) * 2 + div(rest, 4) * 2 - lunar - rest % 4) % 7
-    late = div(golden + lunar * 11 + shift * 22, 451)
-    offset = lunar + shift - late * 7 + 114
-    return F.make_date(year, div(offset, 31), offset % 31 + 1)
+def easter_sunday(year: str) -> Column:
+    """Gregorian Easter of the integer column ``year``, by integer arithmetic."""
+    golden, century, rest = f"{year} % 19", f"{year} DIV 100", f"{year} % 100"
+    correction = f"({century} - ({century} + 8) DIV 25 + 1) DIV 3"
+    lunar = f"((19 * ({golden}) + {century} - {century} DIV 4 - {correction} + 15) % 30)"
+    shift = f"((32 + 2 * ({century} % 4) + 2 * (({rest}) DIV 4) - {lunar} - ({rest}) % 4) % 7)"
+    late = f"(({golden} + 11 * {lunar} + 22 * {shift}) DIV 451)"
+    offset = f"CAST({lunar} + {shift} - 7 * {late} + 114 AS INT)"
+    return F.expr(f"make_date({year}, CAST({offset} DIV 31 AS INT), {offset} % 31 + 1)")

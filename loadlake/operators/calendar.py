@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,19 +77,17 @@ def with_day_type(df: DataFrame, holidays: DataFrame, date: str = "date") -> Dat
 def holiday_calendar(years: DataFrame, rules: Sequence[tuple] = HOLIDAY_RULES) -> DataFrame:
     """``(year, date, holiday)`` for every distinct ``year`` of the input."""
 
-    def as_struct(rule: tuple) -> Column:
+    def listed(rule: tuple) -> str:
         name, month, day, after_easter, first_year = rule
-        return F.struct(
-            F.lit(name).alias("holiday"),
-            F.lit(month).cast("int").alias("m"),
-            F.lit(day).cast("int").alias("d"),
-            F.lit(after_easter).cast("int").alias("after"),
-            F.lit(first_year).alias("since"),
-        )
+        fields = ((month, "m"), (day, "d"), (after_easter, "after"), (first_year, "since"))
+        numbers = ", ".join(f"CAST({'NULL' if n is None else n} AS INT) AS {alias}" for n, alias in fields)
+        return f"struct('{name}' AS holiday, {numbers})"
 
     spine = years.select(F.col("year").cast("int").alias("year")).where(F.col("year").isNotNull()).distinct()
-    dated = spine.withColumn("__easter", temporal.easter_sunday(F.col("year"))).withColumn(
-        "__rule", F.explode(F.array(*[as_struct(r) for r in rules]))
+    dated = spine.select(
+        "year",
+        temporal.easter_sunday("year").alias("__easter"),
+        F.expr(f"explode(array({', '.join(listed(r) for r in rules)}))").alias("__rule"),
     )
     moving = F.date_add(F.col("__easter"), F.col("__rule.after"))
     fixed = F.make_date(F.col("year"), F.col("__rule.m"), F.col("__rule.d"))
@@ -99,6 +97,11 @@ def holiday_calendar(years: DataFrame, rules: Sequence[tuple] = HOLIDAY_RULES) -
     )
 
 
+def holidays_between(spark: SparkSession, first_year: int = 1990, last_year: int = 2100) -> DataFrame:
+    """The calendar of a span of years, made from the rules alone: about a dozen rows per year."""
+    return holiday_calendar(spark.range(first_year, last_year + 1, 1, 1).select(F.col("id").alias("year")))
+
+
 def day_type_counts(months: DataFrame, holidays: DataFrame) -> DataFrame:
     """Days of each type per ``(year, month)``; the four columns sum to the days of the month."""
     first = F.make_date(F.col("year"), F.col("month"), F.lit(1))

@@ -88,12 +88,12 @@ def in_period_window(
 ) -> DataFrame:
     """Resources whose period lies in ``[start, end]``; an unknown period is kept."""
     known = F.col(period)
-    inside = F.lit(True)
+    outside = F.lit(False)
     if start:
-        inside = inside & (known >= start)
+        outside = outside | (known < start)
     if end:
-        inside = inside & (known <= end)
-    return resources.where(known.isNull() | inside)
+        outside = outside | (known > end)
+    return resources.where(~F.coalesce(outside, F.lit(False)))
 
 
 def page_links(pages: DataFrame, extensions: Sequence[str], url: str = "url", html: str = "html") -> DataFrame:

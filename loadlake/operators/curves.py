@@ -50,7 +50,8 @@ def class_curve_stats(
         F.stddev_samp(value).alias("std_mw"),
         F.count(value).alias("n_observations"),
     )
-    ranks = exact_quantiles(rows, keys, value, CURVE_QUANTILES, median="median_mw")
+    sizes = moments.select(*keys, F.col("n_observations").alias("n"))
+    ranks = exact_quantiles(rows, keys, value, CURVE_QUANTILES, median="median_mw", sizes=sizes)
     return join_null_safe(moments, ranks, keys, "left").select(
         *keys, "mean_mw", "median_mw", *CURVE_QUANTILES, "std_mw", "n_observations"
     )

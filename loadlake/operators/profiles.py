@@ -21,10 +21,15 @@ def profile(
 
     An hourly table has one row per series and local hour, so a group holds at most one value per day of
     history (36,525 in a century): its values are sorted in one array. Groups without that bound belong
-    in ``exact_quantiles``.
+    in ``exact_quantiles``. Rows are placed by (series, hour), which also serves any finer ``by``.
     """
+    placed = hourly.select(*series, *by, "hour", value).repartition(*series, "hour")
+    return _profile_of(placed, by, series, value)
+
+
+def _profile_of(placed: DataFrame, by: Sequence[str], series: Sequence[str], value: str) -> DataFrame:
     values = F.sort_array(F.collect_list(F.col(value)))
-    grouped = hourly.groupBy(*series, *by, "hour").agg(F.avg(value).alias("avg_mw"), values.alias("__v"))
+    grouped = placed.groupBy(*series, *by, "hour").agg(F.avg(value).alias("avg_mw"), values.alias("__v"))
     return grouped.select(
         *series,
         *by,
@@ -60,12 +65,11 @@ def profile_by_month(hourly: DataFrame, series: Sequence[str] = ("area",), with_
 def all_profiles(hourly: DataFrame, series: Sequence[str] = ("area",)) -> DataFrame:
     """The three curves in one table, ``grain`` telling which; absent keys are null.
 
-    The rows move once: a partitioning by (series, hour) also serves every finer grouping, so the three
-    aggregations share that exchange.
+    The rows move once: the three aggregations share the placement by (series, hour).
     """
     placed = hourly.select(*series, "hour", "day_type", "month", "load_hourly_mw").repartition(*series, "hour")
     parts = []
     for grain, keys in GRAINS.items():
-        curve = profile(placed, keys, series).withColumn("grain", F.lit(grain))
+        curve = _profile_of(placed, keys, series, "load_hourly_mw").withColumn("grain", F.lit(grain))
         parts.append(with_normalized_load(curve, series) if grain == "overall" else curve)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -11,29 +11,56 @@ from loadlake.functions.numeric import nearest_rank, value_bucket
 from loadlake.operators.keys import join_null_safe
 
 
+# Groups up to this many values are sorted in one array (under 1 MB); larger ones are never brought together.
+SMALL_GROUP = 100_000
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     nearest: Mapping[str, float] | None = None,
     median: str | None = None,
+    sizes: DataFrame | None = None,
+    small: int = SMALL_GROUP,
 ) -> DataFrame:
     """One row per group: ``keys``, the nearest-rank quantiles named in ``nearest``, and the midpoint median.
 
+    Group sizes are counted first (or given as ``sizes``: ``keys`` and ``n``). Groups of at most ``small`` values
+    are sorted as one array; the few larger ones go through ``_large_group_quantiles``. Where no group is large,
+    the list of large groups is empty when the rest is planned, and their branch is dropped without a scan.
+    Nothing is approximated. The input is scanned more than once, so give it a table or a checkpoint.
+    """
+    keys = list(keys)
+    nearest = dict(nearest or {})
+    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    if sizes is None:
+        sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.where(F.col("n") > small).select(*keys)
+
+    sorted_values = F.sort_array(F.collect_list("__v")).alias("__v")
+    # Lists do not shrink when merged, so the rows are placed first and each list is built once.
+    few = join_null_safe(present, large, keys, "left_anti").repartition(*keys).groupBy(*keys).agg(sorted_values)
+    columns = [sorted_nearest(F.col("__v"), q).alias(name) for name, q in nearest.items()]
+    if median is not None:
+        columns.append(sorted_median(F.col("__v")).alias(median))
+    many = _large_group_quantiles(join_null_safe(present, large, keys, "left_semi"), keys, nearest, median)
+    return few.select(*keys, *columns).unionByName(many)
+
+
+def _large_group_quantiles(
+    present: DataFrame, keys: list[str], nearest: Mapping[str, float], median: str | None
+) -> DataFrame:
+    """Quantiles of groups that do not fit a task.
+
     1. Count rows per (group, value bucket). Partial counts are merged before the shuffle, so the volume
        depends on the number of buckets, not on the rows; a hot group is spread over its buckets.
     2. Running counts over a group's buckets tell in which bucket each wanted rank falls, and where.
     3. Only rows of those buckets (about one in a thousand) are read again, counted per distinct value and
        ranked inside their bucket.
-
-    No group is ever brought together, and nothing is approximated. The input is scanned twice, so give it
-    a table or a checkpoint, not a long plan.
     """
-    keys = list(keys)
-    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     present = present.withColumn("__b", value_bucket(F.col("__v")))
-
-    ranks: dict[str, Column] = {name: nearest_rank(F.col("__n"), q) for name, q in (nearest or {}).items()}
+    ranks: dict[str, Column] = {name: nearest_rank(F.col("__n"), q) for name, q in nearest.items()}
     if median is not None:
         ranks["__low"] = F.floor((F.col("__n") - 1) / 2)
         ranks["__high"] = F.floor(F.col("__n") / 2)
@@ -43,8 +70,9 @@ def exact_quantiles(
     whole_group = Window.partitionBy(*keys)
     running = whole_group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     located = (
-        counted.withColumn("__n", F.sum("__bn").over(whole_group))
-        .withColumn("__before", F.sum("__bn").over(running) - F.col("__bn"))
+        counted.withColumns(
+            {"__n": F.sum("__bn").over(whole_group), "__before": F.sum("__bn").over(running) - F.col("__bn")}
+        )
         .select("*", *[rank.cast("long").alias(wanted[name]) for name, rank in ranks.items()])
     )
 
@@ -71,7 +99,7 @@ def exact_quantiles(
             for name, k in wanted.items()
         ]
     )
-    columns = [F.col(name) for name in (nearest or {})]
+    columns = [F.col(name) for name in nearest]
     if median is not None:
         columns.append(((F.col("__low") + F.col("__high")) / 2).alias(median))
     return picked.select(*keys, *columns)

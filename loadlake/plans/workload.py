@@ -64,13 +64,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c) + shift, digits) for c in doubles}) if doubles else df
 
 
-def holidays_of(dates: DataFrame, date: str) -> DataFrame:
-    """Holiday dates of the years around ``dates``; a local date may lie in the year before."""
-    year = F.year(F.col(date))
-    years = dates.select(F.explode(F.array(year - 1, year)).alias("year")).distinct()
-    return calendar.holiday_calendar(years)
-
-
 # Readings -----------------------------------------------------------------------------------------------------
 
 
@@ -103,13 +96,12 @@ def slots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events")
-    return readings.hourly_load(readings.type_readings(slots(spark, folder), holidays_of(events, "ts")))
+    return readings.hourly_load(readings.type_readings(slots(spark, folder), calendar.holidays_between(spark)))
 
 
 def silver_readings(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_events(spark, folder)
-    silver = readings.type_readings(raw, holidays_of(table(spark, folder, "events"), "ts"))
+    silver = readings.type_readings(raw, calendar.holidays_between(spark))
     usable, _ = readings.split_rejects(silver)
     return rounded(
         usable.select(
@@ -121,13 +113,13 @@ def silver_readings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rejected_readings(spark: SparkSession, folder: str) -> DataFrame:
-    silver = readings.type_readings(raw_events(spark, folder), holidays_of(table(spark, folder, "events"), "ts"))
+    silver = readings.type_readings(raw_events(spark, folder), calendar.holidays_between(spark))
     _, rejected = readings.split_rejects(silver)
     return rejected.groupBy("area").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
 def placeholder_counts(spark: SparkSession, folder: str) -> DataFrame:
-    silver = readings.type_readings(raw_events(spark, folder), holidays_of(table(spark, folder, "events"), "ts"))
+    silver = readings.type_readings(raw_events(spark, folder), calendar.holidays_between(spark))
     return readings.placeholder_counts(silver)
 
 
@@ -191,7 +183,7 @@ def _order_clock(spark: SparkSession, folder: str) -> DataFrame:
 def _calendar_of_orders(spark: SparkSession, folder: str, source_is_utc: bool) -> DataFrame:
     clock = _order_clock(spark, folder)
     dated = calendar.with_local_calendar(clock, "ts", source_is_utc=source_is_utc)
-    return calendar.with_day_type(dated, holidays_of(clock, "ts")).drop("ts")
+    return calendar.with_day_type(dated, calendar.holidays_between(spark)).drop("ts")
 
 
 def local_calendar(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,7 +201,7 @@ def holiday_calendar(spark: SparkSession, folder: str) -> DataFrame:
 def day_type_counts(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     months = orders.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-    return calendar.day_type_counts(months, holidays_of(orders, "o_orderdate"))
+    return calendar.day_type_counts(months, calendar.holidays_between(spark))
 
 
 def month_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,7 +311,7 @@ def _calibrated(spark: SparkSession, folder: str) -> DataFrame:
     shapes = profiles.with_normalized_load(profiles.profile_by_day_type(hours), ("area", "day_type"))
     energy = hours.groupBy("area", "year", "month").agg(F.sum("energy_hourly_mwh").alias("energy_mwh"))
     local = calendar.with_local_calendar(events.select("ts"), "ts")
-    counts = calendar.day_type_counts(local, holidays_of(events, "ts"))
+    counts = calendar.day_type_counts(local, calendar.holidays_between(spark))
     return calibration.calibrate(
         shapes.select("area", "day_type", "hour", "normalized_load"), calibration.day_counts_long(counts), energy
     )
@@ -628,7 +620,7 @@ def _named_resources(spark: SparkSession, folder: str) -> DataFrame:
         )]),
         F.month("o_orderdate"),
     )
-    digits = F.date_format("o_orderdate", "MM")
+    digits = F.lpad(F.month("o_orderdate").cast("string"), 2, "0")
     name = (
         F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("consumo_"), year, digits, F.lit(".csv.gz")))
         .when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.lit("Consumo - "), F.initcap(word), F.lit(" de "), year))
