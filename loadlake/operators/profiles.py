@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlake.functions.numeric import ratio
 from loadlake.operators.quantiles import sorted_median, sorted_nearest
 
-GRAINS: dict[str, tuple[str, ...]] = {"overall": (), "day_type": ("day_type",), "month": ("month",)}
-
 
 def profile(
     hourly: DataFrame, by: Sequence[str] = (), series: Sequence[str] = ("area",), value: str = "load_hourly_mw"
@@ -24,16 +21,14 @@ def profile(
     in ``exact_quantiles``. Rows are placed by (series, hour), which also serves any finer ``by``.
     """
     placed = hourly.select(*series, *by, "hour", value).repartition(*series, "hour")
-    return _profile_of(placed, by, series, value)
+    return _profile_of(placed, [*series, *by, "hour"], value)
 
 
-def _profile_of(placed: DataFrame, by: Sequence[str], series: Sequence[str], value: str) -> DataFrame:
+def _profile_of(placed: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     values = F.sort_array(F.collect_list(F.col(value)))
-    grouped = placed.groupBy(*series, *by, "hour").agg(F.avg(value).alias("avg_mw"), values.alias("__v"))
+    grouped = placed.groupBy(*keys).agg(F.avg(value).alias("avg_mw"), values.alias("__v"))
     return grouped.select(
-        *series,
-        *by,
-        "hour",
+        *keys,
         "avg_mw",
         sorted_median(F.col("__v")).alias("median_mw"),
         sorted_nearest(F.col("__v"), 0.05).alias("p05_mw"),
@@ -62,14 +57,25 @@ def profile_by_month(hourly: DataFrame, series: Sequence[str] = ("area",), with_
     return profile(hourly, ("year", "month") if with_year else ("month",), series)
 
 
-def all_profiles(hourly: DataFrame, series: Sequence[str] = ("area",)) -> DataFrame:
-    """The three curves in one table, ``grain`` telling which; absent keys are null.
+def all_profiles(hourly: DataFrame, series: Sequence[str] = ("area",), value: str = "load_hourly_mw") -> DataFrame:
+    """The three curves in one table, ``grain`` telling which; keys of other grains are null.
 
-    The rows move once: the three aggregations share the placement by (series, hour).
+    One scan and one exchange of the rows: they are placed by (series, hour) first and given their three grains
+    afterwards, where every group already has its rows together.
     """
-    placed = hourly.select(*series, "hour", "day_type", "month", "load_hourly_mw").repartition(*series, "hour")
-    parts = []
-    for grain, keys in GRAINS.items():
-        curve = _profile_of(placed, keys, series, "load_hourly_mw").withColumn("grain", F.lit(grain))
-        parts.append(with_normalized_load(curve, series) if grain == "overall" else curve)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def grain(name: str, **keys: Column) -> Column:
+        nothing = {"day_type": F.lit(None).cast("string"), "month": F.lit(None).cast("int")}
+        return F.struct(F.lit(name).alias("grain"), *[keys.get(k, v).alias(f"__{k}") for k, v in nothing.items()])
+
+    grains = F.array(
+        grain("overall"), grain("day_type", day_type=F.col("day_type")), grain("month", month=F.col("month"))
+    )
+    placed = hourly.select(*series, "hour", "day_type", "month", value).repartition(*series, "hour")
+    spread = placed.select(*series, "hour", value, F.inline(grains))
+    curve = _profile_of(spread, [*series, "hour", "grain", "__day_type", "__month"], value)
+    mean = F.avg("avg_mw").over(Window.partitionBy(*series, "grain"))
+    normal = F.when(F.col("grain") == "overall", ratio(F.col("avg_mw"), mean))
+    return curve.withColumn("normalized_load", normal).withColumnsRenamed(
+        {"__day_type": "day_type", "__month": "month"}
+    )
