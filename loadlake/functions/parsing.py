@@ -24,7 +24,7 @@ PORTUGUESE_MONTHS = (
 # The two ways a resource name states its period.
 NUMERIC_PERIOD = r"(20\d{2})[-_/]?(0[1-9]|1[0-2])"
 NAMED_PERIOD = (
-    r"(?i)(janeiro|fevereiro|mar[cç]o|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro)"
+    r"(?i)(janeiro|fevereiro|mar[cçÇ]o|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro)"
     r"[\s_/-]*(?:de)?[\s_/-]*(20\d{2})"
 )
 

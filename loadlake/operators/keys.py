@@ -28,21 +28,24 @@ def with_previous(
     """Add ``previous_<value>``: the values of the row before, per ``keys`` in ``order``.
 
     ``block`` cuts one key's order into stretches (a day, a range of ids) and must not decrease along it.
-    The rows are only ever sorted inside (key, block); what crosses a block edge is its last row, looked up
-    in a summary with one row per block. So a key holding most of the table is still spread over tasks.
+    Rows are only ever sorted inside (key, block), so a key holding most of the table is still spread over
+    tasks. What crosses a block edge is one row: the last of the block before joins its block as a first row.
     """
     keys = list(keys)
     blocked = df.withColumn("__block", block)
-    inside = Window.partitionBy(*keys, "__block").orderBy(*order)
-    row = F.struct(*values)
-    marked = blocked.withColumn("__inside", F.lag(row).over(inside)).withColumn(
-        "__first", F.row_number().over(inside) == 1
+    last_of_block = blocked.groupBy(*keys, "__block").agg(
+        F.max_by(F.struct(*values), F.struct(*order)).alias("__last")
     )
-
-    last_of_block = blocked.groupBy(*keys, "__block").agg(F.max_by(row, F.struct(*order)).alias("__last"))
     across = Window.partitionBy(*keys).orderBy("__block")
     carried = last_of_block.select(*keys, "__block", F.lag("__last").over(across).alias("__carried"))
+    seeds = carried.where(F.col("__carried").isNotNull()).select(
+        *keys, "__block", *[F.col("__carried")[v].alias(f"__value_{v}") for v in values], F.lit(0).alias("__own")
+    )
 
-    joined = join_null_safe(marked, carried, [*keys, "__block"], "left")
-    before = F.when(F.col("__first"), F.col("__carried")).otherwise(F.col("__inside"))
-    return joined.select(*df.columns, *[before[v].alias(f"previous_{v}") for v in values])
+    own = blocked.withColumns({**{f"__value_{v}": F.col(v) for v in values}, "__own": F.lit(1)})
+    inside = Window.partitionBy(*keys, "__block").orderBy("__own", *order)
+    before = F.lag(F.struct(*[f"__value_{v}" for v in values])).over(inside)
+    met = own.unionByName(seeds, allowMissingColumns=True).withColumn("__before", before)
+    return met.where(F.col("__own") == 1).select(
+        *df.columns, *[F.col("__before")[f"__value_{v}"].alias(f"previous_{v}") for v in values]
+    )

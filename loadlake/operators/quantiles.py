@@ -11,8 +11,10 @@ from loadlake.functions.numeric import nearest_rank, value_bucket
 from loadlake.operators.keys import join_null_safe
 
 
-# Groups up to this many values are sorted in one array (under 1 MB); larger ones are never brought together.
-SMALL_GROUP = 100_000
+# A group up to this size, or up to its share of all rows if that is more, is ranked by one sort.
+SMALL_GROUP = 1_000_000
+# So no more groups than this can be larger, and lists of them are safe to broadcast (tens of MB).
+MAX_LARGE_GROUPS = 100_000
 
 
 def exact_quantiles(
@@ -26,26 +28,57 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group: ``keys``, the nearest-rank quantiles named in ``nearest``, and the midpoint median.
 
-    Group sizes are counted first (or given as ``sizes``: ``keys`` and ``n``). Groups of at most ``small`` values
-    are sorted as one array; the few larger ones go through ``_large_group_quantiles``. Where no group is large,
-    the list of large groups is empty when the rest is planned, and their branch is dropped without a scan.
-    Nothing is approximated. The input is scanned more than once, so give it a table or a checkpoint.
+    Group sizes are counted first (or given as ``sizes``: ``keys`` and ``n``). A group is large if it has more than
+    ``small`` rows and more than one in 100,000 of all rows. The others are ranked by a sort within the group,
+    which spills and moves each row once; large ones go through ``_large_group_quantiles``. There can be at most
+    100,000 large groups, which bounds what is broadcast. Where there is none, their branch is dropped at run time
+    without a scan. Nothing is approximated. The input is scanned more than once, so give it a table or a
+    checkpoint.
     """
     keys = list(keys)
     nearest = dict(nearest or {})
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     if sizes is None:
         sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > small).select(*keys)
+    fair_share = sizes.agg(F.sum("n") / MAX_LARGE_GROUPS).scalar()
+    large = F.broadcast(sizes.where((F.col("n") > small) & (F.col("n") > fair_share)).select(*keys))
+    few = _sorted_group_quantiles(join_null_safe(present, large, keys, "left_anti"), keys, nearest, median)
+    many = _large_group_quantiles(join_null_safe(present, large, keys, "left_semi"), keys, nearest, median)
+    return few.unionByName(many)
+
 
-    sorted_values = F.sort_array(F.collect_list("__v")).alias("__v")
-    # Lists do not shrink when merged, so the rows are placed first and each list is built once.
-    few = join_null_safe(present, large, keys, "left_anti").repartition(*keys).groupBy(*keys).agg(sorted_values)
-    columns = [sorted_nearest(F.col("__v"), q).alias(name) for name, q in nearest.items()]
+def _ranks(n: Column, nearest: Mapping[str, float], median: str | None) -> dict[str, Column]:
+    ranks = {name: nearest_rank(n, q) for name, q in nearest.items()}
     if median is not None:
-        columns.append(sorted_median(F.col("__v")).alias(median))
-    many = _large_group_quantiles(join_null_safe(present, large, keys, "left_semi"), keys, nearest, median)
-    return few.select(*keys, *columns).unionByName(many)
+        ranks["__low"] = F.floor((n - 1) / 2)
+        ranks["__high"] = F.floor(n / 2)
+    return ranks
+
+
+def _named(keys: list[str], nearest: Mapping[str, float], median: str | None) -> list[Column]:
+    columns = [F.col(name) for name in (*keys, *nearest)]
+    if median is not None:
+        columns.append(((F.col("__low") + F.col("__high")) / 2).alias(median))
+    return columns
+
+
+def _sorted_group_quantiles(
+    present: DataFrame, keys: list[str], nearest: Mapping[str, float], median: str | None
+) -> DataFrame:
+    group = Window.partitionBy(*keys)
+    ranked = present.select(
+        *keys,
+        "__v",
+        (F.row_number().over(group.orderBy("__v")) - 1).alias("__r"),
+        F.count(F.lit(1)).over(group).alias("__n"),
+    )
+    picked = ranked.groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("__r") == rank, F.col("__v"))).alias(name)
+            for name, rank in _ranks(F.col("__n"), nearest, median).items()
+        ]
+    )
+    return picked.select(*_named(keys, nearest, median))
 
 
 def _large_group_quantiles(
@@ -60,10 +93,7 @@ def _large_group_quantiles(
        ranked inside their bucket.
     """
     present = present.withColumn("__b", value_bucket(F.col("__v")))
-    ranks: dict[str, Column] = {name: nearest_rank(F.col("__n"), q) for name, q in nearest.items()}
-    if median is not None:
-        ranks["__low"] = F.floor((F.col("__n") - 1) / 2)
-        ranks["__high"] = F.floor(F.col("__n") / 2)
+    ranks = _ranks(F.col("__n"), nearest, median)
     wanted = {name: f"__k{i}" for i, name in enumerate(ranks)}
 
     counted = present.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__bn"))
@@ -82,7 +112,8 @@ def _large_group_quantiles(
     any_rank = F.lit(False)
     for k in wanted.values():
         any_rank = any_rank | falls_inside(k, F.col("__before"), F.col("__bn"))
-    targets = located.where(any_rank).select(*keys, "__b", "__before", *wanted.values())
+    # A handful of buckets per large group, so again a bounded broadcast.
+    targets = F.broadcast(located.where(any_rank).select(*keys, "__b", "__before", *wanted.values()))
 
     candidates = (
         join_null_safe(present, targets, [*keys, "__b"])
@@ -99,10 +130,7 @@ def _large_group_quantiles(
             for name, k in wanted.items()
         ]
     )
-    columns = [F.col(name) for name in nearest]
-    if median is not None:
-        columns.append(((F.col("__low") + F.col("__high")) / 2).alias(median))
-    return picked.select(*keys, *columns)
+    return picked.select(*_named(keys, nearest, median))
 
 
 def sorted_nearest(values: Column, q: float) -> Column:

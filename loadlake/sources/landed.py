@@ -53,6 +53,8 @@ MONTHLY_ENERGY_FIELDS = (
     "DataVersao",
 )
 SEPARATORS = (";", ",", "\t")
+# Up to this many files, what is known about each (a header line) is sent to every task; beyond it, joined.
+BROADCAST_FILES = 20_000
 
 
 def read_readings(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -129,6 +131,8 @@ def read_delimited(spark: SparkSession, paths: Sequence[str], fields: Sequence[s
     width = len(fields) + 20
     slots = ",".join(f"c{i} string" for i in range(width))
     known = dialects(spark, paths).where(F.col("separator").isNotNull())
+    if len(spark.read.text(list(paths)).inputFiles()) <= BROADCAST_FILES:
+        known = F.broadcast(known)
     lines = _lines(spark, paths).join(known, "file_path")
     line = _decoded(F.col("__line"), F.col("is_utf8"))
 

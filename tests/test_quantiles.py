@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loadlake.functions.numeric import value_bucket
+from loadlake.operators import quantiles
 from loadlake.operators.quantiles import exact_quantiles
 
 QUANTILES = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
@@ -26,7 +27,12 @@ def expected(groups):
     return {g: (*[nearest(v, q) for q in QUANTILES.values()], median(v)) for g, v in groups.items() if v}
 
 
-def run(spark, data, small, shuffles=None):
+@pytest.fixture(autouse=True)
+def any_share_is_large(monkeypatch):
+    monkeypatch.setattr(quantiles, "MAX_LARGE_GROUPS", 10**12)
+
+
+def run(spark, data, small):
     df = spark.createDataFrame(data, "g string, v double")
     found = exact_quantiles(df, ["g"], "v", QUANTILES, "median", small=small).collect()
     return {r.g: (r.p05, r.p50, r.p95, r.median) for r in found}
@@ -44,6 +50,12 @@ def test_against_sorting_with_a_hot_group_and_a_null_key(spark, small):
     assert run(spark, data, small) == expected(groups)
 
 
+def test_group_within_its_share_is_sorted(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MAX_LARGE_GROUPS", 2)
+    data = [("hot", float(i)) for i in range(100)] + [("small", float(i)) for i in range(20)]
+    assert run(spark, data, 5) == expected({"hot": list(range(100)), "small": list(range(20))})
+
+
 def test_one_value_repeated(spark):
     data = [("a", 5.0)] * 1000 + [("a", 7.0)]
     assert run(spark, data, 0) == {"a": (5.0, 5.0, 5.0, 5.0)}
