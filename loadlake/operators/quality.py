@@ -165,11 +165,12 @@ def row_count_anomaly(
         F.col("__at") < F.col("__newest")
     )
     history = earlier.select(*resource, F.col(row_count).alias("__x"))
-    centre = exact_quantiles(history, resource, "__x", median="__median")
+    sizes = newest.select(*resource, F.col("__history").alias("n"))
+    centre = exact_quantiles(history, resource, "__x", median="__median", sizes=sizes)
     deviations = join_null_safe(history, centre, resource).select(
         *resource, F.abs(F.col("__x") - F.col("__median")).alias("__d")
     )
-    spread = exact_quantiles(deviations, resource, "__d", median="__mad")
+    spread = exact_quantiles(deviations, resource, "__d", median="__mad", sizes=sizes)
     judged = join_null_safe(join_null_safe(newest, centre, resource, "left"), spread, resource, "left")
 
     score = ratio(F.lit(MAD_SCALE) * (F.col("__current") - F.col("__median")), F.col("__mad"))

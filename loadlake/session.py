@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -31,13 +30,3 @@ def session(app: str = "loadlake", cores: int | None = None, shuffle_partitions:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Directory for ``checkpoint()``: the cluster's ``spark.checkpoint.dir``, or a fresh one if it names none."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loadlake-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
