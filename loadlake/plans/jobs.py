@@ -13,10 +13,11 @@ from loadlake.sources import landed, tables
 
 # The areas whose sum is the national system.
 NATIONAL_AREAS = ("S", "NE", "N", "SECO")
+# (grain, sort order) of the report files.
 REPORTS = {
-    "average_24h": ((), ("area", "hour")),
-    "average_24h_by_day_type": (("day_type",), ("area", "day_type", "hour")),
-    "average_24h_by_month": (("month",), ("area", "month", "hour")),
+    "average_24h": ("overall", ("area", "hour")),
+    "average_24h_by_day_type": ("day_type", ("area", "day_type", "hour")),
+    "average_24h_by_month": ("month", ("area", "month", "hour")),
 }
 
 
@@ -25,15 +26,18 @@ def lake_path(file_path: Column) -> Column:
     return F.regexp_extract(file_path, r"(raw/.*)$", 1)
 
 
-def land(spark: SparkSession, root: str, arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Append the arrivals that are new content; returns (new versions, revisions they caused).
+def land(
+    spark: SparkSession, root: str, arrivals: DataFrame, modified_after: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Append the arrivals that are new content; returns (new versions, all revisions so far).
 
     ``arrivals`` describes landed files: ``source, dataset, resource_id, reference_period, local_path``,
-    ``retrieved_at`` and what else the ledger has columns for. Hash and size are taken from the files.
+    ``retrieved_at`` and what else the ledger has columns for. Hash and size are taken from the files; with
+    ``modified_after`` (the time of the last landing) only files changed since are read.
     """
     path = tables.layer_path(root, "metadata", "ledger")
     known = tables.read_or_empty(spark, path, ledger.LEDGER_SCHEMA)
-    files = landed.fingerprints(spark, f"{tables.layer_path(root, 'raw')}/*/*").withColumn(
+    files = landed.fingerprints(spark, f"{tables.layer_path(root, 'raw')}/*/*", modified_after).withColumn(
         "local_path", lake_path(F.col("file_path"))
     )
     hashed = arrivals.join(files.select("local_path", "hash_sha256", "file_size"), "local_path")
@@ -106,9 +110,14 @@ def silver_of(
     return readings.type_readings(named, holidays, source=source, dataset=dataset)
 
 
-def affected_months(changed: DataFrame) -> DataFrame:
-    """Local months that readings of changed versions fall into; a file's first hours may belong to the one before."""
-    return changed.where(F.col("ts_utc").isNotNull()).select("year", "month").distinct()
+def months_of(rows: DataFrame) -> list[int]:
+    """``year * 100 + month`` of the rows; a list no longer than the calendar."""
+    months = rows.where(F.col("date").isNotNull()).select(_month().alias("m")).distinct()
+    return sorted(r.m for r in months.collect())
+
+
+def _month() -> Column:
+    return F.col("year") * 100 + F.col("month")
 
 
 def build_load_products(
@@ -122,33 +131,52 @@ def build_load_products(
     product_version: str = "v1",
     pipeline_version: str = "0.1.0",
     changed: DataFrame | None = None,
+    modified_after: str | None = None,
 ) -> LoadProducts:
     """Readings of the given (active) versions to 30-minute, hourly, system and profile tables.
 
-    Each stage reads what the one before has written, so a lost executor costs a stage and not the job. With
-    ``changed`` (ledger rows), only the months their readings touch are computed and replaced.
+    Each stage reads what the one before has written, so a lost executor costs a stage and not the job. Give
+    ``versions`` as a stored table: Spark then knows its size and sends it to the readings if it is small.
+
+    With ``changed``, the ledger rows that became active since the last build, only their files are read
+    (``modified_after`` keeps others from being listed), and only the months they touch, or that versions no longer
+    active had rows in, are read from the stored readings, computed and replaced. A month that loses its last
+    reading keeps its rows until the next full build.
     """
     paths = product_paths(root)
-    raw = landed.read_readings(spark, f"{tables.layer_path(root, 'raw')}/ons/*")
-    silver = silver_of(raw, versions, holidays)
+    raw = landed.read_readings(spark, f"{tables.layer_path(root, 'raw')}/ons/*", modified_after)
+    silver = silver_of(raw, versions if changed is None else changed, holidays)
     usable, rejected = readings.split_rejects(silver)
-    tables.write_product(rejected, paths.rejects)
-    if changed is not None:
-        months = affected_months(silver_of(raw, changed, holidays))
-        usable = usable.join(months, ["year", "month"], "left_semi")
+    if changed is None:
+        months = None
+        tables.write_product(rejected, paths.rejects)
+    else:
+        stored = spark.read.parquet(paths.readings)
+        version = ["resource_id", "hash_sha256"]
+        active = versions.select(*version)
+        months = sorted({*months_of(usable), *months_of(stored.join(active, version, "left_anti"))})
+        kept = stored.where(_month().isin(months)).join(active, version, "left_semi")
+        usable = usable.unionByName(kept.select(*usable.columns))
+        tables.append(rejected, paths.rejects)
     tables.overwrite_partitions(readings.latest_readings(usable), paths.readings)
 
-    stored = spark.read.parquet(paths.readings)
-    if changed is not None:
-        stored = stored.join(months, ["year", "month"], "left_semi")
-    tables.overwrite_partitions(readings.hourly_load(stored), paths.hourly)
+    def touched(path: str) -> DataFrame:
+        table = spark.read.parquet(path)
+        return table if months is None else table.where(_month().isin(months))
+
+    tables.overwrite_partitions(readings.hourly_load(touched(paths.readings)), paths.hourly)
+    tables.overwrite_partitions(readings.system_hourly(touched(paths.hourly), areas), paths.system)
 
     hourly = spark.read.parquet(paths.hourly)
-    tables.overwrite_partitions(readings.system_hourly(hourly, areas), paths.system)
     tables.write_product(profiles.all_profiles(hourly), paths.profiles)
-    for name, (by, order) in REPORTS.items():
-        curve = profiles.profile(hourly, by) if by else profiles.profile_24h(hourly)
-        tables.write_report(curve, tables.layer_path(root, "gold", name), order)
+    every = spark.read.parquet(paths.profiles)
+    for name, (grain, order) in REPORTS.items():
+        report = every.where(F.col("grain") == grain)
+        unused = [c for c in ("grain", "day_type", "month", "normalized_load") if c not in order]
+        if grain == "overall":
+            unused.remove("normalized_load")
+        tables.write_report(report.drop(*unused), tables.layer_path(root, "gold", name), order)
+
     used = spark.read.parquet(paths.readings).select("resource_id", "hash_sha256").distinct()
     known = versions.select("source", "resource_id", "hash_sha256", "reference_period")
     rows = reports.lineage(

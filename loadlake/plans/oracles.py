@@ -377,8 +377,8 @@ SELECT area, month, hour, {_FOUR} FROM d""",
 m AS ({_profile("hourly", "area, month")}),
 everything AS (
   SELECT area, hour, avg_mw, median_mw, p05_mw, p95_mw, normalized_load, 'overall' AS grain, NULL AS day_type,
-    CAST(NULL AS INTEGER) AS month FROM prof
-  UNION ALL SELECT area, hour, avg_mw, median_mw, p05_mw, p95_mw, NULL, 'day_type', day_type, NULL FROM d
+    0 AS month FROM prof
+  UNION ALL SELECT area, hour, avg_mw, median_mw, p05_mw, p95_mw, NULL, 'day_type', day_type, 0 FROM d
   UNION ALL SELECT area, hour, avg_mw, median_mw, p05_mw, p95_mw, NULL, 'month', NULL, month FROM m)
 SELECT area, hour, {_FOUR}, round(normalized_load + 1e-8, 6) AS normalized_load, grain, day_type, month FROM everything""",
     "system_profile": f"""WITH {SYSTEM},
@@ -483,16 +483,16 @@ UNION ALL SELECT resource, 'duplicates', dup = 0, 'error', dup FROM c
 UNION ALL SELECT resource, 'unexpected_nulls', nulls = 0, 'error', nulls FROM c
 UNION ALL SELECT resource, 'negative_values', neg = 0, 'warning', neg FROM c
 UNION ALL SELECT resource, 'missing_hours', short = 0, 'warning', short FROM s
-UNION ALL SELECT resource, 'completeness_window', last >= DATE '2001-07-31', 'error', NULL FROM c""",
+UNION ALL SELECT resource, 'completeness_window', last >= DATE '2001-07-31', 'error', -1 FROM c""",
     "schema_checks": """SELECT event_type, 'schema' AS check_name, false AS passed, 'error' AS severity,
-  'missing: unit; extra: ' AS details, CAST(NULL AS BIGINT) AS rows_affected
+  'missing: unit; extra: ' AS details
 FROM (SELECT event_type, bool_or(props LIKE '%"unit"%') AS u FROM events GROUP BY 1) WHERE NOT u""",
     "coverage_regression": """WITH v AS (
   SELECT o_orderpriority, o_custkey, CAST(max(o_orderdate) AS DATE) AS d FROM orders GROUP BY 1, 2),
 p AS (SELECT *, lag(d) OVER (PARTITION BY o_orderpriority ORDER BY o_custkey) AS b FROM v)
 SELECT o_orderpriority, o_custkey, 'coverage_regression' AS check_name, coalesce(d >= b, true) AS passed,
   'error' AS severity, CASE WHEN b IS NULL THEN 'nothing to compare with' ELSE 'now up to ' || d || ', before up to ' || b END
-  AS details, CAST(NULL AS BIGINT) AS rows_affected FROM p""",
+  AS details FROM p""",
     "row_count_anomaly": """WITH v AS (
   SELECT l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m') AS version, count(*) AS n FROM lineitem GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY version DESC) AS back FROM v),
@@ -565,8 +565,8 @@ j AS (
   FROM srcs s LEFT JOIN lat l ON s.source = l.source LEFT JOIN val v ON s.source = v.source)
 SELECT source, reference_period AS latest_reference_period, '{w.AS_OF}' AS last_checked_at,
   strftime(retrieved_at, '%Y-%m-%d %H:%M:%S') AS last_successful_download, resource_id AS latest_downloaded_version,
-  valid AS latest_valid_version, CAST(days AS INTEGER) AS days_since_latest_reference,
-  CAST(DATE '{w.AS_OF[:10]}' - last_day(CAST(reference_period || '-01' AS DATE)) AS INTEGER) AS days_since_reference_period,
+  valid AS latest_valid_version, CAST(coalesce(days, -1) AS INTEGER) AS days_since_latest_reference,
+  CAST(coalesce(DATE '{w.AS_OF[:10]}' - last_day(CAST(reference_period || '-01' AS DATE)), -1) AS INTEGER) AS days_since_reference_period,
   CASE WHEN NOT found THEN 'source_unavailable' WHEN valid IS NULL THEN 'new_version_pending_validation'
     WHEN days > lag THEN 'stale' WHEN days > lag * 0.5 THEN 'expected_lag' ELSE 'fresh' END AS freshness_status,
   CASE WHEN NOT found THEN 'n/a' WHEN approved THEN 'validated' ELSE 'invalid' END AS validation_status FROM j""",

@@ -158,7 +158,7 @@ def profile_by_month(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profile_all_grains(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profiles.all_profiles(hourly(spark, folder)))
+    return rounded(profiles.all_profiles(hourly(spark, folder)).withColumn("month", F.coalesce("month", F.lit(0))))
 
 
 def system_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -368,14 +368,14 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
         hour="hour",
         expected_end=F.lit("2001-08-01").cast("date"),
     )
-    return checks.drop("details")
+    return checks.drop("details").withColumn("rows_affected", F.coalesce("rows_affected", F.lit(-1)))
 
 
 def schema_checks(spark: SparkSession, folder: str) -> DataFrame:
     fields = table(spark, folder, "events").select(
         "event_type", F.explode(F.json_object_keys("props")).alias("column_name")
     )
-    return quality.schema_checks(fields, ["event_type"], EXPECTED_PROPS)
+    return quality.schema_checks(fields, ["event_type"], EXPECTED_PROPS).drop("rows_affected")
 
 
 def coverage_regression(spark: SparkSession, folder: str) -> DataFrame:
@@ -386,7 +386,7 @@ def coverage_regression(spark: SparkSession, folder: str) -> DataFrame:
     )
     return quality.coverage_regression(
         versions, ["o_orderpriority"], ["o_custkey"], F.floor(F.col("o_custkey") / 256)
-    )
+    ).drop("rows_affected")
 
 
 def row_count_anomaly(spark: SparkSession, folder: str) -> DataFrame:
@@ -533,16 +533,16 @@ def freshness(spark: SparkSession, folder: str) -> DataFrame:
     areas = table(spark, folder, "events").select(F.col("event_type").alias("source"))
     sources = langs.union(areas).distinct().withColumn("expected_lag_days", lag)
     report = reports.freshness(_gated(spark, folder), sources, F.lit(AS_OF))
-    return report.drop("latest_source_update").withColumns(
-        {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("last_checked_at", "last_successful_download")}
-    )
+    shown = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("last_checked_at", "last_successful_download")}
+    days = ("days_since_latest_reference", "days_since_reference_period")
+    return report.drop("latest_source_update").withColumns({**shown, **{c: F.coalesce(c, F.lit(-1)) for c in days}})
 
 
 def lineage(spark: SparkSession, folder: str) -> DataFrame:
     """Versions behind the lines of the active texts."""
     active = _gated(spark, folder).where("is_active_for_gold")
     key = list(ledger.VERSION_KEY)
-    used = _lines(spark, folder).select(*key).join(active.select(*key, "reference_period"), key)
+    used = _lines(spark, folder).select(*key).distinct().join(active.select(*key, "reference_period"), key)
     rows = reports.lineage(used, "active_lines", "v1", "0.1.0", F.lit(AS_OF))
     return rows.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from loadlake.operators.catalog import CATALOG_TYPE
@@ -57,7 +57,12 @@ SEPARATORS = (";", ",", "\t")
 BROADCAST_FILES = 20_000
 
 
-def read_readings(spark: SparkSession, paths: Paths) -> DataFrame:
+def _reader(spark: SparkSession, modified_after: str | None) -> DataFrameReader:
+    """A reader that lists only files changed after a UTC time, if one is given."""
+    return spark.read if modified_after is None else spark.read.option("modifiedAfter", modified_after)
+
+
+def read_readings(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
     """Reading files as text fields plus ``file_path``.
 
     A file is a list of records, or an object holding them under ``data`` or else ``result``. Both forms, and
@@ -65,7 +70,8 @@ def read_readings(spark: SparkSession, paths: Paths) -> DataFrame:
     """
     record = "struct<" + ",".join(f"{f}:string" for f in READING_FIELDS) + ">"
     schema = ",".join(f"{f} string" for f in READING_FIELDS) + f",data array<{record}>,result array<{record}>"
-    files = spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths), multiLine=True)
+    listed = paths if isinstance(paths, str) else list(paths)
+    files = _reader(spark, modified_after).schema(schema).json(listed, multiLine=True)
     own = F.struct(*[F.col(f) for f in READING_FIELDS])
     bare = F.coalesce(*[F.col(f) for f in READING_FIELDS]).isNotNull()
     records = F.coalesce(F.col("data"), F.col("result"), F.when(bare, F.array(own)))
@@ -178,9 +184,9 @@ def read_catalog(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
-def fingerprints(spark: SparkSession, paths: Paths) -> DataFrame:
+def fingerprints(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
     """SHA-256 and size of every file. A file is one row, so it must stay below 2 GB; see ``content_mark``."""
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    files = _reader(spark, modified_after).format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
     return files.select(
         F.col("path").alias("file_path"),
         F.sha2("content", 256).alias("hash_sha256"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loadlake.operators import calendar, ledger
 from loadlake.plans import jobs
-from loadlake.sources import tables
+from loadlake.sources import landed, tables
 from loadlake.streaming.arrivals import register_into
 from loadlake.streaming.hourly import hourly_stream
 
@@ -106,6 +106,45 @@ def test_incremental_build_replaces_only_the_changed_month(spark, lake):
     assert {p.name for p in (lake / "gold" / "load_hourly").rglob("month=7/*.parquet")} == before
 
 
+def test_rows_of_a_superseded_version_disappear(spark, lake):
+    paths = build(spark, lake)
+    path = readings_file(lake, "july_new.json", "S", 5, [0, 9], month=7)
+    jobs.land(spark, str(lake), arrivals(spark, ("july", "2026-07", path, 8, 2)))
+    build(spark, lake, changed=stored_ledger(spark, lake).where("local_path LIKE '%july_new%'"))
+    july = spark.read.parquet(paths.hourly).where("month = 7").collect()
+    assert [(r.load_hourly_mw, r.n_intervals) for r in july] == [(9.0, 1)]
+    months = {r.month for r in spark.read.parquet(paths.hourly).collect()}
+    assert months == {6, 7}
+
+
+def test_only_new_files_are_read(spark, lake):
+    import os
+
+    old = 1_600_000_000
+    for file in (lake / "raw" / "ons").iterdir():
+        os.utime(file, (old, old))
+    path = readings_file(lake, "new.json", "S", 9, [1, 1])
+    fresh = landed.fingerprints(spark, f"{lake}/raw/*/*", "2021-01-01T00:00:00")
+    assert [r.file_path.rsplit("/", 1)[1] for r in fresh.collect()] == ["new.json"]
+    rows = arrivals(spark, ("new", "2026-06", path, 9, 2))
+    jobs.land(spark, str(lake), rows, modified_after="2021-01-01T00:00:00")
+    assert stored_ledger(spark, lake).count() == 5
+
+
+def test_stored_tables_are_pruned(spark, lake):
+    paths = build(spark, lake)
+
+    def scan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    hourly = scan(spark.read.parquet(paths.hourly).where("year = 2026 AND month = 7").select("load_hourly_mw"))
+    assert "PartitionFilters: [isnotnull(year" in hourly and "ReadSchema: struct<load_hourly_mw:double>" in hourly
+    pruned = scan(spark.read.parquet(paths.hourly).where((F.col("year") * 100 + F.col("month")).isin([202607])))
+    assert "PartitionFilters: []" not in pruned and "Filter (" not in pruned
+    versions = scan(ledger.files_of(stored_ledger(spark, lake), "ons", "carga", "latest_downloaded").select("local_path"))
+    assert "EqualTo(source,ons)" in versions and "EqualTo(dataset,carga)" in versions
+
+
 def test_freshness_report(spark, lake):
     _, states = validated(spark, lake)
     sources = spark.createDataFrame([("ons", 3)], "source string, expected_lag_days int")
