@@ -8,7 +8,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.operators import calendar, gate, ledger, overlay, profiles, readings, reports, scenarios
+from loadlake.operators import (
+    calendar,
+    calibration,
+    curves,
+    gate,
+    ledger,
+    overlay,
+    profiles,
+    readings,
+    reports,
+    scenarios,
+)
 from loadlake.sources import landed, tables
 
 # The areas whose sum is the national system.
@@ -186,6 +197,57 @@ def build_load_products(
     return paths
 
 
+def build_class_curves(
+    spark: SparkSession,
+    root: str,
+    versions: DataFrame,
+    labels: Sequence[str] = (),
+    *,
+    source: str = "aneel_ctr",
+    dataset: str = "consumidor_tipo",
+) -> str | None:
+    """Normalised class curves of the newest active file, and a mean curve per class of ``labels``.
+
+    The typed rows are stored first, as columns; the statistics read them more than once. Returns the path of the
+    curves, or nothing without an active file.
+    """
+    file = ledger.active_versions(versions, source, dataset).orderBy(F.desc("retrieved_at"), "hash_sha256").first()
+    if file is None:
+        return None
+    rows = tables.layer_path(root, "silver", "class_curve_rows")
+    out = tables.layer_path(root, "silver", "class_curve_stats")
+    tables.write_product(landed.read_class_curves(spark, f"{root.rstrip('/')}/{file.local_path}"), rows)
+    stats = curves.class_curve_stats(spark.read.parquet(rows))
+    tables.write_product(curves.normalize_class_curves(stats), out)
+    for label in labels:
+        name = "class_average_24h_" + "".join(c if c.isalnum() else "_" for c in label.lower())
+        report = curves.class_report(spark.read.parquet(out), label)
+        tables.write_report(report, tables.layer_path(root, "gold", name), ["hour"])
+    return out
+
+
+def monthly_energy_of(rows: DataFrame, aliases: Sequence[str], area: str, date_format: str = "yyyyMMdd") -> DataFrame:
+    """``(area, year, month, energy_mwh, average_power_mw)`` of the rows whose state has one of the spellings."""
+    own = curves.rows_with_label(rows, "UF", aliases)
+    day = F.coalesce(F.try_to_timestamp("Data", F.lit(date_format)).cast("date"), F.col("Data").try_cast("date"))
+    monthly = own.groupBy(F.trunc(day, "MM").alias("month_start")).agg(F.sum("Consumo").alias("energy_mwh"))
+    powered = calibration.average_monthly_power(monthly.where(F.col("month_start").isNotNull()))
+    return powered.select(
+        F.lit(area).alias("area"),
+        F.year("month_start").alias("year"),
+        F.month("month_start").alias("month"),
+        "energy_mwh",
+        "average_power_mw",
+    )
+
+
+def calibrate_area(shapes: DataFrame, energy: DataFrame, holidays: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(curve, summary): shapes by day type scaled to each month's energy, with the months' real day counts."""
+    counts = calibration.day_counts_long(calendar.day_type_counts(energy.select("year", "month"), holidays))
+    curve = calibration.calibrate(shapes, counts, energy.select("area", "year", "month", "energy_mwh"))
+    return curve, calibration.calibration_summary(curve)
+
+
 def report_freshness(spark: SparkSession, root: str, versions: DataFrame, sources: DataFrame, as_of: Column) -> DataFrame:
     report = reports.freshness(versions, sources, as_of)
     tables.write_report(report, tables.layer_path(root, "gold", "data_freshness_report"), ["source"])
@@ -215,7 +277,7 @@ def scenario_report(
     alternative: DataFrame,
     context_anchors: DataFrame,
     weights: DataFrame,
-    curves: DataFrame,
+    observed: DataFrame,
     *,
     first_year: int,
     last_year: int,
@@ -229,7 +291,7 @@ def scenario_report(
     """National and regional scenarios and their effect on the observed curves, for all countries at once.
 
     ``anchors``, ``alternative`` and ``context_anchors`` are keyed by ``country``, ``weights`` by ``country`` and
-    ``region``, ``curves`` by ``region`` (the country itself for its national curve), ``hour`` and ``avg_mw``.
+    ``region``, ``observed`` by ``region`` (the country itself for its national curve), ``hour`` and ``avg_mw``.
     ``cases`` are (case, scenario, weight case).
     """
     charging = charging or overlay.Charging()
@@ -258,7 +320,7 @@ def scenario_report(
     )
     chosen = country_cases.unionByName(region_cases)
     labels = ("case", "scenario", "rj_weight_case")
-    hourly = overlay.overlay_hourly(curves, chosen, ("region",), labels, charging=charging)
+    hourly = overlay.overlay_hourly(observed, chosen, ("region",), labels, charging=charging)
     return ScenarioReport(national, regional, context, hourly, overlay.overlay_summary(hourly, ("region",), labels))
 
 

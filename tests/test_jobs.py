@@ -178,6 +178,37 @@ def test_scenario_report(spark):
     assert (context[2026], context[2030], context[2035]) == (0.8068, 2.2115, 7.8)
 
 
+def test_class_curves(spark, tmp_path):
+    folder = tmp_path / "raw" / "aneel_ctr"
+    folder.mkdir(parents=True)
+    header = ";".join(landed.CLASS_CURVE_FIELDS)
+    for name, value in (("old", "1,0"), ("new", "10,5")):
+        line = f"2026-01-01;1;LIGHT;2026;x;B1;Residencial;Dia Útil;00:00;01:00;{value}"
+        (folder / f"{name}.csv").write_text(f"{header}\n{line}\n{line.replace('00:00;01:00', '01:00;02:00')}\n")
+    data = [("aneel_ctr", "consumidor_tipo", n, None, f"raw/aneel_ctr/{n}.csv", datetime(2026, 7, i), None)
+            for i, n in ((1, "old"), (2, "new"))]
+    jobs.land(spark, str(tmp_path), spark.createDataFrame(data, ARRIVAL))
+    versions = stored_ledger(spark, tmp_path)
+    assert jobs.build_class_curves(spark, str(tmp_path), versions) is None
+    _, states = jobs.validate(versions, jobs.presence_outcomes(versions, versions))
+    out = jobs.build_class_curves(spark, str(tmp_path), states, ["Residencial"])
+    assert [(r.mean_mw, r.normalized_load) for r in spark.read.parquet(out).collect()] == [(10.5, 1.0)] * 2
+    report = next((tmp_path / "gold" / "class_average_24h_residencial").glob("*.csv")).read_text()
+    assert report == "hour,avg_mw,normalized_load\n0,10.5,1.0\n1,10.5,1.0\n"
+
+
+def test_monthly_energy_calibrates_an_area(spark):
+    rows = spark.createDataFrame([("20260601", "RJ", 600.0), ("20260601", " rj", 120.0), ("2026-07-01", "Rio de Janeiro", 744.0),
+                                  ("20260601", "SP", 9e9), ("?", "RJ", 5.0)], "Data string, UF string, Consumo double")
+    energy = jobs.monthly_energy_of(rows, ("rj", "rio de janeiro"), "RJ")
+    assert {r.month: r.average_power_mw for r in energy.collect()} == {6: 1.0, 7: 1.0}
+    flat = [("RJ", t, h, 1.0) for t in ("weekday", "saturday", "sunday", "holiday") for h in range(24)]
+    shapes = spark.createDataFrame(flat, "area string, day_type string, hour int, normalized_load double")
+    curve, summary = jobs.calibrate_area(shapes, energy, calendar.holidays_between(spark, 2026, 2026))
+    assert {round(r.estimated_load_mw, 9) for r in curve.collect()} == {1.0}
+    assert {r.month: round(r.estimated_energy_mwh, 6) for r in summary.collect()} == {6: 720.0, 7: 744.0}
+
+
 def test_stream_of_readings(spark, tmp_path):
     schema = "area string, ts timestamp, load_mw double, retrieved_at timestamp"
     source = str(tmp_path / "in")
