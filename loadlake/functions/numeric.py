@@ -19,6 +19,30 @@ def ratio_or_zero(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(F.try_divide(a, b))
 
 
+def round_half_even(value: Column, digits: int = 0) -> Column:
+    """``value`` to ``digits`` decimals, correctly rounded from its binary value; only exact ties go to even.
+
+    Spark's ``bround`` rounds the shortest decimal text of a double, where 0.066125 looks like a tie although the
+    double lies above it. Here the product with the power of ten is kept with its exact rounding error, and the
+    error decides what looks like a tie. Values beyond 2**52 units of the last digit are whole already.
+    """
+    scale = float(10**digits)
+    split = float(2**27 + 1)
+    scale_high = scale * split - (scale * split - scale)
+    scale_low = scale - scale_high
+    scaled = value * F.lit(scale)
+    wide = value * F.lit(split)
+    high = wide - (wide - value)
+    low = value - high
+    error = (high * scale_high - scaled + high * scale_low + low * scale_high) + low * scale_low
+
+    below = F.floor(scaled)
+    rest = scaled - below
+    tie = (error > 0) | ((error == 0) & (F.pmod(below, F.lit(2)) == 1))
+    up = F.when((rest > 0.5) | ((rest == 0.5) & tie), 1).otherwise(0)
+    return F.when(F.abs(scaled) < float(2**52), (below + up) / F.lit(scale)).otherwise(value)
+
+
 def nearest_rank(n: Column, q: float) -> Column:
     """0-based rank of the ``q`` quantile among ``n`` sorted values: (n - 1) q, halves upwards."""
     return F.floor((n - 1) * F.lit(float(q)) + F.lit(0.5))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlake.functions.numeric import ratio
+from loadlake.functions.numeric import ratio, round_half_even
 from loadlake.operators.metrics import peak_hour
 
 # Relative weight of each hour when nothing steers the demand (not yet normalised).
@@ -151,4 +151,4 @@ def overlay_summary(
     if not rounded:
         return complete
     digits = {"daily_energy_added_mwh": 2, "baseline_peak_mw": 1, "new_peak_mw": 1, "peak_increase_pct": 2}
-    return complete.withColumns({c: F.bround(c, d) for c, d in digits.items()})
+    return complete.withColumns({c: round_half_even(F.col(c), d) for c, d in digits.items()})

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlake.functions.numeric import ratio
+from loadlake.functions.numeric import ratio, round_half_even
 
 # Names of the three scenarios and how each is obtained.
 REFERENCE, MIDDLE, HIGH = "conservador", "intermediario", "acelerado"
@@ -52,11 +52,12 @@ def densify(
 ) -> DataFrame:
     """A value for every year of the span, marked as observed or interpolated."""
     spread = anchor_arrays(anchors, series).withColumn("year", _spine(first_year, last_year))
-    value = interpolate(F.col("anchors"), F.col("year"))
-    return spread.select(
+    valued = spread.withColumn("__value", interpolate(F.col("anchors"), F.col("year")))
+    value = F.col("__value")
+    return valued.select(
         *series,
         "year",
-        (value if digits is None else F.bround(value, digits)).alias("value"),
+        (value if digits is None else round_half_even(value, digits)).alias("value"),
         F.when(is_anchor(F.col("anchors"), F.col("year")), OBSERVED).otherwise(INTERPOLATED).alias("value_type"),
     )
 
@@ -98,14 +99,14 @@ def scenario_table(
         *series,
         "year",
         "scenario",
-        F.bround("__twh", 4).alias("demand_light_ev_twh"),
+        round_half_even(F.col("__twh"), 4).alias("demand_light_ev_twh"),
         implied_units(F.col("__twh"), kwh_per_unit).alias("implied_bev_phev_fleet_units"),
         "value_type",
     )
 
 
 def implied_units(twh: Column, kwh_per_unit: float) -> Column:
-    return F.bround(twh * 1e9 / kwh_per_unit, 0).cast("long")
+    return round_half_even(twh * 1e9 / kwh_per_unit).cast("long")
 
 
 def share_bounds(df: DataFrame, part: str, broad: str, narrow: str) -> DataFrame:
@@ -134,8 +135,8 @@ def allocate(scenarios: DataFrame, weights: DataFrame, series: Sequence[str], re
         "year",
         "scenario",
         "rj_weight_case",
-        F.bround(F.col("demand_light_ev_twh") * F.col("__w"), 5).alias("demand_light_ev_twh"),
-        F.bround(F.col("implied_bev_phev_fleet_units") * F.col("__w"), 0)
+        round_half_even(F.col("demand_light_ev_twh") * F.col("__w"), 5).alias("demand_light_ev_twh"),
+        round_half_even(F.col("implied_bev_phev_fleet_units") * F.col("__w"))
         .cast("long")
         .alias("implied_bev_phev_fleet_units"),
         F.lit(SHARED).alias("value_type"),

@@ -188,7 +188,7 @@ def build_load_products(
             unused.remove("normalized_load")
         tables.write_report(report.drop(*unused), tables.layer_path(root, "gold", name), order)
 
-    used = spark.read.parquet(paths.readings).select("resource_id", "hash_sha256").distinct()
+    used = touched(paths.readings).select("resource_id", "hash_sha256").distinct()
     known = versions.select("source", "resource_id", "hash_sha256", "reference_period")
     rows = reports.lineage(
         used.join(known, ["resource_id", "hash_sha256"]), "load_hourly", product_version, pipeline_version, created_at

@@ -287,7 +287,7 @@ three AS (
   UNION ALL SELECT country, year, 'intermediario', sqrt(value * (value * ratio)), 'derived_geometric_mean' FROM dense
   UNION ALL SELECT country, year, 'acelerado', value * ratio, 'derived_constant_ratio' FROM dense),
 scen AS (
-  SELECT country, year, scenario, CAST(round_even(twh, 4) AS DOUBLE) AS demand_light_ev_twh,
+  SELECT country, year, scenario, CAST(printf('%.4f', twh) AS DOUBLE) AS demand_light_ev_twh,
     CAST(round_even(twh * 1e9 / {w.KWH_PER_UNIT}, 0) AS BIGINT) AS implied_bev_phev_fleet_units, value_type FROM three)"""
 SHARES = """
 nat AS (
@@ -606,7 +606,7 @@ c AS (
   UNION ALL SELECT country, region, 'central', weight_central FROM weights
   UNION ALL SELECT country, region, 'high', weight_high FROM weights)
 SELECT country, region, year, scenario, rj_weight_case,
-  CAST(round_even(demand_light_ev_twh * w, 5) AS DOUBLE) AS demand_light_ev_twh,
+  CAST(printf('%.5f', demand_light_ev_twh * w) AS DOUBLE) AS demand_light_ev_twh,
   CAST(round_even(implied_bev_phev_fleet_units * w, 0) AS BIGINT) AS implied_bev_phev_fleet_units,
   'derived_proportional_national_share' AS value_type FROM scen JOIN c USING (country)""",
     "growth_rates": f"""WITH {YEARLY},

@@ -73,9 +73,9 @@ def _k(column: str = "props") -> Column:
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """Every event as a landed text record: two timestamp forms, some broken fields, some placeholders."""
-    k = _k()
+    k = F.col("__k")
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    return table(spark, folder, "events").select(
+    return table(spark, folder, "events").withColumn("__k", _k()).select(
         "event_id",
         F.col("event_type").alias("cod_areacarga"),
         F.when(k == 99, "soon").when(k < 50, F.concat(text, F.lit("Z"))).otherwise(text).alias("din_referenciautc"),

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loadlake.functions.numeric import value_bucket
+from loadlake.functions.numeric import round_half_even, value_bucket
 from loadlake.operators import quantiles
 from loadlake.operators.quantiles import exact_quantiles
 
@@ -88,3 +88,13 @@ def test_buckets_keep_order(spark, values):
     found = df.select("v", value_bucket(F.col("v")).alias("b")).orderBy("v").collect()
     buckets = [r.b for r in found]
     assert buckets == sorted(buckets)
+
+
+@pytest.mark.parametrize("digits", [0, 1, 2, 4, 5])
+def test_rounding_is_that_of_python(spark, digits):
+    rng = random.Random(digits)
+    values = [rng.uniform(-1e6, 1e6) for _ in range(300)] + [2.5, 3.5, -2.5, 0.125, 0.375, 0.066125, 0.059625, 2.675, 1e300, 0.0]
+    values += [(2 * rng.randint(-(10**7), 10**7) + 1) / (2 * 10**digits) for _ in range(700)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = df.select("v", round_half_even(F.col("v"), digits).alias("r")).collect()
+    assert [(r.v, r.r) for r in found if r.r != round(r.v, digits)] == []
