@@ -6,6 +6,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
+from loadlake.plans import workload
 
 duckdb = pytest.importorskip("duckdb")
 sys.path.insert(0, str(pathlib.Path(entry.__file__).parent / "tools"))
@@ -28,7 +29,7 @@ def result(spark, name):
     return df.columns, rows_of(df.columns, [tuple(r) for r in df.collect()])
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_same_rows_as_sql(spark, db, name):
     columns, rows = result(spark, name)
     cursor = db.execute(entry.oracle_sql()[name])
