@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import decontamination, line_dedup, order_minhash, packing, quality_rules
+from loadlake.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    order_minhash,
+    packing,
+    page_diff,
+    pii,
+    quality_rules,
+    token_counts,
+    toxic_segments,
+)
 from loadlake.llm.common import shipping, table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str) -> str:
@@ -31,6 +43,19 @@ def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxic_segments.fit(docs, table(spark, folder, "labels"))
+    score = F.col("toxicity")["score"]
+    return toxic_segments.scored(docs, model).select(
+        "doc_id",
+        toxic_segments.held_out(F.col("doc_id")).alias("held_out"),
+        score.alias("score"),
+        F.when(score >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.size(F.col("toxicity")["passages"]).alias("n_passages"),
+    )
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = line_dedup.deduplicate_lines(table(spark, folder, "documents").select("doc_id", "text"))
     d = F.col("deduplicated")
@@ -41,6 +66,22 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path(WORD_TOKENIZER))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    langs, net = language_id.fit(docs)
+    told = language_id.predicted(docs.select("doc_id", "text"), langs, net)
+    return told.select(
+        "doc_id",
+        language_id.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("language")["lang"].alias("lang_pred"),
+        F.col("language")["score"].alias("score"),
+    )
+
+
+def op7_page_diff(spark: SparkSession, folder: str) -> DataFrame:
+    return page_diff.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     found = decontamination.contamination(docs, benchmark)
@@ -55,9 +96,35 @@ def op8_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.private_spans(docs, pii.fit(docs))
+    counts = [
+        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)
+    ]
+    digest = F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.counted(docs, tokenizer_path(BYTE_TOKENIZER)).select("doc_id", "tokens.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: shipping(query)
-    for query in (op1_quality_rules, op2_order_minhash, op4_line_dedup, op5_packing, op8_fm_decontamination)
+    for query in (
+        op1_quality_rules,
+        op2_order_minhash,
+        op3_toxic_segments,
+        op4_line_dedup,
+        op5_packing,
+        op6_language_id,
+        op7_page_diff,
+        op8_fm_decontamination,
+        op9_pii,
+        op10_token_counts,
+    )
 }
 
 ORACLES: dict[str, str] = {
