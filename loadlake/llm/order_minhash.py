@@ -6,7 +6,7 @@ share it with a probability near the square of their similarity, and less if the
 key meet in a bucket. Large buckets are split by a further sketch, then by number, so that no group is large; in a group
 each text is proposed to the group's first text and to its neighbours in sketch order, never to all others. Proposals
 with enough equal sketches are verified by banded alignment of the shingle sequences. Links become classes by connected
-components.
+components; then texts that are near each other in a group but still in different classes get a second, wider round.
 
 Similarity of two texts: different shingles aligned in order, over the different shingles of both; links need 0.8.
 Exact copies are one node from the start.
@@ -18,7 +18,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,7 @@ BANDS = 10
 MIN_EQUAL = 4
 GROUP = 64
 NEIGHBOURS = 2
+FURTHER_NEIGHBOURS = 6
 _MASK = (1 << 64) - 1
 _MIX = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1 for i in range(SHINGLE)], np.uint64)
 _SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & _MASK for i in range(SKETCHES)], np.uint64)
@@ -168,29 +169,57 @@ def alignment(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([aligned(shingles(a), of(b)) for a, b in zip(left, right, strict=True)], dtype=float)
 
 
-def proposals(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> DataFrame:
-    """Pairs ``a, b`` of nodes (``node``, ``sketch``) worth verifying: a constant number per node and band."""
+def groups(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """``node, key, sub, other_sub``: nodes by the groups of their band keys, each of a limited size; and pairs ``a, b``
+    that tie the parts of a split bucket to its first node.
+
+    Buckets beyond the limit are split by a further sketch, then by number. There are fewer than 10,000 of these.
+    """
     places = F.transform(F.slice("sketch", 1, bands), lambda x, i: F.struct(i.alias("band"), x.alias("key")))
-    rows = nodes.where(F.col("sketch").isNotNull()).select("node", F.col("sketch")[bands].alias("sub"), F.explode(places).alias("p"))
-    rows = stored(rows.select("node", "sub", F.xxhash64("p.band", "p.key").alias("key")))
-    total = rows.count()
-    limit = max(group, total // 10_000)
-    parts, centres = rows, None
-    for split in (F.xxhash64("key", "sub"), F.xxhash64("key", F.pmod(F.xxhash64("node"), F.greatest(F.lit(2), F.ceil(F.col("n") / limit))))):
-        sizes = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where(F.col("n") > 1)
-        large = stored(sizes.where(F.col("n") > limit))  # fewer than 10,000 keys
-        marked = parts.join(F.broadcast(large), "key", "left")
-        between = marked.where(F.col("n").isNotNull()).select("node", "sub", F.col("centre"), split.alias("key"))
-        met = between.groupBy("key").agg(F.min("node").alias("a"), F.min("centre").alias("b")).where(F.col("a") != F.col("b"))
-        centres = met.select("a", "b") if centres is None else centres.unionByName(met.select("a", "b"))
-        parts = stored(marked.select("node", "sub", F.when(F.col("n").isNotNull(), split).otherwise(F.col("key")).alias("key")))
+    known = nodes.where(F.col("sketch").isNotNull())
+    rows = known.select("node", F.col("sketch")[bands].alias("sub"), F.col("sketch")[bands + 1].alias("other_sub"), F.explode(places).alias("p"))
+    parts = stored(rows.select("node", "sub", "other_sub", F.xxhash64("p.band", "p.key").alias("key")))
+    limit = max(group, parts.count() // 10_000)
+    by_sketch = F.xxhash64("key", "sub")
+    by_number = F.xxhash64("key", F.pmod(F.xxhash64("node"), F.greatest(F.lit(2), F.ceil(F.col("n") / limit))))
+    ties = None
+    for split in (by_sketch, by_number):
+        sizes = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where(F.col("n") > limit)
+        marked = parts.join(F.broadcast(stored(sizes)), "key", "left")
+        large = F.col("n").isNotNull()
+        met = marked.where(large).select("node", "centre", split.alias("key"))
+        met = met.groupBy("key").agg(F.min("node").alias("a"), F.min("centre").alias("b")).where(F.col("a") != F.col("b")).select("a", "b")
+        ties = met if ties is None else ties.unionByName(met)
+        parts = stored(marked.select("node", "sub", "other_sub", F.when(large, split).otherwise(F.col("key")).alias("key")))
+    return parts, ties.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
+def _pairs(rows: DataFrame, others: Column, node: str = "node") -> DataFrame:
+    pairs = rows.select(node, F.array_distinct(others).alias("others")).select(node, F.explode("others").alias("other"))
+    pairs = pairs.where(F.col("other").isNotNull() & (F.col("other") != F.col(node)))
+    return pairs.select(F.greatest(node, "other").alias("a"), F.least(node, "other").alias("b"))
+
+
+def proposals(parts: DataFrame, ties: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes worth verifying: each node with its group's first node and its neighbours in order."""
     order = Window.partitionBy("key").orderBy("sub", "node")
     near = [F.lag("node", k).over(order) for k in range(1, NEIGHBOURS + 1)]
     first = F.min("node").over(Window.partitionBy("key"))
-    pairs = parts.select("node", F.array_distinct(F.array(first, *near)).alias("others")).select("node", F.explode("others").alias("other"))
-    pairs = pairs.where(F.col("other").isNotNull() & (F.col("other") != F.col("node")))
-    pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
-    return pairs.unionByName(centres.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct()
+    return _pairs(parts, F.array(first, *near)).unionByName(ties).distinct()
+
+
+def further_proposals(parts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of nodes of different classes (``node, root``) that are near each other in a group, in two orders."""
+    told = parts.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    whole = Window.partitionBy("key")
+    mixed = told.withColumns({"low": F.min("root").over(whole), "high": F.max("root").over(whole)}).where("low <> high")
+    near = []
+    for sub in ("sub", "other_sub"):
+        order = Window.partitionBy("key").orderBy(sub, "node")
+        for k in range(1, FURTHER_NEIGHBOURS + 1):
+            other = F.lag(F.struct("node", "root"), k).over(order)
+            near.append(F.when(other["root"] != F.col("root"), other["node"]))
+    return _pairs(mixed, F.array(*near)).distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float, min_equal: int = MIN_EQUAL) -> DataFrame:
@@ -226,7 +255,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``doc_id, class_id, n_links, n_copies, kept`` per row: the class's smallest doc_id, links to different texts of
+    """``doc_id, class_id, n_links, n_copies, kept`` per row: the class's smallest doc_id, verified links to other texts of
     the row's text, rows with exactly this text, and whether the row is its class's one document.
 
     Null text counts as an empty text; texts without words are only alike if equal. Rows without doc_id are
@@ -238,7 +267,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     copies = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch"))
     copies = stored(copies)
     nodes = copies.groupBy("node").agg(F.first("sketch").alias("sketch"))
-    links = stored(verified(proposals(nodes), nodes, known, least))
+    parts, ties = groups(nodes)
+    links = stored(verified(proposals(parts, ties), nodes, known, least))
+    further = further_proposals(parts, components(links))
+    links = stored(links.unionByName(verified(further, nodes, known, least)).distinct())
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     classes = components(links)
     told = copies.select("copy", "node", "n_copies").join(classes, "node", "left").join(degree, "node", "left")

@@ -147,13 +147,18 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return runs
 
 
+def small(spark: SparkSession, columns: dict[str, list[int]]) -> DataFrame:
+    """A table of integers that is part of the plan."""
+    return spark.createDataFrame(pa.table({name: pa.array(values, pa.int64()) for name, values in columns.items()}))
+
+
 def ranked(rows: DataFrame, sizes: dict[int, int], block: int = RANK_BLOCK) -> DataFrame:
     """Adds ``rank``, from 0, within ``length``. Lengths of many rows are ranked in blocks of about ``block`` rows.
 
     ``sizes`` has the number of rows by length, at most one entry per length up to the capacity.
     """
     spark = rows.sparkSession
-    blocks = spark.createDataFrame([(k, max(1, n // block)) for k, n in sizes.items()], "length long, blocks long")
+    blocks = small(spark, {"length": list(sizes), "blocks": [max(1, n // block) for n in sizes.values()]})
     rows = rows.join(F.broadcast(blocks), "length").withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "start"), "blocks"))
     sums = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before = rows.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n"))
@@ -168,10 +173,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     spark: SparkSession = docs.sparkSession
     cut = stored(pieces(docs, tokenizer, capacity))
     sizes = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    runs = spark.createDataFrame(
-        plan(sizes, capacity), "length long, first_rank long, count long, first_sequence long, per_sequence long, base long"
-    )
-    slots = F.broadcast(runs.withColumnRenamed("length", "of_length"))
+    names = ("of_length", "first_rank", "count", "first_sequence", "per_sequence", "base")
+    runs = np.array(plan(sizes, capacity), np.int64).reshape(-1, len(names))
+    slots = F.broadcast(small(spark, {name: runs[:, i] for i, name in enumerate(names)}))
     rows = ranked(cut, sizes)
     j = F.col("rank") - F.col("first_rank")
     joined = rows.join(
