@@ -9,13 +9,25 @@ from pyspark.sql import functions as F
 
 # Content an HTML parser would not see as anchors.
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>"
-_ANCHOR_HREF = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Whole tags first, then the attributes inside one. Repeated groups are possessive, which Java's matcher runs as a loop:
+# a tag of any length neither overflows the stack nor is read twice.
+_ANCHOR = r"""(?is)<a\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_ATTRIBUTE = r"""(?is)([^\s=>"'/]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
 _ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
 def anchor_hrefs(html: Column) -> Column:
     """Array of the href values of ``<a>`` tags, in page order, quotes removed and ``&amp;`` decoded."""
-    found = F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, ""), F.lit(_ANCHOR_HREF), F.lit(1))
+    tags = F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, ""), F.lit(_ANCHOR), F.lit(0))
+
+    def href(tag: Column) -> Column:
+        inside = F.substring(tag, F.lit(3), F.length(tag) - 3)
+        names = F.regexp_extract_all(inside, F.lit(_ATTRIBUTE), F.lit(1))
+        values = F.regexp_extract_all(inside, F.lit(_ATTRIBUTE), F.lit(2))
+        own = F.filter(F.arrays_zip(names.alias("n"), values.alias("v")), lambda a: (F.lower(a["n"]) == "href") & (a["v"] != ""))
+        return F.get(own, F.lit(0))["v"]
+
+    found = F.filter(F.transform(tags, href), lambda h: h.isNotNull())
     return F.transform(found, lambda h: F.replace(F.regexp_replace(h, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&")))
 
 

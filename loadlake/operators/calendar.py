@@ -63,11 +63,27 @@ def with_local_calendar(
     )
 
 
-def with_day_type(df: DataFrame, holidays: DataFrame, date: str = "date") -> DataFrame:
-    """Add ``day_type``. ``holidays`` needs a ``date`` column and may be any table of dates.
-
-    It is broadcast as distinct dates: at most 366 per calendar year covered, whatever the readings' size.
+def is_holiday(date: Column, easter: Column, rules: Sequence[tuple] = HOLIDAY_RULES) -> Column:
+    """Whether the rules name the date, in any year, given its year's Easter Sunday."""
+    hit = F.lit(False)
+    for _, month, day, after_easter, first_year in rules:
+        if after_easter is None:
+            same = (F.month(date) == month) & (F.dayofmonth(date) == day)
+        else:
+            same = date == F.date_add(easter, after_easter)
+        hit = hit | (same & (F.year(date) >= first_year))
+    return F.coalesce(hit, F.lit(False))
+
+
+def with_day_type(df: DataFrame, holidays: DataFrame | None = None, date: str = "date") -> DataFrame:
+    """Add ``day_type``. Holidays follow the rules, for any year, or are the ``date`` column of a table.
+
+    A table is broadcast as distinct dates: at most 366 per calendar year covered, whatever the readings' size.
     """
+    if holidays is None:
+        dated = df.withColumn("__year", F.year(date)).withColumn("__easter", temporal.easter_sunday("__year"))
+        kind = temporal.day_type(F.weekday(F.col(date)), is_holiday(F.col(date), F.col("__easter")))
+        return dated.withColumn("day_type", F.when(F.col(date).isNotNull(), kind)).drop("__year", "__easter")
     dates = holidays.where(F.col("date").isNotNull()).select(F.col("date").alias("__holiday")).distinct()
     joined = df.join(F.broadcast(dates), F.col(date) == F.col("__holiday"), "left")
     kind = temporal.day_type(F.weekday(F.col(date)), F.col("__holiday").isNotNull())
@@ -97,12 +113,12 @@ def holiday_calendar(years: DataFrame, rules: Sequence[tuple] = HOLIDAY_RULES) -
     )
 
 
-def holidays_between(spark: SparkSession, first_year: int = 1990, last_year: int = 2100) -> DataFrame:
+def holidays_between(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """The calendar of a span of years, made from the rules alone: about a dozen rows per year."""
     return holiday_calendar(spark.range(first_year, last_year + 1, 1, 1).select(F.col("id").alias("year")))
 
 
-def day_type_counts(months: DataFrame, holidays: DataFrame) -> DataFrame:
+def day_type_counts(months: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """Days of each type per ``(year, month)``; the four columns sum to the days of the month."""
     first = F.make_date(F.col("year"), F.col("month"), F.lit(1))
     days = (

@@ -74,6 +74,14 @@ def class_report(normalized: DataFrame, label: str, column: str = "DscDemandante
     )
 
 
+def class_reports(normalized: DataFrame, labels: DataFrame, column: str = "DscDemandante") -> DataFrame:
+    """Mean curves by ``label`` and hour of the classes listed, in one pass."""
+    own = normalized.join(labels.select("label").distinct(), F.col(column) == F.col("label"), "left_semi")
+    return own.groupBy(F.col(column).alias("label"), "hour").agg(
+        F.avg("mean_mw").alias("avg_mw"), F.avg("normalized_load").alias("normalized_load")
+    )
+
+
 def rows_with_label(
     df: DataFrame, column: str, aliases: Sequence[str], first_only: bool = False
 ) -> DataFrame:

@@ -31,25 +31,29 @@ def gate_decisions(outcomes: DataFrame, version: tuple[str, ...] = VERSION_KEY)
 def apply_gate(ledger: DataFrame, decisions: DataFrame) -> DataFrame:
     """Ledger states after the decisions.
 
-    The newest approved version per source, dataset and period is active; older approved ones are superseded;
-    rejected ones are quarantined, and the version that was active stays so. Undecided rows keep their states.
+    Per source, dataset and period one version is active: the newest of those approved now and of those active before
+    and not decided again. Other approved ones, and the one that was active, are superseded; rejected ones are
+    quarantined and never active. Undecided rows keep their other states, ``is_latest_valid`` among them.
     Decisions are per version, so rejecting a file that was delivered again leaves its earlier version alone.
     """
     judged = decisions.select(*VERSION_KEY, "approved", F.col("quarantine_reason").alias("__reason"))
     joined = ledger.join(judged, list(VERSION_KEY), "left")
+    was_active = F.coalesce(F.col("is_active_for_gold"), F.lit(False))
     top = (
-        joined.where(F.col("approved"))
+        joined.where(F.coalesce(F.col("approved"), was_active))
         .groupBy(*ACTIVE_KEY)
         .agg(F.max(F.struct(*ORDER, "resource_id")).alias("__top"))
     )
     marked = join_null_safe(joined, top, ACTIVE_KEY, "left")
     approved, rejected = F.col("approved"), ~F.col("approved")
-    active = F.coalesce(approved & (F.struct(*ORDER, "resource_id") == F.col("__top")), F.lit(False))
+    active = F.coalesce(
+        F.coalesce(approved, was_active) & (F.struct(*ORDER, "resource_id") == F.col("__top")), F.lit(False)
+    )
     states = {
         "is_active_for_gold": active,
-        "is_latest_valid": F.coalesce(approved, F.lit(False)),
+        "is_latest_valid": F.coalesce(approved, F.col("is_latest_valid"), F.lit(False)),
         "lifecycle_status": F.when(active, "active")
-        .when(approved, "superseded")
+        .when(approved | (approved.isNull() & was_active), "superseded")
         .when(rejected, "quarantined")
         .otherwise(F.col("lifecycle_status")),
         "validation_status": F.when(approved, "validated")
@@ -58,3 +62,11 @@ def apply_gate(ledger: DataFrame, decisions: DataFrame) -> DataFrame:
         "quarantine_reason": F.coalesce("__reason", "quarantine_reason"),
     }
     return marked.select(*[states.get(c, F.col(c)).alias(c) for c in LEDGER_SCHEMA.names])
+
+
+def latest_decisions(log: DataFrame) -> DataFrame:
+    """The newest decision per version from a log of decisions with ``decided_at``."""
+    rest = [c for c in log.columns if c not in VERSION_KEY]
+    order = F.struct("decided_at", "approved", "quarantine_reason")
+    top = log.groupBy(*VERSION_KEY).agg(F.max_by(F.struct(*rest), order).alias("__r"))
+    return top.select(*VERSION_KEY, "__r.*").select(*log.columns)

@@ -14,26 +14,23 @@ from loadlake.operators.calendar import with_day_type, with_local_calendar
 HOUR_KEYS = ("date", "year", "month", "day", "hour", "day_type")
 PROVENANCE = ("source", "dataset", "geographic_scope", "geographic_precision")
 INTERVAL_HOURS = 0.5
+# Load columns of the published readings besides the one that becomes ``load_mw``.
+LOAD_FIELDS = (
+    "val_cargaglobalcons",
+    "val_cargaglobalsmmg",
+    "val_cargaglobalsmmgd",
+    "val_cargammgd",
+    "val_cargasupervisionada",
+    "val_carganaosupervisionada",
+)
 
 
-def type_readings(
-    raw: DataFrame,
-    holidays: DataFrame,
-    *,
-    source: str = "ons",
-    dataset: str = "carga_verificada",
-    zone: str = temporal.DEFAULT_ZONE,
-) -> DataFrame:
-    """Landed text fields to typed 30-minute readings with calendar and provenance columns.
-
-    Needs ``cod_areacarga, din_referenciautc, val_cargaglobal``; ``val_cargaglobalcons, val_consistencia,
-    resource_id, retrieved_at`` are null where absent. Text that does not parse becomes null. A load of
-    exactly zero marks an interval the publisher has not consolidated: it becomes null and is flagged in
-    ``is_placeholder``. Fields that are typed already (parquet) are taken as they are. Rows without a timestamp stay, see ``split_rejects``.
-    """
+def type_fields(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Landed text fields to typed columns, without calendar and provenance; see ``type_readings``. Columns in ``keep``
+    stay as they are."""
 
     def optional(name: str, dtype: str) -> Column:
-        return (F.col(name) if name in raw.columns else F.lit(None)).try_cast(dtype)
+        return (F.col(name) if name in raw.columns else F.lit(None)).try_cast(dtype).alias(name)
 
     load = F.col("val_cargaglobal").try_cast("double")
     stamp = F.col("din_referenciautc")
@@ -41,17 +38,31 @@ def type_readings(
         stamp = temporal.parse_utc(stamp)
     elif isinstance(raw.schema["din_referenciautc"].dataType, T.TimestampType):
         stamp = temporal.utc_wall_clock(stamp)
-    typed = raw.select(
+    return raw.select(
         F.col("cod_areacarga").alias("area"),
         stamp.alias("ts_utc"),
         F.nullif(load, F.lit(0.0)).alias("load_mw"),
         F.coalesce(load == 0, F.lit(False)).alias("is_placeholder"),
-        optional("val_cargaglobalcons", "double").alias("val_cargaglobalcons"),
-        optional("val_consistencia", "string").alias("val_consistencia"),
-        optional("resource_id", "string").alias("resource_id"),
-        optional("retrieved_at", "timestamp").alias("retrieved_at"),
-        optional("hash_sha256", "string").alias("hash_sha256"),
+        optional("dat_referencia", "string"),
+        optional("din_atualizacao", "string"),
+        *[optional(name, "double") for name in LOAD_FIELDS],
+        optional("val_consistencia", "string"),
+        optional("resource_id", "string"),
+        optional("retrieved_at", "timestamp"),
+        optional("hash_sha256", "string"),
+        *keep,
     )
+
+
+def with_context(
+    typed: DataFrame,
+    holidays: DataFrame | None = None,
+    *,
+    source: str = "ons",
+    dataset: str = "carga_verificada",
+    zone: str = temporal.DEFAULT_ZONE,
+) -> DataFrame:
+    """Adds calendar and provenance columns to typed readings."""
     dated = with_day_type(with_local_calendar(typed, "ts_utc", zone), holidays)
     return dated.withColumns(
         {
@@ -64,6 +75,18 @@ def type_readings(
     )
 
 
+def type_readings(raw: DataFrame, holidays: DataFrame | None = None, **context: str) -> DataFrame:
+    """Landed text fields to typed 30-minute readings with calendar and provenance columns.
+
+    Needs ``cod_areacarga, din_referenciautc, val_cargaglobal``; the other published columns and
+    ``resource_id, retrieved_at, hash_sha256`` are null where absent. Text that does not parse becomes null. A load of
+    exactly zero marks an interval the publisher has not consolidated: it becomes null and is flagged in
+    ``is_placeholder``. Fields that are typed already (parquet) are taken as they are. Rows without a timestamp stay,
+    see ``split_rejects``.
+    """
+    return with_context(type_fields(raw), holidays, **context)
+
+
 def split_rejects(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, rejected): readings whose timestamp did not parse cannot be placed in an hour."""
     return silver.where(F.col("ts_utc").isNotNull()), silver.where(F.col("ts_utc").isNull())
@@ -108,20 +131,18 @@ def system_hourly(hourly: DataFrame, areas: Sequence[str], dataset: str = "carga
     """Sum of ``areas`` per hour, only for hours in which each of them has a row.
 
     One aggregation for any number of areas. A null area load makes the total null, and the hour is ``ok``
-    only if every area is. The areas seen are kept as bits of one number (up to 63 areas), so completeness
-    needs no distinct count and no second shuffle.
+    only if every area is. The set of areas seen per hour is no longer than the list given.
     """
-    if not 0 < len(areas) <= 63:
-        raise ValueError("between 1 and 63 areas are needed")
-    bit_of = F.create_map(*[x for i, a in enumerate(areas) for x in (F.lit(a), F.lit(1 << i).cast("long"))])
+    if not areas:
+        raise ValueError("at least one area is needed")
     members = hourly.where(F.col("area").isin(list(areas)))
     summed = members.groupBy(*HOUR_KEYS).agg(
-        F.bit_or(F.try_element_at(bit_of, F.col("area"))).alias("__areas"),
+        F.size(F.collect_set("area")).alias("__areas"),
         F.when(F.every(F.col("load_hourly_mw").isNotNull()), F.sum("load_hourly_mw")).alias("load_hourly_mw"),
         F.sum("energy_hourly_mwh").alias("energy_hourly_mwh"),
         F.when(F.every(F.col("quality_flag") == "ok"), "ok").otherwise("incomplete_hour").alias("quality_flag"),
     )
-    complete = summed.where(F.col("__areas") == F.lit((1 << len(areas)) - 1).cast("long")).drop("__areas")
+    complete = summed.where(F.col("__areas") == len(set(areas))).drop("__areas")
     return complete.withColumns(
         {
             "source": F.lit("ons"),

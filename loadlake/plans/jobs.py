@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,10 @@ from loadlake.operators import (
     curves,
     gate,
     ledger,
+    metrics,
     overlay,
     profiles,
+    quality,
     readings,
     reports,
     scenarios,
@@ -32,33 +35,93 @@ REPORTS = {
 }
 
 
-def lake_path(file_path: Column) -> Column:
-    """Path of a raw file below the lake's root, as the ledger stores it."""
-    return F.regexp_extract(file_path, r"(raw/.*)$", 1)
+def lake_path(file_path: Column, root: str) -> Column:
+    """Path of a file below the lake's root, as the ledger stores it."""
+    home = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*(?=/)", "", root.rstrip("/")) + "/"
+    return F.substring(file_path, F.locate(home, file_path) + len(home), F.length(file_path))
+
+
+def files_below(root: str, versions: DataFrame) -> list[str]:
+    """Reader paths of the files of some ledger rows, as long a list as the scan's own list of files."""
+    rows = versions.select("local_path").where(F.col("local_path").isNotNull()).distinct().orderBy("local_path")
+    return [landed.literal_path(f"{root.rstrip('/')}/{r.local_path}") for r in rows.toLocalIterator()]
 
 
 def land(
-    spark: SparkSession, root: str, arrivals: DataFrame, modified_after: str | None = None
+    spark: SparkSession, root: str, arrivals: DataFrame, rows_of: Callable[[DataFrame], DataFrame] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Append the arrivals that are new content; returns (new versions, all revisions so far).
 
     ``arrivals`` describes landed files: ``source, dataset, resource_id, reference_period, local_path``,
-    ``retrieved_at`` and what else the ledger has columns for. Hash and size are taken from the files; with
-    ``modified_after`` (the time of the last landing) only files changed since are read.
+    ``retrieved_at`` and what else the ledger has columns for. Hash and size are taken from the files; a path that
+    the ledger has is not read again, as landed files do not change. An arrival whose file is not there is skipped.
+
+    ``rows_of`` turns ledger rows into the records of their files: the columns of ``ledger.VERSION_KEY``, ``record`` (a
+    key, unique in a version) and ``content``. With it, ``row_count`` and the counts of the revisions are filled in.
     """
     path = tables.layer_path(root, "metadata", "ledger")
+    log_path = tables.layer_path(root, "metadata", "source_revision_log")
     known = tables.read_or_empty(spark, path, ledger.LEDGER_SCHEMA)
-    files = landed.fingerprints(spark, f"{tables.layer_path(root, 'raw')}/*/*", modified_after).withColumn(
-        "local_path", lake_path(F.col("file_path"))
-    )
-    hashed = arrivals.join(files.select("local_path", "hash_sha256", "file_size"), "local_path")
-    fresh = ledger.as_ledger(ledger.new_versions(hashed, known))
-    tables.append(fresh, path)
+    unread = arrivals.join(known.select("local_path"), "local_path", "left_anti")
+    there = [p for p in files_below(root, unread) if _exists(spark, p)]
+    if there:
+        files = landed.fingerprints(spark, there).withColumn("local_path", lake_path(F.col("file_path"), root))
+        hashed = unread.drop("hash_sha256", "file_size").join(files.drop("file_path"), "local_path")
+        fresh = ledger.as_ledger(ledger.new_versions(hashed, known))
+        if rows_of is not None:
+            counts = rows_of(fresh).groupBy(*ledger.VERSION_KEY).agg(F.count(F.lit(1)).alias("__n"))
+            counted = fresh.join(counts, list(ledger.VERSION_KEY), "left")
+            fresh = counted.withColumn("row_count", F.coalesce("__n", F.lit(0))).select(*ledger.LEDGER_SCHEMA.names)
+        staged = tables.layer_path(root, "metadata", "ledger_arrivals")
+        tables.write_product(fresh, staged)
+        fresh = tables.read_or_empty(spark, staged, ledger.LEDGER_SCHEMA)
+        tables.append(fresh, path)
+        _append_revisions(spark, path, log_path, fresh, rows_of)
+    else:
+        fresh = spark.createDataFrame([], ledger.LEDGER_SCHEMA)
+    return fresh, tables.read_or_empty(spark, log_path, ledger.REVISION_SCHEMA)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(path)
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return found is not None and len(found) > 0
+
 
+def _append_revisions(
+    spark: SparkSession, path: str, log_path: str, fresh: DataFrame, rows_of: Callable[[DataFrame], DataFrame] | None
+) -> None:
+    """Revisions that the fresh versions make, found in the histories of their resources only."""
     stored = tables.read_or_empty(spark, path, ledger.LEDGER_SCHEMA)
-    log = ledger.revisions(stored)
-    tables.write_product(log, tables.layer_path(root, "metadata", "source_revision_log"))
-    return fresh, log
+    touched = fresh.select("source", "resource_id").distinct()
+    history = stored.join(touched, ["source", "resource_id"], "left_semi")
+    own = fresh.select("source", "resource_id", F.col("hash_sha256").alias("new_hash"))
+    log = ledger.revisions(history).join(own, ["source", "resource_id", "new_hash"], "left_semi")
+    log = log.select(*ledger.REVISION_SCHEMA.names)
+    if rows_of is not None:
+        sides = log.select("source", "resource_id", F.explode(F.array("old_hash", "new_hash")).alias("hash_sha256"))
+        involved = history.join(sides.distinct(), list(ledger.VERSION_KEY), "left_semi")
+        changes = ledger.count_row_changes(log, rows_of(involved), ["record"], "content")
+        log = ledger.with_row_changes(log, changes)
+    tables.append(log, log_path)
+
+
+def reading_rows(spark: SparkSession, root: str) -> Callable[[DataFrame], DataFrame]:
+    """Records of readings files for ``land``: a reading is known by area and time."""
+
+    def rows(versions: DataFrame) -> DataFrame:
+        files = files_below(root, versions)
+        version = versions.select(*ledger.VERSION_KEY, "local_path")
+        if not files:
+            return version.select(*ledger.VERSION_KEY, F.lit("").alias("record"), F.lit("").alias("content")).limit(0)
+        raw = landed.read_readings(spark, files).where("problem IS NULL")
+        named = raw.withColumn("local_path", lake_path(F.col("file_path"), root)).join(version, "local_path")
+        record = F.concat_ws("|", "cod_areacarga", "din_referenciautc")
+        content = F.to_json(F.struct(*landed.READING_FIELDS))
+        return named.groupBy(*ledger.VERSION_KEY, record.alias("record")).agg(F.max(content).alias("content"))
+
+    return rows
 
 
 def validate(versions: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,6 +136,34 @@ def validate(versions: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataF
     return report, gate.apply_gate(flagged, decisions)
 
 
+DECISION_SCHEMA = "source string, resource_id string, hash_sha256 string, approved boolean, quarantine_reason string, decided_at timestamp"
+
+
+def promote(
+    spark: SparkSession, root: str, outcomes: DataFrame, decided_at: Column, judge: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(quality report, ledger with states): judge the newest versions and remember every decision.
+
+    Report and decisions are appended to tables; the states follow from the ledger and the newest decision per version,
+    so what an earlier run decided still holds. ``judge`` names other versions to judge (``ledger.VERSION_KEY``).
+    """
+    versions = tables.read_or_empty(spark, tables.layer_path(root, "metadata", "ledger"), ledger.LEDGER_SCHEMA)
+    flagged = ledger.with_latest_flag(versions)
+    judged = flagged.where("is_latest_downloaded") if judge is None else flagged.join(judge, list(ledger.VERSION_KEY), "left_semi")
+    named = judged.select(*ledger.VERSION_KEY, "dataset", "reference_period")
+    report = outcomes.join(named, list(ledger.VERSION_KEY)).withColumn("decided_at", decided_at.cast("timestamp"))
+    report_path = tables.layer_path(root, "metadata", "quality_report")
+    staged = tables.layer_path(root, "metadata", "quality_report_run")
+    tables.write_product(report, staged)
+    run = spark.read.parquet(staged)
+    tables.append(run, report_path)
+    decisions = gate.gate_decisions(run).select(*ledger.VERSION_KEY, "approved", "quarantine_reason")
+    log_path = tables.layer_path(root, "metadata", "gate_decisions")
+    tables.append(decisions.withColumn("decided_at", decided_at.cast("timestamp")), log_path)
+    log = spark.read.parquet(log_path)
+    return run, gate.apply_gate(flagged, gate.latest_decisions(log))
+
+
 def presence_outcomes(versions: DataFrame, files: DataFrame) -> DataFrame:
     """Checks every version gets: its file is there, and it has rows unless its row count is unknown."""
     from loadlake.operators.quality import outcome
@@ -88,6 +179,32 @@ def presence_outcomes(versions: DataFrame, files: DataFrame) -> DataFrame:
     return present.select(*ledger.VERSION_KEY, F.inline(cells))
 
 
+def reading_outcomes(spark: SparkSession, root: str, versions: DataFrame, expected_end: Column | None = None) -> DataFrame:
+    """All table checks of readings files, one parse of the given versions' files: rows, duplicates, nulls, negative
+    loads, hours per date, coverage, and unreadable files."""
+    from loadlake.operators.quality import outcome
+
+    files = files_below(root, versions)
+    version = versions.select(*ledger.VERSION_KEY, "local_path")
+    if not files:
+        return version.select(*ledger.VERSION_KEY, F.inline(F.array(outcome("not_empty", "error", F.lit(False), F.lit("no file"))))).limit(0)
+    raw = landed.read_readings(spark, files).withColumn("local_path", lake_path(F.col("file_path"), root))
+    named = raw.drop("resource_id", "hash_sha256").join(version, "local_path")
+    typed = calendar.with_local_calendar(readings.type_fields(named.where("problem IS NULL").withColumn("retrieved_at", F.lit(None))), "ts_utc")
+    kept = [c for c in ledger.VERSION_KEY if c != "source"]
+    sources = version.select(*ledger.VERSION_KEY).distinct()
+    checks = quality.table_checks(
+        typed, kept, key=["area", "ts_utc"], required=["area", "ts_utc"], value="load_mw", date="date", hour="hour",
+        expected_end=expected_end, expected=sources.select(*kept),
+    )
+    readable = named.groupBy(*ledger.VERSION_KEY).agg(F.count("problem").alias("__bad"), F.max("problem").alias("__why"))
+    told = readable.select(
+        *ledger.VERSION_KEY,
+        F.inline(F.array(outcome("readable", "error", F.col("__bad") == 0, F.coalesce("__why", F.lit("readable")), F.col("__bad")))),
+    )
+    return sources.join(checks, kept).select(*told.columns).unionByName(told)
+
+
 @dataclass(frozen=True)
 class LoadProducts:
     readings: str
@@ -109,16 +226,12 @@ def product_paths(root: str) -> LoadProducts:
     )
 
 
-def silver_of(
-    raw: DataFrame, versions: DataFrame, holidays: DataFrame, source: str = "ons", dataset: str = "carga_verificada"
-) -> DataFrame:
-    """Typed readings of the files the given ledger rows name.
-
-    The ledger side has one row per file; Spark broadcasts it while it is small and shuffles otherwise.
-    """
-    files = versions.select("local_path", "resource_id", "retrieved_at", "hash_sha256", "reference_period")
-    named = raw.withColumn("local_path", lake_path(F.col("file_path"))).join(files, "local_path")
-    return readings.type_readings(named, holidays, source=source, dataset=dataset)
+def typed_rows(spark: SparkSession, root: str, versions: DataFrame) -> DataFrame:
+    """Typed readings of exactly the files that the given ledger rows name, with ``problem`` for unreadable ones."""
+    files = versions.select("local_path", "resource_id", "retrieved_at", "hash_sha256")
+    raw = landed.read_readings(spark, files_below(root, versions))
+    named = raw.withColumn("local_path", lake_path(F.col("file_path"), root)).join(files, "local_path")
+    return readings.type_fields(named, keep=("problem", "local_path"))
 
 
 def months_of(rows: DataFrame) -> list[int]:
@@ -135,29 +248,30 @@ def build_load_products(
     spark: SparkSession,
     root: str,
     versions: DataFrame,
-    holidays: DataFrame,
+    holidays: DataFrame | None = None,
     *,
     areas: Sequence[str] = NATIONAL_AREAS,
     created_at: Column,
     product_version: str = "v1",
     pipeline_version: str = "0.1.0",
     changed: DataFrame | None = None,
-    modified_after: str | None = None,
 ) -> LoadProducts:
     """Readings of the given (active) versions to 30-minute, hourly, system and profile tables.
 
-    Each stage reads what the one before has written, so a lost executor costs a stage and not the job. Give
-    ``versions`` as a stored table: Spark then knows its size and sends it to the readings if it is small.
+    Each stage reads what the one before has written, so a lost executor costs a stage and not the job. Only the files
+    of the versions are opened, and parsed once: typed rows are staged, and rejects, months and readings come from
+    there. Copies of a reading are merged before calendar columns are added.
 
-    With ``changed``, the ledger rows that became active since the last build, only their files are read
-    (``modified_after`` keeps others from being listed), and only the months they touch, or that versions no longer
-    active had rows in, are read from the stored readings, computed and replaced. A month that loses its last
-    reading keeps its rows until the next full build.
+    With ``changed``, the ledger rows that became active since the last build, only their files are read, and only the
+    months they touch, or that versions no longer active had rows in, are read from the stored readings, computed and
+    replaced; a month that loses its last reading keeps its rows until the next full build, which replaces all.
     """
     paths = product_paths(root)
-    raw = landed.read_readings(spark, f"{tables.layer_path(root, 'raw')}/ons/*", modified_after)
-    silver = silver_of(raw, versions if changed is None else changed, holidays)
-    usable, rejected = readings.split_rejects(silver)
+    staged = tables.layer_path(root, "silver", "readings_staged")
+    tables.write_product(typed_rows(spark, root, versions if changed is None else changed), staged)
+    usable, rejected = readings.split_rejects(spark.read.parquet(staged))
+    narrow = [c for c in usable.columns if c not in ("problem", "local_path")]
+    usable = usable.select(*narrow)
     if changed is None:
         months = None
         tables.write_product(rejected, paths.rejects)
@@ -165,18 +279,23 @@ def build_load_products(
         stored = spark.read.parquet(paths.readings)
         version = ["resource_id", "hash_sha256"]
         active = versions.select(*version)
-        months = sorted({*months_of(usable), *months_of(stored.join(active, version, "left_anti"))})
+        new_months = months_of(calendar.with_local_calendar(usable.select("ts_utc"), "ts_utc"))
+        months = sorted({*new_months, *months_of(stored.join(active, version, "left_anti"))})
         kept = stored.where(_month().isin(months)).join(active, version, "left_semi")
-        usable = usable.unionByName(kept.select(*usable.columns))
+        usable = usable.unionByName(kept.select(*narrow))
         tables.append(rejected, paths.rejects)
-    tables.overwrite_partitions(readings.latest_readings(usable), paths.readings)
+    # What is about to be replaced is read for the last time here: the merged rows are stored elsewhere first.
+    merged = tables.layer_path(root, "silver", "readings_merged")
+    tables.write_product(readings.with_context(readings.latest_readings(usable), holidays), merged)
+    whole = changed is None
+    tables.overwrite_partitions(spark.read.parquet(merged), paths.readings, whole=whole)
 
     def touched(path: str) -> DataFrame:
         table = spark.read.parquet(path)
         return table if months is None else table.where(_month().isin(months))
 
-    tables.overwrite_partitions(readings.hourly_load(touched(paths.readings)), paths.hourly)
-    tables.overwrite_partitions(readings.system_hourly(touched(paths.hourly), areas), paths.system)
+    tables.overwrite_partitions(readings.hourly_load(touched(paths.readings)), paths.hourly, whole=whole)
+    tables.overwrite_partitions(readings.system_hourly(touched(paths.hourly), areas), paths.system, whole=whole)
 
     hourly = spark.read.parquet(paths.hourly)
     tables.write_product(profiles.all_profiles(hourly), paths.profiles)
@@ -216,13 +335,13 @@ def build_class_curves(
         return None
     rows = tables.layer_path(root, "silver", "class_curve_rows")
     out = tables.layer_path(root, "silver", "class_curve_stats")
-    tables.write_product(landed.read_class_curves(spark, f"{root.rstrip('/')}/{file.local_path}"), rows)
+    tables.write_product(landed.read_class_curves(spark, landed.literal_path(f"{root.rstrip('/')}/{file.local_path}")), rows)
     stats = curves.class_curve_stats(spark.read.parquet(rows))
     tables.write_product(curves.normalize_class_curves(stats), out)
-    for label in labels:
-        name = "class_average_24h_" + "".join(c if c.isalnum() else "_" for c in label.lower())
-        report = curves.class_report(spark.read.parquet(out), label)
-        tables.write_report(report, tables.layer_path(root, "gold", name), ["hour"])
+    if labels:
+        wanted = spark.createDataFrame([(x,) for x in labels], "label string")
+        report = curves.class_reports(spark.read.parquet(out), wanted)
+        tables.write_report(report, tables.layer_path(root, "gold", "class_average_24h"), ["label", "hour"])
     return out
 
 
@@ -248,6 +367,40 @@ def calibrate_area(shapes: DataFrame, energy: DataFrame, holidays: DataFrame) ->
     return curve, calibration.calibration_summary(curve)
 
 
+def report_load_metrics(spark: SparkSession, root: str, other: DataFrame | None = None) -> DataFrame:
+    """Metrics and shift candidates of every area's average curve, and their comparison with another source's curve.
+
+    ``other`` has ``area, hour, avg_mw, source, geographic_scope``. All three are stored as reports.
+    """
+    paths = product_paths(root)
+    own = spark.read.parquet(paths.profiles).where("grain = 'overall'")
+    measured = metrics.load_metrics(own)
+    tables.write_report(measured, tables.layer_path(root, "gold", "load_metrics"), ["area"])
+    tables.write_report(metrics.flexibility_candidates(own), tables.layer_path(root, "gold", "flexibility_candidates"), ["area", "hour"])
+    if other is not None:
+        labels = other.groupBy("area").agg(F.max("source").alias("source"), F.max("geographic_scope").alias("geographic_scope"))
+        left = metrics.metrics_long(measured, ["area"]).withColumns(
+            {"source": F.lit("ons"), "geographic_scope": F.lit("ONS_load_area")}
+        )
+        right = metrics.metrics_long(metrics.load_metrics(other), ["area"]).join(labels, "area")
+        compared = metrics.compare_sources(left, right, ["area", "metric"])
+        tables.write_report(compared, tables.layer_path(root, "gold", "source_comparison"), ["area", "metric"])
+    return measured
+
+
+def store_scenarios(report: ScenarioReport, root: str) -> None:
+    """The five tables of a scenario report, as CSV reports."""
+    order = {
+        "national": ["country", "scenario", "year"],
+        "regional": ["region", "scenario", "rj_weight_case", "year"],
+        "context": ["country", "year"],
+        "hourly": ["region", "case", "strategy", "hour"],
+        "summary": ["region", "case", "strategy"],
+    }
+    for name, columns in order.items():
+        tables.write_report(getattr(report, name), tables.layer_path(root, "gold", f"scenarios_{name}"), columns)
+
+
 def report_freshness(spark: SparkSession, root: str, versions: DataFrame, sources: DataFrame, as_of: Column) -> DataFrame:
     report = reports.freshness(versions, sources, as_of)
     tables.write_report(report, tables.layer_path(root, "gold", "data_freshness_report"), ["source"])

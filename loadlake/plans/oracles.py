@@ -105,7 +105,10 @@ _FOUR = "round(avg_mw + 1e-8, 6) AS avg_mw, round(median_mw + 1e-8, 6) AS median
 RAW_EVENTS = f"""raw AS (
   SELECT event_type AS area, 'user-' || user_id AS resource_id, {K} AS k,
     CASE WHEN {K} <> 99 THEN date_trunc('second', ts) END AS ts_utc,
-    CASE WHEN {K} = 98 THEN NULL WHEN {K} = 0 THEN 0.0 ELSE value END AS v FROM events)"""
+    CASE WHEN {K} = 98 THEN NULL WHEN {K} = 0 THEN 0.0 ELSE value END AS v,
+    strftime(ts, '%Y-%m-%d') AS dat_referencia, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS din_atualizacao,
+    CAST({K} AS DOUBLE) AS val_cargammgd, CASE WHEN {K} < 90 THEN CAST(user_id AS DOUBLE) END AS val_cargasupervisionada
+  FROM events)"""
 
 CLASS_ROWS = """
 rows AS (
@@ -213,9 +216,10 @@ outcomes AS (
 GATED = f"""{CHECKS},
 decided AS (
   SELECT source, resource_id, hash_sha256, bool_and(passed) AS approved, count(*) FILTER (NOT passed) AS n_reasons,
-    count(*) AS n_checks FROM outcomes GROUP BY ALL),
+    count(*) AS n_checks, string_agg(check_name, ',' ORDER BY check_name) FILTER (NOT passed) AS failed
+  FROM outcomes GROUP BY source, resource_id, hash_sha256),
 gated AS (
-  SELECT l.*, d.approved, d.approved AND row_number() OVER (
+  SELECT l.*, d.approved, d.failed, d.approved AND row_number() OVER (
       PARTITION BY source, reference_period ORDER BY CASE WHEN approved THEN 0 ELSE 1 END, retrieved_at DESC,
       hash_sha256 DESC, resource_id DESC) = 1 AS is_active_for_gold
   FROM led l JOIN decided d USING (source, resource_id, hash_sha256))"""
@@ -352,7 +356,9 @@ ORACLES: dict[str, str] = {
 ok AS (SELECT *, timezone('{ZONE}', timezone('UTC', ts_utc)) AS tl FROM raw WHERE ts_utc IS NOT NULL)
 SELECT area, ts_utc, tl AS timestamp_local, round(nullif(v, 0.0) + 1e-8, 6) AS load_mw, coalesce(v = 0, false) AS is_placeholder,
   resource_id, {_calendar("tl")}, CAST(minute(tl) AS INTEGER) AS minute, CAST(isodow(tl) - 1 AS INTEGER) AS weekday,
-  {_day_type("CAST(tl AS DATE)")} AS day_type, {_PROVENANCE.format("carga_verificada", "approximate", "observed")}
+  {_day_type("CAST(tl AS DATE)")} AS day_type, {_PROVENANCE.format("carga_verificada", "approximate", "observed")},
+  dat_referencia, din_atualizacao, CAST(NULL AS DOUBLE) AS val_cargaglobalsmmg, round(val_cargammgd + 1e-8, 6) AS val_cargammgd,
+  round(val_cargasupervisionada + 1e-8, 6) AS val_cargasupervisionada
 FROM ok""",
     "rejected_readings": f"WITH {RAW_EVENTS} SELECT area, count(*) AS n_rejected FROM raw WHERE ts_utc IS NULL GROUP BY area",
     "placeholder_counts": f"""WITH {RAW_EVENTS}
@@ -543,11 +549,28 @@ FROM rev JOIN d USING (source, resource_id, old_hash, new_hash)""",
     "version_checks": f"""WITH {CHECKS} SELECT source, check_name, passed, 'error' AS severity, count(*) AS n_versions,
   CAST(sum(rows_affected) AS BIGINT) AS rows_affected FROM outcomes GROUP BY ALL""",
     "gate_decisions": f"""WITH {GATED} SELECT source, resource_id, hash_sha256, approved,
-  CAST(n_reasons AS INTEGER) AS n_reasons, CAST(n_checks AS INTEGER) AS n_checks FROM decided""",
+  CAST(n_reasons AS INTEGER) AS n_reasons, CAST(n_checks AS INTEGER) AS n_checks, coalesce(failed, '') AS failed FROM decided""",
     "gated_ledger": f"""WITH {GATED} SELECT source, resource_id, reference_period, hash_sha256, is_latest_downloaded,
   approved AS is_latest_valid, is_active_for_gold,
   CASE WHEN is_active_for_gold THEN 'active' WHEN approved THEN 'superseded' ELSE 'quarantined' END AS lifecycle_status,
-  CASE WHEN approved THEN 'validated' ELSE 'invalid' END AS validation_status FROM gated""",
+  CASE WHEN approved THEN 'validated' ELSE 'invalid' END AS validation_status, failed FROM gated""",
+    "gate_rerun": f"""WITH {GATED},
+one AS (SELECT *, hash_sha256 < '8' AS in_one FROM gated),
+act AS (
+  SELECT *, coalesce(in_one AND approved AND row_number() OVER (PARTITION BY source, reference_period
+      ORDER BY CASE WHEN in_one AND approved THEN 0 ELSE 1 END, retrieved_at DESC, hash_sha256 DESC, resource_id DESC) = 1, false)
+    AS was_active FROM one),
+two AS (
+  SELECT *, CASE WHEN is_latest_downloaded THEN approved ELSE was_active END AS may_be FROM act),
+fin AS (
+  SELECT *, may_be AND row_number() OVER (PARTITION BY source, reference_period
+      ORDER BY CASE WHEN may_be THEN 0 ELSE 1 END, retrieved_at DESC, hash_sha256 DESC, resource_id DESC) = 1 AS now_active FROM two)
+SELECT source, resource_id, reference_period, hash_sha256, (is_latest_downloaded OR in_one) AND approved AS is_latest_valid,
+  now_active AS is_active_for_gold,
+  CASE WHEN now_active THEN 'active' WHEN NOT (is_latest_downloaded OR in_one) THEN 'raw_immutable'
+    WHEN approved THEN 'superseded' ELSE 'quarantined' END AS lifecycle_status,
+  CASE WHEN NOT (is_latest_downloaded OR in_one) THEN 'downloaded' WHEN approved THEN 'validated' ELSE 'invalid' END AS validation_status,
+  CASE WHEN is_latest_downloaded OR in_one THEN failed END AS failed FROM fin""",
     "active_versions": f"""WITH {GATED} SELECT source, resource_id, reference_period, hash_sha256 FROM gated
 WHERE is_active_for_gold AND source = 'de'""",
     "freshness": f"""WITH {GATED},

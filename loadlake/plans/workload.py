@@ -72,7 +72,10 @@ def _k(column: str = "props") -> Column:
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event as a landed text record: two timestamp forms, some broken fields, some placeholders."""
+    """Every event as a landed text record: two timestamp forms, some broken fields, some placeholders.
+
+    The load columns besides the main one hold ``k`` and the user's number, one of them as text that is no number.
+    """
     k = F.col("__k")
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     return table(spark, folder, "events").withColumn("__k", _k()).select(
@@ -80,6 +83,10 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_type").alias("cod_areacarga"),
         F.when(k == 99, "soon").when(k < 50, F.concat(text, F.lit("Z"))).otherwise(text).alias("din_referenciautc"),
         F.when(k == 98, "n/d").when(k == 0, "0").otherwise(F.col("value").cast("string")).alias("val_cargaglobal"),
+        F.date_format("ts", "yyyy-MM-dd").alias("dat_referencia"),
+        text.alias("din_atualizacao"),
+        k.cast("string").alias("val_cargammgd"),
+        F.when(k < 90, F.col("user_id").cast("string")).otherwise("n/d").alias("val_cargasupervisionada"),
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("resource_id"),
         F.col("ts").alias("retrieved_at"),
     )
@@ -96,30 +103,31 @@ def slots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
-    return readings.hourly_load(readings.type_readings(slots(spark, folder), calendar.holidays_between(spark)))
+    return readings.hourly_load(readings.type_readings(slots(spark, folder)))
 
 
 def silver_readings(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_events(spark, folder)
-    silver = readings.type_readings(raw, calendar.holidays_between(spark))
+    silver = readings.type_readings(raw)
     usable, _ = readings.split_rejects(silver)
     return rounded(
         usable.select(
             "area", "ts_utc", "timestamp_local", "load_mw", "is_placeholder", "resource_id", "date", "year",
             "month", "day", "hour", "minute", "weekday", "day_type", "source", "dataset", "geographic_scope",
-            "geographic_precision", "observation_type",
+            "geographic_precision", "observation_type", "dat_referencia", "din_atualizacao", "val_cargaglobalsmmg",
+            "val_cargammgd", "val_cargasupervisionada",
         )
     )
 
 
 def rejected_readings(spark: SparkSession, folder: str) -> DataFrame:
-    silver = readings.type_readings(raw_events(spark, folder), calendar.holidays_between(spark))
+    silver = readings.type_readings(raw_events(spark, folder))
     _, rejected = readings.split_rejects(silver)
     return rejected.groupBy("area").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
 def placeholder_counts(spark: SparkSession, folder: str) -> DataFrame:
-    silver = readings.type_readings(raw_events(spark, folder), calendar.holidays_between(spark))
+    silver = readings.type_readings(raw_events(spark, folder))
     return readings.placeholder_counts(silver)
 
 
@@ -183,7 +191,7 @@ def _order_clock(spark: SparkSession, folder: str) -> DataFrame:
 def _calendar_of_orders(spark: SparkSession, folder: str, source_is_utc: bool) -> DataFrame:
     clock = _order_clock(spark, folder)
     dated = calendar.with_local_calendar(clock, "ts", source_is_utc=source_is_utc)
-    return calendar.with_day_type(dated, calendar.holidays_between(spark)).drop("ts")
+    return calendar.with_day_type(dated).drop("ts")
 
 
 def local_calendar(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,7 +209,7 @@ def holiday_calendar(spark: SparkSession, folder: str) -> DataFrame:
 def day_type_counts(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     months = orders.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-    return calendar.day_type_counts(months, calendar.holidays_between(spark))
+    return calendar.day_type_counts(months)
 
 
 def month_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -311,7 +319,7 @@ def _calibrated(spark: SparkSession, folder: str) -> DataFrame:
     shapes = profiles.with_normalized_load(profiles.profile_by_day_type(hours), ("area", "day_type"))
     energy = hours.groupBy("area", "year", "month").agg(F.sum("energy_hourly_mwh").alias("energy_mwh"))
     local = calendar.with_local_calendar(events.select("ts"), "ts")
-    counts = calendar.day_type_counts(local, calendar.holidays_between(spark))
+    counts = calendar.day_type_counts(local)
     return calibration.calibrate(
         shapes.select("area", "day_type", "hour", "normalized_load"), calibration.day_counts_long(counts), energy
     )
@@ -506,10 +514,15 @@ def version_checks(spark: SparkSession, folder: str) -> DataFrame:
 def gate_decisions(spark: SparkSession, folder: str) -> DataFrame:
     return gate.gate_decisions(_outcomes(spark, folder)).select(
         "source", "resource_id", "hash_sha256", "approved", F.size("reasons").alias("n_reasons"),
-        F.size("outcomes").alias("n_checks"),
+        F.size("outcomes").alias("n_checks"), _failed(F.array_join("reasons", "; ")).alias("failed"),
     )
 
 
+def _failed(reasons: Column) -> Column:
+    """Names of the checks in a text of reasons."""
+    return F.array_join(F.transform(F.split(reasons, "; "), lambda r: F.substring_index(r, ":", 1)), ",")
+
+
 def _gated(spark: SparkSession, folder: str) -> DataFrame:
     return gate.apply_gate(_ledger(spark, folder), gate.gate_decisions(_outcomes(spark, folder)))
 
@@ -517,7 +530,21 @@ def _gated(spark: SparkSession, folder: str) -> DataFrame:
 def gated_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return _gated(spark, folder).select(
         "source", "resource_id", "reference_period", "hash_sha256", "is_latest_downloaded", "is_latest_valid",
-        "is_active_for_gold", "lifecycle_status", "validation_status",
+        "is_active_for_gold", "lifecycle_status", "validation_status", _failed(F.col("quarantine_reason")).alias("failed"),
+    )
+
+
+def gate_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """The gate twice: first half of the versions are judged (by their hash), then only the newest of all."""
+    versions = _ledger(spark, folder)
+    decisions = gate.gate_decisions(_outcomes(spark, folder))
+    half = decisions.where(F.substring("hash_sha256", 1, 1) < "8")
+    first = gate.apply_gate(versions, half)
+    newest = versions.where("is_latest_downloaded").select(*ledger.VERSION_KEY)
+    second = gate.apply_gate(first, decisions.join(newest, list(ledger.VERSION_KEY), "left_semi"))
+    return second.select(
+        "source", "resource_id", "reference_period", "hash_sha256", "is_latest_valid", "is_active_for_gold",
+        "lifecycle_status", "validation_status", _failed(F.col("quarantine_reason")).alias("failed"),
     )
 
 
@@ -771,7 +798,7 @@ QUERIES: dict[str, Query] = {
         quality_report, schema_checks, coverage_regression, row_count_anomaly, energy_power_consistency,
         allowed_values,
         file_fingerprints, ledger_versions, newest_versions, new_versions, revisions, revision_row_changes,
-        version_checks, gate_decisions, gated_ledger, active_versions, freshness, lineage, schema_hashes,
+        version_checks, gate_decisions, gated_ledger, gate_rerun, active_versions, freshness, lineage, schema_hashes,
         catalog_resources, preferred_resources, preferred_named_resources, period_from_name, period_window,
         page_links, current_links,
         anchors_dense, scenario_table, weight_bounds, regional_allocation, growth_rates, consistency_ratios,

@@ -53,8 +53,6 @@ MONTHLY_ENERGY_FIELDS = (
     "DataVersao",
 )
 SEPARATORS = (";", ",", "\t")
-# Up to this many files, what is known about each (a header line) is sent to every task; beyond it, joined.
-BROADCAST_FILES = 20_000
 
 
 def _reader(spark: SparkSession, modified_after: str | None) -> DataFrameReader:
@@ -62,33 +60,57 @@ def _reader(spark: SparkSession, modified_after: str | None) -> DataFrameReader:
     return spark.read if modified_after is None else spark.read.option("modifiedAfter", modified_after)
 
 
+def _listed(paths: Paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def literal_path(path: str) -> str:
+    """The path of one file, with the characters escaped that a reader would take for a pattern."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
+
+
+def plain_path(file_path: Column) -> Column:
+    """A file's path as the file system has it, from the URL form of ``_metadata.file_path``."""
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+
+
 def read_readings(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
-    """Reading files as text fields plus ``file_path``.
+    """Reading files as text fields plus ``file_path`` and ``problem``.
 
     A file is a list of records, or an object holding them under ``data`` or else ``result``. Both forms, and
-    records with other fields, fit one schema, so all files are one scan.
+    records with other fields, fit one schema, so all files are one scan. A file is parsed whole by one task, as JSON
+    cannot be split. A file that is no JSON, is cut off, or has none of the fields yields one row with ``problem``
+    and no values, which ``split_rejects`` sets aside.
     """
     record = "struct<" + ",".join(f"{f}:string" for f in READING_FIELDS) + ">"
-    schema = ",".join(f"{f} string" for f in READING_FIELDS) + f",data array<{record}>,result array<{record}>"
-    listed = paths if isinstance(paths, str) else list(paths)
-    files = _reader(spark, modified_after).schema(schema).json(listed, multiLine=True)
+    schema = ",".join(f"{f} string" for f in READING_FIELDS) + f",data array<{record}>,result array<{record}>,__broken string"
+    reader = _reader(spark, modified_after).schema(schema).option("columnNameOfCorruptRecord", "__broken")
+    files = reader.json(_listed(paths), multiLine=True)
     own = F.struct(*[F.col(f) for f in READING_FIELDS])
     bare = F.coalesce(*[F.col(f) for f in READING_FIELDS]).isNotNull()
     records = F.coalesce(F.col("data"), F.col("result"), F.when(bare, F.array(own)))
-    return files.select(F.col("_metadata.file_path").alias("file_path"), F.inline(records))
+    broken = F.col("__broken").isNotNull()
+    problem = F.when(broken, "not readable as JSON").when(records.isNull(), "no reading fields")
+    nothing = F.array(F.struct(*[F.lit(None).cast("string").alias(f) for f in READING_FIELDS]))
+    held = F.when(problem.isNotNull(), nothing).otherwise(records)
+    return files.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), problem.alias("problem"), F.inline(held))
 
 
 def read_class_curves(spark: SparkSession, paths: Paths, fields: Sequence[str] = CLASS_CURVE_FIELDS) -> DataFrame:
-    """Class-curve files, parquet or delimited text by suffix, with typed demand."""
-    listed = [paths] if isinstance(paths, str) else list(paths)
-    parquet = [p for p in listed if p.lower().rstrip("/").endswith(".parquet")]
-    text = [p for p in listed if p not in parquet]
+    """Class-curve files, parquet or delimited text by each file's suffix, with typed demand.
+
+    Paths may be files, folders or patterns, with both kinds of files below them.
+    """
+    listed = spark.read.format("binaryFile").load(_listed(paths)).select("path")
+    files = [r.path for r in listed.orderBy("path").toLocalIterator()]
+    parquet = [p for p in files if p.lower().endswith(".parquet")]
+    text = [p for p in files if p not in set(parquet)]
     parts = []
     if parquet:
-        stored = spark.read.option("mergeSchema", True).parquet(*parquet)
+        stored = spark.read.option("mergeSchema", True).parquet(*map(literal_path, parquet))
         parts.append(stored.select(*[_as_text(stored, f) for f in fields]))
     if text:
-        parts.append(read_delimited(spark, text, fields).select(*fields))
+        parts.append(read_delimited(spark, list(map(literal_path, text)), fields).select(*fields))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return type_class_curves(rows) if set(CATEGORY_COLUMNS) <= set(fields) else rows
 
@@ -97,68 +119,57 @@ def _as_text(df: DataFrame, field: str) -> Column:
     return (F.col(field) if field in df.columns else F.lit(None)).cast("string").alias(field)
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    lines = spark.read.text(list(paths))
-    return lines.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__row"),
-        F.col("value").alias("__line"),
-    )
-
-
 def dialects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: ``header`` line, ``separator`` (null: none found) and whether the bytes are UTF-8.
+    """Per file: ``header`` line, ``separator`` (null: none found), whether the bytes are UTF-8, and whether a line has
+    an odd number of quotes, so that a quoted value may hold a line break.
 
     The separator is the first of ``;``, ``,`` and tab that the header line has. It is not the most
     frequent one: decimal commas would mislead that.
     """
-    seen = _lines(spark, paths).groupBy("file_path").agg(
-        F.min_by("__line", F.struct("__block", "__row")).alias("header"),
-        F.every(F.is_valid_utf8("__line")).alias("is_utf8"),
+    line = F.col("value")
+    lines = spark.read.text(list(paths)).select(
+        plain_path(F.col("_metadata.file_path")).alias("file_path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("__at"),
+        "value",
+    )
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    seen = lines.groupBy("file_path").agg(
+        F.min_by(line, "__at").alias("header"),
+        F.every(F.is_valid_utf8(line)).alias("is_utf8"),
+        F.bool_or(odd).alias("has_breaks"),
     )
-    header = _decoded(F.col("header"), F.col("is_utf8"))
+    header = F.when(F.col("is_utf8"), F.col("header")).otherwise(F.decode(F.col("header").cast("binary"), "ISO-8859-1"))
     found = F.coalesce(*[F.when(F.contains(header, F.lit(s)), F.lit(s)) for s in SEPARATORS])
-    clean = F.regexp_replace(header, "^﻿", "")
-    return seen.select("file_path", clean.alias("header"), found.alias("separator"), "is_utf8")
-
-
-def _decoded(line: Column, is_utf8: Column) -> Column:
-    return F.when(is_utf8, line).otherwise(F.decode(line.cast("binary"), "ISO-8859-1"))
+    clean = F.regexp_replace(header, "^\ufeff", "")
+    return seen.select("file_path", clean.alias("header"), found.alias("separator"), "is_utf8", "has_breaks")
 
 
 def read_delimited(spark: SparkSession, paths: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Delimited text files, each in its own dialect and column order, as text ``fields`` plus ``file_path``.
 
-    Files are split like any text file. Each line is parsed by its file's separator and matched to the fields by
-    its file's header, so the dialects never come to the driver. Missing columns are null, surplus values are
-    dropped. A quoted value may hold the separator but not a line break.
+    Files of equal header, separator and encoding are one CSV scan of Spark's own reader; the list of files with their
+    headers is on the driver, as the file listing of a scan is. Only a file's first line is its header, blank lines are
+    no rows, missing columns are null, columns not asked for and surplus values are dropped. Files in which quoted
+    values may hold line breaks are parsed whole, all others are split.
     """
-    width = len(fields) + 20
-    slots = ",".join(f"c{i} string" for i in range(width))
+    kinds = ("header", "separator", "is_utf8", "has_breaks")
     known = dialects(spark, paths).where(F.col("separator").isNotNull())
-    if len(spark.read.text(list(paths)).inputFiles()) <= BROADCAST_FILES:
-        known = F.broadcast(known)
-    lines = _lines(spark, paths).join(known, "file_path")
-    line = _decoded(F.col("__line"), F.col("is_utf8"))
-
-    def parse(text: Column) -> Column:
-        by_separator = F.lit(None)
-        for s in SEPARATORS:
-            parsed = F.from_csv(text, slots, {"sep": s, "mode": "PERMISSIVE"})
-            by_separator = F.when(F.col("separator") == s, parsed).otherwise(by_separator)
-        return by_separator
-
-    cells = lines.where(F.regexp_replace(line, "^﻿", "") != F.col("header")).select(
-        "file_path", parse(line).alias("__c"), parse(F.col("header")).alias("__h")
-    )
-    names = F.transform(F.array(*[F.col(f"__h.c{i}") for i in range(width)]), lambda n: F.trim(n))
-    values = F.array(*[F.col(f"__c.c{i}") for i in range(width)])
-    placed = cells.select("file_path", names.alias("__names"), values.alias("__values"))
-    return placed.select(
-        "file_path",
-        *[F.get(F.col("__values"), (F.array_position("__names", F.lit(f)) - 1).cast("int")).alias(f) for f in fields],
-    )
+    alike: dict[tuple, list[str]] = {}
+    for row in known.orderBy("file_path").toLocalIterator():
+        alike.setdefault(tuple(row[k] for k in kinds), []).append(row.file_path)
+    parts = []
+    for (_, separator, is_utf8, has_breaks), files in alike.items():
+        reader = spark.read.options(header=True, sep=separator, escape='"', multiLine=has_breaks, enforceSchema=True)
+        rows = reader.option("encoding", "UTF-8" if is_utf8 else "ISO-8859-1").csv(list(map(literal_path, files)))
+        names = {c.lstrip("\ufeff").strip(): c for c in reversed(rows.columns)}
+        cells = [(F.col(f"`{names[f]}`") if f in names else F.lit(None)).cast("string").alias(f) for f in fields]
+        parts.append(rows.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), *cells))
+    if not parts:
+        return spark.createDataFrame([], ",".join(f"`{c}` string" for c in ("file_path", *fields)))
+    every = parts[0]
+    for more in parts[1:]:
+        every = every.unionByName(more)
+    return every
 
 
 def undetected_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -170,7 +181,7 @@ def read_monthly_energy(spark: SparkSession, paths: Paths) -> DataFrame:
     """Monthly-energy files as delimited text, with ``Consumo`` and ``Consumidores`` as numbers."""
     from loadlake.functions.parsing import decimal_comma
 
-    rows = read_delimited(spark, [paths] if isinstance(paths, str) else list(paths), MONTHLY_ENERGY_FIELDS)
+    rows = read_delimited(spark, _listed(paths), MONTHLY_ENERGY_FIELDS)
     return rows.withColumns({c: decimal_comma(F.col(c)) for c in ("Consumo", "Consumidores")})
 
 
@@ -178,15 +189,15 @@ def read_catalog(spark: SparkSession, paths: Paths) -> DataFrame:
     """Landed catalog answers: ``file_path`` and a ``payload`` struct for ``catalog_resources``."""
     inner = CATALOG_TYPE[len("struct<") : -1]
     schema = inner.replace("success:", "success ", 1).replace("result:", "result ", 1)
-    files = spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths), multiLine=True)
+    files = spark.read.schema(schema).json(_listed(paths), multiLine=True)
     return files.select(
-        F.col("_metadata.file_path").alias("file_path"), F.struct("success", "result").alias("payload")
+        plain_path(F.col("_metadata.file_path")).alias("file_path"), F.struct("success", "result").alias("payload")
     )
 
 
 def fingerprints(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
     """SHA-256 and size of every file. A file is one row, so it must stay below 2 GB; see ``content_mark``."""
-    files = _reader(spark, modified_after).format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    files = _reader(spark, modified_after).format("binaryFile").load(_listed(paths))
     return files.select(
         F.col("path").alias("file_path"),
         F.sha2("content", 256).alias("hash_sha256"),
@@ -206,7 +217,7 @@ def content_mark(rows: DataFrame, resource: Sequence[str]) -> DataFrame:
 
 def read_profile(spark: SparkSession, paths: Paths) -> DataFrame:
     """Stored 24-hour profile CSV (``hour``, ``avg_mw`` and whatever else the header names)."""
-    files = [paths] if isinstance(paths, str) else list(paths)
+    files = _listed(paths)
     wanted = ("hour", "avg_mw", "median_mw", "p05_mw", "p95_mw", "normalized_load")
     rows = read_delimited(spark, files, wanted)
     return rows.select(

@@ -33,13 +33,15 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = ("year", "month")) -> None:
-    """Write a product by ``by``, replacing only the partitions ``df`` has rows of.
+def overwrite_partitions(
+    df: DataFrame, path: str, by: Sequence[str] = ("year", "month"), whole: bool = False
+) -> None:
+    """Write a product by ``by``, replacing only the partitions ``df`` has rows of, or with ``whole`` all of them.
 
     Rows of a partition are gathered (AQE splits a large one over tasks), so it becomes few files.
     """
     placed = df.hint("rebalance", *[F.col(c) for c in by])
-    placed.sortWithinPartitions(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    placed.sortWithinPartitions(*by).write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy(
         *by
     ).parquet(path)
 

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from loadlake.operators import calendar, ledger
+from loadlake.operators import calendar, ledger, quality
 from loadlake.plans import jobs
 from loadlake.sources import landed, tables
 from loadlake.streaming.arrivals import register_into
@@ -41,6 +41,14 @@ def lake(spark, tmp_path):
     return tmp_path
 
 
+@pytest.fixture
+def tmp_path(tmp_path):
+    """A lake whose own path holds ``raw/`` and characters that URLs and patterns treat specially."""
+    root = tmp_path / "raw" / "my lake+1"
+    root.mkdir(parents=True)
+    return root
+
+
 def stored_ledger(spark, lake):
     return tables.read_or_empty(spark, tables.layer_path(str(lake), "metadata", "ledger"), ledger.LEDGER_SCHEMA)
 
@@ -126,9 +134,85 @@ def test_only_new_files_are_read(spark, lake):
     path = readings_file(lake, "new.json", "S", 9, [1, 1])
     fresh = landed.fingerprints(spark, f"{lake}/raw/*/*", "2021-01-01T00:00:00")
     assert [r.file_path.rsplit("/", 1)[1] for r in fresh.collect()] == ["new.json"]
-    rows = arrivals(spark, ("new", "2026-06", path, 9, 2))
-    jobs.land(spark, str(lake), rows, modified_after="2021-01-01T00:00:00")
-    assert stored_ledger(spark, lake).count() == 5
+    (lake / "raw" / "ons" / "s.json").write_text("landed files are not read again")
+    rows = arrivals(spark, ("new", "2026-06", path, 9, 2), ("s", "2026-06", "raw/ons/s.json", 1, 4), ("gone", "2026-06", "raw/ons/gone.json", 9, 1))
+    fresh, _ = jobs.land(spark, str(lake), rows)
+    assert [r.resource_id for r in fresh.collect()] == ["new"] and stored_ledger(spark, lake).count() == 5
+
+
+def test_rows_and_revision_counts_come_from_the_files(spark, lake):
+    path = readings_file(lake, "s new.json", "S", 2, [10, 20, 30, 41, 50])
+    rows = jobs.reading_rows(spark, str(lake))
+    fresh, log = jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", path, 3, None)), rows)
+    assert [r.row_count for r in fresh.collect()] == [5]
+    assert [(r.rows_added, r.rows_removed, r.rows_changed) for r in log.collect()] == [(1, 0, 1)]
+
+
+def states_of(df):
+    return {r.resource_id + r.hash_sha256[:4]: (r.lifecycle_status, r.is_active_for_gold, r.is_latest_valid) for r in df.collect()}
+
+
+def judged(spark, lake, passed, day):
+    versions = stored_ledger(spark, lake)
+    cell = quality.outcome("c", "error", F.col("resource_id").isin(passed), F.lit("d"))
+    outcomes = versions.select(*ledger.VERSION_KEY, F.inline(F.array(cell)))
+    return jobs.promote(spark, str(lake), outcomes, F.lit(f"2026-08-{day:02d}").cast("timestamp"))[1].where("resource_id = 's'")
+
+
+def test_rejected_newest_keeps_the_earlier_active(spark, lake):
+    assert [v[:2] for v in states_of(judged(spark, lake, ["s", "n"], 1)).values()] == [("active", True)]
+    path = readings_file(lake, "s_new.json", "S", 2, [10, 20, 30, 41])
+    jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", path, 3, 4)))
+    after = {r.local_path: r for r in judged(spark, lake, [], 2).collect()}
+    assert (after["raw/ons/s.json"].lifecycle_status, after["raw/ons/s.json"].is_active_for_gold, after["raw/ons/s.json"].is_latest_valid) == ("active", True, True)
+    assert (after[path].lifecycle_status, after[path].is_active_for_gold, after[path].quarantine_reason) == ("quarantined", False, "c: d")
+
+
+def test_approved_newest_supersedes_the_earlier(spark, lake):
+    judged(spark, lake, ["s"], 1)
+    path = readings_file(lake, "s_new.json", "S", 2, [10, 20, 30, 41])
+    jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", path, 3, 4)))
+    after = {r.local_path: r for r in judged(spark, lake, ["s"], 2).collect()}
+    assert (after["raw/ons/s.json"].lifecycle_status, after["raw/ons/s.json"].is_active_for_gold, after["raw/ons/s.json"].is_latest_valid) == ("superseded", False, True)
+    assert (after[path].lifecycle_status, after[path].is_active_for_gold) == ("active", True)
+    assert spark.read.parquet(tables.layer_path(str(lake), "metadata", "quality_report")).count() == 8
+
+
+def test_checks_of_reading_files(spark, lake):
+    (lake / "raw" / "ons" / "bad.json").write_text("<html>")
+    jobs.land(spark, str(lake), arrivals(spark, ("bad", "2026-06", "raw/ons/bad.json", 4, None)))
+    found = jobs.reading_outcomes(spark, str(lake), stored_ledger(spark, lake))
+    told = {(r.resource_id, r.check_name): r.passed for r in found.collect()}
+    assert not told["bad", "readable"] and not told["bad", "not_empty"] and told["s", "readable"] and told["s", "not_empty"]
+    assert {"duplicates", "unexpected_nulls", "negative_values", "missing_hours"} <= {k for r, k in told if r == "s"}
+
+
+def test_unreadable_files_and_lost_months(spark, lake):
+    (lake / "raw" / "ons" / "cut off.json").write_text('[{"cod_areacarga": "S", "din_ref')
+    jobs.land(spark, str(lake), arrivals(spark, ("cut", "2026-06x", "raw/ons/cut off.json", 4, 2)))
+    paths = build(spark, lake)
+    assert [r.problem for r in spark.read.parquet(paths.rejects).collect()] == ["not readable as JSON"]
+    _, states = validated(spark, lake)
+    june = states.where("is_active_for_gold AND resource_id <> 'july'")
+    jobs.build_load_products(spark, str(lake), june, areas=("S", "N"), created_at=F.lit("2026-08-02"))
+    assert {r.month for r in spark.read.parquet(paths.hourly).collect()} == {6}
+
+
+def test_superseded_files_are_not_opened(spark, lake):
+    build(spark, lake)
+    (lake / "raw" / "ons" / "s.json").write_text("not even JSON")
+    _, states = validated(spark, lake)
+    some = states.where("is_active_for_gold AND resource_id <> 's'")
+    paths = jobs.build_load_products(spark, str(lake), some, areas=("S", "N"), created_at=F.lit("2026-08-02"))
+    assert spark.read.parquet(paths.rejects).count() == 0 and spark.read.parquet(paths.readings).where("area = 'S' AND month = 6").count() == 2
+
+
+def test_metrics_are_stored(spark, lake):
+    build(spark, lake)
+    other = spark.createDataFrame([("S", h, 1.0 + h, "other", "x") for h in range(24)], "area string, hour int, avg_mw double, source string, geographic_scope string")
+    jobs.report_load_metrics(spark, str(lake), other)
+    for name in ("load_metrics", "flexibility_candidates", "source_comparison"):
+        assert spark.read.option("header", True).csv(tables.layer_path(str(lake), "gold", name)).count() > 0
 
 
 def test_stored_tables_are_pruned(spark, lake):
@@ -159,7 +243,7 @@ def test_windows_to_fetch(spark, lake):
     assert {r.reference_period: r.already_landed for r in found.collect()} == {"2026-07": True, "2026-08": False}
 
 
-def test_scenario_report(spark):
+def test_scenario_report(spark, tmp_path):
     def points(values):
         return spark.createDataFrame([("brasil", y, v) for y, v in values.items()], "country string, year int, value double")
 
@@ -176,6 +260,8 @@ def test_scenario_report(spark):
     assert found["brasil", "central", "uncontrolled"].daily_energy_added_mwh == 12037.94
     context = {r.year: r.value for r in report.context.collect()}
     assert (context[2026], context[2030], context[2035]) == (0.8068, 2.2115, 7.8)
+    jobs.store_scenarios(report, str(tmp_path))
+    assert spark.read.option("header", True).csv(str(tmp_path / "gold" / "scenarios_summary")).count() == 12
 
 
 def test_class_curves(spark, tmp_path):
@@ -193,8 +279,8 @@ def test_class_curves(spark, tmp_path):
     _, states = jobs.validate(versions, jobs.presence_outcomes(versions, versions))
     out = jobs.build_class_curves(spark, str(tmp_path), states, ["Residencial"])
     assert [(r.mean_mw, r.normalized_load) for r in spark.read.parquet(out).collect()] == [(10.5, 1.0)] * 2
-    report = next((tmp_path / "gold" / "class_average_24h_residencial").glob("*.csv")).read_text()
-    assert report == "hour,avg_mw,normalized_load\n0,10.5,1.0\n1,10.5,1.0\n"
+    report = next((tmp_path / "gold" / "class_average_24h").glob("*.csv")).read_text()
+    assert report == "label,hour,avg_mw,normalized_load\nResidencial,0,10.5,1.0\nResidencial,1,10.5,1.0\n"
 
 
 def test_monthly_energy_calibrates_an_area(spark):

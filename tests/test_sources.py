@@ -43,12 +43,47 @@ def test_large_file_is_split_and_complete(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_many_files_are_joined_instead(spark, tmp_path, monkeypatch, rows):
-    write(tmp_path / "a.csv", ";", [ROW])
-    write(tmp_path / "b.csv", ",", [[*ROW[:-1], "3.5"]])
-    monkeypatch.setattr(landed, "BROADCAST_FILES", 0)
-    paths = [str(tmp_path / f"{n}.csv") for n in "ab"]
-    assert rows(landed.read_class_curves(spark, paths), "VlrDmd") == [(10.5,), (3.5,)]
+def test_wanted_column_behind_many_others(spark, tmp_path):
+    header = [f"x{i}" for i in range(45)] + ["SigCcs", "VlrDmd"]
+    write(tmp_path / "wide.csv", ";", [["-"] * 45 + ["LIGHT", "1,5"]], header=header)
+    row = landed.read_delimited(spark, [str(tmp_path / "wide.csv")], ["SigCcs", "VlrDmd"]).first()
+    assert (row.SigCcs, row.VlrDmd) == ("LIGHT", "1,5")
+
+
+def test_only_the_first_line_is_the_header(spark, tmp_path):
+    write(tmp_path / "a.csv", ";", [ROW, HEADER, ROW])
+    (tmp_path / "a.csv").write_text((tmp_path / "a.csv").read_text().replace("LIGHT", "LIGHT", 1) + "\n\n")
+    found = [r.SigCcs for r in landed.read_delimited(spark, [str(tmp_path / "a.csv")], HEADER).collect()]
+    assert sorted(found) == ["LIGHT", "LIGHT", "SigCcs"]
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    write(tmp_path / "a.csv", ";", [[*ROW[:6], '"two\nlines ""quoted"""', *ROW[7:]], ROW])
+    rows = landed.read_delimited(spark, [str(tmp_path / "a.csv")], ["DscDemandante", "VlrDmd"]).collect()
+    assert sorted((r.DscDemandante, r.VlrDmd) for r in rows) == [("Residencial", "10,5"), ('two\nlines "quoted"', "10,5")]
+
+
+def test_mixed_folder_by_pattern_and_odd_names(spark, tmp_path):
+    write(tmp_path / "a b+c[1].csv", ";", [ROW])
+    spark.createDataFrame([("LIGHT", 7.5, "00:00", "01:00", "B1", "x", "y")],
+                          "SigCcs string, VlrDmd double, HorInicial string, HorFinal string, NomSubGrupoTarifario string,"
+                          "DscDemandante string, DscTipoDia string").write.parquet(str(tmp_path / "b"))
+    df = landed.read_class_curves(spark, [str(tmp_path / "*.csv"), str(tmp_path / "b" / "*.parquet")])
+    assert sorted(r.VlrDmd for r in df.collect()) == [7.5, 10.5]
+    named = landed.read_delimited(spark, [landed.literal_path(str(tmp_path / "a b+c[1].csv"))], ["SigCcs"]).first()
+    assert named.file_path.endswith("/a b+c[1].csv")
+
+
+def test_broken_json_beside_a_good_file(spark, tmp_path):
+    good = '[{"cod_areacarga": "S", "din_referenciautc": "2026-06-02T03:00:00Z", "val_cargaglobal": 1}]'
+    (tmp_path / "good.json").write_text(good)
+    (tmp_path / "cut.json").write_text(good[:-20])
+    (tmp_path / "page.json").write_text("<html>error</html>")
+    (tmp_path / "other.json").write_text('{"message": "none"}')
+    rows = landed.read_readings(spark, str(tmp_path)).collect()
+    told = {r.file_path.rsplit("/", 1)[1]: (r.problem, r.val_cargaglobal) for r in rows}
+    assert told == {"good.json": (None, "1"), "cut.json": ("not readable as JSON", None), "page.json": ("not readable as JSON", None),
+                    "other.json": ("no reading fields", None)}
 
 
 def test_parquet_and_text_together(spark, tmp_path):
@@ -105,6 +140,13 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path, rows):
     assert rows(spark.read.parquet(path), "x", "month") == [(1, 1), (9, 2)]
 
 
+def test_whole_overwrite_drops_other_partitions(spark, tmp_path, rows):
+    path = str(tmp_path / "p")
+    tables.overwrite_partitions(spark.createDataFrame([(1, 2026, 1), (2, 2026, 2)], "x int, year int, month int"), path)
+    tables.overwrite_partitions(spark.createDataFrame([(9, 2026, 2)], "x int, year int, month int"), path, whole=True)
+    assert rows(spark.read.parquet(path), "x", "month") == [(9, 2)]
+
+
 def test_report(spark, tmp_path):
     path = str(tmp_path / "r")
     tables.write_report(spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string"), path, ["k"])
