@@ -11,7 +11,6 @@ import heapq
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,43 +19,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadlake.llm.common import stored
+from loadlake.llm.encoding import PieceEncoder
 
 CAPACITY = 4096
 END_ID = 1
 RANK_BLOCK = 500
-CACHE_WORDS = 200_000
+CHARS_AT_ONCE = 4_000_000
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-class WordEncoder:
-    """Ids of texts from a tokenizer that drops white space, each different word of a batch encoded once.
-
-    Ids of frequent words stay in a cache, which is emptied when it holds ``CACHE_WORDS`` words.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.cache: dict[str, np.ndarray] = {}
-
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            new = list({w for w in words if w not in self.cache})
-            if new:
-                if len(self.cache) > CACHE_WORDS:
-                    self.cache.clear()
-                    new = list(set(words))
-                for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                    self.cache[word] = np.array(got.ids, "<u4").tobytes()
-            yield np.frombuffer(b"".join(map(self.cache.__getitem__, words)), "<u4")
+def token_ids(texts: list[str], encoder: PieceEncoder) -> Iterator[np.ndarray]:
+    """Ids of each text by a tokenizer that drops white space, some texts at a time."""
+    at = 0
+    while at < len(texts):
+        some, size = [], 0
+        while at < len(texts) and (not some or size + len(texts[at]) < CHARS_AT_ONCE):
+            some.append(texts[at].replace("\n", " ").split(" "))
+            size += len(texts[at])
+            at += 1
+        yield from map(encoder.ids, encoder.numbers(some))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
@@ -64,11 +44,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     end = np.array([END_ID], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = PieceEncoder(tokenizer, lead="")
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "").to_pylist()
             at, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encoder.ids(texts)):
+            for i, ids in enumerate(token_ids(texts, encoder)):
                 ids = np.concatenate([ids, end])
                 for k in range(0, len(ids), capacity):
                     part = ids[k : k + capacity]

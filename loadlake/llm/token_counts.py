@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlake.llm.common import struct
+from loadlake.llm.encoding import PieceEncoder
 
 LEAF_CHUNKS = 64
-CACHE_CHUNKS = 200_000
+TEXTS_AT_ONCE = 100
 #: White space as the tokenizers' pre-token patterns have it.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -30,24 +31,18 @@ Edit = tuple[int, int, str]
 
 
 class Counter:
-    """Number of tokens of chunks, each different chunk encoded once while the cache has room."""
+    """Number of tokens of chunks; different chunks are encoded once."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, int] = {}
+        self.encoder = PieceEncoder(path, lead=" ", encode_special_tokens=True)
 
     def of(self, chunks: list[str]) -> np.ndarray:
-        new = list({c for c in chunks if c not in self.known})
-        if new:
-            if len(self.known) > CACHE_CHUNKS:
-                self.known.clear()
-                new = list(set(chunks))
-            for chunk, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[chunk] = len(got.ids)
-        return np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        numbers = self.encoder.numbers([chunks])[0]
+        return self.encoder.lengths[numbers]
+
+    def know(self, texts: list[str]) -> None:
+        """Encode the new chunks of several texts together."""
+        self.encoder.numbers([_CHUNK.findall(text) for text in texts])
 
 
 class TokenTree:
@@ -161,7 +156,9 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
         counter = Counter(tokenizer)
         for texts in batches:
             rows = []
-            for text in texts:
+            for k, text in enumerate(texts):
+                if k % TEXTS_AT_ONCE == 0:
+                    counter.know([t for t in texts.iloc[k : k + TEXTS_AT_ONCE] if t])
                 tree = TokenTree(text or "", counter)
                 before = tree.total()
                 edits = cleaning_edits(text) if text else []
