@@ -4,9 +4,9 @@ A text is its sequence of 5-word shingles, each labelled with its occurrence num
 A sketch of order MinHash takes the two labelled shingles with the smallest hash and keeps them in text order; two texts
 share it with a probability near the square of their similarity, and less if the order differs. Texts that share a band
 key meet in a bucket. Large buckets are split by a further sketch, then by number, so that no group is large; in a group
-each text is proposed to the group's first text and to its neighbours in sketch order, never to all others. Proposals
+each text is proposed to the group's first text, never to all others. Proposals
 with enough equal sketches are verified by banded alignment of the shingle sequences. Links become classes by connected
-components; then texts that are near each other in a group but still in different classes get a second, wider round.
+components; then texts that are neighbours in a group's sketch order but still in different classes get a second round.
 
 Similarity of two texts: different shingles aligned in order, over the different shingles of both; links need 0.8.
 Exact copies are one node from the start.
@@ -30,8 +30,8 @@ SKETCHES = 16
 BANDS = 10
 MIN_EQUAL = 4
 GROUP = 64
-NEIGHBOURS = 2
-FURTHER_NEIGHBOURS = 6
+NEIGHBOURS = 6
+MIN_EQUAL_AGAIN = 6
 _MASK = (1 << 64) - 1
 _MIX = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1 for i in range(SHINGLE)], np.uint64)
 _SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & _MASK for i in range(SKETCHES)], np.uint64)
@@ -181,7 +181,8 @@ def groups(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> tuple[Da
     parts = stored(rows.select("node", "sub", "other_sub", F.xxhash64("p.band", "p.key").alias("key")))
     limit = max(group, parts.count() // 10_000)
     by_sketch = F.xxhash64("key", "sub")
-    by_number = F.xxhash64("key", F.pmod(F.xxhash64("node"), F.greatest(F.lit(2), F.ceil(F.col("n") / limit))))
+    parts_of = F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / limit))).cast("long")  # so that bands split large groups alike
+    by_number = F.xxhash64("key", F.pmod(F.xxhash64("node"), parts_of))
     ties = None
     for split in (by_sketch, by_number):
         sizes = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where(F.col("n") > limit)
@@ -201,11 +202,9 @@ def _pairs(rows: DataFrame, others: Column, node: str = "node") -> DataFrame:
 
 
 def proposals(parts: DataFrame, ties: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of nodes worth verifying: each node with its group's first node and its neighbours in order."""
-    order = Window.partitionBy("key").orderBy("sub", "node")
-    near = [F.lag("node", k).over(order) for k in range(1, NEIGHBOURS + 1)]
+    """Pairs ``a, b`` of nodes worth verifying: each node with its group's first node."""
     first = F.min("node").over(Window.partitionBy("key"))
-    return _pairs(parts, F.array(first, *near)).unionByName(ties).distinct()
+    return _pairs(parts, F.array(first)).unionByName(ties).distinct()
 
 
 def further_proposals(parts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -216,7 +215,7 @@ def further_proposals(parts: DataFrame, classes: DataFrame) -> DataFrame:
     near = []
     for sub in ("sub", "other_sub"):
         order = Window.partitionBy("key").orderBy(sub, "node")
-        for k in range(1, FURTHER_NEIGHBOURS + 1):
+        for k in range(1, NEIGHBOURS + 1):
             other = F.lag(F.struct("node", "root"), k).over(order)
             near.append(F.when(other["root"] != F.col("root"), other["node"]))
     return _pairs(mixed, F.array(*near)).distinct()
@@ -270,7 +269,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     parts, ties = groups(nodes)
     links = stored(verified(proposals(parts, ties), nodes, known, least))
     further = further_proposals(parts, components(links))
-    links = stored(links.unionByName(verified(further, nodes, known, least)).distinct())
+    links = stored(links.unionByName(verified(further, nodes, known, least, MIN_EQUAL_AGAIN)).distinct())
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     classes = components(links)
     told = copies.select("copy", "node", "n_copies").join(classes, "node", "left").join(degree, "node", "left")
