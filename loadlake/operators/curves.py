@@ -45,16 +45,10 @@ def class_curve_stats(
     """Mean, median, quantiles, spread and count per distributor, class, subgroup, day type and hour."""
     keys = [distributor, *CURVE_KEYS[1:], "hour"]
     rows = df.withColumn("hour", clock_hour(F.col(start))).select(*keys, value)
-    moments = rows.groupBy(*keys).agg(
-        F.avg(value).alias("mean_mw"),
-        F.stddev_samp(value).alias("std_mw"),
-        F.count(value).alias("n_observations"),
-    )
-    sizes = moments.select(*keys, F.col("n_observations").alias("n"))
-    ranks = exact_quantiles(rows, keys, value, CURVE_QUANTILES, median="median_mw", sizes=sizes)
-    return join_null_safe(moments, ranks, keys, "left").select(
-        *keys, "mean_mw", "median_mw", *CURVE_QUANTILES, "std_mw", "n_observations"
+    stats = exact_quantiles(
+        rows, keys, value, CURVE_QUANTILES, "median_mw", count="n_observations", mean="mean_mw", std="std_mw"
     )
+    return stats.select(*keys, "mean_mw", "median_mw", *CURVE_QUANTILES, "std_mw", "n_observations")
 
 
 def normalize_class_curves(stats: DataFrame, keys: Sequence[str] = CURVE_KEYS) -> DataFrame:

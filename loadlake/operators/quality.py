@@ -7,12 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlake.functions.numeric import ratio
 from loadlake.operators.keys import join_null_safe, with_previous
-from loadlake.operators.quantiles import exact_quantiles
 
 OUTCOME = ("check_name", "passed", "severity", "details", "rows_affected")
 # Fixed value: scales a median absolute deviation to a standard deviation.
@@ -152,28 +151,34 @@ def row_count_anomaly(
     """Newest version's row count against its earlier versions, by a score of median and absolute deviation.
 
     Fewer than three earlier versions pass. With no deviation at all, only the median itself passes.
-    Medians are exact and the history of a resource may have any length.
+    Medians are exact. A resource has one row per version, which is sorted in one task; sorting spills.
     """
     resource = list(resource)
-    position = F.struct(*order)
-    newest = versions.groupBy(*resource).agg(
-        F.max(position).alias("__newest"),
-        F.max_by(row_count, position).alias("__current"),
+    x, current = F.col("__x"), F.col("__current")
+    # One placement by resource: its newest version first, the medians of the others from their place in sorted order.
+    newest_first = Window.partitionBy(*resource).orderBy(*[F.desc(c) for c in order])
+    placed = versions.select(*resource, *order, F.col(row_count).alias("__x")).withColumn("__back", F.row_number().over(newest_first))
+    own = Window.partitionBy(*resource, F.col("__back") > 1)
+    whole = Window.partitionBy(*resource)
+    known = F.count("__x").over(own)
+
+    def middle(value: str) -> Column:
+        """Midpoint median of a column over the earlier versions, on every row of the resource."""
+        at = F.row_number().over(own.orderBy(F.col(value).asc_nulls_last())) - 1
+        half = (known - 1) / 2
+        among = (F.col("__back") > 1) & ((at == F.floor(half)) | (at == F.ceil(half)))
+        return F.when(among, F.col(value))
+
+    centred = placed.withColumn("__middle", middle("__x")).withColumn("__median", F.avg("__middle").over(whole))
+    spread = centred.withColumn("__d", F.abs(x - F.col("__median"))).withColumn("__spread", middle("__d"))
+    judged = spread.groupBy(*resource).agg(
+        F.max(F.when(F.col("__back") == 1, x)).alias("__current"),
         (F.count(F.lit(1)) - 1).alias("__history"),
+        F.max("__median").alias("__median"),
+        F.avg("__spread").alias("__mad"),
     )
-    earlier = join_null_safe(versions.withColumn("__at", position), newest, resource).where(
-        F.col("__at") < F.col("__newest")
-    )
-    history = earlier.select(*resource, F.col(row_count).alias("__x"))
-    sizes = newest.select(*resource, F.col("__history").alias("n"))
-    centre = exact_quantiles(history, resource, "__x", median="__median", sizes=sizes)
-    deviations = join_null_safe(history, centre, resource).select(
-        *resource, F.abs(F.col("__x") - F.col("__median")).alias("__d")
-    )
-    spread = exact_quantiles(deviations, resource, "__d", median="__mad", sizes=sizes)
-    judged = join_null_safe(join_null_safe(newest, centre, resource, "left"), spread, resource, "left")
 
-    score = ratio(F.lit(MAD_SCALE) * (F.col("__current") - F.col("__median")), F.col("__mad"))
+    score = ratio(F.lit(MAD_SCALE) * (current - F.col("__median")), F.col("__mad"))
     passed = (
         F.when(F.col("__history") < 3, F.lit(True))
         .when(F.col("__mad") == 0, F.col("__current") == F.col("__median"))

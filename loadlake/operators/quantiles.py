@@ -11,40 +11,66 @@ from loadlake.functions.numeric import nearest_rank, value_bucket
 from loadlake.operators.keys import join_null_safe
 
 
-# A group up to this size, or up to its share of all rows if that is more, is ranked by one sort.
-SMALL_GROUP = 1_000_000
-# So no more groups than this can be larger, and lists of them are safe to broadcast (tens of MB).
-MAX_LARGE_GROUPS = 100_000
-
-
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     nearest: Mapping[str, float] | None = None,
     median: str | None = None,
-    sizes: DataFrame | None = None,
-    small: int = SMALL_GROUP,
+    *,
+    count: str | None = None,
+    mean: str | None = None,
+    std: str | None = None,
 ) -> DataFrame:
-    """One row per group: ``keys``, the nearest-rank quantiles named in ``nearest``, and the midpoint median.
-
-    Group sizes are counted first (or given as ``sizes``: ``keys`` and ``n``). A group is large if it has more than
-    ``small`` rows and more than one in 100,000 of all rows. The others are ranked by a sort within the group,
-    which spills and moves each row once; large ones go through ``_large_group_quantiles``. There can be at most
-    100,000 large groups, which bounds what is broadcast. Where there is none, their branch is dropped at run time
-    without a scan. Nothing is approximated. The input is scanned more than once, so give it a table or a
-    checkpoint.
+    """One row per group: ``keys``, the nearest-rank quantiles named in ``nearest``, the midpoint median, and if named
+    the number of values, their mean and sample deviation. Groups without values have a row only if ``count`` is named.
+
+    The input is scanned once, and groups of any size take the same way:
+
+    1. Equal values of a group are counted, which merges them in the map tasks.
+    2. They are placed by (group, value bucket), so a hot group is spread over its buckets, and numbered in each.
+    3. A group's buckets, a few thousand at most, give the places at which buckets start, hence where each rank falls.
+    4. Only the values at these ranks go on to the result.
     """
     keys = list(keys)
     nearest = dict(nearest or {})
-    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    if sizes is None:
-        sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    fair_share = sizes.agg(F.sum("n") / MAX_LARGE_GROUPS).scalar()
-    large = F.broadcast(sizes.where((F.col("n") > small) & (F.col("n") > fair_share)).select(*keys))
-    few = _sorted_group_quantiles(join_null_safe(present, large, keys, "left_anti"), keys, nearest, median)
-    many = _large_group_quantiles(join_null_safe(present, large, keys, "left_semi"), keys, nearest, median)
-    return few.unionByName(many)
+    v, vn = F.col("__v"), F.col("__vn")
+    counted = df.select(*keys, F.col(value).cast("double").alias("__v")).groupBy(*keys, "__v").agg(F.count("__v").alias("__vn"))
+    if count is None:
+        counted = counted.where(v.isNotNull())
+    bucket = Window.partitionBy(*keys, "__b")
+    running = bucket.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = counted.withColumn("__b", value_bucket(v)).withColumn("__end", F.sum("__vn").over(running))
+    numbered = numbered.withColumn("__bmean", F.sum(v * vn).over(bucket) / F.nullif(F.sum(vn).over(bucket), F.lit(0)))
+
+    buckets = numbered.groupBy(*keys, "__b").agg(
+        F.sum("__vn").alias("__bn"), F.max("__bmean").alias("__bmean"), F.sum(vn * (v - F.col("__bmean")) ** 2).alias("__bm2")
+    )
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bn, n = F.col("__bn"), F.col("__n")
+    located = buckets.withColumns({"__n": F.sum(bn).over(group), "__before": F.sum(bn).over(upto) - bn})
+    located = located.withColumn("__mean", F.sum(F.col("__bmean") * bn).over(group) / F.nullif(n, F.lit(0)))
+    spread = F.sum(F.coalesce(F.col("__bm2") + bn * (F.col("__bmean") - F.col("__mean")) ** 2, F.lit(0.0))).over(group)
+    located = located.withColumn("__std", F.when(n > 1, F.sqrt(spread / (n - 1))))
+    ranks = _ranks(n, nearest, median)
+    places = {name: f"__k{i}" for i, name in enumerate(ranks)}
+    located = located.select("*", *[rank.cast("long").alias(places[name]) for name, rank in ranks.items()])
+
+    def inside(k: str, start: Column, size: Column) -> Column:
+        return (F.col(k) >= start) & (F.col(k) < start + size)
+
+    wanted = n == 0
+    for k in places.values():
+        wanted = wanted | inside(k, F.col("__before"), bn)
+    targets = located.where(wanted).select(*keys, "__b", "__before", "__n", "__mean", "__std", *places.values())
+    start = F.col("__before") + F.col("__end") - vn
+    picked = join_null_safe(numbered.select(*keys, "__b", "__v", "__vn", "__end"), targets, [*keys, "__b"]).groupBy(*keys).agg(
+        *[F.max(F.when(inside(k, start, vn), v)).alias(name) for name, k in places.items()],
+        *[F.max(c).alias(c) for c in ("__n", "__mean", "__std")],
+    )
+    more = {count: F.coalesce("__n", F.lit(0)), mean: F.col("__mean"), std: F.col("__std")}
+    return picked.select(*_named(keys, nearest, median), *[c.alias(name) for name, c in more.items() if name is not None])
 
 
 def _ranks(n: Column, nearest: Mapping[str, float], median: str | None) -> dict[str, Column]:
@@ -62,77 +88,6 @@ def _named(keys: list[str], nearest: Mapping[str, float], median: str | None) ->
     return columns
 
 
-def _sorted_group_quantiles(
-    present: DataFrame, keys: list[str], nearest: Mapping[str, float], median: str | None
-) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    ranked = present.select(
-        *keys,
-        "__v",
-        (F.row_number().over(group.orderBy("__v")) - 1).alias("__r"),
-        F.count(F.lit(1)).over(group).alias("__n"),
-    )
-    picked = ranked.groupBy(*keys).agg(
-        *[
-            F.max(F.when(F.col("__r") == rank, F.col("__v"))).alias(name)
-            for name, rank in _ranks(F.col("__n"), nearest, median).items()
-        ]
-    )
-    return picked.select(*_named(keys, nearest, median))
-
-
-def _large_group_quantiles(
-    present: DataFrame, keys: list[str], nearest: Mapping[str, float], median: str | None
-) -> DataFrame:
-    """Quantiles of groups that do not fit a task.
-
-    1. Count rows per (group, value bucket). Partial counts are merged before the shuffle, so the volume
-       depends on the number of buckets, not on the rows; a hot group is spread over its buckets.
-    2. Running counts over a group's buckets tell in which bucket each wanted rank falls, and where.
-    3. Only rows of those buckets (about one in a thousand) are read again, counted per distinct value and
-       ranked inside their bucket.
-    """
-    present = present.withColumn("__b", value_bucket(F.col("__v")))
-    ranks = _ranks(F.col("__n"), nearest, median)
-    wanted = {name: f"__k{i}" for i, name in enumerate(ranks)}
-
-    counted = present.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__bn"))
-    whole_group = Window.partitionBy(*keys)
-    running = whole_group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    located = (
-        counted.withColumns(
-            {"__n": F.sum("__bn").over(whole_group), "__before": F.sum("__bn").over(running) - F.col("__bn")}
-        )
-        .select("*", *[rank.cast("long").alias(wanted[name]) for name, rank in ranks.items()])
-    )
-
-    def falls_inside(k: str, start: Column, count: Column) -> Column:
-        return (F.col(k) >= start) & (F.col(k) < start + count)
-
-    any_rank = F.lit(False)
-    for k in wanted.values():
-        any_rank = any_rank | falls_inside(k, F.col("__before"), F.col("__bn"))
-    # A handful of buckets per large group, so again a bounded broadcast.
-    targets = F.broadcast(located.where(any_rank).select(*keys, "__b", "__before", *wanted.values()))
-
-    candidates = (
-        join_null_safe(present, targets, [*keys, "__b"])
-        .groupBy(*keys, "__b", "__before", *wanted.values(), "__v")
-        .agg(F.count(F.lit(1)).alias("__vn"))
-    )
-    in_bucket = (
-        Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = candidates.withColumn("__start", F.col("__before") + F.sum("__vn").over(in_bucket) - F.col("__vn"))
-    picked = ranked.groupBy(*keys).agg(
-        *[
-            F.max(F.when(falls_inside(k, F.col("__start"), F.col("__vn")), F.col("__v"))).alias(name)
-            for name, k in wanted.items()
-        ]
-    )
-    return picked.select(*_named(keys, nearest, median))
-
-
 def sorted_nearest(values: Column, q: float) -> Column:
     """Nearest-rank quantile of a sorted array; null when it is empty."""
     return F.get(values, nearest_rank(F.size(values), q).cast("int"))

@@ -286,7 +286,7 @@ def price_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "lineitem")
     wanted = {"p05": 0.05, "p95": 0.95}
     return rounded(
-        quantiles.exact_quantiles(items, ["l_returnflag"], "l_extendedprice", wanted, "median", small=1000)
+        quantiles.exact_quantiles(items, ["l_returnflag"], "l_extendedprice", wanted, "median")
     )
 
 

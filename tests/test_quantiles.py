@@ -7,7 +7,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loadlake.functions.numeric import round_half_even, value_bucket
-from loadlake.operators import quantiles
 from loadlake.operators.quantiles import exact_quantiles
 
 QUANTILES = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
@@ -27,19 +26,34 @@ def expected(groups):
     return {g: (*[nearest(v, q) for q in QUANTILES.values()], median(v)) for g, v in groups.items() if v}
 
 
-@pytest.fixture(autouse=True)
-def any_share_is_large(monkeypatch):
-    monkeypatch.setattr(quantiles, "MAX_LARGE_GROUPS", 10**12)
+def run(spark, data):
+    df = spark.createDataFrame(data, "g string, v double")
+    found = exact_quantiles(df, ["g"], "v", QUANTILES, "median").collect()
+    return {r.g: (r.p05, r.p50, r.p95, r.median) for r in found}
 
 
-def run(spark, data, small):
+def test_moments_and_empty_groups(spark):
+    import statistics
+
+    groups = {"a": [1e9 + x for x in (1.0, 2.0, 4.0, 4.0)], "b": [5.0], None: [0.5, -0.5] * 50}
+    data = [(g, v) for g, vs in groups.items() for v in vs] + [("nulls", None), ("a", None)]
     df = spark.createDataFrame(data, "g string, v double")
-    found = exact_quantiles(df, ["g"], "v", QUANTILES, "median", small=small).collect()
-    return {r.g: (r.p05, r.p50, r.p95, r.median) for r in found}
+    found = {r.g: r for r in exact_quantiles(df, ["g"], "v", median="m", count="n", mean="mean", std="std").collect()}
+    for g, vs in groups.items():
+        assert (found[g].n, found[g].m) == (len(vs), median(vs)) and found[g]["mean"] == pytest.approx(statistics.mean(vs), rel=1e-15)
+        assert found[g]["std"] == (pytest.approx(statistics.stdev(vs)) if len(vs) > 1 else None)
+    assert tuple(found["nulls"]) == ("nulls", None, 0, None, None)
 
 
-@pytest.mark.parametrize("small", [0, 50, 10**6])
-def test_against_sorting_with_a_hot_group_and_a_null_key(spark, small):
+def test_one_scan(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS g", "CAST(id AS DOUBLE) AS v")
+    plan = exact_quantiles(df, ["g"], "v", QUANTILES, "median", count="n")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.split("Initial Plan")[0].count("Range (") == 1
+
+
+def test_against_sorting_with_a_hot_group_and_a_null_key(spark):
     rng = random.Random(7)
     groups = {"hot": [], "tiny": [3.5], None: [], "signs": []}
     groups["hot"] = [round(rng.lognormvariate(8, 2), 2) for _ in range(4000)]
@@ -47,24 +61,18 @@ def test_against_sorting_with_a_hot_group_and_a_null_key(spark, small):
     groups["signs"] = [rng.uniform(-1, 1) * 10 ** rng.randint(-12, 12) for _ in range(500)] + [0.0, -0.0]
     data = [(g, v) for g, vs in groups.items() for v in vs] + [("hot", None), ("only nulls", None)]
     rng.shuffle(data)
-    assert run(spark, data, small) == expected(groups)
-
-
-def test_group_within_its_share_is_sorted(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "MAX_LARGE_GROUPS", 2)
-    data = [("hot", float(i)) for i in range(100)] + [("small", float(i)) for i in range(20)]
-    assert run(spark, data, 5) == expected({"hot": list(range(100)), "small": list(range(20))})
+    assert run(spark, data) == expected(groups)
 
 
 def test_one_value_repeated(spark):
     data = [("a", 5.0)] * 1000 + [("a", 7.0)]
-    assert run(spark, data, 0) == {"a": (5.0, 5.0, 5.0, 5.0)}
+    assert run(spark, data) == {"a": (5.0, 5.0, 5.0, 5.0)}
 
 
 def test_extreme_doubles_keep_their_order(spark):
     values = [1e308, -1e308, 1e-320, 0.0, float("inf"), float("-inf"), 1e295, 2e295, -5e-324]
     data = [("a", v) for v in values]
-    assert run(spark, data, 0) == expected({"a": values})
+    assert run(spark, data) == expected({"a": values})
 
 
 def test_same_result_for_any_number_of_partitions(spark):
@@ -75,7 +83,7 @@ def test_same_result_for_any_number_of_partitions(spark):
         results = []
         for n in ("1", "13"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            results.append(run(spark, data, 0))
+            results.append(run(spark, data))
         assert results[0] == results[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
