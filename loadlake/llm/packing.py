@@ -23,7 +23,7 @@ from loadlake.llm.encoding import PieceEncoder
 
 CAPACITY = 4096
 END_ID = 1
-RANK_BLOCK = 500
+RANK_BLOCK = 200
 CHARS_AT_ONCE = 4_000_000
 
 
