@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments.
 
 Words get log-odds of standing in toxic documents, with a Dirichlet prior in proportion to the words' overall frequency.
-Words whose log-odds are not significantly positive share one small negative score. A linear scan then finds all maximal
+Words whose log-odds are not significant and large share one small negative score. A linear scan then finds all maximal
 scoring segments of a text, each passage that cannot be extended or joined with a gain. Their scores are put on the
 extreme-value scale of the best segment that harmless text of the same length would show by chance; what all significant
 segments add up to becomes the document's probability by a logistic curve fitted to the labels.
@@ -26,9 +26,12 @@ from loadlake.llm.decontamination import words_of
 
 #: About so many labelled documents are fitted on at most, drawn by hash of doc_id; fewer labels are all used.
 LABELLED = 20_000
-#: The classifier's vocabulary: words with the most significant log-odds.
+#: The classifier's vocabulary: the words with the most significant log-odds, among those that are clearly toxic.
 LEXICON = 20_000
 MIN_Z = 3.0
+MIN_ODDS = 3.0
+#: Words of more bytes than this are also known by their beginning, so that unseen endings count.
+STEM = 5
 PRIOR_DOCUMENTS = 50.0
 GAP = -0.12
 TOP_SCORE = 8.0
@@ -70,6 +73,18 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), right - left) for a, b, left, right in found]
 
 
+def stem(word: bytes) -> bytes | None:
+    return word[:STEM] + b"-" if len(word) > STEM else None
+
+
+def scores_of(words: list[bytes], known: dict[bytes, float]) -> np.ndarray:
+    """Each word's score, or else that of its beginning, or else the common one."""
+    values = np.fromiter(map(known.get, words, repeat(GAP)), float, len(words))
+    stems = np.fromiter(map(known.get, [w[:STEM] + b"-" for w in words], repeat(GAP)), float, len(words))
+    long = np.fromiter(map(len, words), np.int64, len(words)) > STEM
+    return np.where((values == GAP) & long, stems, values)
+
+
 def passages(text: bytes | None, model: ToxicModel) -> tuple[float, list[tuple[int, int, float]]]:
     """Evidence of a text, and its significant segments as words ``(first, end, surprise)``.
 
@@ -77,7 +92,7 @@ def passages(text: bytes | None, model: ToxicModel) -> tuple[float, list[tuple[i
     """
     words = words_of(text)
     n = max(1, len(words))
-    scores = np.fromiter(map(model.scores.get, words, repeat(GAP)), float, len(words))
+    scores = scores_of(words, model.scores)
     if not len(words) or not (scores > 0).any():
         return model.surprise(0.0, n), []
     found = [(a, b, model.surprise(s, n)) for a, b, s in maximal_segments(scores)]
@@ -111,6 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> ToxicModel
             out, toxic = [], []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = set(words_of(text))
+                own |= {s for w in own if (s := stem(w))}
                 out += own
                 toxic += [label] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(toxic, pa.int32())], ["word", "toxic"])
@@ -125,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> ToxicModel
     a, b = F.col("y1") + prior, F.col("y0") + prior
     odds = F.log(a / (n1 + PRIOR_DOCUMENTS - a)) - F.log(b / (n0 + PRIOR_DOCUMENTS - b))
     z = odds / F.sqrt(1 / a + 1 / b)
-    top = counts.select("word", odds.alias("odds"), z.alias("z"), "y0").where(F.col("z") > MIN_Z)
+    top = counts.select("word", odds.alias("odds"), z.alias("z"), "y0").where((F.col("z") > MIN_Z) & (F.col("odds") > MIN_ODDS))
     top = top.orderBy(F.desc("z"), "word").limit(LEXICON).collect()
     scores = {bytes(r.word): min(TOP_SCORE, r.odds) for r in top}
 
@@ -137,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> ToxicModel
             rows = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = words_of(text)
-                values = np.fromiter(map(scores.get, found, repeat(GAP)), float, len(found))
+                values = scores_of(found, scores)
                 best = max((s for _, _, s in maximal_segments(values)), default=0.0)
                 rows.append((label, len(found), best, float(np.exp(np.minimum(values, TOP_SCORE)).sum())))
             yield pa.RecordBatch.from_arrays(
