@@ -38,15 +38,14 @@ def calibrate(
 
     ``shapes``: series, day_type, hour, normalized_load. ``day_counts``: period, day_type, n_days (missing is 0).
     ``energy``: series, period, energy_mwh. The mean power is the energy over the hours of the day types
-    supplied, not over the calendar's hours. Where these are zero hours, the load is null.
-
-    ``day_counts`` is broadcast: at most four rows per calendar month, whatever the number of series.
+    supplied, not over the calendar's hours. Where these are zero hours, the load is null. A series without energy keeps
+    its shape, with a null period and load.
     """
     one_period = Window.partitionBy(*series, *period)
     n_days = F.coalesce(F.col("n_days"), F.lit(0)).cast("long")
     hours = (
-        shapes.join(energy, list(series))
-        .join(F.broadcast(day_counts), [*period, "day_type"], "left")
+        shapes.join(energy, list(series), "left")
+        .join(day_counts, [*period, "day_type"], "left")
         .withColumn("n_days_in_month", n_days)
         .withColumn("__types", F.collect_set(F.struct("day_type", "n_days_in_month")).over(one_period))
     )

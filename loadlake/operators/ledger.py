@@ -22,7 +22,7 @@ def _schema(**types: str) -> T.StructType:
     return T.StructType([T.StructField(name, known[kind]) for name, kind in types.items()])
 
 
-# Columns of the published ledger tables and the lifecycle's states.
+# Columns of the published ledger tables .
 LEDGER_SCHEMA = _schema(
     source="string",
     dataset="string",
@@ -73,23 +73,6 @@ LINEAGE_SCHEMA = _schema(
     pipeline_version="string",
     created_at="timestamp",
 )
-LIFECYCLE_STATES = (
-    "discovered",
-    "downloaded",
-    "raw_immutable",
-    "parsed",
-    "validated",
-    "invalid",
-    "quarantined",
-    "normalized",
-    "silver",
-    "cross_validated",
-    "active",
-    "superseded",
-    "reprocessed",
-    "deprecated_source",
-)
-
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)

@@ -51,7 +51,12 @@ def _uncontrolled(hour: Column, charging: Charging) -> Column:
 
 
 def _in_window(hour: Column, charging: Charging) -> Column:
-    return (hour >= charging.offpeak_start) & (hour < charging.offpeak_end)
+    """Hours from the start to the end of the window, which may pass midnight; equal ends are the whole day."""
+    return F.pmod(hour - charging.offpeak_start, F.lit(24)) < _window_hours(charging)
+
+
+def _window_hours(charging: Charging) -> int:
+    return (charging.offpeak_end - charging.offpeak_start) % 24 or 24
 
 
 def charging_shapes(
@@ -82,7 +87,7 @@ def charging_shapes(
     smart = F.when(in_peak, F.col("__free") - F.col("__cut")).otherwise(
         F.col("__free") + F.col("__removed") * ratio(F.col("__room"), F.col("__rooms"))
     )
-    flat = F.when(_in_window(hour, charging), F.lit(1.0 / (charging.offpeak_end - charging.offpeak_start)))
+    flat = F.when(_in_window(hour, charging), F.lit(1.0 / _window_hours(charging)))
     weights = {"uncontrolled": F.col("__free"), "smart": smart, "offpeak_shifted": F.coalesce(flat, F.lit(0.0))}
     rows = [F.struct(F.lit(s).alias("strategy"), weights[s].alias("weight")) for s in STRATEGIES]
     return filled.select(*series, "hour", "base_mw", F.inline(F.array(*rows)))

@@ -73,12 +73,13 @@ def scenario_table(
     """Three scenarios per series and year.
 
     ``alternative`` has one ``(year, value)`` point per series. Its ratio to the reference curve in that
-    year scales the whole reference curve; the middle scenario is the geometric mean of the two.
+    year scales the whole reference curve; the middle scenario is the geometric mean of the two. A series without that
+    point keeps its reference rows and has nulls in the other two.
     """
     point = alternative.select(
         *series, F.col("year").cast("int").alias("__year"), F.col("value").cast("double").alias("__value")
     )
-    based = anchor_arrays(anchors, series).join(point, list(series))
+    based = anchor_arrays(anchors, series).join(point, list(series), "left")
     multiplied = based.withColumn("__ratio", ratio(F.col("__value"), interpolate(F.col("anchors"), F.col("__year"))))
     yearly = multiplied.withColumn("year", _spine(first_year, last_year)).withColumn(
         "__reference", interpolate(F.col("anchors"), F.col("year"))
@@ -119,10 +120,10 @@ def allocate(scenarios: DataFrame, weights: DataFrame, series: Sequence[str], re
     """Each region's part of the national rows, for the low, central and high weight.
 
     ``weights`` has the national ``series`` columns, ``region`` and the three weights; already rounded national
-    values are scaled and rounded again.
+    values are scaled and rounded again. A series without weights keeps its rows, with a null region and null values.
     """
     national = scenarios.drop("value_type")
-    placed = national.join(weights.select(*series, region, "weight_low", "weight_central", "weight_high"), list(series))
+    placed = national.join(weights.select(*series, region, "weight_low", "weight_central", "weight_high"), list(series), "left")
     cases = F.array(
         *[
             F.struct(F.lit(case).alias("rj_weight_case"), F.col(f"weight_{case}").alias("__w"))
@@ -149,7 +150,7 @@ def growth_rate(start: Column, end: Column, years: Column) -> Column:
 
 
 def consistency_ratio(implied: DataFrame, official: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``implied_units`` over ``official_units`` of the same key."""
-    return implied.join(official, list(keys)).withColumn(
+    """``implied_units`` over ``official_units`` of the same key; null where there is no official figure."""
+    return implied.join(official, list(keys), "left").withColumn(
         "consistency_ratio", ratio(F.col("implied_units"), F.col("official_units"))
     )

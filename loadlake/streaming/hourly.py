@@ -12,7 +12,7 @@ from loadlake.operators.readings import INTERVAL_HOURS
 
 def hourly_stream(
     readings: DataFrame,
-    holidays: DataFrame,
+    holidays: DataFrame | None = None,
     *,
     timestamp: str = "ts",
     delay: str = "6 hours",
@@ -21,7 +21,9 @@ def hourly_stream(
     """Running hourly load per area and UTC hour, for output mode ``update``.
 
     ``readings`` has ``area``, a TIMESTAMP column, ``load_mw`` (null for a placeholder) and ``retrieved_at``. Each
-    half hour keeps its last retrieved reading, so a correction replaces the value instead of adding to it. An
+    half hour keeps its last retrieved reading (the larger load on a tie), so a correction replaces the value instead of
+    adding to it. The batch operator groups by local hour: where the clock goes back, it has one row of four readings
+    for what are two rows here. An
     hour is ``incomplete_hour`` until its second half hour has arrived. State is dropped ``delay`` after the hour.
     """
     second = F.minute(timestamp) >= 30
@@ -29,8 +31,8 @@ def hourly_stream(
         readings.withWatermark(timestamp, delay)
         .groupBy("area", F.window(timestamp, "1 hour").alias("__w"))
         .agg(
-            F.max_by("load_mw", F.when(~second, F.col("retrieved_at"))).alias("__a"),
-            F.max_by("load_mw", F.when(second, F.col("retrieved_at"))).alias("__b"),
+            F.max_by("load_mw", F.when(~second, F.struct("retrieved_at", "load_mw"))).alias("__a"),
+            F.max_by("load_mw", F.when(second, F.struct("retrieved_at", "load_mw"))).alias("__b"),
         )
     )
     a, b = F.col("__a"), F.col("__b")
