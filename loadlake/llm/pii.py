@@ -253,7 +253,7 @@ def fit(docs: DataFrame) -> Boosted:
 
 
 def _kept(added: Column) -> Column:
-    """From spans by descending margin, those that do not overlap one taken before."""
+    """From spans by length, the longest first and equal ones by margin, those that do not overlap one taken before."""
     empty = F.expr("cast(array() as array<struct<kind:int,start:int,end:int>>)")
     ordered = F.array_sort(added)
 
@@ -280,7 +280,7 @@ def private_spans(docs: DataFrame, model: Boosted) -> DataFrame:
     good = F.transform(
         F.filter("candidates", chosen),
         lambda c: F.struct(
-            (-model.margin(c["code"])).alias("order"), (c["start"] - c["end"]).alias("size"), c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")
+            (c["start"] - c["end"]).alias("size"), (-model.margin(c["code"])).alias("order"), c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")
         ),
     )
     plain = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
