@@ -554,6 +554,11 @@ FROM rev JOIN d USING (source, resource_id, old_hash, new_hash)""",
   approved AS is_latest_valid, is_active_for_gold,
   CASE WHEN is_active_for_gold THEN 'active' WHEN approved THEN 'superseded' ELSE 'quarantined' END AS lifecycle_status,
   CASE WHEN approved THEN 'validated' ELSE 'invalid' END AS validation_status, failed FROM gated""",
+    "landed_readings": f"""WITH e AS (SELECT *, event_id // 50 AS f, {K} AS k FROM events)
+SELECT 'raw/' || f AS file_path, NULL AS problem, event_type AS cod_areacarga, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS din_referenciautc,
+  CASE WHEN k <> 98 THEN round(value + 1e-8, 6) END AS load, CASE WHEN k < 50 THEN round(k + 1e-8, 6) END AS val_cargammgd,
+  CAST(NULL AS VARCHAR) AS val_consistencia FROM e WHERE f % 7 <> 0
+UNION ALL SELECT DISTINCT 'raw/' || f, 'not readable as JSON', NULL, NULL, NULL, NULL, NULL FROM e WHERE f % 7 = 0""",
     "gate_rerun": f"""WITH {GATED},
 one AS (SELECT *, hash_sha256 < '8' AS in_one FROM gated),
 act AS (

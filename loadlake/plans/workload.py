@@ -31,6 +31,7 @@ from loadlake.operators import (
     scenarios,
 )
 from loadlake.session import configure
+from loadlake.sources import landed
 
 AREAS = ("click", "error", "purchase", "signup", "view")
 AS_OF = "2024-06-01 00:00:00"
@@ -458,9 +459,35 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
-        "doc_id", F.sha2("text", 256).alias("hash_sha256"), F.octet_length("text").cast("bigint").alias("file_size")
-    )
+    files = table(spark, folder, "documents").select(F.col("doc_id").alias("file_path"), F.col("text").cast("binary").alias("content"))
+    return landed.fingerprints_of(files).withColumnRenamed("file_path", "doc_id")
+
+
+def landed_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as landed files of 50 records at most: lists, envelopes of two kinds, and every seventh cut off."""
+    k = _k()
+    record = F.struct(
+        F.col("event_type").alias("cod_areacarga"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("din_referenciautc"),
+        F.when(k == 98, F.lit("n/d")).otherwise(F.col("value").cast("string")).alias("val_cargaglobal"),
+        F.when(k < 50, k).alias("val_cargammgd"),
+        F.lit("x").alias("another_field"),
+    )
+    file = F.floor(F.col("event_id") / 50)
+    files = table(spark, folder, "events").groupBy(file.alias("f")).agg(F.to_json(F.collect_list(record)).alias("list"))
+    whole = (
+        F.when(F.col("f") % 3 == 0, F.col("list"))
+        .when(F.col("f") % 3 == 1, F.format_string('{"data": %s, "n": 1}', "list"))
+        .otherwise(F.format_string('{"message": null, "result": %s}', "list"))
+    )
+    text = F.when(F.col("f") % 7 == 0, F.substring(whole, F.lit(1), F.length(whole) - 9)).otherwise(whole)
+    rows = landed.parse_readings(files.select(F.concat(F.lit("raw/"), F.col("f")).alias("file_path"), text.alias("text")))
+    return rounded(
+        rows.select(
+            "file_path", "problem", "cod_areacarga", "din_referenciautc", F.col("val_cargaglobal").try_cast("double").alias("load"),
+            F.col("val_cargammgd").try_cast("double").alias("val_cargammgd"), "val_consistencia",
+        )
+    )
 
 
 def ledger_versions(spark: SparkSession, folder: str) -> DataFrame:
@@ -798,7 +825,7 @@ QUERIES: dict[str, Query] = {
         quality_report, schema_checks, coverage_regression, row_count_anomaly, energy_power_consistency,
         allowed_values,
         file_fingerprints, ledger_versions, newest_versions, new_versions, revisions, revision_row_changes,
-        version_checks, gate_decisions, gated_ledger, gate_rerun, active_versions, freshness, lineage, schema_hashes,
+        version_checks, landed_readings, gate_decisions, gated_ledger, gate_rerun, active_versions, freshness, lineage, schema_hashes,
         catalog_resources, preferred_resources, preferred_named_resources, period_from_name, period_window,
         page_links, current_links,
         anchors_dense, scenario_table, weight_bounds, regional_allocation, growth_rates, consistency_ratios,

@@ -75,25 +75,33 @@ def plain_path(file_path: Column) -> Column:
 
 
 def read_readings(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
-    """Reading files as text fields plus ``file_path`` and ``problem``.
+    """Reading files as text fields plus ``file_path`` and ``problem``; see ``parse_readings``.
 
-    A file is a list of records, or an object holding them under ``data`` or else ``result``. Both forms, and
-    records with other fields, fit one schema, so all files are one scan. A file is parsed whole by one task, as JSON
-    cannot be split. A file that is no JSON, is cut off, or has none of the fields yields one row with ``problem``
-    and no values, which ``split_rejects`` sets aside.
+    A file is read whole by one task, as JSON cannot be split.
     """
-    record = "struct<" + ",".join(f"{f}:string" for f in READING_FIELDS) + ">"
-    schema = ",".join(f"{f} string" for f in READING_FIELDS) + f",data array<{record}>,result array<{record}>,__broken string"
-    reader = _reader(spark, modified_after).schema(schema).option("columnNameOfCorruptRecord", "__broken")
-    files = reader.json(_listed(paths), multiLine=True)
-    own = F.struct(*[F.col(f) for f in READING_FIELDS])
-    bare = F.coalesce(*[F.col(f) for f in READING_FIELDS]).isNotNull()
-    records = F.coalesce(F.col("data"), F.col("result"), F.when(bare, F.array(own)))
-    broken = F.col("__broken").isNotNull()
-    problem = F.when(broken, "not readable as JSON").when(records.isNull(), "no reading fields")
-    nothing = F.array(F.struct(*[F.lit(None).cast("string").alias(f) for f in READING_FIELDS]))
-    held = F.when(problem.isNotNull(), nothing).otherwise(records)
-    return files.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), problem.alias("problem"), F.inline(held))
+    files = _reader(spark, modified_after).text(_listed(paths), wholetext=True)
+    return parse_readings(files.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value").alias("text")))
+
+
+def parse_readings(files: DataFrame) -> DataFrame:
+    """Records of landed JSON texts (``file_path, text``).
+
+    A text is a list of records, or an object holding them under ``data`` or else ``result``, or one record. Missing
+    fields are null. A text that is no JSON, is cut off, or has no records of these fields yields one row with
+    ``problem`` and no values, which ``split_rejects`` sets aside.
+    """
+
+    def listed(path: str) -> Column:
+        return F.try_variant_get("__v", path, "array<variant>")
+
+    parsed = files.withColumn("__v", F.try_parse_json("text"))
+    one = [F.try_variant_get("__v", f"$.{f}", "string") for f in READING_FIELDS]
+    bare = F.when(F.coalesce(*one).isNotNull(), F.array("__v"))
+    records = F.coalesce(listed("$"), listed("$.data"), listed("$.result"), bare)
+    problem = F.when(F.col("__v").isNull(), "not readable as JSON").when(records.isNull(), "no reading fields")
+    held = F.coalesce(records, F.array(F.lit(None).cast("variant")))
+    rows = parsed.select("file_path", problem.alias("problem"), F.explode(held).alias("__r"))
+    return rows.select("file_path", "problem", *[F.try_variant_get("__r", f"$.{f}", "string").alias(f) for f in READING_FIELDS])
 
 
 def read_class_curves(spark: SparkSession, paths: Paths, fields: Sequence[str] = CLASS_CURVE_FIELDS) -> DataFrame:
@@ -198,11 +206,13 @@ def read_catalog(spark: SparkSession, paths: Paths) -> DataFrame:
 def fingerprints(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
     """SHA-256 and size of every file. A file is one row, so it must stay below 2 GB; see ``content_mark``."""
     files = _reader(spark, modified_after).format("binaryFile").load(_listed(paths))
-    return files.select(
-        F.col("path").alias("file_path"),
-        F.sha2("content", 256).alias("hash_sha256"),
-        F.col("length").alias("file_size"),
-    )
+    return fingerprints_of(files.select(F.col("path").alias("file_path"), "content"))
+
+
+def fingerprints_of(files: DataFrame) -> DataFrame:
+    """``file_path, hash_sha256, file_size`` of files with their ``content``."""
+    size = F.octet_length("content").cast("long")
+    return files.select("file_path", F.sha2("content", 256).alias("hash_sha256"), size.alias("file_size"))
 
 
 def content_mark(rows: DataFrame, resource: Sequence[str]) -> DataFrame:
