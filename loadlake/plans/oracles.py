@@ -466,7 +466,8 @@ SELECT area, year, month, round(e + 1e-8, 6) AS estimated_energy_mwh, round(r +
   round(CASE WHEN r = 0 THEN 0.0 ELSE 100 * (e - r) / r END + 1e-8, 6) AS error_pct FROM s""",
     "source_comparison": f"""WITH {CALIBRATED},
 p AS ({_profile("hourly", "area")}),
-est AS (SELECT area, hour, avg(estimated_load_mw) AS avg_mw FROM cal WHERE day_type = 'weekday' GROUP BY ALL),
+est AS (SELECT area, hour, sum(estimated_load_mw * n_days_in_month) / nullif(sum(n_days_in_month) FILTER (estimated_load_mw IS NOT NULL), 0) AS avg_mw
+  FROM cal GROUP BY ALL),
 a AS ({_metrics("p")}), b AS ({_metrics("est")}),
 la AS (UNPIVOT (SELECT area, {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in (*_METRIC_NAMES, "peak_hour", "minimum_hour"))} FROM a)
   ON COLUMNS(* EXCLUDE (area)) INTO NAME metric VALUE value),
@@ -484,12 +485,13 @@ c AS (
     count(*) FILTER (margin < 0) AS neg, max(date) AS last FROM o GROUP BY 1),
 d AS (SELECT resource, date, count(DISTINCT hour) AS h FROM o GROUP BY 1, 2),
 s AS (SELECT resource, count(*) FILTER (h < 24) AS short FROM d GROUP BY 1)
-SELECT resource, 'not_empty' AS check_name, n >= 150 AS passed, 'error' AS severity, n AS rows_affected FROM c
-UNION ALL SELECT resource, 'duplicates', dup = 0, 'error', dup FROM c
-UNION ALL SELECT resource, 'unexpected_nulls', nulls = 0, 'error', nulls FROM c
-UNION ALL SELECT resource, 'negative_values', neg = 0, 'warning', neg FROM c
-UNION ALL SELECT resource, 'missing_hours', short = 0, 'warning', short FROM s
-UNION ALL SELECT resource, 'completeness_window', last >= DATE '2001-07-31', 'error', -1 FROM c""",
+SELECT resource, 'not_empty' AS check_name, n >= 150 AS passed, 'error' AS severity, n AS rows_affected, n || ' rows, at least 150 expected' AS details FROM c
+UNION ALL SELECT resource, 'duplicates', dup = 0, 'error', dup, dup || ' rows repeat the key o_custkey' FROM c
+UNION ALL SELECT resource, 'unexpected_nulls', nulls = 0, 'error', nulls, 'status=' || nulls || ', o_custkey=0' FROM c
+UNION ALL SELECT resource, 'negative_values', neg = 0, 'warning', neg, neg || ' negative values in margin' FROM c
+UNION ALL SELECT resource, 'missing_hours', short = 0, 'warning', short, short || ' dates with fewer than 24 hours' FROM s
+UNION ALL SELECT resource, 'completeness_window', last >= DATE '2001-07-31', 'error', -1,
+  'last date ' || last || ', expected up to 2001-08-01' FROM c""",
     "schema_checks": """SELECT event_type, 'schema' AS check_name, false AS passed, 'error' AS severity,
   'missing: unit; extra: ' AS details
 FROM (SELECT event_type, bool_or(props LIKE '%"unit"%') AS u FROM events GROUP BY 1) WHERE NOT u""",
@@ -509,7 +511,7 @@ mad AS (
 j AS (SELECT l_returnflag, l_linestatus, n, m, d, 0.6745 * (n - m) / nullif(d, 0) AS z FROM r JOIN mad USING (l_returnflag, l_linestatus) WHERE back = 1)
 SELECT l_returnflag, l_linestatus, n AS row_count, round(m + 1e-8, 6) AS median_row_count, round(d + 1e-8, 6) AS mad_row_count,
   round(z + 1e-8, 6) AS score, 'row_count_anomaly' AS check_name, CASE WHEN d = 0 THEN n = m ELSE abs(z) <= 3 END AS passed,
-  'warning' AS severity FROM j""",
+  'warning' AS severity, 'rows ' || n || ', median ' || CAST(m AS DOUBLE) || ', deviation ' || CAST(d AS DOUBLE) AS details FROM j""",
     "energy_power_consistency": f"""WITH {HOURLY},
 f AS (
   SELECT area, CASE WHEN load_hourly_mw = 0 THEN energy_hourly_mwh = 0

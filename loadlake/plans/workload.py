@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadlake.functions.numeric import ratio
 from loadlake.functions.parsing import clock_hour, decimal_comma
 from loadlake.operators import (
     calendar,
@@ -335,15 +336,16 @@ def calibration_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    """Observed metrics per area against those of the calibrated weekday curves (mean over the months)."""
+    """Observed metrics per area against those of the calibrated curves, all days of all months weighted alike."""
 
     def described(df: DataFrame, source: str, scope: str) -> DataFrame:
         long = metrics.metrics_long(metrics.load_metrics(df), ("area",))
         return long.withColumns({"source": F.lit(source), "geographic_scope": F.lit(scope)})
 
     observed = profiles.profile_24h(hourly(spark, folder))
-    weekday = _calibrated(spark, folder).where(F.col("day_type") == "weekday")
-    estimated = weekday.groupBy("area", "hour").agg(F.avg("estimated_load_mw").alias("avg_mw"))
+    days = F.when(F.col("estimated_load_mw").isNotNull(), F.col("n_days_in_month"))
+    mean = ratio(F.sum(F.col("estimated_load_mw") * days), F.sum(days))
+    estimated = _calibrated(spark, folder).groupBy("area", "hour").agg(mean.alias("avg_mw"))
     return rounded(
         metrics.compare_sources(
             described(observed, "observed", "ONS_load_area"), described(estimated, "calibrated", "RJ_state"),
@@ -377,7 +379,7 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
         hour="hour",
         expected_end=F.lit("2001-08-01").cast("date"),
     )
-    return checks.drop("details").withColumn("rows_affected", F.coalesce("rows_affected", F.lit(-1)))
+    return checks.withColumn("rows_affected", F.coalesce("rows_affected", F.lit(-1)))
 
 
 def schema_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -405,7 +407,7 @@ def row_count_anomaly(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     judged = quality.row_count_anomaly(versions, ["l_returnflag", "l_linestatus"], ["version"])
-    return rounded(judged.drop("details", "rows_affected"))
+    return rounded(judged.drop("rows_affected"))
 
 
 def energy_power_consistency(spark: SparkSession, folder: str) -> DataFrame:
