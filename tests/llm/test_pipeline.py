@@ -41,6 +41,24 @@ def test_every_stage_takes_effect(spark):
             assert decontamination.contamination(docs, table(spark, FOLDER, "benchmark")).where("size(spans) > 0").count() == 0
 
 
+def test_columns_with_the_operators_own_names_pass_through(spark):
+    names = ("kept", "measured", "deduplicated", "quality", "key", "_keys", "_gone", "row", "node", "block", "spans")
+    text = " ".join(f"word{i % 37}x{i}" for i in range(60))
+    rows = [(i, f"{text} {i}\nA closing line of its own here {i}", *[f"{n}{i}" for n in names]) for i in (1, 2, 3)]
+    rows += [(None, text + " other", *names), (7, None, *names), (8, "", *names), (1, rows[0][1], *rows[0][2:])]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in names]]))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns
+        for r in out.where("doc_id IS NOT NULL").collect():
+            assert tuple(r)[2:] == tuple(f"{n}{r.doc_id}" for n in names)
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    assert {r.doc_id for r in docs.collect()} == {1, None}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() >= 2
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), FOLDER).count() == 0
+
+
 def test_run_returns_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and rows.count() > 0
