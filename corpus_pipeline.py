@@ -23,20 +23,25 @@ def _columns(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """Id and text, with the whole row beside them, so that no column of it can be taken for an operator's own."""
+    return docs.select("doc_id", "text", F.struct(*_columns(docs)).alias("row"))
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules' posterior keeps."""
-    return quality_rules.judged(docs).where("kept").select(*_columns(docs))
+    return quality_rules.judged(_carried(docs)).where("kept").select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that many documents share; a shared line stays in one document."""
-    told = line_dedup.deduplicate_lines(docs)
+    told = line_dedup.deduplicate_lines(_carried(docs))
     text = F.col("deduplicated")["text"]
-    columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    columns = [(text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns]
     return _counted(told.select(*columns))
 
 
