@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +35,8 @@ UNKNOWN = "und"
 _LETTER = re.compile(rb"[A-Za-z]")
 
 
-def held_out(doc_id):
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
 def parts_of(word: bytes) -> list[bytes]:

@@ -17,7 +17,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,8 +112,8 @@ def labelled(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataF
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def held_out(doc_id):
-    return F.crc32(doc_id.cast("string")) % 5 == 0
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> ToxicModel:
