@@ -646,7 +646,7 @@ SELECT country, round(pow(b / a, 0.2) - 1 + 1e-8, 6) AS cagr FROM e""",
 o AS (SELECT country, year, CAST(round_even(value * 1e6, 0) AS BIGINT) AS official_units FROM yearly)
 SELECT country, year, scenario, implied_bev_phev_fleet_units AS implied_units, official_units,
   round(implied_bev_phev_fleet_units / nullif(CAST(official_units AS DOUBLE), 0) + 1e-8, 6) AS consistency_ratio
-FROM scen JOIN o USING (country, year)""",
+FROM scen LEFT JOIN o USING (country, year)""",
     "hour_weights": """WITH r AS (
   SELECT l_returnflag AS strategy, CAST(l_orderkey % 24 AS INTEGER) AS hour, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2)
 SELECT strategy, hour, round(q / sum(q) OVER (PARTITION BY strategy) + 1e-8, 6) AS weight FROM r""",

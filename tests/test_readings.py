@@ -62,7 +62,23 @@ def test_hour_without_readings_has_null_mean_and_no_energy(silver):
 def test_envelopes_and_empty_files(silver):
     df = silver(a={"data": MORNING[:2]}, b={"result": MORNING[2:3]}, c=[], d={"data": []}, e={"other": 1},
                 f={"data": MORNING[3:4], "result": MORNING[4:]})
-    assert sorted(r.load_mw for r in df.collect()) == [1000.0, 1010.0, 1020.0, 1030.0]
+    usable, rejected = readings.split_rejects(df)
+    assert sorted(r.load_mw for r in usable.collect()) == [1000.0, 1010.0, 1020.0, 1030.0]
+    assert rejected.count() == 1  # the object without records
+
+
+def test_system_total_of_many_areas(spark):
+    names = [f"area{i}" for i in range(200)]
+    row = "date date, year int, month int, day int, hour int, day_type string, area string, load_hourly_mw double, energy_hourly_mwh double, quality_flag string"
+    data = [(None, 2026, 6, 1, h, "weekday", a, 1.0, 1.0, "ok") for h in (0, 1) for a in names if (h, a) != (1, "area7")]
+    total = readings.system_hourly(spark.createDataFrame(data, row), names).collect()
+    assert [(r.hour, r.load_hourly_mw) for r in total] == [(0, 200.0)]
+
+
+def test_holidays_of_any_year(spark):
+    days = spark.sql("SELECT explode(array(DATE '1985-12-25', DATE '2101-12-25', DATE '2150-04-21', DATE '1985-12-26', NULL)) AS date")
+    kinds = [r.day_type for r in calendar.with_day_type(days).collect()]
+    assert kinds == ["holiday", "holiday", "holiday", "weekday", None]
 
 
 def test_unreadable_fields_become_null_and_timestamps_rejects(silver):
