@@ -117,3 +117,20 @@ def test_current_link_and_fallback(spark):
     assert hit.download_url == "https://example.org/d/two.csv" and not hit.used_fallback
     assert miss.download_url == "https://known.org/k.csv" and miss.used_fallback
     assert miss.resource_id == "epe-" + hashlib.sha1(b"https://known.org/k.csv").hexdigest()[:16]
+
+
+def test_links_behind_long_and_unclosed_markup(spark):
+    from loadlake.functions.urls import anchor_hrefs
+
+    junk = "x" * 1_000_000
+    pages = [
+        f"<a title='{junk}' data-href='no' href='/one'>1</a>",
+        f"<a {'q ' * 300_000}HREF = /two>2</a>",
+        f"<a href='/three'>3</a><a title=\"{junk}",
+        f"<a href='/four'>4</a><!-- {junk}<a href='/hidden'>",
+        "<a title=\"href='/no'\" href=\"/five?a=1&amp;b=2\">5</a><a>6</a><a href=''>7</a>",
+    ]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, p string")
+    found = {r.i: r.h for r in df.select("i", anchor_hrefs(F.col("p")).alias("h")).collect()}
+    assert found[0] == ["/one"] and found[1] == ["/two"] and found[2] == ["/three"] and found[3][0] == "/four"
+    assert found[4][0] == "/five?a=1&b=2"
