@@ -79,10 +79,24 @@ def labelled(mixed: np.ndarray) -> np.ndarray:
 
 
 def sketches(text: bytes | None) -> list[int] | None:
-    """``SKETCHES`` numbers, each from two labelled shingles in text order; None for a text without words."""
-    keys = labelled(shingles(text)) if text else np.zeros(0, np.uint64)
-    if not len(keys):
+    """``SKETCHES`` numbers, each from two labelled shingles in text order; None for a text without words.
+
+    A text that repeats shingles has as many again over the first occurrences alone: against the same text with other
+    repeats the labelled ones hardly agree, while the similarity counts different shingles.
+    """
+    mixed = shingles(text)
+    if not len(mixed):
         return None
+    keys = labelled(mixed)
+    return _sketched(keys) + (_sketched(first_ones(mixed)) if keys is not mixed else [])
+
+
+def first_ones(mixed: np.ndarray) -> np.ndarray:
+    """The different shingles in the order of their first occurrences."""
+    return mixed[np.sort(np.unique(mixed, return_index=True)[1])]
+
+
+def _sketched(keys: np.ndarray) -> list[int]:
     out = []
     for seed in _SEEDS:
         mixed = (keys ^ seed) * np.uint64(0xD6E8FEB86659FD93)
@@ -169,16 +183,39 @@ def alignment(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([aligned(shingles(a), of(b)) for a, b in zip(left, right, strict=True)], dtype=float)
 
 
+def labelled_part(sketch: str = "sketch") -> Column:
+    return F.slice(sketch, 1, SKETCHES)
+
+
+def first_part(sketch: str = "sketch") -> Column:
+    """The sketches over first occurrences, which are the labelled ones where no shingle is repeated."""
+    return F.slice(sketch, -SKETCHES, SKETCHES)
+
+
+def _n_equal(a: Column, b: Column) -> Column:
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
+
+
 def groups(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """``node, key, sub, other_sub``: nodes by the groups of their band keys, each of a limited size; and pairs ``a, b``
     that tie the parts of a split bucket to its first node.
 
     Buckets beyond the limit are split by a further sketch, then by number. There are fewer than 10,000 of these.
     """
-    places = F.transform(F.slice("sketch", 1, bands), lambda x, i: F.struct(i.alias("band"), x.alias("key")))
+    spare = SKETCHES - bands
+
+    def places(half: Column) -> Column:
+        rest = F.slice(half, bands + 1, spare)
+        return F.transform(
+            F.slice(half, 1, bands),
+            lambda x, i: F.struct(
+                F.xxhash64(i, x).alias("key"), F.get(rest, i % spare).alias("sub"), F.get(rest, (i + 1) % spare).alias("other_sub")
+            ),
+        )
+
     known = nodes.where(F.col("sketch").isNotNull())
-    rows = known.select("node", F.col("sketch")[bands].alias("sub"), F.col("sketch")[bands + 1].alias("other_sub"), F.explode(places).alias("p"))
-    parts = stored(rows.select("node", "sub", "other_sub", F.xxhash64("p.band", "p.key").alias("key")))
+    both = F.array_distinct(F.concat(places(labelled_part()), places(first_part())))
+    parts = stored(known.select("node", F.explode(both).alias("p")).select("node", "p.sub", "p.other_sub", "p.key"))
     limit = max(group, parts.count() // 10_000)
     by_sketch = F.xxhash64("key", "sub")
     parts_of = F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / limit))).cast("long")  # so that bands split large groups alike
@@ -226,7 +263,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float,
     sketch = nodes.select("node", "sketch")
     both = pairs.join(sketch.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a")
     both = both.join(sketch.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b")
-    equal = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
+    equal = F.greatest(_n_equal(labelled_part("sa"), labelled_part("sb")), _n_equal(first_part("sa"), first_part("sb")))
     worth = stored(both.where(equal >= min_equal).select("a", "b"))
     texts = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("t"))
     with_a = worth.join(texts.withColumnsRenamed({"node": "a", "t": "ta"}), "a")

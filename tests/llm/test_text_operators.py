@@ -219,6 +219,15 @@ def test_alignment_counts_shared_shingles_in_order():
     assert (np.diff(values[best]) > 0).all() and (np.diff(best) > 0).all()
 
 
+def test_repeated_texts_are_near_duplicates_of_the_single_one(shipped):
+    texts = []
+    for i in range(30):
+        base = prose(7000 + i, 150)
+        texts += [base, f"{base} {base}", " ".join([base] * 4)]
+    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(frame(shipped, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == [i - i % 3 for i in range(len(texts))]
+
+
 # Decontamination ----------------------------------------------------------------------------------------------
 
 
