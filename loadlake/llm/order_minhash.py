@@ -6,7 +6,8 @@ share it with a probability near the square of their similarity, and less if the
 key meet in a bucket. Large buckets are split by a further sketch, then by number, so that no group is large; in a group
 each text is proposed to the group's first text, never to all others. Proposals
 with enough equal sketches are verified by banded alignment of the shingle sequences. Links become classes by connected
-components; then texts that are neighbours in a group's sketch order but still in different classes get a second round.
+components. What is left is searched exactly: of the texts in unsplit buckets that still hold several classes, all pairs
+of different classes that share one of their rarest shingles, which every similar pair does (prefix filter).
 
 Similarity of two texts: different shingles aligned in order, over the different shingles of both; links need 0.8.
 Exact copies are one node from the start.
@@ -15,9 +16,11 @@ Exact copies are one node from the start.
 from __future__ import annotations
 
 from bisect import bisect_left
+from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +33,9 @@ SKETCHES = 16
 BANDS = 10
 MIN_EQUAL = 4
 GROUP = 64
-NEIGHBOURS = 6
-MIN_EQUAL_AGAIN = 6
+COUNTED_TEXTS = 2_000
+FREQUENT = 200_000
+BLOCK = 1_000
 _MASK = (1 << 64) - 1
 _MIX = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1 for i in range(SHINGLE)], np.uint64)
 _SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & _MASK for i in range(SKETCHES)], np.uint64)
@@ -196,26 +200,29 @@ def _n_equal(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
 
 
-def groups(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
-    """``node, key, sub, other_sub``: nodes by the groups of their band keys, each of a limited size; and pairs ``a, b``
-    that tie the parts of a split bucket to its first node.
-
-    Buckets beyond the limit are split by a further sketch, then by number. There are fewer than 10,000 of these.
-    """
+def buckets(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
+    """``node, sub, key``: a row per node and band key, with one of the sketches that are no band."""
     spare = SKETCHES - bands
 
     def places(half: Column) -> Column:
         rest = F.slice(half, bands + 1, spare)
         return F.transform(
             F.slice(half, 1, bands),
-            lambda x, i: F.struct(
-                F.xxhash64(i, x).alias("key"), F.get(rest, i % spare).alias("sub"), F.get(rest, (i + 1) % spare).alias("other_sub")
-            ),
+            lambda x, i: F.struct(F.xxhash64(i, x).alias("key"), F.get(rest, i % spare).alias("sub")),
         )
 
     known = nodes.where(F.col("sketch").isNotNull())
     both = F.array_distinct(F.concat(places(labelled_part()), places(first_part())))
-    parts = stored(known.select("node", F.explode(both).alias("p")).select("node", "p.sub", "p.other_sub", "p.key"))
+    return known.select("node", F.explode(both).alias("p")).select("node", "p.sub", "p.key")
+
+
+def groups(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """``node, key, sub``: nodes by the groups of their band keys, each of a limited size; and pairs ``a, b``
+    that tie the parts of a split bucket to its first node.
+
+    Buckets beyond the limit are split by a further sketch, then by number. There are fewer than 10,000 of these.
+    """
+    parts = stored(buckets(nodes, bands))
     limit = max(group, parts.count() // 10_000)
     by_sketch = F.xxhash64("key", "sub")
     parts_of = F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / limit))).cast("long")  # so that bands split large groups alike
@@ -228,7 +235,7 @@ def groups(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> tuple[Da
         met = marked.where(large).select("node", "centre", split.alias("key"))
         met = met.groupBy("key").agg(F.min("node").alias("a"), F.min("centre").alias("b")).where(F.col("a") != F.col("b")).select("a", "b")
         ties = met if ties is None else ties.unionByName(met)
-        parts = stored(marked.select("node", "sub", "other_sub", F.when(large, split).otherwise(F.col("key")).alias("key")))
+        parts = stored(marked.select("node", "sub", F.when(large, split).otherwise(F.col("key")).alias("key")))
     return parts, ties.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
@@ -244,27 +251,107 @@ def proposals(parts: DataFrame, ties: DataFrame) -> DataFrame:
     return _pairs(parts, F.array(first)).unionByName(ties).distinct()
 
 
-def further_proposals(parts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of nodes of different classes (``node, root``) that are near each other in a group, in two orders."""
-    told = parts.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    whole = Window.partitionBy("key")
-    mixed = told.withColumns({"low": F.min("root").over(whole), "high": F.max("root").over(whole)}).where("low <> high")
-    near = []
-    for sub in ("sub", "other_sub"):
-        order = Window.partitionBy("key").orderBy(sub, "node")
-        for k in range(1, NEIGHBOURS + 1):
-            other = F.lag(F.struct("node", "root"), k).over(order)
-            near.append(F.when(other["root"] != F.col("root"), other["node"]))
-    return _pairs(mixed, F.array(*near)).distinct()
+def _prefixes(docs: DataFrame, live: DataFrame, least: float) -> DataFrame:
+    """``node, root, shingle, place, size``: the rarest different shingles of each live text, as many as it takes that
+    two texts with ``least`` of their union in common share one.
+
+    Any fixed order of shingles is right; that of counts in a sample of the texts keeps common passages out.
+    """
+    texts = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("t")).join(live, "node")
+    some = max(1, live.count() // COUNTED_TEXTS)
+
+    def different(batches):
+        for batch in batches:
+            every = [np.unique(shingles(t)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(every).view(np.int64))], ["shingle"])
+
+    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(some)) == 0).select("t")
+    counts = sample.mapInArrow(different, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    top = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas().sort_values("shingle")
+    sent = docs.sparkSession.sparkContext.broadcast((top["shingle"].to_numpy(np.int64), top["n"].to_numpy(np.int64)))
+
+    def rarest(batches):
+        frequent, n_of = sent.value
+        for batch in batches:
+            found, sizes, lengths = [], [], []
+            for t in batch.column("t").to_pylist():
+                keys = np.unique(shingles(t)).view(np.int64)
+                n = np.zeros(len(keys), np.int64)
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+                    n = np.where(frequent[at] == keys, n_of[at], 0)
+                length = len(keys) - ceil(least * len(keys) - 1e-9) + 1 if len(keys) else 0
+                found.append(keys[np.lexsort((keys, n))[:length]])
+                sizes.append(len(keys))
+                lengths.append(length)
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+            place = np.concatenate([np.arange(n) for n in lengths])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node").take(pa.array(rows)),
+                    batch.column("root").take(pa.array(rows)),
+                    pa.array(np.concatenate(found)),
+                    pa.array(place, pa.int32()),
+                    pa.array(np.array(sizes)[rows], pa.int32()),
+                ],
+                ["node", "root", "shingle", "place", "size"],
+            )
+
+    kind = live.schema["node"].dataType.simpleString()
+    return texts.mapInArrow(rarest, f"node {kind}, root {kind}, shingle long, place int, size int")
+
+
+def remaining(nodes: DataFrame, classes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """``a, b, ra, rb, n``: all pairs of nodes of different classes that can have ``least`` of their shingles in common,
+    of the nodes in buckets with several classes; their classes, and how many of their rarest shingles they share.
+
+    A shingle's nodes of its largest class are met by those of other classes only, block by block.
+    """
+    told = buckets(nodes).select("node", "key").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    told = stored(told)
+    mixed = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    live = stored(told.join(mixed, "key", "left_semi").select("node", "root").distinct())
+    rows = stored(_prefixes(docs, live, least))
+    both = least / (1 + least)  # similarity needs this part of both sizes in common
+    early = (F.col("place") <= F.col("size") - F.ceil(2 * both * F.col("size") - 1e-9)).cast("long")  # all that the smaller text needs
+    per_class = rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("n"), F.sum(early).alias("early"))
+    shared = per_class.groupBy("shingle").agg(
+        F.sum("n").alias("n"), F.max_by("root", "n").alias("largest"), F.count(F.lit(1)).alias("m"), F.sum("early").alias("early")
+    )
+    shared = shared.where("m > 1 and early > 0")
+    met = rows.join(shared.select("shingle", "n", "largest"), "shingle").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    left = met.where(F.col("root") != F.col("largest"))
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    left = left.select("shingle", "block", "largest", *[F.col(c).alias(f"{c}_l") for c in ("node", "root", "place", "size")])
+    right = right.select("shingle", "block", *[F.col(c).alias(f"{c}_r") for c in ("node", "root", "place", "size")])
+    need = F.ceil(both * (F.col("size_l") + F.col("size_r")) - 1e-9)
+    pairs = left.join(right, ["shingle", "block"]).where(
+        (F.col("root_l") != F.col("root_r"))
+        & ((F.col("root_r") == F.col("largest")) | (F.col("node_l") < F.col("node_r")))
+        & (F.col("place_l") <= F.col("size_l") - need)
+        & (F.col("place_r") <= F.col("size_r") - need)
+    )
+    turned = F.col("node_l") < F.col("node_r")
+    a, b = F.greatest("node_l", "node_r").alias("a"), F.least("node_l", "node_r").alias("b")
+    ra, rb = F.when(turned, F.col("root_r")).otherwise(F.col("root_l")), F.when(turned, F.col("root_l")).otherwise(F.col("root_r"))
+    return pairs.select(a, b, ra.alias("ra"), rb.alias("rb")).groupBy("a", "b", "ra", "rb").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose nodes are in different classes."""
+    for x in ("a", "b"):
+        pairs = pairs.join(classes.withColumnsRenamed({"node": x, "root": f"now_{x}"}), x, "left")
+    return pairs.where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float, min_equal: int = MIN_EQUAL) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The proposed pairs with enough equal sketches whose texts align well enough."""
     sketch = nodes.select("node", "sketch")
     both = pairs.join(sketch.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a")
     both = both.join(sketch.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b")
     equal = F.greatest(_n_equal(labelled_part("sa"), labelled_part("sb")), _n_equal(first_part("sa"), first_part("sb")))
-    worth = stored(both.where(equal >= min_equal).select("a", "b"))
+    worth = stored(both.where(equal >= MIN_EQUAL).select("a", "b"))
     texts = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("t"))
     with_a = worth.join(texts.withColumnsRenamed({"node": "a", "t": "ta"}), "a")
     with_b = with_a.join(texts.withColumnsRenamed({"node": "b", "t": "tb"}), "b")
@@ -305,8 +392,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     nodes = copies.groupBy("node").agg(F.first("sketch").alias("sketch"))
     parts, ties = groups(nodes)
     links = stored(verified(proposals(parts, ties), nodes, known, least))
-    further = further_proposals(parts, components(links))
-    links = stored(links.unionByName(verified(further, nodes, known, least, MIN_EQUAL_AGAIN)).distinct())
+    rest = stored(remaining(nodes, components(links), known, least))
+    best = rest.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.max_by(F.struct("a", "b"), "n").alias("p")).select("p.*")
+    links = stored(links.unionByName(verified(best, nodes, known, least)).distinct())
+    links = stored(links.unionByName(verified(_apart(rest, components(links)), nodes, known, least)).distinct())
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     classes = components(links)
     told = copies.select("copy", "node", "n_copies").join(classes, "node", "left").join(degree, "node", "left")

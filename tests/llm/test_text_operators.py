@@ -228,6 +228,24 @@ def test_repeated_texts_are_near_duplicates_of_the_single_one(shipped):
     assert [found[i] for i in range(len(texts))] == [i - i % 3 for i in range(len(texts))]
 
 
+def test_similar_pairs_in_a_large_family_of_less_similar_texts(shipped):
+    letter, texts = prose(8000, 154), []
+    for i in range(1500):  # two letters of a family share 0.7 of their shingles, the two of a pair 0.83
+        own = prose(9000 + i, 36).split()
+        other = own[:18] + prose(20000 + i, 18).split()
+        texts += [f"{letter} {' '.join(own)}", f"{letter} {' '.join(other)}"]
+    order = np.random.default_rng(3).permutation(len(texts))
+    texts = [texts[i] for i in order]
+    sets = [shingle_set(t) for t in texts]
+    place = {int(k): i for i, k in enumerate(order)}
+    pairs = [sorted((place[2 * i], place[2 * i + 1])) for i in range(1500)]
+    assert all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in pairs)
+    (a, _), (b, _) = pairs[:2]
+    assert len(sets[a] & sets[b]) < 0.7 * len(sets[a] | sets[b])
+    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(frame(shipped, texts)).collect()}
+    assert all(found[a] == found[b] == a for a, b in pairs)  # letters of different pairs are not alike
+
+
 # Decontamination ----------------------------------------------------------------------------------------------
 
 
