@@ -170,15 +170,12 @@ def closeness(a: str, b: str) -> int:
 
 
 def settled(marks: list[int], shared: list[bool], lines: list[str]) -> str:
-    """The kept lines: those inside the article; without an article, the open lines that the neighbour does not share.
+    """The kept lines in page order: those inside the article and the open lines that the neighbour does not share.
 
     A page all of whose open lines are shared is a copy, which says nothing about template, so they stay.
     """
-    inside = [line for line, m in zip(lines, marks, strict=True) if m == IN]
-    if inside:
-        return "\n".join(inside)
-    fresh = [line for line, m, s in zip(lines, marks, shared, strict=True) if m == OPEN and not s]
-    return "\n".join(fresh or [line for line, m in zip(lines, marks, strict=True) if m == OPEN])
+    kept = [line for line, m, s in zip(lines, marks, shared, strict=True) if m == IN or m == OPEN and not s]
+    return "\n".join(kept or [line for line, m in zip(lines, marks, strict=True) if m == OPEN])
 
 
 def extract(pages: DataFrame) -> DataFrame:

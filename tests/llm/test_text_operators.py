@@ -514,6 +514,12 @@ def test_article_without_its_surroundings(shipped):
     assert page_diff.extract(pages.where("false")).count() == 0
 
 
+def test_open_lines_beside_an_article_are_compared_too():
+    page = "<body><div>Menu of all</div><div class='post-title'>Heading</div><p>First part</p><p>Second part</p></body>"
+    lines, marks = zip(*page_diff.blocks(page), strict=True)
+    assert page_diff.settled(list(marks), [True, False, False, False], list(lines)) == "Heading\nFirst part\nSecond part"
+
+
 def test_template_lines_are_those_of_the_nearest_page(shipped):
     rows = []
     for i in range(40):
