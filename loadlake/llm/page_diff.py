@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Element names of HTML.
-SKIPPED = ("script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "textarea", "select", "button", "math", "canvas")
+SKIPPED = frozenset("script style iframe title textarea".split())  # raw text up to their end tag
+DROPPED = frozenset("noscript template svg object head select button math canvas".split())  # end with their parent
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -36,6 +38,12 @@ OUTSIDE_WORDS = frozenset(
     "complementary contentinfo dialog alertdialog".split()
 )
 INSIDE_WORDS = frozenset("article story post content entry main".split())
+#: Elements that loose words may take out as a whole, and the words that are clear inside an article too.
+CONTAINERS = frozenset("div section ul ol dl table tbody tr td span".split())
+CLEAR_WORDS = frozenset(
+    "ad ads adv advert advertisement advertising sponsor sponsored promo comments commentlist share sharing newsletter".split()
+)
+TITLED = frozenset("article story post entry".split())
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(?:>|\Z)", re.S
@@ -47,15 +55,25 @@ _SPACE = re.compile(r"\s+")
 OPEN, IN, OUT = 0, 1, 2
 
 
-def _mark(tag: str, attributes: str) -> int:
-    """What an element says about the text inside it."""
+def _mark(tag: str, attributes: str, around: int = OPEN) -> int:
+    """What an element says about the text inside it; ``around`` is the mark of its surroundings.
+
+    Ids and loose words count outside the article and on containers only; inside it only clear classes do.
+    """
     if tag in OUTSIDE:
         return OUT
     words: set[str] = set()
+    named: set[str] = set()
     if attributes:
-        for _, a, b, c in _MARKS.findall(attributes):
-            words.update(_WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower()))
-    if words & OUTSIDE_WORDS and tag not in ("body", "html"):
+        for name, a, b, c in _MARKS.findall(attributes):
+            some = _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower())
+            words.update(some)
+            if name.lower() != "id":
+                named.update(some)
+    away = named & CLEAR_WORDS if around == IN else words & OUTSIDE_WORDS
+    if away == {"header"} and words & TITLED:  # of an article, as in class="post-header"
+        away = set()
+    if away and tag in CONTAINERS:
         return OUT
     return IN if tag in INSIDE or (words & INSIDE_WORDS and tag in ("div", "section", "td")) else OPEN
 
@@ -71,6 +89,7 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
     held: list[str] = []
     stack: list[tuple[str, int]] = []
     marked = OPEN
+    dropping = 0  # open elements of DROPPED
 
     def flush() -> None:
         text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
@@ -81,7 +100,8 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
     at = 0
     while True:
         m = _PIECE.search(page, at)
-        held.append(page[at : m.start()] if m else page[at:])
+        if not dropping:
+            held.append(page[at : m.start()] if m else page[at:])
         if not m:
             break
         at = m.end()
@@ -90,15 +110,21 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         tag = m[2].lower()
         if m[1]:
             if any(name == tag for name, _ in stack):
-                if tag in BLOCKS:
+                depth = max(k for k, (name, _) in enumerate(stack) if name == tag)
+                if tag in BLOCKS and not (dropping and any(name in DROPPED for name, _ in stack[:depth])):
                     flush()
                 while stack:
                     name, marked = stack.pop()
+                    dropping -= name in DROPPED
                     if name == tag:
                         break
-            elif tag in BLOCKS:
+            elif tag in BLOCKS and not dropping:
                 flush()
             continue
+        if stack and (stack[-1][0] == "head" and tag not in IN_HEAD or tag == "body"):  # its end tag may be left out
+            while any(name == "head" for name, _ in stack):
+                name, marked = stack.pop()
+                dropping -= name in DROPPED
         if tag in SKIPPED:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -106,7 +132,7 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
             continue
         if tag == "br":
             held.append(" ")
-        if tag in BLOCKS:
+        if tag in BLOCKS and not dropping:
             flush()
             if tag in ("p", "li", "td", "th", "tr", "dt", "dd"):  # closes an open one of its kind
                 for k in range(len(stack) - 1, -1, -1):
@@ -119,7 +145,10 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         if tag in EMPTY or m[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
         stack.append((tag, marked))
-        own = _mark(tag, m[3])
+        if tag in DROPPED:
+            held.append(" ")
+            dropping += 1
+        own = _mark(tag, m[3], marked) if not dropping else OPEN
         if own == OUT and tag == "header" and marked == IN:
             own = OPEN
         if own == OUT or own == IN and marked == OPEN:

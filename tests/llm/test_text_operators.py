@@ -514,6 +514,22 @@ def test_article_without_its_surroundings(shipped):
     assert page_diff.extract(pages.where("false")).count() == 0
 
 
+def test_parts_of_pages_end_with_their_parents_and_loose_words_are_weak():
+    def kept(page):
+        return [line for line, mark in page_diff.blocks(page) if mark != page_diff.OUT]
+
+    assert kept("<html><head><title>T</title><meta charset=x><body><p>Text</p>") == ["Text"]
+    assert kept("<head><noscript><p>no</p></noscript><link><p>Text</p>") == ["Text"]
+    for tag in ("button", "select", "object", "noscript", "svg", "template"):
+        assert kept(f"<div>a <{tag}>gone</div><p>b</p>") == ["a", "b"]
+        assert kept(f"<p>a <{tag}>gone</{tag}> b</p>") == ["a b"]
+    assert kept("<p>a<noscript><p>no</p></noscript> b</p>") == ["a b"]
+    assert kept("<head><noscript><body><p>Text</p>") == ["Text"]
+    article = "<article><h2 id='related-work'>R</h2><p id='side-effects'>S</p><section id='discussion'>D</section>%s</article>"
+    assert kept(article % "<div class='share'>x</div><div class='comments'>y</div>") == ["R", "S", "D"]
+    assert kept("<div class='post-header'>H</div><p id='legal'>L</p><div class='sidebar'>x</div>") == ["H", "L"]
+
+
 def test_open_lines_beside_an_article_are_compared_too():
     page = "<body><div>Menu of all</div><div class='post-title'>Heading</div><p>First part</p><p>Second part</p></body>"
     lines, marks = zip(*page_diff.blocks(page), strict=True)
