@@ -10,9 +10,8 @@ The benchmark is a stated query set. It is taken to the tasks in blocks of items
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -127,57 +126,59 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """``doc_id, n_words, spans, items`` per row of ``docs``: hit word spans and the items with occurring windows.
 
     Null texts have no words. Rows that repeat a doc_id are results of their own. Items without id are not searched.
-    With several blocks of items the spans of a document are merged over the blocks, by doc_id and text.
+    Each batch of documents is searched for one block of items after another, and its spans are merged there.
     """
-    results = [_in_block(docs, Phrases(block, window)) for block in blocks(benchmark)]
-    if not results:
-        results = [_in_block(docs, Phrases([], window))]
-    if len(results) == 1:
-        return results[0].drop("row")
-    every = results[0]
-    for more in results[1:]:
-        every = every.unionByName(more)
-    same = every.groupBy("row", "doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    ordered = F.array_sort("s")
-    join = F.aggregate(
-        ordered,
-        F.expr("cast(array() as array<struct<first:int,end:int>>)"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (x["first"] <= F.element_at(done, -1)["end"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["first"].alias("first"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"))),
-            ),
-        ).otherwise(F.concat(done, F.array(x))),
-    )
-    return same.select("doc_id", "n_words", join.alias("spans"), "items")
-
-
-def _in_block(docs: DataFrame, phrases: Phrases) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(phrases)
+    load = _placed(docs, benchmark, window)
     spans_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = scan(texts, sent.value)
+            found = scanned(batch.column(1).to_pylist(), load())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([n for n, _, _ in found], pa.int64()),
                     pa.array([[{"first": a, "end": b} for a, b in s.tolist()] for _, s, _ in found], spans_type),
                     pa.array([sorted(x) for _, _, x in found], pa.list_(pa.string())),
-                    pa.array([hashlib.blake2b(t or b"", digest_size=16).digest() for t in texts], pa.binary()),
                 ],
-                ["doc_id", "n_words", "spans", "items", "row"],
+                ["doc_id", "n_words", "spans", "items"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
-        find, f"doc_id {kind}, n_words long, spans array<struct<first:int,end:int>>, items array<string>, row binary"
+        find, f"doc_id {kind}, n_words long, spans array<struct<first:int,end:int>>, items array<string>"
     )
 
 
+def _placed(docs: DataFrame, benchmark: DataFrame, window: int) -> Callable[[], Iterator[Phrases]]:
+    """A function for tasks that gives the phrases of one block after another. Each block is a broadcast of its own, of
+    which a task holds one at a time."""
+    context = docs.sparkSession.sparkContext
+    sent = [context.broadcast(Phrases(block, window)) for block in blocks(benchmark)]
+
+    def load() -> Iterator[Phrases]:
+        for one in sent:
+            yield one.value
+            if len(sent) > 1 and getattr(one, "_path", None):
+                vars(one).pop("_value", None)  # read again from the local file when it is asked for again
+
+    return load
+
+
+def scanned(texts: list[bytes | None], every: Iterator[Phrases]) -> list[tuple[int, np.ndarray, set[str]]]:
+    """``scan`` over several blocks of items: spans merged and items united for each text."""
+    results = None
+    for phrases in every:
+        found = scan(texts, phrases)
+        results = found if results is None else [_both(x, y) for x, y in zip(results, found, strict=True)]
+    return scan(texts, Phrases([])) if results is None else results
+
+
+def _both(x: tuple[int, np.ndarray, set[str]], y: tuple[int, np.ndarray, set[str]]) -> tuple[int, np.ndarray, set[str]]:
+    spans = np.concatenate([x[1], y[1]])
+    return x[0], merged(spans[np.argsort(spans[:, 0], kind="stable")]) if len(spans) else spans, x[2] | y[2]
+
+
 def cut(text: bytes, spans: np.ndarray) -> bytes:
     """Text without the bytes from each span's first word to its last."""
     at = [m.span() for m in _WORD.finditer(text.translate(_FOLD))]
@@ -206,18 +207,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     Blocks of items are cut one after another, and all of them again while a later cut joins words of an earlier block.
     """
-    every = [Phrases(block, window) for block in blocks(benchmark)]
-    sent = docs.sparkSession.sparkContext.broadcast(every)
+    load = _placed(docs, benchmark, window)
     at = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
-            while sent.value:
-                before = texts
-                for phrases in sent.value:
+            while True:
+                before, n = texts, 0
+                for phrases in load():
                     texts = cleaned(texts, phrases)
-                if len(sent.value) == 1 or texts == before:
+                    n += 1
+                if n < 2 or texts == before:
                     break
             out = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([out if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)

@@ -305,6 +305,18 @@ def test_hits_agree_with_a_scan(shipped, monkeypatch):
     assert len(none) == len(texts) and not any(r.spans or r["items"] for r in none)
 
 
+@pytest.mark.parametrize("limit", [decontamination.BLOCK_WORDS, 100])
+def test_equal_rows_are_results_of_their_own_in_any_number_of_blocks(shipped, monkeypatch, limit):
+    monkeypatch.setattr(decontamination.blocks, "__defaults__", (limit,))
+    text = f"{ITEMS[0][1]} and {ITEMS[1][1]}"
+    docs = frame(shipped, [text] * 4, [7, 7, None, None])
+    benchmark = shipped.createDataFrame(ITEMS, "item_id string, text string")
+    found = decontamination.contamination(docs, benchmark).collect()
+    [(n, hit, names)] = plain_contamination([text], ITEMS)
+    assert sorted(r.doc_id or 0 for r in found) == [0, 0, 7, 7]
+    assert all((r.n_words, sum(s["end"] - s["first"] for s in r.spans), sorted(r["items"])) == (n, len(hit), sorted(names)) for r in found)
+
+
 def test_removal_leaves_no_window_and_clean_texts_alone(shipped):
     texts = contaminated_texts()
     w = prose(32, 12).split()
