@@ -16,6 +16,7 @@ from loadlake.llm import (
     page_diff,
     pii,
     quality_rules,
+    spelling,
     token_counts,
     toxic_segments,
 )
@@ -111,6 +112,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(docs, tokenizer_path(BYTE_TOKENIZER)).select("doc_id", "tokens.*")
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: shipping(query)
     for query in (
@@ -124,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fm_decontamination,
         op9_pii,
         op10_token_counts,
+        op13_spelling_variants,
     )
 }
 
@@ -178,4 +184,50 @@ ORACLES: dict[str, str] = {
             coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM folded LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE lowered AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+            FROM documents
+        ), counted AS (
+            SELECT doc, run, count(*) AS n FROM lowered GROUP BY ALL
+        ), summed AS (
+            SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc || ':' || run, ''),
+                lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))),
+                lambda s, b: xor(s >> 8, xor(
+                    xor(xor((xor(s, b) & 1) * 1996959894, ((xor(s, b) >> 1) & 1) * 3993919788),
+                        xor(((xor(s, b) >> 2) & 1) * 124634137, ((xor(s, b) >> 3) & 1) * 249268274)),
+                    xor(xor(((xor(s, b) >> 4) & 1) * 498536548, ((xor(s, b) >> 5) & 1) * 997073096),
+                        xor(((xor(s, b) >> 6) & 1) * 1994146192, ((xor(s, b) >> 7) & 1) * 3988292384)))))) AS h
+            FROM counted
+        ), vocabulary AS (
+            SELECT word, sum(n)::BIGINT AS n FROM (
+                SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                    ELSE run END AS word, n FROM summed)
+            WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+        ), cut AS (
+            SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS short
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+        ), holed AS (
+            SELECT word, n, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS hole
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+        ), near AS (
+            SELECT c.word, v.word AS other, v.n AS other_n FROM cut c JOIN vocabulary v ON v.word = c.short
+            UNION ALL SELECT v.word, c.word, c.n FROM cut c JOIN vocabulary v ON v.word = c.short
+            UNION ALL SELECT a.word, b.word, b.n FROM holed a JOIN holed b ON a.hole = b.hole AND a.word <> b.word
+        ), best AS (
+            SELECT word, count(*)::BIGINT AS n_near, (list(other ORDER BY other_n DESC, other))[1] AS first, max(other_n) AS first_n
+            FROM near GROUP BY word
+        ), formed AS (
+            SELECT v.word, CASE WHEN first_n >= 2 * n THEN first END AS form, n, coalesce(n_near, 0)::BIGINT AS n_near,
+                CASE WHEN first_n >= 2 * n THEN first_n END AS form_n
+            FROM vocabulary v LEFT JOIN best USING (word)
+        ), chain AS (
+            SELECT word, word AS root FROM formed
+            UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+        ), ends AS (
+            SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+    """,
 }
