@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlake.llm import (
     decontamination,
+    hard_negatives,
+    id_files,
     language_id,
     line_dedup,
     order_minhash,
@@ -20,7 +23,7 @@ from loadlake.llm import (
     token_counts,
     toxic_segments,
 )
-from loadlake.llm.common import shipping, table
+from loadlake.llm.common import shared_folder, shipping, table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -112,6 +115,19 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(docs, tokenizer_path(BYTE_TOKENIZER)).select("doc_id", "tokens.*")
 
 
+def op11_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    home = f"{shared_folder(spark)}/ids-{uuid4().hex}"
+    id_files.write(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path(BYTE_TOKENIZER), home)
+    rows = id_files.read(spark, home)
+    return rows.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(table(spark, folder, "embeddings"), moved)
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
 
@@ -129,6 +145,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fm_decontamination,
         op9_pii,
         op10_token_counts,
+        op11_id_files,
+        op12_hard_negatives,
         op13_spelling_variants,
     )
 }
@@ -184,6 +202,25 @@ ORACLES: dict[str, str] = {
             coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM folded LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op12_hard_negatives": r"""
+        WITH v AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS s
+            FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ), positives AS (
+            SELECT anchor_id, other AS positive_id, s AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other) <= 5
+        )
+        SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, other AS negative_id, positive_score, s AS negative_score
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other)
+        QUALIFY row_number() OVER w <= 10
+    """,
     "op13_spelling_variants": r"""
         WITH RECURSIVE lowered AS (
             SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(translate(coalesce(text, ''),

@@ -6,9 +6,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from loadlake.llm import spelling
+from loadlake.llm import hard_negatives, id_coder, id_files, spelling
 from loadlake.llm.common import ship
+from loadlake.llm.queries import BYTE_TOKENIZER, tokenizer_path
 
 SCHEMA = "doc_id long, text string, word string, n long, near string, root string"
 
@@ -111,3 +113,150 @@ def test_long_texts_are_cut_between_runs(monkeypatch):
     text = "Über die Straße, naïve×façade; 漢字 abcdefghijklmnop’s x" * 5
     whole = re.findall("[a-zÀ-ÿ]+", text.encode().lower().decode())
     assert [r.decode() for some in spelling.runs(text.encode()) for r in some] == whole
+
+
+# Hard negatives -------------------------------------------------------------------------------------------------
+
+
+def plain_mined(rows):
+    """Rows of (id, label, vector or None)."""
+    rows = {(i, (k + 1) % 10 if i % 7 == 0 else k, tuple(int(np.floor(256 * float(x))) for x in v)) for i, k, v in usable_rows(rows)}
+    out = set()
+
+    def score(v, w):
+        return sum(x * y for x, y in zip(v, w, strict=False))
+
+    for i, label, v in rows:
+        if i % 100:
+            continue
+        met = sorted((-score(v, w), j, k) for j, k, w in rows)
+        positives = [(-s, j) for s, j, k in met if k == label and j != i][:5]
+        for p, j in positives:
+            fit = [(-s, n) for s, n, k in met if k != label and 30 * p <= -100 * s <= 90 * p][:10]
+            out |= {(i, j, rank, n, p, s) for rank, (s, n) in enumerate(fit, 1)}
+    return out
+
+
+def usable_rows(rows):
+    return [(i, k, v) for i, k, v in rows if i is not None and k is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+
+
+def vectors(rng, n, width=6, spread=0.3):
+    centres = rng.normal(0, 1, (10, width))
+    label = rng.integers(0, 10, n)
+    return label, (centres[label] + rng.normal(0, spread, (n, width))).astype(np.float32)
+
+
+def mined(spark, rows, block=hard_negatives.ANCHOR_BLOCK):
+    frame = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "vec_id long, label int, embedding array<float>, vector string, anchor int, score int").repartition(5)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mined(hard_negatives.usable(frame, moved), F.col("vec_id") % 100 == 0, anchor_block=block)
+    rows = [tuple(r[c] for c in ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")) for r in found.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def odd_vectors(rng):
+    label, v = vectors(rng, 3000)
+    rows = [(i * 5, int(k), x.tolist()) for i, (k, x) in enumerate(zip(label, v, strict=True))]
+    rows += [(9 + 10 * i, 3, rows[40][2]) for i in range(300)]  # ties
+    rows += [(100, 4, [0.0] * 6), (20_000, 4, [0.0] * 6), (20_100, 5, []), (20_200, 5, [1.0, 2.0]), (20_300, 5, [float("nan")] * 6)]
+    rows += [(20_400, None, [1.0] * 6), (None, 1, [1.0] * 6), (20_500, 1, None), (20_600, 1, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (20_700, 77, [1.0] * 6)]
+    rows += [(20_800, 2, [float("inf")] + [0.0] * 5), (-100, 3, rows[7][2])]
+    return [r for r in rows if r is not rows[20]] + rows[:20]
+
+
+def test_negatives_agree_with_all_pairs(shipped):
+    rows = odd_vectors(np.random.default_rng(11))
+    expected = plain_mined(rows)
+    assert len(expected) > 500
+    assert mined(shipped, rows) == expected
+    assert mined(shipped, rows, block=20) == expected  # several blocks of anchors
+
+
+def test_large_components_stay_exact(shipped):
+    rng = np.random.default_rng(12)
+    label, v = vectors(rng, 300, width=3)
+    rows = [(i * 10, int(k), [float(np.float32(y * 1e4)) for y in x]) for i, (k, x) in enumerate(zip(label, v, strict=True))]
+    assert mined(shipped, rows) == plain_mined(rows)
+    wide = [(i, k, [y * 100 for y in x]) for i, k, x in rows]
+    assert mined(shipped, wide) == plain_mined([(i, k, [float(np.float32(y)) for y in x]) for i, k, x in wide])
+
+
+def test_no_anchor_or_no_row(shipped):
+    assert mined(shipped, [(1, 1, [1.0])]) == set() and mined(shipped, [(100, 1, [1.0])]) == set()
+    frame = shipped.createDataFrame([], "vec_id long, label int, embedding array<float>")
+    assert hard_negatives.mined(hard_negatives.usable(frame), F.lit(True)).count() == 0
+
+
+def test_lists_end_early_where_directions_part():
+    rng = np.random.default_rng(13)
+    label, v = vectors(rng, 6000, width=24, spread=0.05)
+    v = np.floor(v.astype(float) * 256)
+    rows = hard_negatives.Rows(np.arange(6000), label, v, np.linalg.norm(v, axis=1))
+    anchors = hard_negatives.Rows(*[x[:100] for x in rows])
+    clusters = hard_negatives.clustered(anchors)
+    assert sorted(np.concatenate(clusters.members)) == list(range(100))
+    collect = hard_negatives.Positives(anchors, 5)
+    assert hard_negatives.walk(rows, anchors, clusters, collect) < 0.5 * 600_000
+    for a in range(100):
+        s = v @ v[a]
+        s[(label != label[a]) | (np.arange(6000) == a)] = -1e18
+        assert collect.lists.ids[a].tolist() == np.lexsort((np.arange(6000), -s))[:5].tolist()
+
+
+# Id files -------------------------------------------------------------------------------------------------------
+
+
+def id_rows(rng):
+    yield from (np.zeros(0), np.array([0]), np.array([2**32 - 1] * 5000), rng.integers(0, 50257, 9000), rng.integers(0, 2**32, 4097))
+    yield np.tile(rng.integers(0, 300, 700), 20)
+    yield rng.zipf(1.3, 30_000) % 50257
+    yield np.concatenate([np.arange(4096), np.zeros(9000), np.arange(5000)[::-1]])
+
+
+def test_coded_blocks_decode_to_the_same_ids(monkeypatch):
+    rng = np.random.default_rng(21)
+    for lanes in (id_coder.LANES, 3):
+        monkeypatch.setattr(id_coder, "LANES", lanes)
+        for ids in id_rows(rng):
+            ids = ids.astype("<u4")
+            coded = id_coder.encode(ids)
+            assert id_coder.decode(coded).tolist() == ids.tolist()
+    repeated = np.tile(rng.integers(0, 50257, 500), 8).astype("<u4")
+    assert len(id_coder.encode(repeated)) < 2500  # 500 ids at two bytes, the rest predicted
+
+
+def test_damaged_blocks_are_noticed():
+    coded = bytearray(id_coder.encode(np.arange(3000, dtype="<u4") % 700))
+    for at in (20, len(coded) // 2, 13):
+        broken = bytes(coded[:at] + bytes([coded[at] ^ 1]) + coded[at + 1 :])
+        with pytest.raises(ValueError, match="damaged"):
+            id_coder.decode(broken)
+
+
+def test_id_files_hold_the_tokenizers_ids_in_order(shipped, tmp_path):
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(22)
+    texts = ["Hello world, it's  ok.\n\n\tNaïve 漢字 <|endoftext|> x<|endoftext|>", "", None, "a" * 20_000, " " * 9000, "\n", "word " * 9000]
+    texts += [" ".join(letters(rng, rng.integers(1, 9), "aeioustr é\n'.9<|") for _ in range(rng.integers(1, 200))) for _ in range(150)]
+    texts += [texts[0], texts[0], texts[8], "null id", "null id", "another null id"]
+    ids = [*(int(i) for i in rng.permutation(len(texts) - 6) - 40), 3, 3, 3, None, None, None]
+    home = str(tmp_path / "ids")
+    id_files.write(frame(shipped, texts, ids), tokenizer_path(BYTE_TOKENIZER), home, page_ids=500)
+    rows = sorted(((r.start, r.doc_id, r.ids) for r in id_files.read(shipped, home).collect()), key=lambda r: r[0])
+    tokenizer = Tokenizer.from_file(tokenizer_path(BYTE_TOKENIZER))
+    expected = Counter((i, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for i, t in zip(ids, texts, strict=True))
+    assert Counter((i, bytes(x)) for _, i, x in rows) == expected
+    assert [i for _, i, _ in rows] == [None] * 3 + sorted(i for i in ids if i is not None)
+    assert [s for s, *_ in rows] == np.cumsum([0, *(len(x) // 4 for *_, x in rows[:-1])]).tolist()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(id_files, "CHARS_AT_ONCE", 50)
+        assert "".join(id_files.parts_of(texts[9], 50)) == texts[9]
+
+
+def test_no_documents_make_no_ids(shipped, tmp_path):
+    home = str(tmp_path / "ids")
+    id_files.write(frame(shipped, ["x"]).where("false"), tokenizer_path(BYTE_TOKENIZER), home)
+    assert id_files.read(shipped, home).count() == 0
