@@ -7,8 +7,11 @@ import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,10 +55,12 @@ def shipping(function: Callable) -> Callable:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; without one a temporary one, on one machine only."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
@@ -66,6 +71,77 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Tables:
+    """Tables that one operator writes to the shared folder and deletes as soon as they are used up.
+
+    Lost executors reread them; the shuffles behind a written table are freed at once.
+    """
+
+    _FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.home = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+        self.kept: list[tuple[DataFrame, str]] = []
+        self.written = 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.home}/{self.written}"
+        self.written += 1
+        before = self.spark.conf.get(self._FREED, "false")
+        self.spark.conf.set(self._FREED, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(self._FREED, before)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.kept.append((table, path))
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc
+        for table, path in self.kept:
+            if any(table is t for t in tables):
+                place = jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(context.hadoopConfiguration()).delete(place, True)
+        self.kept = [(t, p) for t, p in self.kept if not any(t is x for x in tables)]
+
+
+FILTER_BITS_PER_ID = 16
+MAX_FILTER_BITS = 1 << 28
+
+
+def id_filter(ids: DataFrame, name: str, max_bits: int = MAX_FILTER_BITS) -> Callable[[Column], Column]:
+    """A condition that holds for all the ids of a column and for few others, from a broadcast Bloom filter.
+
+    The filter has 16 bits an id and at most ``max_bits`` (32 MB); a fuller one only lets more others through, so an exact
+    join has to follow.
+    """
+    spark = ids.sparkSession
+    n = ids.count()
+    bits = 1 << 12
+    while bits < min(n * FILTER_BITS_PER_ID, max_bits):
+        bits *= 2
+    hashed = F.xxhash64(name)
+    probes = F.array(*[F.shiftrightunsigned(hashed, 18 * k).bitwiseAND(F.lit(bits - 1)) for k in range(3)])
+    cells = ids.select(F.explode(probes).alias("bit")).select(F.expr("bit div 32").alias("cell"), F.expr("shiftleft(1, cast(bit % 32 AS int))").alias("bits"))
+    found = cells.groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(bits // 32, np.uint32)
+    words[found.column("cell").to_numpy()] = found.column("bits").to_numpy().astype(np.int64).astype(np.uint32)
+    sent = spark.sparkContext.broadcast(words)
+
+    @F.pandas_udf(T.BooleanType())
+    def seems_in(hashes: pd.Series) -> pd.Series:
+        h = hashes.to_numpy().view(np.uint64)
+        own = np.ones(len(h), bool)
+        for k in range(3):
+            bit = ((h >> np.uint64(18 * k)) & np.uint64(bits - 1)).astype(np.int64)
+            own &= sent.value[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1) == 1
+        return pd.Series(own)
+
+    return lambda column: seems_in(F.xxhash64(column))
+
+
 def split_join(rows: DataFrame, keyed: DataFrame, on: str, weight: str, parts: int = 1000) -> DataFrame:
     """Inner join of many rows to a table with one row per key, in which ``weight`` counts the key's rows.
 

@@ -3,11 +3,11 @@
 A text is its sequence of 5-word shingles, each labelled with its occurrence number, so that labels are unique in a text.
 A sketch of order MinHash takes the two labelled shingles with the smallest hash and keeps them in text order; two texts
 share it with a probability near the square of their similarity, and less if the order differs. Texts that share a band
-key meet in a bucket. Large buckets are split by a further sketch, then by number, so that no group is large; in a group
-each text is proposed to the group's first text, never to all others. Proposals
-with enough equal sketches are verified by banded alignment of the shingle sequences. Links become classes by connected
-components. What is left is searched exactly: of the texts in unsplit buckets that still hold several classes, all pairs
-of different classes that share one of their rarest shingles, which every similar pair does (prefix filter).
+key meet in a bucket. In a bucket, and in its parts that share a further sketch, each text is proposed to the first text,
+never to all others. Proposals with enough equal sketches are verified by banded alignment of the shingle sequences. Links
+become classes by connected components. What is left is searched exactly: of the texts in buckets that still hold several
+classes, all pairs of different classes that share one of their rarest shingles, which every similar pair does (prefix
+filter); the counts that say what is rare are those of all these texts.
 
 Similarity of two texts: different shingles aligned in order, over the different shingles of both; links need 0.8.
 Exact copies are one node from the start.
@@ -16,26 +16,23 @@ Exact copies are one node from the start.
 from __future__ import annotations
 
 from bisect import bisect_left
-from math import ceil
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlake.llm.common import split_join, stored
+from loadlake.llm.common import Tables, id_filter, split_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 BANDS = 10
 MIN_EQUAL = 4
-GROUP = 64
-COUNTED_TEXTS = 2_000
-FREQUENT = 200_000
 BLOCK = 1_000
+FAN = 100
 _MASK = (1 << 64) - 1
 _MIX = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1 for i in range(SHINGLE)], np.uint64)
 _SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & _MASK for i in range(SKETCHES)], np.uint64)
@@ -216,117 +213,91 @@ def buckets(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
     return known.select("node", F.explode(both).alias("p")).select("node", "p.sub", "p.key")
 
 
-def groups(nodes: DataFrame, bands: int = BANDS, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
-    """``node, key, sub``: nodes by the groups of their band keys, each of a limited size; and pairs ``a, b``
-    that tie the parts of a split bucket to its first node.
+def _groups(rows: DataFrame, key: str) -> DataFrame:
+    """Per key that several rows have: their number and their first node."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where("n > 1")
 
-    Buckets beyond the limit are split by a further sketch, then by number. There are fewer than 10,000 of these.
-    """
-    parts = stored(buckets(nodes, bands))
-    limit = max(group, parts.count() // 10_000)
-    by_sketch = F.xxhash64("key", "sub")
-    parts_of = F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / limit))).cast("long")  # so that bands split large groups alike
-    by_number = F.xxhash64("key", F.pmod(F.xxhash64("node"), parts_of))
-    ties = None
-    for split in (by_sketch, by_number):
-        sizes = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where(F.col("n") > limit)
-        marked = parts.join(F.broadcast(stored(sizes)), "key", "left")
-        large = F.col("n").isNotNull()
-        met = marked.where(large).select("node", "centre", split.alias("key"))
-        met = met.groupBy("key").agg(F.min("node").alias("a"), F.min("centre").alias("b")).where(F.col("a") != F.col("b")).select("a", "b")
-        ties = met if ties is None else ties.unionByName(met)
-        parts = stored(marked.select("node", "sub", F.when(large, split).otherwise(F.col("key")).alias("key")))
-    return parts, ties.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-
-
-def _pairs(rows: DataFrame, others: Column, node: str = "node") -> DataFrame:
-    pairs = rows.select(node, F.array_distinct(others).alias("others")).select(node, F.explode("others").alias("other"))
-    pairs = pairs.where(F.col("other").isNotNull() & (F.col("other") != F.col(node)))
-    return pairs.select(F.greatest(node, "other").alias("a"), F.least(node, "other").alias("b"))
-
-
-def proposals(parts: DataFrame, ties: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of nodes worth verifying: each node with its group's first node."""
-    first = F.min("node").over(Window.partitionBy("key"))
-    return _pairs(parts, F.array(first)).unionByName(ties).distinct()
-
-
-def _prefixes(docs: DataFrame, live: DataFrame, least: float) -> DataFrame:
-    """``node, root, shingle, place, size``: the rarest different shingles of each live text, as many as it takes that
-    two texts with ``least`` of their union in common share one.
-
-    Any fixed order of shingles is right; that of counts in a sample of the texts keeps common passages out.
+
+def proposals(tables: Tables, members: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes worth verifying: each node with the first of its bucket, and with the first of the bucket's
+    part that shares a further sketch. A group of any size has as many pairs as nodes.
     """
-    texts = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("t")).join(live, "node")
-    some = max(1, live.count() // COUNTED_TEXTS)
+    parts = members.select("node", F.xxhash64("key", "sub").alias("part"))
+    groups = tables.keep(_groups(parts, "part"))
+    nearer = split_join(parts, groups, "part", "n").select("node", "centre")
+    pairs = members.select("node", "centre").unionByName(nearer).where(F.col("node") != F.col("centre"))
+    pairs = tables.keep(pairs.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct())
+    tables.drop(groups)
+    return pairs
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, t`` and the columns of ``wanted``, which has a row per node: their texts; other documents do not move."""
+    chosen = docs.where(id_filter(wanted, "node")(F.col("doc_id"))).select(F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("t"))
+    return chosen.join(wanted, "node")
+
+
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """``node, root, size, shingle``: the different shingles of each text, and how many there are."""
 
     def different(batches):
         for batch in batches:
-            every = [np.unique(shingles(t)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(every).view(np.int64))], ["shingle"])
+            every = [np.unique(shingles(t)).view(np.int64) for t in batch.column("t").to_pylist()]
+            sizes = np.array([len(x) for x in every], np.int64)
+            rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            columns = [batch.column("node").take(rows), batch.column("root").take(rows)]
+            columns += [pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *every]))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "root", "size", "shingle"])
 
-    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(some)) == 0).select("t")
-    counts = sample.mapInArrow(different, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    top = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas().sort_values("shingle")
-    sent = docs.sparkSession.sparkContext.broadcast((top["shingle"].to_numpy(np.int64), top["n"].to_numpy(np.int64)))
+    kind = texts.schema["node"].dataType.simpleString()
+    return texts.select("node", "root", "t").mapInArrow(different, f"node {kind}, root {kind}, size int, shingle long")
 
-    def rarest(batches):
-        frequent, n_of = sent.value
-        for batch in batches:
-            found, sizes, lengths = [], [], []
-            for t in batch.column("t").to_pylist():
-                keys = np.unique(shingles(t)).view(np.int64)
-                n = np.zeros(len(keys), np.int64)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-                    n = np.where(frequent[at] == keys, n_of[at], 0)
-                length = len(keys) - ceil(least * len(keys) - 1e-9) + 1 if len(keys) else 0
-                found.append(keys[np.lexsort((keys, n))[:length]])
-                sizes.append(len(keys))
-                lengths.append(length)
-            rows = np.repeat(np.arange(len(lengths)), lengths)
-            place = np.concatenate([np.arange(n) for n in lengths])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("node").take(pa.array(rows)),
-                    batch.column("root").take(pa.array(rows)),
-                    pa.array(np.concatenate(found)),
-                    pa.array(place, pa.int32()),
-                    pa.array(np.array(sizes)[rows], pa.int32()),
-                ],
-                ["node", "root", "shingle", "place", "size"],
-            )
-
-    kind = live.schema["node"].dataType.simpleString()
-    return texts.mapInArrow(rarest, f"node {kind}, root {kind}, shingle long, place int, size int")
-
-
-def remaining(nodes: DataFrame, classes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+
+def prefixes(tables: Tables, texts: DataFrame, least: float) -> DataFrame:
+    """``node, root, size, shingle, place, n``: the rarest shingles of each text, as many as it takes that two texts with
+    ``least`` of their union in common share one, without those that no other text has.
+
+    How many texts have a shingle is counted over all texts given. A text with more shingles of its own than its prefix
+    is long has no row: it cannot be similar to any other.
+    """
+    counts = tables.keep(_shingle_rows(texts).groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared = split_join(_shingle_rows(texts), counts, "shingle", "n")
+    listed = shared.groupBy("node", "root", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("list"))
+    own = F.col("size") - F.size("list")
+    length = F.col("size") - F.ceil(F.col("size") * least - 1e-9).cast("int") + 1
+    listed = listed.select("node", "root", "size", own.alias("own"), F.slice("list", F.lit(1), F.greatest(length - own, F.lit(0))).alias("list"))
+    rows = listed.select("node", "root", "size", "own", F.posexplode("list").alias("i", "s"))
+    rows = tables.keep(rows.select("node", "root", "size", "s.shingle", (F.col("own") + F.col("i")).alias("place"), "s.n"))
+    tables.drop(counts)
+    return rows
+
+
+def remaining(tables: Tables, members: DataFrame, classes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """``a, b, ra, rb, n``: all pairs of nodes of different classes that can have ``least`` of their shingles in common,
     of the nodes in buckets with several classes; their classes, and how many of their rarest shingles they share.
 
-    A shingle's nodes of its largest class are met by those of other classes only, block by block.
+    Nodes meet by shingle and size class (sizes of similar texts differ by the factor ``least`` at most). A shingle's nodes
+    of its largest class are met by those of other classes only, block by block.
     """
-    told = buckets(nodes).select("node", "key").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    told = stored(told)
-    mixed = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    live = stored(told.join(mixed, "key", "left_semi").select("node", "root").distinct())
-    rows = stored(_prefixes(docs, live, least))
+    told = members.select("node", "key").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = tables.keep(told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high"))
+    live = tables.keep(split_join(told, mixed.select("key", "n"), "key", "n").select("node", "root").distinct())
+    texts = tables.keep(_texts(docs, live))
+    rows = prefixes(tables, texts, least)
+    tables.drop(mixed, live, texts)
     both = least / (1 + least)  # similarity needs this part of both sizes in common
-    early = (F.col("place") <= F.col("size") - F.ceil(2 * both * F.col("size") - 1e-9)).cast("long")  # all that the smaller text needs
-    per_class = rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("n"), F.sum(early).alias("early"))
-    shared = per_class.groupBy("shingle").agg(
-        F.sum("n").alias("n"), F.max_by("root", "n").alias("largest"), F.count(F.lit(1)).alias("m"), F.sum("early").alias("early")
-    )
-    shared = shared.where("m > 1 and early > 0")
-    met = rows.join(shared.select("shingle", "n", "largest"), "shingle").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    left = met.where(F.col("root") != F.col("largest"))
+    per_class = rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("m"))
+    shared = per_class.groupBy("shingle").agg(F.sum("m").alias("rows"), F.max_by("root", "m").alias("largest"), F.count(F.lit(1)).alias("classes"))
+    shared = tables.keep(shared.where("classes > 1").drop("classes"))
+    met = split_join(rows, shared, "shingle", "rows").withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
+    met = tables.keep(met.withColumn("level", F.floor(F.log("size") / F.log(F.lit(1 / least)) + 1e-9).cast("int")))
+    left = met.where(F.col("root") != F.col("largest")).withColumn("level", F.explode(F.array(*[F.col("level") + k for k in (-1, 0, 1)])))
     left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     right = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    left = left.select("shingle", "block", "largest", *[F.col(c).alias(f"{c}_l") for c in ("node", "root", "place", "size")])
-    right = right.select("shingle", "block", *[F.col(c).alias(f"{c}_r") for c in ("node", "root", "place", "size")])
+    left = left.select("shingle", "level", "block", "largest", *[F.col(c).alias(f"{c}_l") for c in ("node", "root", "place", "size")])
+    right = right.select("shingle", "level", "block", *[F.col(c).alias(f"{c}_r") for c in ("node", "root", "place", "size")])
     need = F.ceil(both * (F.col("size_l") + F.col("size_r")) - 1e-9)
-    pairs = left.join(right, ["shingle", "block"]).where(
+    pairs = left.join(right, ["shingle", "level", "block"]).where(
         (F.col("root_l") != F.col("root_r"))
         & ((F.col("root_r") == F.col("largest")) | (F.col("node_l") < F.col("node_r")))
         & (F.col("place_l") <= F.col("size_l") - need)
@@ -335,46 +306,67 @@ def remaining(nodes: DataFrame, classes: DataFrame, docs: DataFrame, least: floa
     turned = F.col("node_l") < F.col("node_r")
     a, b = F.greatest("node_l", "node_r").alias("a"), F.least("node_l", "node_r").alias("b")
     ra, rb = F.when(turned, F.col("root_r")).otherwise(F.col("root_l")), F.when(turned, F.col("root_l")).otherwise(F.col("root_r"))
-    return pairs.select(a, b, ra.alias("ra"), rb.alias("rb")).groupBy("a", "b", "ra", "rb").agg(F.count(F.lit(1)).alias("n"))
+    found = pairs.select(a, b, ra.alias("ra"), rb.alias("rb")).groupBy("a", "b", "ra", "rb").agg(F.count(F.lit(1)).alias("n"))
+    found = tables.keep(found)
+    tables.drop(rows, shared, met)
+    return found
 
 
 def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose nodes are in different classes."""
     for x in ("a", "b"):
-        pairs = pairs.join(classes.withColumnsRenamed({"node": x, "root": f"now_{x}"}), x, "left")
+        pairs = pairs.join(classes.select(F.col("node").alias(x), F.col("root").alias(f"now_{x}")), x, "left")
     return pairs.where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """The proposed pairs with enough equal sketches whose texts align well enough."""
+def verified(tables: Tables, pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """The proposed pairs with enough equal sketches whose texts align well enough.
+
+    A node that stands in very many pairs is dealt out: its text goes to parts of about ``FAN`` pairs each.
+    """
+    pairs = tables.keep(pairs)
+    degree = tables.keep(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")))
     sketch = nodes.select("node", "sketch")
-    both = pairs.join(sketch.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a")
-    both = both.join(sketch.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b")
+    right = tables.keep(degree.join(sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b"))
+    both = split_join(pairs, right, "b", "n").join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
     equal = F.greatest(_n_equal(labelled_part("sa"), labelled_part("sb")), _n_equal(first_part("sa"), first_part("sb")))
-    worth = stored(both.where(equal >= MIN_EQUAL).select("a", "b"))
-    texts = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("t"))
-    with_a = worth.join(texts.withColumnsRenamed({"node": "a", "t": "ta"}), "a")
-    with_b = with_a.join(texts.withColumnsRenamed({"node": "b", "t": "tb"}), "b")
-    return with_b.where(alignment("ta", "tb") >= least).select("a", "b").distinct()
-
-
-def components(links: DataFrame) -> DataFrame:
+    parts = F.ceil(F.col("n") / FAN).cast("int").alias("parts")
+    worth = tables.keep(both.where(equal >= MIN_EQUAL).select("a", "b", parts))
+    texts = tables.keep(_texts(docs, worth.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    tables.drop(pairs, degree, right)
+    deal = worth.groupBy("b").agg(F.max("parts").alias("parts"))
+    of_b = texts.select(F.col("node").alias("b"), F.col("t").alias("tb")).join(deal, "b")
+    of_b = of_b.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    of_a = worth.withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")).drop("parts")
+    of_a = of_a.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
+    links = tables.keep(of_a.join(of_b, ["b", "part"]).where(alignment("ta", "tb") >= least).select("a", "b").distinct())
+    tables.drop(worth, texts)
+    return links
+
+
+def components(tables: Tables, links: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that is linked, over any number of links, for every linked node.
 
     Each round sends every node the smallest label among its neighbours, then follows the label's own label; rounds are
-    few since paths shorten by doubling. Links are stored once, labels each round.
+    few since paths shorten by doubling. Links are written once, labels each round. The label of a node with many
+    neighbours, or of a large class, is broadcast with the few others of this kind.
     """
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"))
+    both = tables.keep(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = tables.keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"), F.count(F.lit(1)).alias("n")).withColumnRenamed("a", "node"))
     while True:
-        heard = both.join(labels.withColumnsRenamed({"node": "b", "root": "r"}), "b").groupBy("a").agg(F.min("r").alias("r"))
-        nearer = labels.join(heard.withColumnRenamed("a", "node"), "node").select("node", "root", F.least("root", "r").alias("new"))
-        hop = labels.withColumnsRenamed({"node": "new", "root": "far"})
-        new = stored(nearer.join(hop, "new", "left").select("node", F.coalesce("far", "new").alias("next"), "root"))
+        heard = split_join(both, labels.select(F.col("node").alias("b"), F.col("root").alias("r"), "n"), "b", "n").groupBy("a").agg(F.min("r").alias("r"))
+        nearer = tables.keep(labels.join(heard.withColumnRenamed("a", "node"), "node").select("node", "n", "root", F.least("root", "r").alias("new")))
+        sizes = nearer.groupBy("new").agg(F.count(F.lit(1)).alias("m"))
+        hops = tables.keep(sizes.join(labels.select(F.col("node").alias("new"), F.col("root").alias("far")), "new"))
+        new = tables.keep(split_join(nearer, hops, "new", "m").select("node", "n", F.col("far").alias("next"), "root"))
         changed = new.where(F.col("next") != F.col("root")).limit(1).count()
-        labels = new.select("node", F.col("next").alias("root"))
+        tables.drop(nearer, hops, labels)
+        labels = new.select("node", "n", F.col("next").alias("root"))
         if not changed:
-            return labels
+            tables.drop(both)
+            return labels.select("node", "root")
+        labels = tables.keep(labels)
+        tables.drop(new)
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -384,23 +376,29 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     Null text counts as an empty text; texts without words are only alike if equal. Rows without doc_id are
     classes of their own (null class, kept). Rows that repeat a doc_id share its fate.
     """
+    tables = Tables(docs.sparkSession, "near-duplicates")
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     body = F.col("text").cast("binary")
-    rows = stored(known.select("doc_id", F.md5(body).alias("copy"), sketches_of(body).alias("sketch")))
-    copies = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch"))
-    copies = stored(copies)
-    nodes = copies.groupBy("node").agg(F.first("sketch").alias("sketch"))
-    parts, ties = groups(nodes)
-    links = stored(verified(proposals(parts, ties), nodes, known, least))
-    rest = stored(remaining(nodes, components(links), known, least))
+    rows = tables.keep(known.select("doc_id", F.unhex(F.md5(body)).alias("copy"), sketches_of(body).alias("sketch")))
+    copies = tables.keep(rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch")))
+    ids = tables.keep(rows.select("doc_id", "copy"))
+    tables.drop(rows)
+    nodes = copies.select("node", "sketch")
+    groups = tables.keep(_groups(buckets(nodes), "key"))
+    members = tables.keep(split_join(buckets(nodes), groups, "key", "n"))
+    tables.drop(groups)
+    links = verified(tables, proposals(tables, members), nodes, known, least)
+    rest = remaining(tables, members, components(tables, links), known, least)
+    tables.drop(members)
     best = rest.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.max_by(F.struct("a", "b"), "n").alias("p")).select("p.*")
-    links = stored(links.unionByName(verified(best, nodes, known, least)).distinct())
-    links = stored(links.unionByName(verified(_apart(rest, components(links)), nodes, known, least)).distinct())
+    links = tables.keep(links.unionByName(verified(tables, best, nodes, known, least)).distinct())
+    links = tables.keep(links.unionByName(verified(tables, _apart(rest, components(tables, links)), nodes, known, least)).distinct())
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = components(links)
+    classes = components(tables, links)
     told = copies.select("copy", "node", "n_copies").join(classes, "node", "left").join(degree, "node", "left")
-    told = stored(told.select("copy", "n_copies", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    out = split_join(rows.select("doc_id", "copy"), told, "copy", "n_copies")
+    told = tables.keep(told.select("copy", "n_copies", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    tables.drop(copies, rest, links)
+    out = split_join(ids, told, "copy", "n_copies")
     out = out.select("doc_id", "class_id", "n_links", "n_copies", (F.col("doc_id") == F.col("class_id")).alias("kept"))
     nobody = docs.where(F.col("doc_id").isNull()).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("kept")
