@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
 from loadlake.operators import (
     calendar,
@@ -47,26 +48,65 @@ def files_below(root: str, versions: DataFrame) -> list[str]:
     return [landed.literal_path(f"{root.rstrip('/')}/{r.local_path}") for r in rows.toLocalIterator()]
 
 
+LANDED_SCHEMA = StructType(
+    [
+        StructField("local_path", StringType()),
+        StructField("file_size", LongType()),
+        StructField("modified_at", TimestampType()),
+        StructField("hash_sha256", StringType()),
+    ]
+)
+FILE_STATE = ("local_path", "file_size", "modified_at")
+
+
+def landed_states(spark: SparkSession, root: str, arrivals: DataFrame) -> DataFrame:
+    """``local_path, file_size, modified_at`` of the files in the folders of the arrivals, by listing and not by reading.
+
+    There is one file-system call per folder, besides Spark's own listing.
+    """
+    folder = F.regexp_extract("local_path", "^(.*)/[^/]*$", 1)
+    folders = [r.f for r in arrivals.where(F.col("local_path").isNotNull()).select(folder.alias("f")).distinct().toLocalIterator()]
+    there = [p for p in (landed.literal_path(f"{root.rstrip('/')}/{f}".rstrip("/")) for f in sorted(folders)) if _exists(spark, p)]
+    if not there:
+        return spark.createDataFrame([], LANDED_SCHEMA).select(*FILE_STATE)
+    listed = landed.listed_files(spark, there)
+    return listed.select(lake_path(F.col("file_path"), root).alias("local_path"), "file_size", "modified_at")
+
+
 def land(
     spark: SparkSession, root: str, arrivals: DataFrame, rows_of: Callable[[DataFrame], DataFrame] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Append the arrivals that are new content; returns (new versions, all revisions so far).
 
     ``arrivals`` describes landed files: ``source, dataset, resource_id, reference_period, local_path``,
-    ``retrieved_at`` and what else the ledger has columns for. Hash and size are taken from the files; a path that
-    the ledger has is not read again, as landed files do not change. An arrival whose file is not there is skipped.
+    ``retrieved_at`` and what else the ledger has columns for. Hash and size are taken from the files. A file is not read
+    again if path, size and modification time are those it had when it was last taken in; new content under an old path
+    is a new version. An arrival whose file is not there is skipped.
+
+    The ledger, the revision log and the states of the files are appended in this order, each as what is still missing
+    from it, so that a run that ends between them is completed by the next one.
 
     ``rows_of`` turns ledger rows into the records of their files: the columns of ``ledger.VERSION_KEY``, ``record`` (a
     key, unique in a version) and ``content``. With it, ``row_count`` and the counts of the revisions are filled in.
     """
     path = tables.layer_path(root, "metadata", "ledger")
     log_path = tables.layer_path(root, "metadata", "source_revision_log")
+    states_path = tables.layer_path(root, "metadata", "landed_files")
     known = tables.read_or_empty(spark, path, ledger.LEDGER_SCHEMA)
-    unread = arrivals.join(known.select("local_path"), "local_path", "left_anti")
-    there = [p for p in files_below(root, unread) if _exists(spark, p)]
+    staged_states = tables.layer_path(root, "metadata", "landed_files_run")
+    state = list(FILE_STATE)
+    seen = tables.read_or_empty(spark, states_path, LANDED_SCHEMA)
+    found = landed_states(spark, root, arrivals).join(arrivals.select("local_path").distinct(), "local_path", "left_semi")
+    changed = found.join(seen.select(*state), state, "left_anti")
+    there = files_below(root, changed)
+    hashes = landed.fingerprints(spark, there) if there else spark.createDataFrame([], "file_path string, hash_sha256 string, file_size long")
+    hashes = hashes.select(lake_path(F.col("file_path"), root).alias("local_path"), "hash_sha256")
+    tables.write_product(changed.join(hashes, "local_path").select(*LANDED_SCHEMA.names), staged_states)
+    changed = tables.read_or_empty(spark, staged_states, LANDED_SCHEMA)
+    unread = arrivals.join(changed.select("local_path"), "local_path", "left_semi")
     if there:
-        files = landed.fingerprints(spark, there).withColumn("local_path", lake_path(F.col("file_path"), root))
-        hashed = unread.drop("hash_sha256", "file_size").join(files.drop("file_path"), "local_path")
+        files = changed.drop("modified_at")
+        hashed = unread.drop("hash_sha256", "file_size").join(files, "local_path")
         fresh = ledger.as_ledger(ledger.new_versions(hashed, known))
         if rows_of is not None:
             counts = rows_of(fresh).groupBy(*ledger.VERSION_KEY).agg(F.count(F.lit(1)).alias("__n"))
@@ -76,9 +116,10 @@ def land(
         tables.write_product(fresh, staged)
         fresh = tables.read_or_empty(spark, staged, ledger.LEDGER_SCHEMA)
         tables.append(fresh, path)
-        _append_revisions(spark, path, log_path, fresh, rows_of)
     else:
         fresh = spark.createDataFrame([], ledger.LEDGER_SCHEMA)
+    _append_revisions(spark, path, log_path, rows_of)
+    tables.append(changed, states_path)
     return fresh, tables.read_or_empty(spark, log_path, ledger.REVISION_SCHEMA)
 
 
@@ -89,20 +130,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def _append_revisions(
-    spark: SparkSession, path: str, log_path: str, fresh: DataFrame, rows_of: Callable[[DataFrame], DataFrame] | None
-) -> None:
-    """Revisions that the fresh versions make, found in the histories of their resources only."""
+def _append_revisions(spark: SparkSession, path: str, log_path: str, rows_of: Callable[[DataFrame], DataFrame] | None) -> None:
+    """The revisions of the ledger that the log does not have yet; record counts are made for these only, and are null
+    where the older content is gone, since the newer one took its path."""
     stored = tables.read_or_empty(spark, path, ledger.LEDGER_SCHEMA)
-    touched = fresh.select("source", "resource_id").distinct()
-    history = stored.join(touched, ["source", "resource_id"], "left_semi")
-    own = fresh.select("source", "resource_id", F.col("hash_sha256").alias("new_hash"))
-    log = ledger.revisions(history).join(own, ["source", "resource_id", "new_hash"], "left_semi")
-    log = log.select(*ledger.REVISION_SCHEMA.names)
+    logged = tables.read_or_empty(spark, log_path, ledger.REVISION_SCHEMA)
+    pair = ["source", "resource_id", "old_hash", "new_hash"]
+    log = ledger.revisions(stored).join(logged.select(*pair), pair, "left_anti").select(*ledger.REVISION_SCHEMA.names)
+    staged = f"{log_path}_run"
+    tables.write_product(log, staged)
+    log = tables.read_or_empty(spark, staged, ledger.REVISION_SCHEMA)
     if rows_of is not None:
-        sides = log.select("source", "resource_id", F.explode(F.array("old_hash", "new_hash")).alias("hash_sha256"))
-        involved = history.join(sides.distinct(), list(ledger.VERSION_KEY), "left_semi")
-        changes = ledger.count_row_changes(log, rows_of(involved), ["record"], "content")
+        kept = ledger.newest(stored, ["local_path"]).select(*ledger.VERSION_KEY)  # the others' files hold newer content now
+        pairs = log
+        for side in ("old_hash", "new_hash"):
+            pairs = pairs.join(kept.withColumnRenamed("hash_sha256", side), ["source", "resource_id", side], "left_semi")
+        sides = pairs.select("source", "resource_id", F.explode(F.array("old_hash", "new_hash")).alias("hash_sha256"))
+        involved = stored.join(sides.distinct(), list(ledger.VERSION_KEY), "left_semi")
+        changes = ledger.count_row_changes(pairs, rows_of(involved), ["record"], "content")
         log = ledger.with_row_changes(log, changes)
     tables.append(log, log_path)
 
@@ -136,7 +181,16 @@ def validate(versions: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataF
     return report, gate.apply_gate(flagged, decisions)
 
 
-DECISION_SCHEMA = "source string, resource_id string, hash_sha256 string, approved boolean, quarantine_reason string, decided_at timestamp"
+DECISION_SCHEMA = StructType(
+    [
+        StructField("source", StringType()),
+        StructField("resource_id", StringType()),
+        StructField("hash_sha256", StringType()),
+        StructField("approved", BooleanType()),
+        StructField("quarantine_reason", StringType()),
+        StructField("decided_at", TimestampType()),
+    ]
+)
 
 
 def promote(
@@ -145,7 +199,8 @@ def promote(
     """(quality report, ledger with states): judge the newest versions and remember every decision.
 
     Report and decisions are appended to tables; the states follow from the ledger and the newest decision per version,
-    so what an earlier run decided still holds. ``judge`` names other versions to judge (``ledger.VERSION_KEY``).
+    so what an earlier run decided still holds. Each append adds what is missing of this judgement, so a run that ended
+    between them, or is repeated with the same ``decided_at``, leaves one report and one decision. ``judge`` names other versions to judge (``ledger.VERSION_KEY``).
     """
     versions = tables.read_or_empty(spark, tables.layer_path(root, "metadata", "ledger"), ledger.LEDGER_SCHEMA)
     flagged = ledger.with_latest_flag(versions)
@@ -153,15 +208,17 @@ def promote(
     named = judged.select(*ledger.VERSION_KEY, "dataset", "reference_period")
     report = outcomes.join(named, list(ledger.VERSION_KEY)).withColumn("decided_at", decided_at.cast("timestamp"))
     report_path = tables.layer_path(root, "metadata", "quality_report")
+    log_path = tables.layer_path(root, "metadata", "gate_decisions")
     staged = tables.layer_path(root, "metadata", "quality_report_run")
     tables.write_product(report, staged)
     run = spark.read.parquet(staged)
-    tables.append(run, report_path)
+    judgement = [*ledger.VERSION_KEY, "decided_at"]
+    tables.append(run.join(tables.read_or_empty(spark, report_path, run.schema).select(*judgement).distinct(), judgement, "left_anti"), report_path)
     decisions = gate.gate_decisions(run).select(*ledger.VERSION_KEY, "approved", "quarantine_reason")
-    log_path = tables.layer_path(root, "metadata", "gate_decisions")
-    tables.append(decisions.withColumn("decided_at", decided_at.cast("timestamp")), log_path)
-    log = spark.read.parquet(log_path)
-    return run, gate.apply_gate(flagged, gate.latest_decisions(log))
+    decisions = decisions.join(run.select(*judgement).distinct(), list(ledger.VERSION_KEY)).select(*DECISION_SCHEMA.names)
+    made = tables.read_or_empty(spark, log_path, DECISION_SCHEMA)
+    tables.append(decisions.join(made.select(*judgement), judgement, "left_anti"), log_path)
+    return run, gate.apply_gate(flagged, gate.latest_decisions(tables.read_or_empty(spark, log_path, DECISION_SCHEMA)))
 
 
 def presence_outcomes(versions: DataFrame, files: DataFrame) -> DataFrame:
@@ -227,7 +284,15 @@ def product_paths(root: str) -> LoadProducts:
 
 
 def typed_rows(spark: SparkSession, root: str, versions: DataFrame) -> DataFrame:
-    """Typed readings of exactly the files that the given ledger rows name, with ``problem`` for unreadable ones."""
+    """Typed readings of exactly the files that the given ledger rows name, with ``problem`` for unreadable ones.
+
+    Raises if a file holds other content now than the version that is to be read.
+    """
+    states = tables.read_or_empty(spark, tables.layer_path(root, "metadata", "landed_files"), LANDED_SCHEMA)
+    now = states.groupBy("local_path").agg(F.max_by("hash_sha256", "modified_at").alias("__now"))
+    gone = versions.join(now, "local_path").where(F.col("__now") != F.col("hash_sha256")).count()
+    if gone:
+        raise ValueError(f"{gone} versions to be read have lost their files to newer content of the same path")
     files = versions.select("local_path", "resource_id", "retrieved_at", "hash_sha256")
     raw = landed.read_readings(spark, files_below(root, versions))
     named = raw.withColumn("local_path", lake_path(F.col("file_path"), root)).join(files, "local_path")

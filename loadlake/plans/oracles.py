@@ -522,6 +522,17 @@ SELECT area, 'energy_power_consistency' AS check_name, off = 0 AS passed, 'warni
     "allowed_values": """SELECT o_orderpriority, 'allowed_values' AS check_name, bool_and(o_orderstatus IN ('F', 'O')) AS passed,
   'error' AS severity, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) || ' rows with an unknown o_orderstatus' AS details,
   count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS rows_affected FROM orders GROUP BY 1""",
+    "landed_class_curves": """
+        SELECT 'raw/' || l_suppkey AS file_path, NULL::VARCHAR AS problem, 'Light ' || l_returnflag AS "SigCcs",
+            'Público ' || l_linestatus AS "DscDemandante",
+            CASE WHEN l_linenumber = 1 THEN 'dia; útil, "x"' || chr(9) ELSE 'sábado' END AS "DscTipoDia",
+            CAST(l_linenumber * 3 AS INTEGER) AS hour, count(*) AS n_rows,
+            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+        FROM lineitem WHERE l_suppkey % 4 <> 3 GROUP BY ALL
+        UNION ALL
+        SELECT DISTINCT 'raw/' || l_suppkey, 'no separator in the first line', NULL, NULL, NULL, NULL::INTEGER, 0, NULL::DOUBLE
+        FROM lineitem WHERE l_suppkey % 4 = 3
+    """,
     "file_fingerprints": "SELECT doc_id, sha256(text) AS hash_sha256, CAST(strlen(text) AS BIGINT) AS file_size FROM documents",
     "ledger_versions": f"""WITH {LEDGER} SELECT source, resource_id, reference_period, hash_sha256, local_path,
   CAST(strlen(text) AS BIGINT) AS file_size, is_latest_downloaded FROM led""",

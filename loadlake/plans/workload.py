@@ -32,7 +32,7 @@ from loadlake.operators import (
     scenarios,
 )
 from loadlake.session import configure
-from loadlake.sources import landed
+from loadlake.sources import delimited, landed
 
 AREAS = ("click", "error", "purchase", "signup", "view")
 AS_OF = "2024-06-01 00:00:00"
@@ -465,6 +465,40 @@ def file_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return landed.fingerprints_of(files).withColumnRenamed("file_path", "doc_id")
 
 
+LANDED_CURVE_FIELDS = ("SigCcs", "DscDemandante", "NomSubGrupoTarifario", "DscTipoDia", "HorInicial", "VlrDmd")
+
+
+def landed_class_curves(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as delimited files, one per supplier: in three separators and one that is none, two encodings, and the
+    columns in six orders; counts and sums of what is read back, and the files that are rejected."""
+    items = table(spark, folder, "lineitem")
+    price = F.replace(F.col("l_extendedprice").cast("decimal(14,2)").cast("string"), F.lit("."), F.lit(","))
+    texts = {
+        "SigCcs": F.concat(F.lit("Light "), "l_returnflag"),
+        "DscDemandante": F.concat(F.lit("Público "), "l_linestatus"),
+        "NomSubGrupoTarifario": F.concat(F.lit("B"), F.col("l_linenumber").cast("string")),
+        "DscTipoDia": F.when(F.col("l_linenumber") == 1, '"dia; útil, ""x""\t"').otherwise("sábado"),
+        "HorInicial": F.concat(F.lpad((F.col("l_linenumber") * 3).cast("string"), 2, "0"), F.lit(":00")),
+        "VlrDmd": F.concat(F.lit('"'), price, F.lit('"')),
+    }
+    key, n = F.col("l_suppkey"), len(texts)
+    separator = F.element_at(F.array(*map(F.lit, (";", ",", "\t", "|"))), (key % 4 + 1).cast("int"))
+
+    def line(cells: list[Column]) -> Column:
+        turned = F.concat(F.slice(F.array(*cells), (key % n + 1).cast("int"), F.lit(n)), F.slice(F.array(*cells), F.lit(1), (key % n).cast("int")))
+        text = F.array_join(turned, "\x01")
+        text = F.replace(text, F.lit("\x01"), separator)
+        return F.when(key % 3 == 0, F.encode(text, "ISO-8859-1").cast("string")).otherwise(text)
+
+    path = F.concat(F.lit("raw/"), key.cast("string")).alias("file_path")
+    heads = items.select("l_suppkey").distinct().select(path, F.lit(-1).cast("long").alias("line_no"), line([F.lit(f) for f in texts]).alias("value"))
+    rows = items.select(path, (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_no"), line(list(texts.values())).alias("value"))
+    parsed = curves.type_class_curves(delimited.parse(heads.unionByName(rows), LANDED_CURVE_FIELDS).withColumn("HorFinal", F.lit(None)))
+    keys = ["file_path", "problem", "SigCcs", "DscDemandante", "DscTipoDia", clock_hour(F.col("HorInicial")).alias("hour")]
+    total = F.sum(F.col("VlrDmd").cast("decimal(18,2)")).cast("double").alias("total")
+    return parsed.groupBy(*keys).agg(F.count("SigCcs").alias("n_rows"), total)
+
+
 def landed_readings(spark: SparkSession, folder: str) -> DataFrame:
     """Events as landed files of 50 records at most: lists, envelopes of two kinds, and every seventh cut off."""
     k = _k()
@@ -827,7 +861,7 @@ QUERIES: dict[str, Query] = {
         quality_report, schema_checks, coverage_regression, row_count_anomaly, energy_power_consistency,
         allowed_values,
         file_fingerprints, ledger_versions, newest_versions, new_versions, revisions, revision_row_changes,
-        version_checks, landed_readings, gate_decisions, gated_ledger, gate_rerun, active_versions, freshness, lineage, schema_hashes,
+        version_checks, landed_readings, landed_class_curves, gate_decisions, gated_ledger, gate_rerun, active_versions, freshness, lineage, schema_hashes,
         catalog_resources, preferred_resources, preferred_named_resources, period_from_name, period_window,
         page_links, current_links,
         anchors_dense, scenario_table, weight_bounds, regional_allocation, growth_rates, consistency_ratios,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadlake.operators.catalog import CATALOG_TYPE
 from loadlake.operators.curves import CATEGORY_COLUMNS, type_class_curves
+from loadlake.sources import delimited
 
 Paths = str | Sequence[str]
 
@@ -52,7 +53,6 @@ MONTHLY_ENERGY_FIELDS = (
     "Consumidores",
     "DataVersao",
 )
-SEPARATORS = (";", ",", "\t")
 
 
 def _reader(spark: SparkSession, modified_after: str | None) -> DataFrameReader:
@@ -127,62 +127,27 @@ def _as_text(df: DataFrame, field: str) -> Column:
     return (F.col(field) if field in df.columns else F.lit(None)).cast("string").alias(field)
 
 
-def dialects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: ``header`` line, ``separator`` (null: none found), whether the bytes are UTF-8, and whether a line has
-    an odd number of quotes, so that a quoted value may hold a line break.
+def delimited_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``file_path, line_no, value``: the lines of text files, as bytes that may be no UTF-8."""
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return spark.read.text(_listed(paths)).select(plain_path(F.col("_metadata.file_path")).alias("file_path"), at.alias("line_no"), "value")
 
-    The separator is the first of ``;``, ``,`` and tab that the header line has. It is not the most
-    frequent one: decimal commas would mislead that.
-    """
-    line = F.col("value")
-    lines = spark.read.text(list(paths)).select(
-        plain_path(F.col("_metadata.file_path")).alias("file_path"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("__at"),
-        "value",
-    )
-    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
-    seen = lines.groupBy("file_path").agg(
-        F.min_by(line, "__at").alias("header"),
-        F.every(F.is_valid_utf8(line)).alias("is_utf8"),
-        F.bool_or(odd).alias("has_breaks"),
-    )
-    header = F.when(F.col("is_utf8"), F.col("header")).otherwise(F.decode(F.col("header").cast("binary"), "ISO-8859-1"))
-    found = F.coalesce(*[F.when(F.contains(header, F.lit(s)), F.lit(s)) for s in SEPARATORS])
-    clean = F.regexp_replace(header, "^\ufeff", "")
-    return seen.select("file_path", clean.alias("header"), found.alias("separator"), "is_utf8", "has_breaks")
 
+def dialects(spark: SparkSession, paths: Paths, fields: Sequence[str] = ()) -> DataFrame:
+    """What ``delimited.dialects`` tells of files."""
+    return delimited.dialects(delimited_lines(spark, paths), fields)
 
-def read_delimited(spark: SparkSession, paths: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Delimited text files, each in its own dialect and column order, as text ``fields`` plus ``file_path``.
 
-    Files of equal header, separator and encoding are one CSV scan of Spark's own reader; the list of files with their
-    headers is on the driver, as the file listing of a scan is. Only a file's first line is its header, blank lines are
-    no rows, missing columns are null, columns not asked for and surplus values are dropped. Files in which quoted
-    values may hold line breaks are parsed whole, all others are split.
+def read_delimited(spark: SparkSession, paths: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Delimited text files, each in its own dialect and column order, as text ``fields`` plus ``file_path``; see
+    ``delimited.parse``. Files without a usable header have no rows; ``undetected_files`` lists them.
     """
-    kinds = ("header", "separator", "is_utf8", "has_breaks")
-    known = dialects(spark, paths).where(F.col("separator").isNotNull())
-    alike: dict[tuple, list[str]] = {}
-    for row in known.orderBy("file_path").toLocalIterator():
-        alike.setdefault(tuple(row[k] for k in kinds), []).append(row.file_path)
-    parts = []
-    for (_, separator, is_utf8, has_breaks), files in alike.items():
-        reader = spark.read.options(header=True, sep=separator, escape='"', multiLine=has_breaks, enforceSchema=True)
-        rows = reader.option("encoding", "UTF-8" if is_utf8 else "ISO-8859-1").csv(list(map(literal_path, files)))
-        names = {c.lstrip("\ufeff").strip(): c for c in reversed(rows.columns)}
-        cells = [(F.col(f"`{names[f]}`") if f in names else F.lit(None)).cast("string").alias(f) for f in fields]
-        parts.append(rows.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), *cells))
-    if not parts:
-        return spark.createDataFrame([], ",".join(f"`{c}` string" for c in ("file_path", *fields)))
-    every = parts[0]
-    for more in parts[1:]:
-        every = every.unionByName(more)
-    return every
+    return delimited.parse(delimited_lines(spark, paths), fields).where("problem IS NULL").drop("problem")
 
 
 def undetected_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files whose header has none of the separators; ``read_delimited`` yields no rows of them."""
-    return dialects(spark, paths).where(F.col("separator").isNull())
+    """Files whose first line is no header, with their ``problem``."""
+    return dialects(spark, paths).where(F.col("problem").isNotNull()).select("file_path", "problem")
 
 
 def read_monthly_energy(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -203,6 +168,12 @@ def read_catalog(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
+def listed_files(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``file_path, file_size, modified_at`` of files, or of those directly in folders; no content is read."""
+    files = spark.read.format("binaryFile").load(_listed(paths))
+    return files.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at"))
+
+
 def fingerprints(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
     """SHA-256 and size of every file. A file is one row, so it must stay below 2 GB; see ``content_mark``."""
     files = _reader(spark, modified_after).format("binaryFile").load(_listed(paths))

@@ -134,7 +134,10 @@ def test_only_new_files_are_read(spark, lake):
     path = readings_file(lake, "new.json", "S", 9, [1, 1])
     fresh = landed.fingerprints(spark, f"{lake}/raw/*/*", "2021-01-01T00:00:00")
     assert [r.file_path.rsplit("/", 1)[1] for r in fresh.collect()] == ["new.json"]
-    (lake / "raw" / "ons" / "s.json").write_text("landed files are not read again")
+    jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", "raw/ons/s.json", 1, 4)))  # takes note of the time
+    file = lake / "raw" / "ons" / "s.json"
+    file.write_text("x" * len(file.read_text()))  # same path, size and time: not read again
+    os.utime(file, (old, old))
     rows = arrivals(spark, ("new", "2026-06", path, 9, 2), ("s", "2026-06", "raw/ons/s.json", 1, 4), ("gone", "2026-06", "raw/ons/gone.json", 9, 1))
     fresh, _ = jobs.land(spark, str(lake), rows)
     assert [r.resource_id for r in fresh.collect()] == ["new"] and stored_ledger(spark, lake).count() == 5
@@ -334,3 +337,64 @@ def test_stream_of_arrivals(spark, tmp_path):
     query.awaitTermination(120)
     register(spark.read.parquet(source), 1)  # a replay
     assert sorted(r.hash_sha256 for r in spark.read.parquet(path).collect()) == ["x", "y"]
+
+
+def written_again(root, name, area, loads):
+    """Other content under the same path, with a later modification time."""
+    import os
+
+    path = readings_file(root, name, area, 2, loads)
+    os.utime(root / path, (2_000_000_000, 2_000_000_000 + len(loads)))
+    return path
+
+
+def test_new_content_under_an_old_path_is_a_version_and_a_revision(spark, lake):
+    path = written_again(lake, "s.json", "S", [10, 20, 30, 99])
+    fresh, log = jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", path, 5, 4)), jobs.reading_rows(spark, str(lake)))
+    assert fresh.count() == 1 and fresh.first().row_count == 4 and stored_ledger(spark, lake).count() == 5
+    row = log.first()
+    assert log.count() == 1 and (row.resource_id, row.rows_added) == ("s", None)  # the old content is gone
+    fresh, log = jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", path, 6, 4)))
+    assert fresh.count() == 0 and log.count() == 1
+    with pytest.raises(ValueError, match="newer content"):
+        jobs.typed_rows(spark, str(lake), stored_ledger(spark, lake).where("resource_id = 's'"))
+
+
+@pytest.mark.parametrize("ends_at", ["ledger", "source_revision_log", "landed_files"])
+def test_a_landing_that_ended_between_writes_is_completed(spark, lake, monkeypatch, ends_at):
+    path = readings_file(lake, "s_new.json", "S", 2, [10, 20, 30, 41])
+    append = tables.append
+
+    def ending(df, to):
+        append(df, to)
+        if to.endswith(ends_at):
+            raise RuntimeError("the job ends here")
+
+    monkeypatch.setattr(tables, "append", ending)
+    with pytest.raises(RuntimeError):
+        jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", path, 3, 4)))
+    monkeypatch.setattr(tables, "append", append)
+    _, log = jobs.land(spark, str(lake), arrivals(spark, ("s", "2026-06", path, 3, 4)))
+    assert stored_ledger(spark, lake).count() == 5 and [r.resource_id for r in log.collect()] == ["s"]
+
+
+@pytest.mark.parametrize("ends_at", ["quality_report", "gate_decisions"])
+def test_a_promotion_that_ended_between_writes_is_completed_once(spark, lake, monkeypatch, ends_at):
+    versions = stored_ledger(spark, lake)
+    outcomes = jobs.presence_outcomes(versions, versions.select("local_path"))
+    at = F.lit("2026-08-01 00:00:00")
+    append = tables.append
+
+    def ending(df, to):
+        append(df, to)
+        if to.endswith(ends_at):
+            raise RuntimeError("the job ends here")
+
+    monkeypatch.setattr(tables, "append", ending)
+    with pytest.raises(RuntimeError):
+        jobs.promote(spark, str(lake), outcomes, at)
+    monkeypatch.setattr(tables, "append", append)
+    _, states = jobs.promote(spark, str(lake), outcomes, at)
+    assert states.where("is_active_for_gold").count() == 4
+    for name, rows in (("quality_report", 8), ("gate_decisions", 4)):
+        assert spark.read.parquet(tables.layer_path(str(lake), "metadata", name)).count() == rows
