@@ -8,6 +8,7 @@ end (or begin) a word. Everything else is encoded by itself.
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -68,6 +69,12 @@ class PieceEncoder:
         total = int(lengths.sum())
         return self.flat[np.repeat(self.starts[numbers] - np.cumsum(lengths) + lengths, lengths) + np.arange(total)]
 
+    def _is_word(self, word: str) -> bool:
+        """Whether the tokenizer surely sees letters only: also after its own normalising, where it does any."""
+        if self.lead:
+            return word[:1] == self.lead and word[1:].isalpha()
+        return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
     def _alone(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
@@ -79,7 +86,7 @@ class PieceEncoder:
         rest: dict[str, bytes] = {}
         for piece in pieces:
             word = piece.rstrip(_PUNCTUATION)
-            if word[n:].isalpha() and (not n or word[0] == self.lead):
+            if self._is_word(word):
                 tail = piece[len(word) :]
                 if not n and word.isascii():
                     word = word.lower()

@@ -6,7 +6,8 @@ confidence, and counts of all numbers so far, with a share for new ones (order 0
 pair of confidences. All shares together are one distribution, of which a range coder takes the part of the number that
 comes; a new id is spelled out evenly. An id that a prediction names is coded by that prediction's share alone.
 
-The models of all blocks (lanes) advance together, step by step, as numpy arrays.
+The models of all blocks (lanes) advance together, step by step, as numpy arrays. Blocks are short so that the models of
+all lanes, some 7 kB each, stay in a core's cache.
 """
 
 from __future__ import annotations
@@ -16,59 +17,60 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-LANES = 1024
+BLOCK = 1024
+LANES = 512
 #: Number of ids, largest id (new ids are spelled out up to it), number of 16-bit words, crc32 of the ids.
 HEADER = struct.Struct("<IIII")
 _TOTAL_BITS = 20
 _TOTAL = 1 << _TOTAL_BITS
 _LEAST = 1 << 14  # what order 0 has at least; more than its counts
-_SLOTS = 8192
+_SLOTS = 1024
 _U = np.uint64
-_LOW, _TOP = _U(1 << 32), _U(48)
-_RADIX = 16
+_BITS, _LOW, _TOP, _WORD, _ONE = _U(_TOTAL_BITS), _U(1 << 32), _U(48), _U(16), _U(1)
 _WORDS_PER_ID = 3
+#: Digits of a number below ``BLOCK``: their shifts and sizes.
+_DIGITS = ((6, 16), (2, 16), (0, 4))
+_BELOW = [np.tri(size, size, -1, dtype=np.int16) for _, size in _DIGITS]
+_ROOM = np.array([[c >> 2, c & 3, 2, 2 + (c >> 2) + (c & 3)] for c in range(16)], np.int32)
 
 
 class Counts:
-    """Counts of numbers below 4,096 in each lane, summed at three levels."""
+    """Counts of numbers below ``BLOCK`` in each lane, summed at three levels."""
 
     def __init__(self, lanes: int):
-        self.levels = [np.zeros((lanes * _RADIX**k, _RADIX), np.int32) for k in range(3)]
-        self.digit = np.arange(_RADIX)
+        self.levels = [np.zeros((lanes * rows, size), np.int16) for rows, (_, size) in zip((1, 16, 256), _DIGITS, strict=True)]
 
     def before(self, lane: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The count of all smaller numbers, and that of the number."""
-        total = np.zeros(len(lane), np.int64)
         row = lane
-        for k, level in enumerate(self.levels):
-            d = number >> (4 * (2 - k)) & 15
-            counts = level[row]
-            total += np.where(self.digit < d[:, None], counts, 0).sum(axis=1)
-            row = row * _RADIX + d
-        return total, counts[np.arange(len(lane)), d]
+        total = np.zeros(len(lane), np.int64)
+        for level, (shift, size), below in zip(self.levels, _DIGITS, _BELOW, strict=True):
+            d = number >> shift & (size - 1)
+            total += np.einsum("ij,ij->i", level[row], below[d])
+            own = level.ravel()[row * size + d]
+            row = row * size + d
+            if shift:
+                row = lane * (BLOCK >> shift) + (number >> shift)
+        return total, own
 
     def find(self, lane: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The number that holds the target-th count, the count of all smaller ones, and its own."""
-        row, left, own = lane, target.copy(), None
-        at = np.arange(len(lane))
-        number = np.zeros(len(lane), np.int64)
-        for level in self.levels:
+        left, number = target.copy(), np.zeros(len(lane), np.int64)
+        for level, (shift, size) in zip(self.levels, _DIGITS, strict=True):
+            row = lane * (BLOCK >> shift) // size + number
             counts = level[row]
-            sums = counts.cumsum(axis=1)
-            d = (sums <= left[:, None]).sum(axis=1)
-            own = counts[at, d]
-            left -= sums[at, d] - own
-            number = number * _RADIX + d
-            row = row * _RADIX + d
+            sums = np.cumsum(counts, axis=1, dtype=np.int16)
+            d = np.count_nonzero(sums <= left[:, None], axis=1)
+            own = counts.ravel()[np.arange(0, counts.size, size) + d]
+            left -= sums.ravel()[np.arange(0, counts.size, size) + d] - own
+            number = number * size + d
         return number, target - left, own
 
-    def add(self, lane: np.ndarray, number: np.ndarray) -> None:
-        row = lane
-        for k, level in enumerate(self.levels):
-            d = number >> (4 * (2 - k)) & 15
-            level[row, d] += 1
-            row = row * _RADIX + d
+    def add(self, base: np.ndarray, number: np.ndarray) -> None:
+        """``base`` is the lane times ``BLOCK``."""
+        both = base + number
+        for level, (shift, _) in zip(self.levels, _DIGITS, strict=True):
+            level.ravel()[both >> shift] += 1
 
 
 class Models:
@@ -79,42 +81,42 @@ class Models:
         self.two = np.zeros(lanes * _SLOTS, np.uint16)
         self.counts = Counts(lanes)
         self.distinct = np.zeros(lanes, np.int64)
-        confidence = np.arange(16)
-        first = np.stack([confidence >> 2, confidence & 3, np.full(16, 2)], axis=1)
-        self.shares = np.tile(first.astype(np.float64), (lanes, 1))
+        self.shares = np.tile(_ROOM, (lanes, 1))
         self.last = np.full(lanes, BLOCK, np.int64)
         self.before = np.full(lanes, BLOCK, np.int64)
+        self.lane = np.arange(lanes)
+        self.base = self.lane * BLOCK
+        self.base_one = self.lane * (BLOCK + 1)
+        self.base_context = self.lane * 16
 
     def predict(self, n: int) -> tuple[np.ndarray, ...]:
         """Of the first n lanes: the numbers predicted by order 2 and order 1 (-1: none), and their parts of the total."""
-        lane = np.arange(n)
         last = self.last[:n]
-        self.at_one = lane * (BLOCK + 1) + last
-        self.at_two = lane * _SLOTS + ((last * 0x9E35 + self.before[:n] * 0x79B1) >> 3 & (_SLOTS - 1))
-        one, two = self.one[self.at_one].astype(np.int64), self.two[self.at_two].astype(np.int64)
-        self.state_one, self.state_two = one, two
-        a, b = (two >> 2) - 1, (one >> 2) - 1
-        self.context = lane * 16 + (two & 3) * 4 + (one & 3)
+        self.at_one = self.base_one[:n] + last
+        self.at_two = self.base[:n] + ((last * 0x9E35 + self.before[:n] * 0x79B1) >> 3 & (_SLOTS - 1))
+        self.state_one, self.state_two = self.one[self.at_one].astype(np.int32), self.two[self.at_two].astype(np.int32)
+        a, b = (self.state_two >> 2) - 1, (self.state_one >> 2) - 1
+        self.context = self.base_context[:n] + ((self.state_two & 3) << 2 | self.state_one & 3)
         shares = self.shares[self.context]
-        unit = (_TOTAL - _LEAST) / shares.sum(axis=1)
+        unit = (_TOTAL - _LEAST) / shares[:, 3]
         part_a, part_b = (shares[:, 0] * unit).astype(np.int64), (shares[:, 1] * unit).astype(np.int64)
         same = a == b
-        part_a += np.where(same, part_b, 0)
-        part_b[same] = 0
+        part_a += part_b * same
+        part_b *= ~same
         return a, b, part_a, part_b
 
     def learn(self, n: int, number: np.ndarray, outcome: np.ndarray) -> None:
         """The number that came in each of the first n lanes, by which model (0: order 2, 1: order 1, 2: order 0)."""
-        lane = np.arange(n)
-        self.shares[self.context, outcome] += 1
+        flat = self.shares.ravel()
+        flat[self.context * 4 + outcome] += 1
+        flat[self.context * 4 + 3] += 1
+        fresh = (number + 1) << 2 | 1
         for table, at, state in ((self.one, self.at_one, self.state_one), (self.two, self.at_two, self.state_two)):
-            right = (state >> 2) - 1 == number
             trust = state & 3
-            kept = trust >> 1
-            wrong = np.where(kept > 0, (state & ~3) | kept, ((number + 1) << 2) | 1)
-            table[at] = np.where(right, state + (trust < 3), wrong)
-        self.counts.add(lane, number)
-        self.distinct[:n] = np.maximum(self.distinct[:n], number + 1)
+            wrong = np.where(trust > 1, state - trust + (trust >> 1), fresh)
+            table[at] = np.where(state >> 2 == fresh >> 2, state + (trust < 3), wrong)
+        self.counts.add(self.base[:n], number)
+        np.maximum(self.distinct[:n], number + 1, out=self.distinct[:n])
         self.before[:n] = self.last[:n]
         self.last[:n] = number
 
@@ -126,106 +128,110 @@ def local_numbers(ids: np.ndarray) -> np.ndarray:
     ordered = np.take_along_axis(ids, order, axis=1)
     new = np.ones(ids.shape, bool)
     new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-    is_first = np.zeros(ids.shape, bool)
     rows, places = np.nonzero(new)
-    is_first[rows, order[rows, places]] = True
-    rank = is_first.cumsum(axis=1, dtype=np.int32) - 1
-    starts = rank[rows, order[rows, places]]
-    group = np.cumsum(new.ravel()) - 1
+    firsts = order[rows, places]
+    is_first = np.zeros(ids.shape, bool)
+    is_first[rows, firsts] = True
+    starts = is_first.cumsum(axis=1, dtype=np.int32)[rows, firsts] - 1
     out = np.empty(ids.shape, np.int32)
-    np.put_along_axis(out, order, starts[group].reshape(ids.shape), axis=1)
+    np.put_along_axis(out, order, starts[np.cumsum(new.ravel()) - 1].reshape(ids.shape), axis=1)
     return out
 
 
-class Encoder:
-    def __init__(self, lanes: int, steps: int):
+class _Range:
+    """Low end and width of each lane's range; ``move`` is told which lanes have settled a word."""
+
+    def __init__(self, lanes: int):
         self.low = np.zeros(lanes, _U)
         self.range = np.full(lanes, (1 << 64) - 1, _U)
-        self.words = np.zeros((lanes, steps * _WORDS_PER_ID + 16), np.uint16)
-        self.used = np.zeros(lanes, np.int64)
 
-    def put(self, lane: np.ndarray, first: np.ndarray, width: np.ndarray, unit: np.ndarray) -> None:
-        """Narrow the lanes' ranges to ``width`` units from ``first``, and send what is settled."""
+    def narrow(self, lane: np.ndarray, first: np.ndarray, width: np.ndarray, unit: np.ndarray) -> None:
+        """Take ``width`` units from ``first``; widen what became too narrow."""
         self.low[lane] += first.astype(_U) * unit
         self.range[lane] = width.astype(_U) * unit
         while len(lane):
             low, span = self.low[lane], self.range[lane]
             same = (low ^ (low + span)) >> _TOP == 0
-            send = same | (span < _LOW)
+            send = np.flatnonzero(same | (span < _LOW))
+            if not len(send):
+                return
             lane, low, span, same = lane[send], low[send], span[send], same[send]
-            self.words[lane, self.used[lane]] = (low >> _TOP).astype(np.uint16)
-            self.used[lane] += 1
-            self.low[lane] = low << _U(16)
-            self.range[lane] = np.where(same, span, (~low + _U(1)) & (_LOW - _U(1))) << _U(16)
+            self.move(lane, low)
+            self.low[lane] = low << _WORD
+            self.range[lane] = np.where(same, span, (~low + _ONE) & (_LOW - _ONE)) << _WORD
+
+    def move(self, lane: np.ndarray, low: np.ndarray) -> None:
+        raise NotImplementedError
 
 
-class Decoder:
+class Encoder(_Range):
+    def __init__(self, lanes: int, steps: int):
+        super().__init__(lanes)
+        self.words = np.zeros((lanes, steps * _WORDS_PER_ID + 16), np.uint16)
+        self.used = np.zeros(lanes, np.int64)
+
+    def move(self, lane: np.ndarray, low: np.ndarray) -> None:
+        used = self.used[lane]
+        self.words[lane, used] = low >> _TOP
+        self.used[lane] = used + 1
+
+
+class Decoder(_Range):
     def __init__(self, words: np.ndarray):
-        lanes = len(words)
-        self.low = np.zeros(lanes, _U)
-        self.range = np.full(lanes, (1 << 64) - 1, _U)
+        super().__init__(len(words))
         self.words = words
-        self.used = np.full(lanes, 4)
-        self.code = np.zeros(lanes, _U)
+        self.used = np.full(len(words), 4)
+        self.code = np.zeros(len(words), _U)
         for k in range(4):
-            self.code = self.code << _U(16) | words[:, k].astype(_U)
-
-    def take(self, lane: np.ndarray, first: np.ndarray, width: np.ndarray, unit: np.ndarray) -> None:
-        self.low[lane] += first.astype(_U) * unit
-        self.range[lane] = width.astype(_U) * unit
-        while len(lane):
-            low, span = self.low[lane], self.range[lane]
-            same = (low ^ (low + span)) >> _TOP == 0
-            send = same | (span < _LOW)
-            lane, low, span, same = lane[send], low[send], span[send], same[send]
-            self.code[lane] = self.code[lane] << _U(16) | self.words[lane, np.minimum(self.used[lane], self.words.shape[1] - 1)].astype(_U)
-            self.used[lane] += 1
-            self.low[lane] = low << _U(16)
-            self.range[lane] = np.where(same, span, (~low + _U(1)) & (_LOW - _U(1))) << _U(16)
+            self.code = self.code << _WORD | words[:, k].astype(_U)
 
+    def move(self, lane: np.ndarray, low: np.ndarray) -> None:
+        used = self.used[lane]
+        self.code[lane] = self.code[lane] << _WORD | self.words[lane, np.minimum(used, self.words.shape[1] - 1)]
+        self.used[lane] = used + 1
 
-def _zero_counts(step: int, distinct: np.ndarray) -> np.ndarray:
-    """The total of order 0: all ids so far, and a share for new ones that grows with how many different ones there are."""
-    return step + distinct + 1
+    def value(self, lane: np.ndarray, unit: np.ndarray, total: np.ndarray) -> np.ndarray:
+        return np.minimum((self.code[lane] - self.low[lane]) // unit, (total - 1).astype(_U)).astype(np.int64)
 
 
 def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """Each row's first ``lengths`` ids as a block. Rows are in order of falling length, at most ``BLOCK`` wide."""
     lanes, steps = len(ids), int(lengths.max(initial=0))
-    numbers = local_numbers(ids[:, :steps]).T.copy()
+    numbers = local_numbers(ids[:, :steps]).T.astype(np.int64)
     columns = ids[:, :steps].T.copy()
-    alphabet = np.array([int(row[:n].max(initial=0)) + 1 for row, n in zip(ids, lengths, strict=True)], np.int64)
+    alphabet = np.where(np.arange(ids.shape[1])[None, :] < lengths[:, None], ids, 0).max(axis=1, initial=0).astype(_U) + _ONE
     models, coder = Models(lanes), Encoder(lanes, steps)
     for step in range(steps):
         n = int(np.searchsorted(-lengths, -step, "left"))  # lanes with more ids than this
-        number = numbers[step, :n].astype(np.int64)
+        number = numbers[step, :n]
         a, b, part_a, part_b = models.predict(n)
-        unit = coder.range[:n] >> _U(_TOTAL_BITS)
-        outcome = np.where(number == a, 0, np.where(number == b, 1, 2))
-        first = np.where(outcome == 0, 0, part_a)
-        width = np.where(outcome == 0, part_a, part_b)
+        by_a, by_b = number == a, number == b
+        outcome = np.where(by_a, 0, 2 - (by_b & ~by_a))
+        first = np.where(by_a, 0, part_a)
+        width = np.where(by_a, part_a, part_b)
         other = np.flatnonzero(outcome == 2)
-        is_new = number[other] == models.distinct[other]
         rest = part_a[other] + part_b[other]
-        share = _TOTAL - rest
-        total = _zero_counts(step, models.distinct[other])
-        before, own = models.counts.before(other, number[other])
-        before, own = np.where(is_new, step, before), np.where(is_new, total - step, own)
-        start = share * before // total
+        distinct = models.distinct[other]
+        is_new = number[other] == distinct
+        total = step + 1 + distinct  # a share for new ones that grows with how many different ones there are
+        before, own = np.full(len(other), step), distinct + 1
+        old = np.flatnonzero(~is_new)
+        before[old], own[old] = models.counts.before(other[old], number[other[old]])
+        start = (_TOTAL - rest) * before // total
         first[other] = rest + start
-        width[other] = share * (before + own) // total - start
-        coder.put(np.arange(n), first, width, unit)
+        width[other] = (_TOTAL - rest) * (before + own) // total - start
+        coder.narrow(models.lane[:n], first, width, coder.range[:n] >> _BITS)
         fresh = other[is_new]
         if len(fresh):
-            coder.put(fresh, columns[step, fresh].astype(np.int64), np.ones(len(fresh), np.int64), coder.range[fresh] // alphabet[fresh].astype(_U))
+            coder.narrow(fresh, columns[step, fresh], np.ones(len(fresh), _U), coder.range[fresh] // alphabet[fresh])
         models.learn(n, number, outcome)
     out = []
     for lane in range(lanes):
         low, used, n = int(coder.low[lane]), int(coder.used[lane]), int(lengths[lane])
-        tail = [low >> s & 0xFFFF for s in (48, 32, 16, 0)]
-        words = np.concatenate([coder.words[lane, :used], np.array(tail, np.uint16)]).astype("<u2")
+        tail = np.array([low >> s & 0xFFFF for s in (48, 32, 16, 0)], "<u2")
         crc = zlib.crc32(ids[lane, :n].astype("<u4").tobytes())
-        out.append(HEADER.pack(n, int(alphabet[lane]) - 1, len(words), crc) + words.tobytes())
+        head = HEADER.pack(n, int(alphabet[lane]) - 1, used + 4, crc)
+        out.append(head + coder.words[lane, :used].astype("<u2").tobytes() + tail.tobytes())
     return out
 
 
@@ -239,38 +245,42 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     for lane, (block, head) in enumerate(zip(blocks, heads, strict=True)):
         words[lane, : head[2]] = np.frombuffer(block, "<u2", head[2], HEADER.size)
     models, coder = Models(lanes), Decoder(words)
-    id_of = np.zeros((lanes, BLOCK + 1), np.uint32)
+    id_of = np.zeros(lanes * BLOCK, np.uint32)
     out = np.zeros((steps, lanes), np.uint32)
+    whole = np.full(lanes, _TOTAL)
     for step in range(steps):
         n = int(np.searchsorted(-lengths, -step, "left"))
+        lane = models.lane[:n]
         a, b, part_a, part_b = models.predict(n)
-        unit = coder.range[:n] >> _U(_TOTAL_BITS)
-        value = np.minimum((coder.code[:n] - coder.low[:n]) // unit, _U(_TOTAL - 1)).astype(np.int64)
-        rest = part_a + part_b
-        outcome = np.where(value < part_a, 0, np.where(value < rest, 1, 2))
-        number = np.where(outcome == 0, a, b)
-        first = np.where(outcome == 0, 0, part_a)
-        width = np.where(outcome == 0, part_a, part_b)
+        unit = coder.range[:n] >> _BITS
+        value = coder.value(lane, unit, whole[:n])
+        both = part_a + part_b
+        by_a, not_other = value < part_a, value < both
+        outcome = np.where(by_a, 0, 2 - (not_other & ~by_a))
+        number = np.where(by_a, a, b).astype(np.int64)
+        first = np.where(by_a, 0, part_a)
+        width = np.where(by_a, part_a, part_b)
         other = np.flatnonzero(outcome == 2)
-        share = _TOTAL - rest[other]
-        total = _zero_counts(step, models.distinct[other])
-        target = ((value[other] - rest[other] + 1) * total - 1) // share
+        rest = both[other]
+        distinct = models.distinct[other]
+        total = step + 1 + distinct
+        target = ((value[other] - rest + 1) * total - 1) // (_TOTAL - rest)
         is_new = target >= step
-        found, before, own = models.distinct[other], np.full(len(other), step), total - step
+        found, before, own = distinct, np.full(len(other), step), distinct + 1
         old = np.flatnonzero(~is_new)
         found[old], before[old], own[old] = models.counts.find(other[old], target[old])
-        start = share * before // total
-        first[other] = rest[other] + start
-        width[other] = share * (before + own) // total - start
+        start = (_TOTAL - rest) * before // total
+        first[other] = rest + start
+        width[other] = (_TOTAL - rest) * (before + own) // total - start
         number[other] = found
-        coder.take(np.arange(n), first, width, unit)
+        coder.narrow(lane, first, width, unit)
         fresh = other[is_new]
         if len(fresh):
             unit = coder.range[fresh] // alphabet[fresh].astype(_U)
-            new = np.minimum((coder.code[fresh] - coder.low[fresh]) // unit, alphabet[fresh].astype(_U) - _U(1)).astype(np.int64)
-            coder.take(fresh, new, np.ones(len(fresh), np.int64), unit)
-            id_of[fresh, number[fresh]] = new
-        out[step, :n] = id_of[np.arange(n), number]
+            new = coder.value(fresh, unit, alphabet[fresh])
+            coder.narrow(fresh, new, np.ones(len(fresh), _U), unit)
+            id_of[models.base[fresh] + number[fresh]] = new
+        out[step, :n] = id_of[models.base[:n] + number]
         models.learn(n, number, outcome)
     ids = [out[:n, lane].astype("<u4") for lane, n in enumerate(lengths.tolist())]
     for row, head in zip(ids, heads, strict=True):

@@ -4,7 +4,7 @@ Patterns take the longest run they can and drop it whole if its check fails, so
 is lost. Candidate generators propose narrower, overlapping spans with high recall. A candidate is described by yes/no
 features of its format and its surroundings. Candidates equal to an accepted pattern span are examples of personal data,
 candidates that fail their kind's check or lie in another kind's accepted span are counterexamples, all others are
-unknown. Trees are boosted on the counts of feature combinations (at most 2 to the number of features rows, whatever the
+unknown. Whether a candidate passes its check is no feature. Trees are boosted on the counts of feature combinations (at most 2 to the number of features rows, whatever the
 number of documents). Each kind's threshold is calibrated on documents that the trees did not see.
 """
 
@@ -46,11 +46,17 @@ GENERATORS = (
 )
 
 FEATURES = (
-    "is_email", "is_ip", "is_card", "checked", "plus", "grouped", "brackets",
-    "joined_before", "joined_after", "digits_before", "digits_after", "named",
+    "is_email", "is_ip", "is_card", "many_digits", "plus", "grouped", "brackets",
+    "joined_before", "joined_after", "listed", "very_many_digits", "named",
 )
 _NAMES = r"(?i)(mail|contact|tel|phone|call|fax|mobile|card|visa|credit|payment|host|address|server|\bip)[^\n]{0,12}$"
 CONTEXT = 30
+PIECE = 1000
+BLOCK = 64
+#: A piece: up to ``PIECE`` characters of a line, and on to where the line may be cut.
+_CUT = rf'[^\n]{{0,{PIECE}}}(?:[^\n,;|<>"A-Za-z]|[A-Za-z](?! [A-Za-z0-9+]))*+(?:[A-Za-z](?= )|[\n,;|<>"])?+'
+#: What every span has.
+ANY_SIGN = r"@|[\[(][aA][tT][\])]|[0-9]\.[0-9]|[0-9]{2}|[0-9][ -][0-9]|\+[0-9]"
 TREES = 24
 RATE = 0.4
 PRECISION = 0.95
@@ -58,9 +64,39 @@ PRECISION = 0.95
 SPAN = "struct<kind:int,start:int,end:int,value:string>"
 
 
-def _found(kind: int, sign: str, pattern: str) -> Column:
-    """All matches as an array of spans; places in code points come from the lengths of the pieces between matches."""
-    text = F.col("text")
+def _pieces(text: Column) -> Column:
+    """The text cut into ``text, offset`` where no span can be cut: at line ends, and in lines of more than
+    ``PIECE`` characters also behind characters that no pattern has, or before a space between words. Only pieces with a
+    sign of something are returned; all later work is piece by piece, so it grows in proportion to the text.
+
+    Offsets are summed block by block, since appending to one array would copy it each time.
+    """
+    parts = F.regexp_extract_all(text, F.lit(_CUT), F.lit(0))
+    n = F.size(parts)
+    block = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), (n - 1) / BLOCK).cast("int")), lambda b: F.slice(parts, b * BLOCK + 1, F.lit(BLOCK))
+    )
+    sums = F.transform(block, lambda some: F.aggregate(some, F.lit(0), lambda total, x: total + F.length(x)))
+
+    def summed(lengths: Column) -> Column:
+        """Sums before each element."""
+        start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        return F.aggregate(
+            lengths, start, lambda done, x: F.struct((done["at"] + x).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out")), lambda d: d["out"]
+        )
+
+    def placed(some: Column, before: Column) -> Column:
+        inside = summed(F.transform(some, F.length))
+        every = F.zip_with(some, inside, lambda t, at: F.struct(t.alias("text"), (before + at).alias("offset")))
+        return F.filter(every, lambda p: p["text"].rlike(ANY_SIGN))
+
+    return F.when(text.rlike(ANY_SIGN), F.flatten(F.zip_with(block, summed(sums), placed))).otherwise(
+        F.expr("cast(array() as array<struct<text:string,offset:int>>)")
+    )
+
+
+def _found(text: Column, kind: int, sign: str, pattern: str) -> Column:
+    """All matches in a piece as an array of spans; places in code points come from the lengths of the pieces between matches."""
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     pieces = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value")))
@@ -96,13 +132,13 @@ def passes(kind: Column, value: Column) -> Column:
     )
 
 
-def _base() -> Column:
-    kinds = [F.filter(_found(i, SIGNS[k], PATTERNS[k]), lambda s: passes(s["kind"], s["value"])) for i, k in enumerate(KINDS)]
+def _base(text: Column) -> Column:
+    kinds = [F.filter(_found(text, i, SIGNS[k], PATTERNS[k]), lambda s: passes(s["kind"], s["value"])) for i, k in enumerate(KINDS)]
     return F.concat(*kinds)
 
 
-def _candidates() -> Column:
-    return F.concat(*[_found(KINDS.index(kind), sign, pattern) for kind, sign, pattern in GENERATORS])
+def _candidates(text: Column) -> Column:
+    return F.array_distinct(F.concat(*[_found(text, KINDS.index(kind), sign, pattern) for kind, sign, pattern in GENERATORS]))
 
 
 def _code(text: Column, span: Column) -> Column:
@@ -114,14 +150,14 @@ def _code(text: Column, span: Column) -> Column:
         span["kind"] == 0,
         span["kind"] == 1,
         span["kind"] == 2,
-        passes(span["kind"], value),
+        F.length(F.regexp_replace(value, "[^0-9]", "")) > 10,
         value.startswith("+"),
         value.rlike("[0-9][ .-][0-9]"),
         value.contains("("),
         before.rlike("[A-Za-z0-9_@.]$"),
         after.rlike("^[A-Za-z0-9_@]"),
-        before.rlike("[0-9)][ -]?$"),
-        after.rlike("^[ -]?[0-9(+]"),
+        before.rlike("(^|[,;:(=] ?)$"),
+        F.length(F.regexp_replace(value, "[^0-9]", "")) > 15,
         before.rlike(_NAMES),
     )
     code = F.lit(0)
@@ -130,14 +166,26 @@ def _code(text: Column, span: Column) -> Column:
     return code
 
 
-def _with_candidates(docs: DataFrame) -> DataFrame:
-    """Adds ``base`` and ``candidates`` (spans with ``code``); null text counts as empty."""
-    spans = docs.withColumn("base", _base()).withColumn("found", F.array_distinct(_candidates()))
-    coded = F.transform(
-        "found",
-        lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _code(F.col("text"), s).alias("code")),
-    )
-    return spans.withColumn("candidates", coded)
+def _with_parts(docs: DataFrame) -> DataFrame:
+    """Adds ``parts``: per piece with a sign its ``offset``, ``base`` spans and ``candidates`` (with ``code`` and ``ok``,
+    whether the kind's check passes), all counted from the piece's start. Null text counts as empty.
+    """
+
+    def part(p: Column) -> Column:
+        told = F.transform(
+            _candidates(p["text"]),
+            lambda s: F.struct(
+                s["kind"].alias("kind"),
+                s["start"].alias("start"),
+                s["end"].alias("end"),
+                _code(p["text"], s).alias("code"),
+                passes(s["kind"], s["value"]).alias("ok"),
+            ),
+        )
+        plain = F.transform(_base(p["text"]), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+        return F.struct(p["offset"].alias("offset"), plain.alias("base"), told.alias("candidates"))
+
+    return docs.withColumn("parts", F.transform(_pieces(F.col("text")), part))
 
 
 def _overlaps(a: Column, b: Column) -> Column:
@@ -230,14 +278,13 @@ def calibrated(model: Boosted, codes: np.ndarray, positive: np.ndarray, negative
 
 def fit(docs: DataFrame) -> Boosted:
     """Trees and thresholds from the candidates of all documents; what reaches the driver is one row per combination."""
-    spans = _with_candidates(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    spans = _with_parts(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     fold = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0).alias("held_out")
-    every = spans.select(fold, "base", F.explode("candidates").alias("c"))
+    every = spans.select(fold, F.explode("parts").alias("p")).select("held_out", "p.base", F.explode("p.candidates").alias("c"))
     c = F.col("c")
     same = F.exists("base", lambda b: (b["kind"] == c["kind"]) & (b["start"] == c["start"]) & (b["end"] == c["end"]))
     other = F.exists("base", lambda b: (b["kind"] != c["kind"]) & _overlaps(b, c))
-    fails = c["code"].bitwiseAND(F.lit(1 << FEATURES.index("checked"))) == 0
-    label = F.when(same, 1).when(fails | other, 0)
+    label = F.when(same, 1).when(~c["ok"] | other, 0)
     counts = every.select("held_out", c["code"].alias("code"), label.alias("label")).where(F.col("label").isNotNull())
     rows = counts.groupBy("held_out", "code").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")).collect()
     rows.sort()
@@ -270,23 +317,31 @@ def private_spans(docs: DataFrame, model: Boosted) -> DataFrame:
     Spans are ``kind`` (place in ``KINDS``), ``start``, ``end`` in code points. An added span overlaps no other. Null text
     has none.
     """
-    spans = _with_candidates(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    spans = _with_parts(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     limits = [t if math.isfinite(t) else 1e300 for t in model.thresholds]
 
-    def chosen(c: Column) -> Column:
-        limit = F.when(c["kind"] == 0, limits[0]).when(c["kind"] == 1, limits[1]).when(c["kind"] == 2, limits[2]).otherwise(limits[3])
-        return (model.margin(c["code"]) >= limit) & ~F.exists("base", lambda b: _overlaps(b, c))
-
-    good = F.transform(
-        F.filter("candidates", chosen),
-        lambda c: F.struct(
-            (c["start"] - c["end"]).alias("size"), (-model.margin(c["code"])).alias("order"), c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")
-        ),
+    def added(p: Column) -> Column:
+        def chosen(c: Column) -> Column:
+            limit = F.when(c["kind"] == 0, limits[0]).when(c["kind"] == 1, limits[1]).when(c["kind"] == 2, limits[2]).otherwise(limits[3])
+            return (model.margin(c["code"]) >= limit) & ~F.exists(p["base"], lambda b: _overlaps(b, c))
+
+        good = F.transform(
+            F.filter(p["candidates"], chosen),
+            lambda c: F.struct(
+                (c["start"] - c["end"]).alias("size"), (-model.margin(c["code"])).alias("order"), c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")
+            ),
+        )
+        return F.when(F.size(p["candidates"]) > 0, _kept(good)).otherwise(F.expr("cast(array() as array<struct<kind:int,start:int,end:int>>)"))
+
+    def moved(spans: Column, by: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), (s["start"] + by).alias("start"), (s["end"] + by).alias("end")))
+
+    told = spans.select(
+        "doc_id",
+        F.flatten(F.transform("parts", lambda p: moved(p["base"], p["offset"]))).alias("base"),
+        F.flatten(F.transform("parts", lambda p: moved(added(p), p["offset"]))).alias("added"),
     )
-    plain = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    told = spans.select("doc_id", plain.alias("base"), F.when(F.size("candidates") > 0, _kept(good)).alias("added"))
-    both = F.concat("base", F.coalesce("added", F.expr("cast(array() as array<struct<kind:int,start:int,end:int>>)")))
-    return told.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(both).alias("spans"))
+    return told.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat("base", "added")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:

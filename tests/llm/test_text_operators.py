@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loadlake.llm import (
     decontamination,
@@ -362,6 +363,21 @@ def test_pieces_hold_the_tokenizers_ids_and_fill_sequences(shipped):
     assert packing.pack(frame(shipped, texts).where("false"), tokenizer_path(WORD_TOKENIZER)).count() == 0
 
 
+def test_any_unicode_gets_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path(WORD_TOKENIZER)
+    tokenizer, encoder = Tokenizer.from_file(path), packing.PieceEncoder(path, lead="")
+    rng = np.random.default_rng(31)
+    kinds = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x530), (0x1E00, 0x2000), (0x20, 0xD7FF), (0xE000, 0x10FFFF)]
+    texts = ["ANKARA ÜNİVERSİTESİ, 1946", "İSTANBUL BELEDİYESİ.", "İ! İİ. ẞ? ΑΣ; ﬁ, Ǆ."]
+    for _ in range(20_000):
+        parts = ["".join(map(chr, rng.integers(*kinds[rng.integers(len(kinds))], rng.integers(1, 5)))) + "".join(rng.choice(list(".,!?)"), rng.integers(0, 3))) for _ in range(5)]
+        texts.append(" ".join(parts))
+    for text, ids in zip(texts, packing.token_ids(texts, encoder), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_plan_is_best_fit_over_counts():
     rng = np.random.default_rng(8)
     histogram = {int(n): int(c) for n, c in zip(rng.integers(1, 101, 60), rng.integers(1, 500, 60), strict=True)}
@@ -634,3 +650,20 @@ def test_split_join_is_an_inner_join(shipped):
     keyed = rows.where("key IS NOT NULL").groupBy("key").count().withColumnRenamed("count", "n")
     for parts in (1, 3, 1000):
         assert split_join(rows, keyed, "key", "n", parts).count() == 700
+
+
+def test_time_grows_in_proportion_to_the_matches(shipped):
+    import time
+
+    def seconds(n):
+        lines = "\n".join(f"10.0.{i % 250}.7 - user{i}@mail.example.com, id {i}" for i in range(n // 2))
+        one = " ".join(f"user{i}@mail{i}.example.com" for i in range(n // 2))
+        docs = frame(shipped, [lines + "\n" + one])
+        started = time.time()
+        model = pii.Boosted([], 0.0, (0.0,) * 4)
+        row = pii.private_spans(docs, model).select(F.size("base").alias("n"), pii.listed("base").alias("b")).first()
+        assert row.n == n // 2 * 3 and row.b == plain_spans(lines + "\n" + one)
+        return time.time() - started
+
+    seconds(100)
+    assert seconds(50_000) < 60
