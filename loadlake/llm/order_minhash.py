@@ -255,12 +255,14 @@ def _shingle_rows(texts: DataFrame) -> DataFrame:
 
 def prefixes(tables: Tables, texts: DataFrame, least: float) -> DataFrame:
     """``node, root, size, shingle, place, n``: the rarest shingles of each text, as many as it takes that two texts with
-    ``least`` of their union in common share one, without those that no other text has.
+    ``least`` of their union in common share one, without those that no other class (``root``) has.
 
-    How many texts have a shingle is counted over all texts given. A text with more shingles of its own than its prefix
-    is long has no row: it cannot be similar to any other.
+    Shingles of one class only come first, as they are rarest for all that is searched: pairs of different classes. The
+    others are ordered by how many of all texts given have them. A text with more shingles of its class's own than its
+    prefix is long has no row: it cannot be similar to any text of another class.
     """
-    counts = tables.keep(_shingle_rows(texts).groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    counts = _shingle_rows(texts).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    counts = tables.keep(counts.where("low <> high").select("shingle", "n"))
     shared = split_join(_shingle_rows(texts), counts, "shingle", "n")
     listed = shared.groupBy("node", "root", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("list"))
     own = F.col("size") - F.size("list")

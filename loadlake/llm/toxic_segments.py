@@ -1,7 +1,9 @@
 """Toxicity by maximum-scoring segments.
 
-Words get log-odds of standing in toxic documents, with a Dirichlet prior in proportion to the words' overall frequency.
-Words whose log-odds are not significant and large share one small negative score. A linear scan then finds all maximal
+Every word has log-odds of standing in toxic documents, with a Dirichlet prior in proportion to the words' overall
+frequency and of half a document in each class at least. Words with significant log-odds score these, within limits, less a
+small step; toxic ones have to be clear. All others score the step. What is significant and clear is chosen on a part of the
+labelled documents that the words were not counted in, and so is the logistic curve. A linear scan then finds all maximal
 scoring segments of a text, each passage that cannot be extended or joined with a gain. Their scores are put on the
 extreme-value scale of the best segment that harmless text of the same length would show by chance; what all significant
 segments add up to becomes the document's probability by a logistic curve fitted to the labels.
@@ -26,15 +28,18 @@ from loadlake.llm.decontamination import words_of
 
 #: About so many labelled documents are fitted on at most, drawn by hash of doc_id; fewer labels are all used.
 LABELLED = 20_000
-#: The classifier's vocabulary: the words with the most significant log-odds, among those that are clearly toxic.
-LEXICON = 20_000
-MIN_Z = 3.0
-MIN_ODDS = 3.0
+#: What to choose from: standard errors that a word's log-odds have to exceed, and the least log-odds of toxic words.
+CHOICES = ((3.0, 3.0), (2.0, 3.0), (1.8, 4.0))
+#: A part of the labelled documents, one in so many, is kept for these choices.
+CHOICE_PART = 5
 #: Words of more bytes than this are also known by their beginning, so that unseen endings count.
 STEM = 5
 PRIOR_DOCUMENTS = 50.0
 GAP = -0.12
 TOP_SCORE = 8.0
+LOW_SCORE = -0.2
+#: A passage is significant if harmless text of the length would have fewer than exp(-this) of its score.
+SIGNIFICANT = 3.0
 
 
 @dataclass(frozen=True)
@@ -96,12 +101,12 @@ def passages(text: bytes | None, model: ToxicModel) -> tuple[float, list[tuple[i
     if not len(words) or not (scores > 0).any():
         return model.surprise(0.0, n), []
     found = [(a, b, model.surprise(s, n)) for a, b, s in maximal_segments(scores)]
-    good = [x for x in found if x[2] > 0]
+    good = [x for x in found if x[2] > SIGNIFICANT]
     return (sum(x[2] for x in good) if good else max(x[2] for x in found)), good
 
 
 def labelled(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
-    """``text, toxic`` of labelled documents outside the held-out fifth, about ``limit`` of them at most.
+    """``text, toxic, choice`` of labelled documents outside the held-out fifth, about ``limit`` of them at most.
 
     The list of chosen ids is broadcast, as ``limit`` bounds it; of contradictory labels of a document, toxic holds.
     """
@@ -109,77 +114,122 @@ def labelled(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataF
     ids = stored(ids.where(~held_out(F.col("doc_id"))))
     share = min(1.0, limit / max(1, ids.count()))
     chosen = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    choice = F.pmod(F.xxhash64("doc_id", F.lit("choice")), F.lit(CHOICE_PART)) == 0
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return met.select("text", F.col("toxic").cast("int").alias("toxic"), choice.alias("choice"))
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def log_odds(y1: Column, y0: Column, n1: float, n0: float) -> tuple[Column, Column]:
+    """Log-odds of a word that stands in y1 of n1 toxic and y0 of n0 other documents, and their standard error.
+
+    Documents without the word have a prior of their own, so a word that stands in all of them is no exception.
+    """
+    prior = F.greatest(F.lit(0.5), PRIOR_DOCUMENTS * (y1 + y0) / (n1 + n0))
+    rest = F.greatest(F.lit(0.5), PRIOR_DOCUMENTS - prior)
+    a, b = y1 + prior, y0 + prior
+    odds = F.log(a / (n1 - y1 + rest)) - F.log(b / (n0 - y0 + rest))
+    return odds, F.sqrt(1 / a + 1 / b)
+
+
+def _lexicon(rows: list, odds: str, error: str, count: str, choice: tuple[float, float]) -> tuple[dict[bytes, float], dict[float, float]]:
+    """Scores of words, and how many harmless documents have words of each score."""
+    scores, share = {}, {}
+    for r in rows:
+        if abs(r[odds]) > choice[0] * r[error] and not 0 < r[odds] < choice[1]:
+            score = min(TOP_SCORE, max(LOW_SCORE, r[odds])) + GAP
+            scores[bytes(r.word)] = score
+            share[score] = share.get(score, 0.0) + r[count] + 0.5
+    return scores, share
+
+
+def _law(scores: dict[bytes, float], share: dict[float, float], n: np.ndarray, best: np.ndarray) -> ToxicModel:
+    """The extreme-value law of harmless texts, from their numbers of words and the scores of their best segments."""
+    some = n > 0
+    n, best = n[some], best[some]
+    decay = _decay(share, float(n.sum()) if len(n) else 1.0)
+    level = float((decay * best - np.log(n)).mean()) if len(n) else 0.0
+    return ToxicModel(scores, decay, max(math.exp(min(50.0, level - 0.5772156649015329)), 1e-12), 0.0, 0.0)
+
+
+def _best_segments(sample: DataFrame, lexicons: list[dict[bytes, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each text, and the score of its best segment by each lexicon."""
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, found = [], []
+            for text in batch.column(0).to_pylist():
+                words = words_of(text)
+                sizes.append(len(words))
+                found.append([max((x for _, _, x in maximal_segments(scores_of(words, known))), default=0.0) for known in lexicons])
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["n", "best"])
+
+    rows = sample.select("text").mapInArrow(best, "n long, best array<double>").collect()
+    return np.array([r.n for r in rows], np.int64), np.array([r.best for r in rows], float).reshape(len(rows), len(lexicons))
+
+
+def _evidence(sample: DataFrame, models: list[ToxicModel]) -> tuple[np.ndarray, np.ndarray]:
+    """Labels of the texts, and their evidence by each model."""
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def evidence(texts: pd.Series) -> pd.Series:
+        return pd.Series([[passages(t, m)[0] for m in models] for t in texts], dtype=object)
+
+    rows = sample.select(evidence("text").alias("x"), "toxic").collect()
+    return np.array([r.toxic for r in rows], float), np.array([r.x for r in rows], float).reshape(len(rows), len(models))
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> ToxicModel:
-    """Word scores, extreme-value law and logistic curve from labelled documents; without labels, scores near 0."""
-    sample = labelled(docs, labels, limit).select(F.col("text").cast("binary"), "toxic")
+    """Word scores, extreme-value law and logistic curve from labelled documents; without labels, scores near 0.
+
+    What comes to the driver are words with significant log-odds and one row per labelled document, of the bounded sample.
+    """
+    sample = labelled(docs, labels, limit).select(F.col("text").cast("binary").alias("text"), "toxic", "choice")
     sample = stored(sample)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, toxic = [], []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            out, rows = [], []
+            for i, text in enumerate(batch.column(0).to_pylist()):
                 own = set(words_of(text))
                 own |= {s for w in own if (s := stem(w))}
                 out += own
-                toxic += [label] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(toxic, pa.int32())], ["word", "toxic"])
+                rows += [i] * len(own)
+            at = pa.array(rows, pa.int64())
+            columns = [pa.array(out, pa.binary()), batch.column(1).take(at), batch.column(2).take(at)]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "toxic", "choice"])
 
-    sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
+    sizes = {(r.toxic, r.choice): r.n for r in sample.groupBy("toxic", "choice").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n1, n0 = (float(sizes.get((k, False), 0) + sizes.get((k, True), 0)) for k in (1, 0))
     if not n1 or not n0:
         return ToxicModel({}, 1.0, 1.0, 0.0, math.log((n1 + 0.5) / (n0 + 0.5)) if n1 or n0 else -3.0)
-    counts = sample.mapInArrow(words, "word binary, toxic int").groupBy("word")
-    counts = counts.agg(F.sum("toxic").cast("double").alias("y1"), F.sum(1 - F.col("toxic")).cast("double").alias("y0"))
-    prior = PRIOR_DOCUMENTS * (F.col("y1") + F.col("y0")) / (n1 + n0)
-    a, b = F.col("y1") + prior, F.col("y0") + prior
-    odds = F.log(a / (n1 + PRIOR_DOCUMENTS - a)) - F.log(b / (n0 + PRIOR_DOCUMENTS - b))
-    z = odds / F.sqrt(1 / a + 1 / b)
-    top = counts.select("word", odds.alias("odds"), z.alias("z"), "y0").where((F.col("z") > MIN_Z) & (F.col("odds") > MIN_ODDS))
-    top = top.orderBy(F.desc("z"), "word").limit(LEXICON).collect()
-    scores = {bytes(r.word): min(TOP_SCORE, r.odds) for r in top}
-
-    # The extreme-value law of harmless text: frequencies of the scores, then the scale from the best segments.
-    start = ToxicModel(scores, 1.0, 1.0, 0.0, 0.0)
-
-    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = words_of(text)
-                values = scores_of(found, scores)
-                best = max((s for _, _, s in maximal_segments(values)), default=0.0)
-                rows.append((label, len(found), best, float(np.exp(np.minimum(values, TOP_SCORE)).sum())))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.float64(), pa.float64()))],
-                ["toxic", "n", "best", "grown"],
-            )
-
-    seen = sample.mapInArrow(raw, "toxic int, n long, best double, grown double").toPandas()
-    clean = seen[(seen.toxic == 0) & (seen.n > 0)]
-    share = {}
-    for r in top:
-        share[min(TOP_SCORE, r.odds)] = share.get(min(TOP_SCORE, r.odds), 0.0) + r.y0 + 0.5
-    decay = _decay(share, float(clean.n.sum()) if len(clean) else 1.0)
-    level = float((decay * clean.best - np.log(np.maximum(clean.n, 1))).mean()) if len(clean) else 0.0
-    scale = math.exp(min(50.0, level - 0.5772156649015329))
-    model = ToxicModel(start.scores, decay, max(scale, 1e-12), 0.0, 0.0)
-
-    evidence_type = T.DoubleType()
-
-    @F.pandas_udf(evidence_type)
-    def evidence(texts: pd.Series) -> pd.Series:
-        return pd.Series([passages(t, model)[0] for t in texts], dtype=float)
-
-    told = sample.select(evidence("text").alias("x"), "toxic").toPandas()
-    slope, offset = _logistic(told.x.to_numpy(), told.toxic.to_numpy().astype(float))
-    return ToxicModel(scores, decay, model.scale, slope, offset)
+    apart = len(sizes) == 4  # both kinds of labels in both parts; else the words are chosen where they are counted
+    counted = ~F.col("choice") if apart else F.lit(True)
+    m1, m0 = (float(sizes[k, False]) if apart else n for k, n in ((1, n1), (0, n0)))
+    toxic = F.col("toxic") == 1
+    counts = sample.mapInArrow(words, "word binary, toxic int, choice boolean").groupBy("word")
+    sums = {"y1": toxic, "y0": ~toxic, "x1": toxic & counted, "x0": ~toxic & counted}
+    counts = counts.agg(*[F.count_if(c).cast("double").alias(name) for name, c in sums.items()])
+    all_odds, all_error = log_odds(F.col("y1"), F.col("y0"), n1, n0)
+    part_odds, part_error = log_odds(F.col("x1"), F.col("x0"), m1, m0)
+    rows = counts.select("word", "y0", "x0", all_odds.alias("odds"), all_error.alias("error"), part_odds.alias("part_odds"), part_error.alias("part_error"))
+    least = min(e for e, _ in CHOICES)
+    rows = rows.where((F.abs("odds") > least * F.col("error")) | (F.abs("part_odds") > least * F.col("part_error"))).collect()
+
+    lexicons = [_lexicon(rows, "part_odds", "part_error", "x0", c) for c in CHOICES]
+    n, best = _best_segments(sample.where(counted & ~toxic), [scores for scores, _ in lexicons])
+    models = [_law(scores, share, n, best[:, k]) for k, (scores, share) in enumerate(lexicons)]
+    y, x = _evidence(sample.where("choice") if apart else sample, models)
+    curves = [_logistic(x[:, k], y) for k in range(len(CHOICES))]
+    losses = [float(np.logaddexp(0, np.where(y == 1, -1, 1) * (slope * x[:, k] + offset)).sum()) for k, (slope, offset) in enumerate(curves)]
+    k = int(np.argmin(losses))
+    scores, share = _lexicon(rows, "odds", "error", "y0", CHOICES[k])
+    n, best = _best_segments(sample.where(~toxic), [scores])
+    model = _law(scores, share, n, best[:, 0])
+    return ToxicModel(scores, model.decay, model.scale, *curves[k])
 
 
 def _decay(share: dict[float, float], words: float) -> float:

@@ -667,3 +667,24 @@ def test_time_grows_in_proportion_to_the_matches(shipped):
 
     seconds(100)
     assert seconds(50_000) < 60
+
+
+def test_log_odds_of_odd_words_are_finite(shipped):
+    """A word in every document, one in toxic texts only, one class only, repeated rows, columns of other names."""
+    texts = [f"the {'vile ' if i % 3 == 0 else ''}{prose(i, 30)}" for i in range(60)]
+    docs = frame(shipped, texts + texts[:5] + [None], [*range(60), *range(5), None])
+    labels = shipped.createDataFrame([(i, int(i % 3 == 0), "x") for i in range(60)], "doc_id long, toxic int, text string")
+    model = toxic_segments.fit(docs, labels)
+    told = toxic_segments.scored(docs, model).select("doc_id", "toxicity.score", "key").collect()
+    assert len(told) == 66 and all(0 <= r.score <= 1 for r in told)
+    found = {r.doc_id: r.score for r in told if r.doc_id is not None}
+    assert all((found[i] >= 0.5) == (i % 3 == 0) for i in range(60))
+    rows = shipped.createDataFrame([("every", 20.0, 40.0), ("toxic", 20.0, 0.0), ("none", 0.0, 0.0)], "w string, y1 double, y0 double")
+    odds, error = toxic_segments.log_odds(F.col("y1"), F.col("y0"), 20.0, 40.0)
+    for r in rows.select("w", "y1", "y0", odds.alias("o"), error.alias("e")).collect():
+        prior = max(0.5, 50 * (r.y1 + r.y0) / 60)
+        rest = max(0.5, 50 - prior)
+        a, b = r.y1 + prior, r.y0 + prior
+        assert r.o == pytest.approx(np.log(a / (20 - r.y1 + rest)) - np.log(b / (40 - r.y0 + rest))) and r.e == pytest.approx((1 / a + 1 / b) ** 0.5)
+    only = toxic_segments.fit(docs, labels.where("toxic = 1"))
+    assert toxic_segments.scored(docs, only).select("toxicity.score").distinct().count() == 1
