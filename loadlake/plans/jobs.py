@@ -309,6 +309,18 @@ def _month() -> Column:
     return F.col("year") * 100 + F.col("month")
 
 
+def refresh_months(rows: DataFrame, changed: DataFrame, build: Callable[[DataFrame], DataFrame], path: str) -> list[int]:
+    """Build anew the months that ``changed`` rows touch, from all ``rows`` of these months, and replace only them.
+
+    Both have the calendar columns. New files are written beside the table and take their places when all are there, so
+    other months keep their files and a run that ends early changes nothing. Returns the months.
+    """
+    months = months_of(changed)
+    if months:
+        tables.overwrite_partitions(build(rows.where(_month().isin(months))), path)
+    return months
+
+
 def build_load_products(
     spark: SparkSession,
     root: str,

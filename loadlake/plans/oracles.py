@@ -522,6 +522,31 @@ SELECT area, 'energy_power_consistency' AS check_name, off = 0 AS passed, 'warni
     "allowed_values": """SELECT o_orderpriority, 'allowed_values' AS check_name, bool_and(o_orderstatus IN ('F', 'O')) AS passed,
   'error' AS severity, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) || ' rows with an unknown o_orderstatus' AS details,
   count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS rows_affected FROM orders GROUP BY 1""",
+    "incremental_months": f"""WITH {HOURLY}
+SELECT area, date, year, month, day, hour, day_type, round(load_hourly_mw + 1e-8, 6) AS load_hourly_mw, n_intervals,
+  round(energy_hourly_mwh + 1e-8, 6) AS energy_hourly_mwh, quality_flag,
+  {_PROVENANCE.format("carga_verificada", "approximate", "aggregated")} FROM hourly""",
+    "hourly_stream_result": f"""
+        WITH halves AS (
+            SELECT event_type AS area, {SLOT} AS slot, CASE WHEN {K} <> 0 THEN value END AS v FROM events
+            QUALIFY row_number() OVER (PARTITION BY event_type, {SLOT} ORDER BY ts DESC, CASE WHEN {K} <> 0 THEN value END DESC NULLS LAST) = 1
+        ), hours AS (
+            SELECT area, date_trunc('hour', slot) AS hour_start_utc, sum(v) AS total, count(v) AS n_intervals FROM halves GROUP BY ALL
+        )
+        SELECT area, hour_start_utc, CAST(timezone('{ZONE}', timezone('UTC', hour_start_utc)) AS DATE) AS date,
+            CAST(hour(timezone('{ZONE}', timezone('UTC', hour_start_utc))) AS INTEGER) AS hour,
+            round(total / nullif(n_intervals, 0) + 1e-8, 6) AS load_hourly_mw, n_intervals,
+            round(coalesce(total, 0) * 0.5 + 1e-8, 6) AS energy_hourly_mwh,
+            CASE WHEN n_intervals >= 2 THEN 'ok' ELSE 'incomplete_hour' END AS quality_flag
+        FROM hours
+    """,
+    "ledger_stream_result": f"""WITH {LEDGER} SELECT source, resource_id, reference_period, hash_sha256, local_path,
+  CAST(strlen(text) AS BIGINT) AS file_size FROM led""",
+    "content_marks": """
+        SELECT source, lang, CAST(sum(CAST(('0x' || md5(length(line) || ':' || line)[1:15])::BIGINT AS HUGEINT)) AS DECIMAL(38,0)) AS content_sum,
+            count(*) AS row_count
+        FROM (SELECT source, lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY ALL
+    """,
     "landed_class_curves": """
         SELECT 'raw/' || l_suppkey AS file_path, NULL::VARCHAR AS problem, 'Light ' || l_returnflag AS "SigCcs",
             'Público ' || l_linestatus AS "DscDemandante",

@@ -31,8 +31,11 @@ from loadlake.operators import (
     reports,
     scenarios,
 )
-from loadlake.session import configure
-from loadlake.sources import delimited, landed
+from loadlake.plans import jobs
+from loadlake.session import configure, work_folder
+from loadlake.sources import delimited, landed, tables
+from loadlake.streaming import keyed
+from loadlake.streaming.hourly import hourly_stream
 
 AREAS = ("click", "error", "purchase", "signup", "view")
 AS_OF = "2024-06-01 00:00:00"
@@ -96,10 +99,13 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def slots(spark: SparkSession, folder: str) -> DataFrame:
     """Half-hour readings per area: the mean of the slot's events, or a placeholder 0 if any has ``k`` = 0."""
+    return _slots(table(spark, folder, "events"))
+
+
+def _slots(events: DataFrame) -> DataFrame:
     slot = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 1800) * 1800)
     return (
-        table(spark, folder, "events")
-        .groupBy(F.col("event_type").alias("cod_areacarga"), slot.cast("timestamp_ntz").alias("din_referenciautc"))
+        events.groupBy(F.col("event_type").alias("cod_areacarga"), slot.cast("timestamp_ntz").alias("din_referenciautc"))
         .agg(F.when(F.bool_or(_k() == 0), F.lit(0.0)).otherwise(F.avg("value")).alias("val_cargaglobal"))
     )
 
@@ -151,6 +157,76 @@ def hourly_load(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(hourly(spark, folder))
 
 
+def incremental_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly load read back from a table by month: built whole without the odd events of the newest thirty days, then
+    with them, which builds anew the months they touch and leaves the others."""
+    events = table(spark, folder, "events")
+    newest = events.agg(F.max("ts").alias("newest"))
+    late = (F.col("event_id") % 2 == 1) & (F.col("ts") > F.col("newest") - F.expr("INTERVAL 30 DAYS"))
+    marked = events.join(F.broadcast(newest), F.lit(True), "left").withColumn("late", F.coalesce(late, F.lit(False)))
+    path = work_folder(spark, "hourly")
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return readings.type_readings(_slots(rows))
+
+    tables.overwrite_partitions(readings.hourly_load(typed(marked.where("NOT late"))), path, whole=True)
+    jobs.refresh_months(typed(marked), typed(marked.where("late")), readings.hourly_load, path)
+    return rounded(spark.read.parquet(path).select(*hourly(spark, folder).columns))
+
+
+def hourly_stream_result(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of files, one batch after another into a table by batch; the newest row of each hour.
+
+    All rows of a batch are in time for that batch: the watermark moves between batches only.
+    """
+    path = f"{folder}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    raw = spark.readStream.schema(schema).parquet(f"{path}*")
+    stamped = raw.select(
+        F.col("event_type").alias("area"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.when(_k() != 0, F.col("value")).alias("load_mw"),
+        F.col("ts").cast("timestamp").alias("retrieved_at"),
+    )
+    home = work_folder(spark, "hours")
+    hours = hourly_stream(stamped, delay="3650 days")
+    query = (
+        hours.writeStream.outputMode("update").foreachBatch(keyed.batches_into(f"{home}/table"))
+        .option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    done = keyed.folded(keyed.batches(spark, f"{home}/table", hours.schema), ["area", "hour_start_utc"])
+    return rounded(
+        done.select(
+            "area", F.col("hour_start_utc").cast("timestamp_ntz").alias("hour_start_utc"), "date", "hour", "load_hourly_mw",
+            "n_intervals", "energy_hourly_mwh", "quality_flag",
+        )
+    )
+
+
+def ledger_stream_result(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as a stream of landed files, their versions stored under their batch; a batch that runs again, and
+    one that ended half-way before, change nothing."""
+    path = f"{folder}/documents.parquet"
+    schema = spark.read.parquet(path).schema
+    landed_rows = _as_landed(spark.readStream.schema(schema).parquet(f"{path}*"))
+    home = work_folder(spark, "ledger")
+    register = keyed.versions_into(f"{home}/ledger")
+
+    def twice(rows: DataFrame, batch_id: int) -> None:
+        keyed.batches_into(f"{home}/ledger")(ledger.as_ledger(rows.limit(10)), batch_id)  # what an ended run left
+        register(rows, batch_id)
+        register(rows, batch_id)
+
+    query = (
+        landed_rows.writeStream.foreachBatch(twice)
+        .option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    stored = keyed.batches(spark, f"{home}/ledger", ledger.LEDGER_SCHEMA)
+    return stored.select("source", "resource_id", "reference_period", "hash_sha256", "local_path", "file_size")
+
+
 def system_hourly(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(readings.system_hourly(hourly(spark, folder), AREAS))
 
@@ -427,8 +503,12 @@ def _doc_path() -> Column:
 
 def _landed(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as a landed file: source is its language, resource its source, content its text."""
+    return _as_landed(table(spark, folder, "documents"))
+
+
+def _as_landed(documents: DataFrame) -> DataFrame:
     retrieved = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 900)
-    return table(spark, folder, "documents").select(
+    return documents.select(
         F.col("lang").alias("source"),
         F.lit("documents").alias("dataset"),
         F.col("source").alias("resource_id"),
@@ -468,6 +548,12 @@ def file_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 LANDED_CURVE_FIELDS = ("SigCcs", "DscDemandante", "NomSubGrupoTarifario", "DscTipoDia", "HorInicial", "VlrDmd")
 
 
+def content_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """Order-free fingerprints of the documents of every source and language, as rows of one large version each."""
+    rows = table(spark, folder, "documents").select("source", "lang", F.split("text", "\n").alias("lines"))
+    return landed.content_mark(rows.select("source", "lang", F.explode("lines").alias("value")), ["source", "lang"])
+
+
 def landed_class_curves(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as delimited files, one per supplier: in three separators and one that is none, two encodings, and the
     columns in six orders; counts and sums of what is read back, and the files that are rejected."""
@@ -853,6 +939,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         silver_readings, rejected_readings, placeholder_counts, latest_readings, hourly_load, system_hourly,
+        incremental_months, hourly_stream_result, ledger_stream_result, content_marks,
         profile_24h, profile_by_day_type, profile_by_month, profile_all_grains, system_profile,
         local_calendar, local_source_calendar, holiday_calendar, day_type_counts, month_windows, recheck_windows,
         decimal_comma_prices, clock_hours, category_values, curve_stats, normalized_curve, class_report,

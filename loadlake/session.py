@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -30,3 +32,14 @@ def session(app: str = "loadlake", cores: int | None = None, shuffle_partitions:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for the tables of one run, below ``spark.checkpoint.dir``; on one machine a temporary one if that is
+    unset. On a cluster it has to be set, as driver and executors share what is written there."""
+    home = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not home:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        home = tempfile.mkdtemp(prefix="work-")
+    return f"{home.rstrip('/')}/{name}-{uuid4().hex}"

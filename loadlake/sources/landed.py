@@ -174,10 +174,28 @@ def listed_files(spark: SparkSession, paths: Paths) -> DataFrame:
     return files.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at"))
 
 
-def fingerprints(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> DataFrame:
-    """SHA-256 and size of every file. A file is one row, so it must stay below 2 GB; see ``content_mark``."""
+#: Files of more bytes are fingerprinted by their lines, in pieces; smaller ones whole, each by one task.
+LARGE_FILE = 1 << 28
+
+
+def fingerprints(spark: SparkSession, paths: Paths, modified_after: str | None = None, large: int = LARGE_FILE) -> DataFrame:
+    """Fingerprint and size of every file: SHA-256 of its bytes, or for a file of more than ``large`` bytes
+    ``lines-<number>-<sum>`` from ``content_mark``, which any number of tasks share and which does not see the order of
+    lines. Lines have to be shorter than 2 GB. Empty files are no rows of a scan, and so have none here.
+    """
     files = _reader(spark, modified_after).format("binaryFile").load(_listed(paths))
-    return fingerprints_of(files.select(F.col("path").alias("file_path"), "content"))
+    small = files.where(F.col("length") <= large).select(F.col("path").alias("file_path"), "content")
+    long = files.where(F.col("length") > large).select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
+    names = [r.file_path for r in long.select("file_path").orderBy("file_path").toLocalIterator()]
+    if not names:
+        return fingerprints_of(small)
+    lines = spark.read.text(list(map(literal_path, names)))
+    marks = content_mark(lines.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), "value"), ["file_path"])
+    mark = F.concat_ws("-", F.lit("lines"), F.col("row_count").cast("string"), F.col("content_sum").cast("string"))
+    told = long.withColumn("at", F.regexp_replace("file_path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/"))
+    told = told.join(marks.select(F.regexp_replace("file_path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/").alias("at"), mark.alias("hash_sha256")), "at", "left")
+    empty = F.lit("lines-0-0")
+    return fingerprints_of(small).unionByName(told.select("file_path", F.coalesce("hash_sha256", empty).alias("hash_sha256"), "file_size"))
 
 
 def fingerprints_of(files: DataFrame) -> DataFrame:
@@ -189,10 +207,12 @@ def fingerprints_of(files: DataFrame) -> DataFrame:
 def content_mark(rows: DataFrame, resource: Sequence[str]) -> DataFrame:
     """Fingerprint of a version too large to hash as one file: equal for equal rows in any order.
 
-    Row hashes are added as decimals, with the row count beside them, so parts merge before the shuffle.
+    60 bits of each row's MD5 are added as decimals, with the row count beside them, so parts merge before the shuffle.
+    Nulls are told from empty texts.
     """
     content = [c for c in rows.columns if c not in resource]
-    wide = F.xxhash64(*content).cast("decimal(38,0)")
+    text = F.concat(*[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in content])
+    wide = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
     return rows.groupBy(*resource).agg(F.sum(wide).alias("content_sum"), F.count(F.lit(1)).alias("row_count"))
 
 
