@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from loadlake.operators import (
     calendar,
@@ -262,6 +262,81 @@ def reading_outcomes(spark: SparkSession, root: str, versions: DataFrame, expect
     return sources.join(checks, kept).select(*told.columns).unionByName(told)
 
 
+VERSION_METRICS = StructType(
+    [
+        StructField("source", StringType()),
+        StructField("resource_id", StringType()),
+        StructField("hash_sha256", StringType()),
+        StructField("retrieved_at", TimestampType()),
+        StructField("row_count", LongType()),
+        StructField("max_date", DateType()),
+    ]
+)
+#: Fields that a readings file must have at least one value of.
+NEEDED_FIELDS = ("cod_areacarga", "din_referenciautc", "val_cargaglobal")
+
+
+def gate_outcomes(spark: SparkSession, root: str, versions: DataFrame, expected_end: Column | None = None) -> DataFrame:
+    """All ten checks of the given versions' readings files, from one parse of the files.
+
+    The parsed rows are staged and every check reads them there: those of ``reading_outcomes``, ``schema`` (a needed field
+    without any value), ``energy_power_consistency`` of the version's own hours, and against earlier versions of the
+    resource ``coverage_regression`` and ``row_count_anomaly``. For these, each version's row count and last date are kept
+    in a table that a repeated run does not add to twice.
+    """
+    from loadlake.operators.quality import outcome
+
+    key = list(ledger.VERSION_KEY)
+    staged = tables.layer_path(root, "silver", "judged_rows")
+    told = versions.select(*key, "local_path", "retrieved_at")
+    files = files_below(root, versions)
+    if not files:
+        return reading_outcomes(spark, root, versions, expected_end)
+    raw = landed.read_readings(spark, files).withColumn("local_path", lake_path(F.col("file_path"), root))
+    tables.write_product(raw.drop("resource_id", "hash_sha256").join(told, "local_path"), staged)
+    named = spark.read.parquet(staged)
+    rows = named.where("problem IS NULL")
+    typed = calendar.with_local_calendar(readings.type_fields(rows, keep=("source",)), "ts_utc")
+    sources = told.select(*key).distinct()
+
+    metrics_path = tables.layer_path(root, "metadata", "version_metrics")
+    measured = typed.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count"), F.max("date").alias("max_date"))
+    measured = told.groupBy(*key).agg(F.min("retrieved_at").alias("retrieved_at")).join(measured, key, "left")
+    measured = measured.withColumn("row_count", F.coalesce("row_count", F.lit(0))).select(*VERSION_METRICS.names)
+    known = tables.read_or_empty(spark, metrics_path, VERSION_METRICS)
+    tables.append(measured.join(known.select(*key), key, "left_anti"), metrics_path)
+    history = tables.read_or_empty(spark, metrics_path, VERSION_METRICS)
+    resource, order = ["source", "resource_id"], ["retrieved_at", "hash_sha256"]
+    history = history.join(told.select(*resource).distinct(), resource, "left_semi")
+    columns = [*key, *quality.OUTCOME]
+    coverage = quality.coverage_regression(history, resource, order, F.trunc("retrieved_at", "year"))
+    newest = history.groupBy(*resource).agg(F.max_by("hash_sha256", F.struct(*order)).alias("hash_sha256"))
+    anomaly = quality.row_count_anomaly(history, resource, order).join(newest, resource)
+
+    hours = typed.groupBy(*key, "area", F.date_trunc("hour", "ts_utc").alias("__hour")).agg(
+        F.avg("load_mw").alias("load_hourly_mw"),
+        (F.sum("load_mw") * readings.INTERVAL_HOURS).alias("energy_hourly_mwh"),
+        (F.count("load_mw") * readings.INTERVAL_HOURS).alias("hours"),
+    )
+    energy = quality.energy_power_consistency(hours, key, hours=F.col("hours"))
+    empty = [F.when(F.count(c) == 0, c) for c in NEEDED_FIELDS]
+    fields = rows.groupBy(*key).agg(F.array_compact(F.array(*empty)).alias("__missing"))
+    text = F.when(F.size("__missing") == 0, "as expected").otherwise(F.concat(F.lit("without values: "), F.array_join("__missing", ", ")))
+    schema = fields.select(*key, F.inline(F.array(outcome("schema", "error", F.size("__missing") == 0, text))))
+    checks = quality.table_checks(
+        typed, key, key=["area", "ts_utc"], required=["area", "ts_utc"], value="load_mw", date="date", hour="hour",
+        expected_end=expected_end, expected=sources,
+    )
+    readable = named.groupBy(*key).agg(F.count("problem").alias("__bad"), F.max("problem").alias("__why"))
+    readable = readable.select(
+        *key, F.inline(F.array(outcome("readable", "error", F.col("__bad") == 0, F.coalesce("__why", F.lit("readable")), F.col("__bad"))))
+    )
+    every = checks.select(*columns)
+    for part in (readable, schema, energy, coverage, anomaly):
+        every = every.unionByName(part.select(*columns))
+    return every.join(sources, key, "left_semi")
+
+
 @dataclass(frozen=True)
 class LoadProducts:
     readings: str

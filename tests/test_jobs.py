@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ def readings_file(root, name, area, day, loads, month=6):
     folder = root / "raw" / "ons"
     folder.mkdir(parents=True, exist_ok=True)
     records = [
-        {"cod_areacarga": area, "din_referenciautc": f"2026-{month:02d}-{day:02d}T{3 + i // 2:02d}:{i % 2 * 30:02d}:00Z", "val_cargaglobal": v}
+        {"cod_areacarga": area, "din_referenciautc": f"{(datetime(2026, month, day, 3) + timedelta(minutes=30 * i)).isoformat()}Z", "val_cargaglobal": v}
         for i, v in enumerate(loads)
     ]
     (folder / name).write_text(json.dumps(records))
@@ -398,3 +398,41 @@ def test_a_promotion_that_ended_between_writes_is_completed_once(spark, lake, mo
     assert states.where("is_active_for_gold").count() == 4
     for name, rows in (("quality_report", 8), ("gate_decisions", 4)):
         assert spark.read.parquet(tables.layer_path(str(lake), "metadata", name)).count() == rows
+
+
+def test_every_check_can_fail_a_version(spark, tmp_path):
+    """One version per check that fails it, judged together from one parse."""
+    day = [10.0] * 48
+    loads = {"fine": day, "negative": [-1.0, *day[1:]], "short": day[:10], "stale": day, "shrunk": day}
+    rows = []
+    for name, values in loads.items():
+        rows.append((name, None, readings_file(tmp_path, f"{name}.json", "S", 20, values), 1, None))
+    for at in range(2, 6):  # earlier versions of other sizes, and one that reached further
+        rows.append(("shrunk", None, readings_file(tmp_path, f"shrunk{at}.json", "S", 20, [10.0 + at] * (48 - at % 2)), at, None))
+    rows.append(("shrunk", None, readings_file(tmp_path, "shrunk9.json", "S", 20, [1.0, 2.0]), 9, None))
+    rows.append(("stale", None, readings_file(tmp_path, "stale2.json", "S", 19, day), 2, None))
+    folder = tmp_path / "raw" / "ons"
+    record = {"cod_areacarga": "S", "din_referenciautc": "2026-06-20T03:00:00Z", "val_cargaglobal": 1}
+    texts = {
+        "twice": json.dumps([record, record]), "nulls": json.dumps([record, {**record, "cod_areacarga": None}]), "broken": "[{",
+        "fieldless": json.dumps([{**record, "val_cargaglobal": None}]), "empty": "[]",
+    }
+    for name, text in texts.items():
+        (folder / f"{name}.json").write_text(text)
+        rows.append((name, None, f"raw/ons/{name}.json", 1, None))
+    jobs.land(spark, str(tmp_path), arrivals(spark, *rows))
+    versions = stored_ledger(spark, tmp_path)
+    for _ in range(2):  # a repeated run adds nothing to the history
+        outcomes = jobs.gate_outcomes(spark, str(tmp_path), versions, F.lit("2026-06-21").cast("date"))
+        failed = {(r.resource_id, r.check_name) for r in outcomes.where("NOT passed").collect()}
+    expected = {
+        ("negative", "negative_values"), ("short", "missing_hours"), ("twice", "duplicates"), ("nulls", "unexpected_nulls"), ("broken", "readable"),
+        ("fieldless", "schema"), ("empty", "not_empty"), ("stale", "coverage_regression"), ("stale", "completeness_window"), ("shrunk", "row_count_anomaly"),
+    }
+    assert expected <= failed and not {name for name, _ in failed} & {"fine"}
+    names = {r.check_name for r in outcomes.where("resource_id = 'fine'").collect()}
+    assert names == {"not_empty", "duplicates", "unexpected_nulls", "negative_values", "missing_hours", "completeness_window", "readable", "schema",
+                     "energy_power_consistency", "coverage_regression", "row_count_anomaly"}
+    _, states = jobs.promote(spark, str(tmp_path), outcomes, F.lit("2026-08-01"))
+    status = {r.resource_id: r.lifecycle_status for r in states.where("is_latest_downloaded").collect()}
+    assert status["fieldless"] == status["broken"] == status["stale"] == "quarantined" and status["fine"] != "quarantined"
