@@ -18,7 +18,7 @@ import zlib
 import numpy as np
 
 BLOCK = 1024
-LANES = 512
+LANES = 1024
 #: Number of ids, largest id (new ids are spelled out up to it), number of 16-bit words, crc32 of the ids.
 HEADER = struct.Struct("<IIII")
 _TOTAL_BITS = 20

@@ -209,22 +209,22 @@ def test_lists_end_early_where_directions_part():
 
 
 def id_rows(rng):
-    yield from (np.zeros(0), np.array([0]), np.array([2**32 - 1] * 5000), rng.integers(0, 50257, 9000), rng.integers(0, 2**32, 4097))
-    yield np.tile(rng.integers(0, 300, 700), 20)
-    yield rng.zipf(1.3, 30_000) % 50257
-    yield np.concatenate([np.arange(4096), np.zeros(9000), np.arange(5000)[::-1]])
+    yield from (np.zeros(0), np.array([0]), np.array([2**32 - 1] * 2000), rng.integers(0, 50257, 3000), rng.integers(0, 2**32, id_coder.BLOCK + 1))
+    yield np.tile(rng.integers(0, 300, 400), 10)
+    yield rng.zipf(1.3, 8_000) % 50257
+    yield np.concatenate([np.arange(id_coder.BLOCK), np.zeros(2500), np.arange(2000)[::-1]])
 
 
 def test_coded_blocks_decode_to_the_same_ids(monkeypatch):
     rng = np.random.default_rng(21)
-    for lanes in (id_coder.LANES, 3):
+    for lanes in (id_coder.LANES, 5):
         monkeypatch.setattr(id_coder, "LANES", lanes)
         for ids in id_rows(rng):
             ids = ids.astype("<u4")
             coded = id_coder.encode(ids)
             assert id_coder.decode(coded).tolist() == ids.tolist()
-    repeated = np.tile(rng.integers(0, 50257, 500), 8).astype("<u4")
-    assert len(id_coder.encode(repeated)) < 2500  # 500 ids at two bytes, the rest predicted
+    repeated = np.tile(rng.integers(0, 50257, 100), 10).astype("<u4")
+    assert len(id_coder.encode(repeated)) < 600  # 100 ids at two bytes, the rest predicted
 
 
 def test_damaged_blocks_are_noticed():
