@@ -345,6 +345,7 @@ class LoadProducts:
     profiles: str
     lineage: str
     rejects: str
+    metrics: str
 
 
 def product_paths(root: str) -> LoadProducts:
@@ -355,6 +356,7 @@ def product_paths(root: str) -> LoadProducts:
         profiles=tables.layer_path(root, "gold", "average_24h_all"),
         lineage=tables.layer_path(root, "metadata", "gold_dataset_lineage"),
         rejects=tables.layer_path(root, "quarantine", "readings"),
+        metrics=tables.layer_path(root, "metadata", "build_metrics"),
     )
 
 
@@ -412,7 +414,8 @@ def build_load_products(
 
     Each stage reads what the one before has written, so a lost executor costs a stage and not the job. Only the files
     of the versions are opened, and parsed once: typed rows are staged, and rejects, months and readings come from
-    there. Copies of a reading are merged before calendar columns are added.
+    there. Copies of a reading are merged before calendar columns are added. Counts of rows and placeholders come from the
+    pass that writes the merged readings.
 
     With ``changed``, the ledger rows that became active since the last build, only their files are read, and only the
     months they touch, or that versions no longer active had rows in, are read from the stored readings, computed and
@@ -438,7 +441,10 @@ def build_load_products(
         tables.append(rejected, paths.rejects)
     # What is about to be replaced is read for the last time here: the merged rows are stored elsewhere first.
     merged = tables.layer_path(root, "silver", "readings_merged")
-    tables.write_product(readings.with_context(readings.latest_readings(usable), holidays), merged)
+    counted = {"n_rows": F.count(F.lit(1)), "n_placeholders": F.count_if("is_placeholder"), "n_without_load": F.count_if(F.col("load_mw").isNull())}
+    observed = tables.write_observed(readings.with_context(readings.latest_readings(usable), holidays), merged, counted)
+    cells = [F.lit(observed[name]).cast("long").alias(name) for name in counted]
+    tables.append(spark.range(1).select(F.lit("readings_30min").alias("product"), *cells, created_at.cast("string").alias("created_at")), paths.metrics)
     whole = changed is None
     tables.overwrite_partitions(spark.read.parquet(merged), paths.readings, whole=whole)
 

@@ -547,6 +547,19 @@ SELECT area, date, year, month, day, hour, day_type, round(load_hourly_mw + 1e-8
             count(*) AS row_count
         FROM (SELECT source, lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY ALL
     """,
+    "observed_counts": f"""SELECT count(*) AS n_rows, count(*) FILTER ({K} = 0 OR ({K} <> 98 AND value = 0)) AS n_placeholders,
+        count(*) FILTER ({K} = 99) AS n_rejected FROM events""",
+    "ordered_range": """
+        WITH ends AS (SELECT CAST(epoch(min(o_orderdate)) AS BIGINT) AS a, CAST(epoch(max(o_orderdate)) AS BIGINT) AS b FROM orders)
+        SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_orders,
+            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, true AS in_order
+        FROM orders, ends WHERE CAST(epoch(o_orderdate) AS BIGINT) BETWEEN (2 * a + b) // 3 AND (a + 2 * b) // 3 GROUP BY 1
+    """,
+    "ledger_scan": """
+        SELECT CAST(event_id // 150 AS VARCHAR) AS resource_id, event_type AS area, date_trunc('second', ts) AS ts_utc,
+            round(nullif(value, 0) + 1e-8, 6) AS load_mw
+        FROM events QUALIFY event_id % 3 = max(event_id % 3) OVER (PARTITION BY event_id // 150)
+    """,
     "landed_class_curves": """
         SELECT 'raw/' || l_suppkey AS file_path, NULL::VARCHAR AS problem, 'Light ' || l_returnflag AS "SigCcs",
             'Público ' || l_linestatus AS "DscDemandante",

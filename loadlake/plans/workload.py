@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -554,6 +554,55 @@ def content_marks(spark: SparkSession, folder: str) -> DataFrame:
     return landed.content_mark(rows.select("source", "lang", F.explode("lines").alias("value")), ["source", "lang"])
 
 
+def observed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, placeholders and rejects of the readings, observed while they are written."""
+    silver = readings.type_readings(raw_events(spark, folder))
+    counts = {"n_rows": F.count(F.lit(1)), "n_placeholders": F.count_if("is_placeholder"), "n_rejected": F.count_if(F.col("ts_utc").isNull())}
+    seen = tables.write_observed(silver, work_folder(spark, "silver"), counts)
+    return spark.range(1).select(*[F.lit(seen[name]).cast("long").alias(name) for name in counts])
+
+
+def ordered_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written in order of their date, and the middle third of their time read back by month from the files that
+    reach into it; whether the files' ranges follow one another."""
+    orders = table(spark, folder, "orders").withColumn("second", F.unix_seconds(F.col("o_orderdate").cast("timestamp")))
+    path = work_folder(spark, "orders")
+    tables.write_ordered(orders.select("o_orderkey", "second", "o_orderdate", "o_totalprice"), path, "second")
+    bounds = spark.read.parquet(f"{path}_bounds")
+    ends = bounds.agg(F.min("low").alias("low"), F.max("high").alias("high")).first()
+    low, high = (2 * ends.low + ends.high) // 3, (ends.low + 2 * ends.high) // 3
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
+    order = bounds.select((F.coalesce(before, F.col("low")) <= F.col("low")).alias("fine")).agg(F.every("fine").alias("in_order"))
+    months = tables.read_between(spark, path, "second", low, high).groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    months = months.agg(F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
+    return months.join(F.broadcast(order), F.lit(True), "left")
+
+
+def ledger_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Events staged as files, three versions of each resource; readings of the newest versions, whose files alone are
+    opened, as the ledger names them."""
+    record = F.struct(
+        F.col("event_type").alias("cod_areacarga"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("din_referenciautc"),
+        F.col("value").cast("string").alias("val_cargaglobal"),
+    )
+    home = work_folder(spark, "lake")
+    resource, version = F.floor(F.col("event_id") / 150).cast("string"), (F.col("event_id") % 3).cast("string")
+    files = table(spark, folder, "events").groupBy(F.concat_ws("-", resource, version).alias("name"))
+    files = files.agg(F.to_json(F.array_sort(F.collect_list(record))).alias("text"))  # at most 50 events
+    files.write.partitionBy("name").text(f"{home}/raw")
+    listed = landed.listed_files(spark, f"{home}/raw/*")
+    path = jobs.lake_path(F.col("file_path"), home)
+    name = F.regexp_extract(path, "name=([^/]*)/", 1)
+    stored = listed.select(path.alias("local_path"), F.split(name, "-")[0].alias("resource_id"), F.split(name, "-")[1].cast("int").alias("v"), "file_size")
+    arrived = stored.withColumns(
+        {"source": F.lit("ons"), "dataset": F.lit("carga"), "hash_sha256": F.sha2("local_path", 256), "retrieved_at": F.timestamp_seconds(F.col("v") * 86400)}
+    )
+    versions = ledger.with_latest_flag(ledger.as_ledger(arrived.drop("v"))).where("is_latest_downloaded")
+    rows = jobs.typed_rows(spark, home, versions)
+    return rounded(rows.select("resource_id", "area", "ts_utc", "load_mw"))
+
+
 def landed_class_curves(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as delimited files, one per supplier: in three separators and one that is none, two encodings, and the
     columns in six orders; counts and sums of what is read back, and the files that are rejected."""
@@ -940,6 +989,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         silver_readings, rejected_readings, placeholder_counts, latest_readings, hourly_load, system_hourly,
         incremental_months, hourly_stream_result, ledger_stream_result, content_marks,
+        observed_counts, ordered_range, ledger_scan,
         profile_24h, profile_by_day_type, profile_by_month, profile_all_grains, system_profile,
         local_calendar, local_source_calendar, holiday_calendar, day_type_counts, month_windows, recheck_windows,
         decimal_comma_prices, clock_hours, category_values, curve_stats, normalized_curve, class_report,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -53,3 +53,34 @@ def write_report(df: DataFrame, path: str, order: Sequence[str]) -> None:
 
 def write_product(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column]) -> dict[str, object]:
+    """Overwrite a table and return aggregates of the rows written, from the pass that writes them."""
+    seen = Observation()
+    df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def write_ordered(df: DataFrame, path: str, by: str) -> None:
+    """A table whose files hold ranges of ``by`` that follow one another, each sorted; its bounds beside it.
+
+    The ranges are dealt by a sample of the column, so that files are of about equal size whatever its distribution; equal
+    values are in one file only if they are fewer than a file's rows, else they are dealt by the rest of the row.
+    """
+    rest = [c for c in df.columns if c != by]
+    placed = df.repartitionByRange(F.col(by), F.xxhash64(*rest)).sortWithinPartitions(by)
+    placed.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    bounds = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file_name"))
+    bounds = bounds.agg(F.min(by).alias("low"), F.max(by).alias("high"), F.count(F.lit(1)).alias("n_rows"))
+    bounds.coalesce(1).write.mode("overwrite").parquet(f"{path}_bounds")
+
+
+def read_between(spark: SparkSession, path: str, by: str, low: object, high: object) -> DataFrame:
+    """Rows of an ordered table with ``by`` from ``low`` to ``high``; only files whose bounds reach into it are opened."""
+    bounds = spark.read.parquet(f"{path}_bounds").where((F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)))
+    files = [f"{path}/{r.file_name}" for r in bounds.orderBy("low", "file_name").toLocalIterator()]
+    whole = spark.read.schema(spark.read.parquet(path).schema)
+    rows = whole.parquet(*files) if files else spark.createDataFrame([], spark.read.parquet(path).schema)
+    return rows.where(F.col(by).between(F.lit(low), F.lit(high)))

@@ -94,3 +94,20 @@ def test_large_files_are_marked_by_their_lines(spark, tmp_path):
     assert found["a"] == found["b"] != found["c"] and found["a"][0].startswith("lines-3-") and found["a"][1] == 6
     assert found["d 1+[x]"][0].startswith("lines-5-") and found["small"] == (hashlib.sha256(b"12").hexdigest(), 2)
     assert len(found) == 5
+
+
+def test_counts_come_from_the_pass_that_writes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    seen = tables.write_observed(spark.range(100), path, {"n": F.count(F.lit(1)), "odd": F.count_if(F.col("id") % 2 == 1)})
+    assert seen == {"n": 100, "odd": 50} and spark.read.parquet(path).count() == 100
+
+
+def test_ordered_table_opens_only_the_files_in_range(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(1000).select(F.when(F.col("id") < 400, 500).otherwise(F.col("id")).alias("x"), F.col("id").alias("y"))
+    tables.write_ordered(df, path, "x")
+    bounds = sorted((r.low, r.high) for r in spark.read.parquet(f"{path}_bounds").collect())
+    assert len(bounds) > 1 and all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+    some = tables.read_between(spark, path, "x", 900, 950)
+    assert sorted(r.x for r in some.collect()) == list(range(900, 951)) and len(some.inputFiles()) < len(bounds)
+    assert tables.read_between(spark, path, "x", 5000, 6000).count() == 0
