@@ -3,15 +3,18 @@
 A document is a row of chunks at which the tokenizer's pre-tokens certainly part: white space and the word behind it.
 Leaves hold some chunks each, with their length and number of tokens, below a binary tree of sums. An edit re-encodes the
 leaves it touches, and a neighbour where the edit took away the white space between them, then renews the sums above.
+Leaves are kept as a table (``leaf_table``); ``edited`` takes it and a table of edits and returns the next one.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +66,20 @@ class TokenTree:
         for k in range(self.width - 1, 0, -1):
             self._sum(k)
 
+    @classmethod
+    def of_leaves(cls, leaves: list[str], tokens: list[int], counter: Counter) -> TokenTree:
+        """The tree of stored leaves with their counts; nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree.counter, tree.encoded, tree.leaves = counter, 0, list(leaves) or [""]
+        n = len(tree.leaves)
+        tree.width = 1 << (n - 1).bit_length()
+        tree.chars, tree.tokens = np.zeros(2 * tree.width, np.int64), np.zeros(2 * tree.width, np.int64)
+        tree.chars[tree.width : tree.width + n] = [len(x) for x in tree.leaves]
+        tree.tokens[tree.width : tree.width + len(tokens)] = tokens
+        for k in range(tree.width - 1, 0, -1):
+            tree._sum(k)
+        return tree
+
     def _sum(self, k: int) -> None:
         self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
         self.tokens[k] = self.tokens[2 * k] + self.tokens[2 * k + 1]
@@ -167,3 +184,99 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=COUNTS.names)
 
     return docs.withColumn("tokens", count("text"))
+
+
+# Kept trees -------------------------------------------------------------------------------------------------------
+
+LEAF = ("doc_id", "leaf", "text", "n_tokens", "fresh")
+
+
+def leaf_table(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``doc_id, leaf, text, n_tokens, fresh``: the leaves of every document's tree, to be stored.
+
+    Null and empty texts are one empty leaf. ``doc_id`` is the key: rows without one are left out, and rows that share one
+    have to be merged before.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(tokenizer)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for k in range(0, len(texts), TEXTS_AT_ONCE):
+                some = [t or "" for t in texts[k : k + TEXTS_AT_ONCE]]
+                counter.know(some)
+                at, leaf, text, tokens = [], [], [], []
+                for i, whole in enumerate(some, k):
+                    tree = TokenTree(whole, counter)
+                    n = len(tree.leaves)
+                    at += [i] * n
+                    leaf += range(n)
+                    text += tree.leaves
+                    tokens += tree.tokens[tree.width : tree.width + n].tolist()
+                columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(leaf, pa.int32()), pa.array(text, pa.string()), pa.array(tokens, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([True] * len(at))], list(LEAF))
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    return rows.mapInArrow(cut, f"doc_id {kind}, leaf int, text string, n_tokens long, fresh boolean")
+
+
+def edited(leaves: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame:
+    """The leaf table after ``edits`` (``doc_id, start, end, text``); ``fresh`` marks leaves encoded for them.
+
+    Places count in the text before all edits and are clipped to it; of edits that overlap the one with the smaller start
+    (then end, then text) holds; a null text deletes. Edits of unknown documents do nothing. Only documents with edits
+    move, and of these only touched leaves and their boundary are encoded. A leaf that has grown is cut again.
+    """
+    known = edits.where(F.col("doc_id").isNotNull() & F.col("start").isNotNull() & F.col("end").isNotNull())
+    known = known.select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), F.coalesce("text", F.lit("")).alias("new"))
+    touched = known.select("doc_id").distinct()
+    kept = leaves.join(touched, "doc_id", "left_anti").withColumn("fresh", F.lit(False))
+    of_edits = leaves.join(touched, "doc_id", "left_semi").select(*LEAF)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in of_edits.schema])
+
+    def change(mine: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        mine = mine.sort_values("leaf")
+        if not len(mine):
+            return pd.DataFrame({name: [] for name in LEAF})
+        counter = _counter(tokenizer)
+        old = list(mine.text)
+        tree = TokenTree.of_leaves(old, mine.n_tokens.tolist(), counter)
+        size, end, good = int(tree.chars[1]), 0, []
+        for row in wanted.sort_values(["start", "end", "new"]).itertuples():
+            first, last = min(max(0, row.start), size), min(max(0, row.end), size)
+            if first >= end and last >= first:
+                good.append((first, last, row.new))
+                end = max(last, first)
+        applied(tree, good)
+        text, tokens, fresh = [], [], []
+        for k, leaf in enumerate(tree.leaves):
+            changed = leaf != old[k]
+            chunks = _CHUNK.findall(leaf) if changed else ()
+            if len(chunks) > 2 * LEAF_CHUNKS:
+                parts = ["".join(chunks[i : i + LEAF_CHUNKS]) for i in range(0, len(chunks), LEAF_CHUNKS)]
+                counts = np.add.reduceat(counter.of(list(chunks)), range(0, len(chunks), LEAF_CHUNKS)).tolist()
+            else:
+                parts, counts = [leaf], [int(tree.tokens[tree.width + k])]
+            if leaf or not changed:
+                text, tokens, fresh = text + parts, tokens + counts, fresh + [changed] * len(parts)
+        if not text:
+            text, tokens, fresh = [""], [0], [True]
+        return pd.DataFrame({"doc_id": [mine.doc_id.iloc[0]] * len(text), "leaf": range(len(text)), "text": text, "n_tokens": tokens, "fresh": fresh})
+
+    done = of_edits.groupBy("doc_id").cogroup(known.groupBy("doc_id")).applyInPandas(change, schema)
+    return kept.select(*LEAF).unionByName(done)
+
+
+@functools.lru_cache(maxsize=1)
+def _counter(tokenizer: str) -> Counter:
+    """One counter per worker, so that pieces stay known from group to group."""
+    return Counter(tokenizer)
+
+
+def totals(leaves: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens, n_chars, n_chars_encoded``: the roots of the stored trees."""
+    length = F.length("text").cast("long")
+    return leaves.groupBy("doc_id").agg(
+        F.sum("n_tokens").alias("n_tokens"), F.sum(length).alias("n_chars"), F.sum(F.when(F.col("fresh"), length).otherwise(0)).alias("n_chars_encoded")
+    )

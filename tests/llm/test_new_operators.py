@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loadlake.llm import hard_negatives, id_coder, id_files, spelling
+from loadlake.llm import hard_negatives, id_coder, id_files, spelling, token_counts
 from loadlake.llm.common import ship
 from loadlake.llm.queries import BYTE_TOKENIZER, tokenizer_path
 
@@ -260,3 +260,46 @@ def test_no_documents_make_no_ids(shipped, tmp_path):
     home = str(tmp_path / "ids")
     id_files.write(frame(shipped, ["x"]).where("false"), tokenizer_path(BYTE_TOKENIZER), home)
     assert id_files.read(shipped, home).count() == 0
+
+
+# Token counts of kept trees -------------------------------------------------------------------------------------
+
+
+def test_stored_leaves_follow_edits(shipped, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path(BYTE_TOKENIZER)
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    rng = np.random.default_rng(41)
+    texts = [" ".join(letters(rng, rng.integers(1, 9), "aeiou st\n.9") for _ in range(n)) for n in (0, 1, 40, 900, 3000, 500)] + [None, "untouched " * 500]
+    docs = frame(shipped, texts)
+    token_counts.leaf_table(docs, path).write.parquet(str(tmp_path / "leaves"))
+    leaves = shipped.read.parquet(str(tmp_path / "leaves"))
+    for _ in range(3):  # edits of what earlier edits left
+        rows = []
+        for i, text in enumerate(texts[:7]):
+            n, at = len(text or ""), 0
+            while at <= n and len(rows) < 40 * (i + 1):
+                start = at + int(rng.integers(0, 300))
+                end = start + int(rng.integers(0, 40))
+                rows.append((i, start, end, [None, "", " ", "x", "new words here ", " word " * 200][rng.integers(6)]))
+                at = max(end, start) + 1
+        rows += [(2, 10**9, 10**9 + 5, "tail"), (99, 0, 1, "nobody"), (None, 0, 1, "x"), (3, 0, 5, "a"), (3, 2, 4, "overlaps")]
+        edits = shipped.createDataFrame(rows, "doc_id long, start long, end long, text string")
+        for i, text in enumerate(texts):
+            text, end, parts = text or "", 0, []
+            for _, a, b, new in sorted((r for r in rows if r[0] == i), key=lambda r: (r[1], r[2], r[3] or "")):
+                a, b = min(a, len(text)), min(b, len(text))
+                if a >= end:
+                    parts, end = [*parts, text[end:a], new or ""], b
+            texts[i] = "".join([*parts, text[end:]])
+        leaves = token_counts.edited(leaves, edits, path).checkpoint()
+        told = {r.doc_id: r for r in token_counts.totals(leaves).collect()}
+        whole = {i: "".join(r.text for r in sorted(leaves.where(F.col("doc_id") == i).collect(), key=lambda r: r.leaf)) for i in (2, 4, 7)}
+        assert all(whole[i] == texts[i] for i in whole)
+        for i, text in enumerate(texts):
+            assert told[i].n_tokens == len(tokenizer.encode(text, add_special_tokens=False).ids) and told[i].n_chars == len(text)
+    assert told[7].n_chars_encoded == 0
+    one = token_counts.totals(token_counts.edited(leaves, shipped.createDataFrame([(4, 50, 51, "y")], edits.schema), path)).where("doc_id = 4").first()
+    assert one.n_chars_encoded < 0.2 * one.n_chars
