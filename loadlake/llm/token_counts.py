@@ -238,7 +238,7 @@ def edited(leaves: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame:
     def change(mine: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         mine = mine.sort_values("leaf")
         if not len(mine):
-            return pd.DataFrame({name: [] for name in LEAF})
+            return pd.DataFrame({name: pd.Series([], dtype=object) for name in LEAF})
         counter = _counter(tokenizer)
         old = list(mine.text)
         tree = TokenTree.of_leaves(old, mine.n_tokens.tolist(), counter)
@@ -262,7 +262,8 @@ def edited(leaves: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame:
                 text, tokens, fresh = text + parts, tokens + counts, fresh + [changed] * len(parts)
         if not text:
             text, tokens, fresh = [""], [0], [True]
-        return pd.DataFrame({"doc_id": [mine.doc_id.iloc[0]] * len(text), "leaf": range(len(text)), "text": text, "n_tokens": tokens, "fresh": fresh})
+        columns = {"doc_id": [mine.doc_id.iloc[0]] * len(text), "leaf": list(range(len(text))), "text": pd.Series(text, dtype=object)}
+        return pd.DataFrame({**columns, "n_tokens": tokens, "fresh": fresh})
 
     done = of_edits.groupBy("doc_id").cogroup(known.groupBy("doc_id")).applyInPandas(change, schema)
     return kept.select(*LEAF).unionByName(done)
