@@ -263,14 +263,15 @@ def prefixes(tables: Tables, texts: DataFrame, least: float) -> DataFrame:
     """
     counts = _shingle_rows(texts).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     counts = tables.keep(counts.where("low <> high").select("shingle", "n"))
-    shared = split_join(_shingle_rows(texts), counts, "shingle", "n")
+    wanted = tables.keep(_shingle_rows(texts).where(id_filter(counts, "shingle")(F.col("shingle"))))
+    shared = split_join(wanted, counts, "shingle", "n")
     listed = shared.groupBy("node", "root", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("list"))
     own = F.col("size") - F.size("list")
     length = F.col("size") - F.ceil(F.col("size") * least - 1e-9).cast("int") + 1
     listed = listed.select("node", "root", "size", own.alias("own"), F.slice("list", F.lit(1), F.greatest(length - own, F.lit(0))).alias("list"))
     rows = listed.select("node", "root", "size", "own", F.posexplode("list").alias("i", "s"))
     rows = tables.keep(rows.select("node", "root", "size", "s.shingle", (F.col("own") + F.col("i")).alias("place"), "s.n"))
-    tables.drop(counts)
+    tables.drop(counts, wanted)
     return rows
 
 
