@@ -146,11 +146,14 @@ def split_join(rows: DataFrame, keyed: DataFrame, on: str, weight: str, parts: i
     """Inner join of many rows to a table with one row per key, in which ``weight`` counts the key's rows.
 
     A key with more than 1/``parts`` of all rows is hot; there are fewer than ``parts`` of them, so these few are
-    broadcast and their rows stay where they are. The other keys are joined by shuffle.
+    broadcast and their rows stay where they are. The other keys are joined by shuffle. Without hot keys there is one join,
+    and so there is with fewer than ``parts`` rows in all.
     Both inputs are read more than once: pass stored ones.
     """
-    total = keyed.agg(F.sum(weight)).first()[0] or 0
-    limit = total // parts
+    told = keyed.agg(F.sum(weight).alias("total"), F.max(weight).alias("top")).first()
+    limit = (told.total or 0) // parts
+    if not limit or told.top <= limit:
+        return rows.join(keyed if limit else F.broadcast(keyed), on)
     hot = keyed.where(F.col(weight) > limit)
     rest = keyed.where(F.col(weight) <= limit)
     few = rows.join(F.broadcast(hot), on)
