@@ -253,6 +253,43 @@ def _shingle_rows(texts: DataFrame) -> DataFrame:
     return texts.select("node", "root", "t").mapInArrow(different, f"node {kind}, root {kind}, size int, shingle long")
 
 
+def prefix_length(size, least: float):
+    """How many of a text's rarest shingles are looked at."""
+    return size - np.ceil(size * least - 1e-9).astype(np.int64) + 1
+
+
+def _that_can_match(rows: DataFrame, least: float) -> DataFrame:
+    """Without the texts that have more shingles missing from ``rows`` than their prefix is long.
+
+    Rows of a text follow one another; a text that goes over the end of a batch is carried to the next.
+    """
+
+    def chosen(table: pa.Table) -> pa.Table:
+        nodes = table.column("node").to_numpy()
+        first = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
+        counts = np.diff(np.r_[first, len(nodes)])
+        size = table.column("size").to_numpy()[first].astype(np.int64)
+        return table.filter(pa.array(np.repeat(size - counts < prefix_length(size, least), counts)))
+
+    def keep(batches):
+        left = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if left is None else pa.concat_tables([left, table])
+            nodes = table.column("node").to_numpy()
+            others = np.flatnonzero(nodes != nodes[-1])
+            last = int(others[-1]) + 1 if len(others) else 0
+            left = table.slice(last)
+            if last:
+                yield from chosen(table.slice(0, last)).to_batches()
+        if left is not None:
+            yield from chosen(left).to_batches()
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def prefixes(tables: Tables, texts: DataFrame, least: float) -> DataFrame:
     """``node, root, size, shingle, place, n``: the rarest shingles of each text, as many as it takes that two texts with
     ``least`` of their union in common share one, without those that no other class (``root``) has.
@@ -263,7 +300,8 @@ def prefixes(tables: Tables, texts: DataFrame, least: float) -> DataFrame:
     """
     counts = _shingle_rows(texts).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     counts = tables.keep(counts.where("low <> high").select("shingle", "n"))
-    wanted = tables.keep(_shingle_rows(texts).where(id_filter(counts, "shingle")(F.col("shingle"))))
+    seem_shared = _shingle_rows(texts).where(id_filter(counts, "shingle")(F.col("shingle")))
+    wanted = tables.keep(_that_can_match(seem_shared, least))
     shared = split_join(wanted, counts, "shingle", "n")
     listed = shared.groupBy("node", "root", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("list"))
     own = F.col("size") - F.size("list")
