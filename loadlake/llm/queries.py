@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlake.llm import (
@@ -103,9 +103,11 @@ def op8_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = pii.private_spans(docs, pii.fit(docs))
-    counts = [
-        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)
-    ]
+
+    def number(kind: int) -> Column:  # no second parameter in the lambda: Spark would pass the place in the array
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     digest = F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
 

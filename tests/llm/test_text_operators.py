@@ -19,6 +19,7 @@ from loadlake.llm import (
     page_diff,
     pii,
     quality_rules,
+    queries,
     token_counts,
     toxic_segments,
 )
@@ -634,6 +635,20 @@ def test_base_spans_and_added_ones(shipped):
     assert pii.private_spans(empty, pii.fit(empty)).count() == 0
 
 
+def test_counts_of_each_kind_follow_the_spans(shipped, tmp_path):
+    mail, ip, card, phone = "a@b.co", "10.0.0.1", "4111111111111111", "+49 30 1234567"
+    texts = [f"{mail}, {mail}, {mail}", f"{ip}, {phone}, {ip}", f"{card}; {card}", f"{phone}, {phone}, {mail}, {phone}", "plain", "", None]
+    folder = str(tmp_path / "t")
+    frame(shipped, [*texts, texts[0]], [*range(6), None, 0]).write.parquet(f"{folder}/documents.parquet")
+    found = queries.QUERIES["op9_pii"](shipped, folder).collect()
+    counts = {0: (3, 0, 0, 0), 1: (0, 2, 0, 1), 2: (0, 0, 2, 0), 3: (1, 0, 0, 3)}
+    assert sorted(str(r.doc_id) for r in found) == ["0", "0", "1", "2", "3", "4", "5", "None"]
+    for r in found:
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == counts.get(r.doc_id, (0, 0, 0, 0)), r.doc_id
+        plain = plain_spans((texts[r.doc_id] if r.doc_id is not None else None) or "")
+        assert r.base_sha256 == hashlib.sha256(plain.encode()).hexdigest()
+
+
 def test_trees_fit_and_calibrate():
     codes = np.arange(1 << 6)
     good = ((codes & 8) > 0) & ((codes & 32) == 0)
