@@ -1,6 +1,7 @@
 """Tables that grow by batches and months, delimited lines in a frame, and fingerprints of large files."""
 
 import hashlib
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -111,3 +112,16 @@ def test_ordered_table_opens_only_the_files_in_range(spark, tmp_path):
     some = tables.read_between(spark, path, "x", 900, 950)
     assert sorted(r.x for r in some.collect()) == list(range(900, 951)) and len(some.inputFiles()) < len(bounds)
     assert tables.read_between(spark, path, "x", 5000, 6000).count() == 0
+
+
+def test_lines_are_placed_once_for_files_with_and_without_breaks(spark):
+    """No condition on the line goes below the join, which would build each line again and keep the two kinds of files from
+    sharing one exchange; blank lines, and quotes that end before the cell does."""
+    texts = {"a": 'x;y\n1;"2;""3"""\n   \n"4"z;', "b": 'y,x\n"one\ntwo",5\n\n"",""\n"6",', "c": 'x;y\n"";"\n""""; "q"'}
+    found = lines(spark, **texts).withColumn("value", F.concat("value", F.lit("")))
+    parsed = delimited.parse(found, ["x", "y"])
+    told = sorted(((r.file_path, r.x, r.y) for r in parsed.collect()), key=repr)
+    expected = [("a", "1", '2;"3"'), ("a", "4", None), ("b", "5", "one\ntwo"), ("b", "", ""), ("b", None, "6"), ("c", "", '\n""; "q')]
+    assert told == sorted(expected, key=repr)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.findall(r"Filter [^\n]*trim\(concat\(", plan)
