@@ -49,6 +49,7 @@ LINK_ENDINGS = ("en", "e")
 CURRENT_LINK_ENDINGS = ("ion", "er")
 FALLBACK_URL = "https://example.org/files/current.xlsx"
 EXPECTED_PROPS = ("k", "unit")
+LANDED_FOLDERS = 256
 PRICE_LEVEL = 1000.0
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -588,17 +589,20 @@ def ledger_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
     home = work_folder(spark, "lake")
     resource, version = F.floor(F.col("event_id") / 150).cast("string"), (F.col("event_id") % 3).cast("string")
-    files = table(spark, folder, "events").groupBy(F.concat_ws("-", resource, version).alias("name"))
-    files = files.agg(F.to_json(F.array_sort(F.collect_list(record))).alias("text"))  # at most 50 events
-    files.write.partitionBy("name").text(f"{home}/raw")
+    named = table(spark, folder, "events").where(F.col("event_id").isNotNull()).groupBy(F.concat_ws("-", resource, version).alias("name"))
+    files = named.agg(F.to_json(F.array_sort(F.collect_list(record))).alias("text"))  # at most 50 events
+    place = F.concat_ws("/", F.lit("raw"), F.pmod(F.xxhash64("name"), F.lit(LANDED_FOLDERS)).cast("string"), F.concat("name", F.lit(".json")))
+    tables.write_files(files.select(place.alias("path"), "text"), home)
     listed = landed.listed_files(spark, f"{home}/raw/*")
     path = jobs.lake_path(F.col("file_path"), home)
-    name = F.regexp_extract(path, "name=([^/]*)/", 1)
-    stored = listed.select(path.alias("local_path"), F.split(name, "-")[0].alias("resource_id"), F.split(name, "-")[1].cast("int").alias("v"), "file_size")
+    part = [F.regexp_extract(path, r"(-?[0-9]+)-(-?[0-9]+)\.json$", i) for i in (1, 2)]
+    stored = listed.select(path.alias("local_path"), part[0].alias("resource_id"), part[1].cast("int").alias("v"), "file_size")
     arrived = stored.withColumns(
         {"source": F.lit("ons"), "dataset": F.lit("carga"), "hash_sha256": F.sha2("local_path", 256), "retrieved_at": F.timestamp_seconds(F.col("v") * 86400)}
     )
-    versions = ledger.with_latest_flag(ledger.as_ledger(arrived.drop("v"))).where("is_latest_downloaded")
+    ledger_path = tables.layer_path(home, "metadata", "ledger")
+    tables.append(ledger.as_ledger(arrived.drop("v")), ledger_path)  # the folders are listed once
+    versions = ledger.with_latest_flag(tables.read_or_empty(spark, ledger_path, ledger.LEDGER_SCHEMA)).where("is_latest_downloaded")
     rows = jobs.typed_rows(spark, home, versions)
     return rounded(rows.select("resource_id", "area", "ts_utc", "load_mw"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +55,41 @@ def write_product(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_files(files: DataFrame, folder: str) -> int:
+    """One file per row: its ``text``, at its ``path`` below a folder. Returns the number of files.
+
+    Spark's own writer names files itself; a folder for each, its commit and its listing cost far more than a small file.
+    Tasks write the files with pyarrow, under a hidden name first, so that a file that is there is whole, and a task that
+    runs again puts the same files. The folder has to be on a file system that pyarrow knows.
+    """
+    spark = files.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    home = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+    def write(batches: Iterator) -> Iterator:
+        from uuid import uuid4
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        local = home.startswith("file:/")
+        store, root = (fs.LocalFileSystem(), "/" + home[5:].lstrip("/")) if local else fs.FileSystem.from_uri(home)
+        there = set()
+        for batch in batches:
+            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                at, name = f"{root}/{path}".rsplit("/", 1)
+                if at not in there:
+                    store.create_dir(at, recursive=True)
+                    there.add(at)
+                part = f"{at}/.{name}-{uuid4().hex}"
+                with store.open_output_stream(part) as out:
+                    out.write(text.encode())
+                store.move(part, f"{at}/{name}")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return files.select("path", "text").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+
+
 def write_observed(df: DataFrame, path: str, metrics: dict[str, Column]) -> dict[str, object]:
     """Overwrite a table and return aggregates of the rows written, from the pass that writes them."""
     seen = Observation()

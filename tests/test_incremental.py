@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from loadlake.operators import ledger
-from loadlake.plans import jobs
+from loadlake.plans import jobs, workload
 from loadlake.sources import delimited, landed, tables
 from loadlake.streaming import keyed
 
@@ -125,3 +125,26 @@ def test_lines_are_placed_once_for_files_with_and_without_breaks(spark):
     assert told == sorted(expected, key=repr)
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert not re.findall(r"Filter [^\n]*trim\(concat\(", plan)
+
+
+def test_files_are_written_whole_at_their_paths(spark, tmp_path):
+    names = [f"raw/{i % 3}/é {i}-x.json" for i in range(40)]
+    files = spark.createDataFrame([(n, f"{n}\n\u2028漢😀") for n in names], "path string, text string").repartition(3)
+    for _ in range(2):
+        assert tables.write_files(files, str(tmp_path / "a")) == 40
+    there = {str(p.relative_to(tmp_path / "a")): p.read_bytes().decode() for p in (tmp_path / "a").rglob("*") if p.is_file()}
+    assert there == {n: f"{n}\n\u2028漢😀" for n in names}
+    assert tables.write_files(files.where("false"), f"file:{tmp_path}/b") == 0
+
+
+def test_landed_versions_share_folders(spark, tmp_path, monkeypatch):
+    """A file per version, but not a folder for each; newest versions only, no resource without a number."""
+    monkeypatch.setattr(workload, "work_folder", lambda spark, name: str(tmp_path / name))
+    events = spark.range(45_150).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.lit("view").alias("event_type"), (F.col("id") + 0.5).alias("value"))
+    events = events.where("event_id % 150 < 2 OR event_id >= 45000").unionByName(events.limit(1).withColumn("event_id", F.lit(None).cast("long")))
+    events.write.parquet(str(tmp_path / "t" / "events.parquet"))
+    found = sorted((int(r.resource_id), r.area, r.load_mw) for r in workload.ledger_scan(spark, str(tmp_path / "t")).collect())
+    expected = [(i, "view", i * 150 + 1.5) for i in range(300)] + [(300, "view", j + 0.5) for j in range(45_002, 45_150, 3)]
+    assert found == sorted(expected)
+    landed_files = [p for p in (tmp_path / "lake" / "raw").rglob("*-*") if p.is_file() and not p.name.startswith(".")]
+    assert len(landed_files) == 603 and len({p.parent for p in landed_files}) <= workload.LANDED_FOLDERS
