@@ -104,7 +104,8 @@ def write_ordered(df: DataFrame, path: str, by: str) -> None:
     values are in one file only if they are fewer than a file's rows, else they are dealt by the rest of the row.
     """
     rest = [c for c in df.columns if c != by]
-    placed = df.repartitionByRange(F.col(by), F.xxhash64(*rest)).sortWithinPartitions(by)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that small ranges are not put together
+    placed = df.repartitionByRange(parts, F.col(by), F.xxhash64(*rest)).sortWithinPartitions(by)
     placed.write.mode("overwrite").parquet(path)
     spark = df.sparkSession
     bounds = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file_name"))
