@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -11,10 +13,16 @@ from uuid import uuid4
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of an Arrow batch on its way to a Python worker. Both sides hold some copies of a batch, the JVM outside its heap; by
+#: rows alone (10,000) a batch grows with the texts.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: ASCII white space, ``[\x20\x09-\x0D]``.
 BLANKS = b" \t\n\v\f\r"
 
@@ -44,16 +52,26 @@ def ship(spark: SparkSession) -> None:
 
 
 def shipping(function: Callable) -> Callable:
-    """For functions that take the session first: makes sure that executors have the modules."""
+    """For functions that take the session first: makes sure that executors have the modules, and bounds Arrow batches."""
 
     @functools.wraps(function)
     def run(spark: SparkSession, *args):
         ship(spark)
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
         return function(spark, *args)
 
     return run
 
 
+def give_back() -> None:
+    """At a Python task's end: return free memory to the system. Spark keeps idle workers, and each would go on holding it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``; without one a temporary one, on one machine only."""
     context = spark.sparkContext

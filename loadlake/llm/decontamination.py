@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadlake.llm.common import give_back
 from loadlake.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -143,6 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                 ],
                 ["doc_id", "n_words", "spans", "items"],
             )
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
@@ -222,5 +224,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                     break
             out = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([out if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
+        give_back()
 
     return docs.mapInArrow(clean, docs.schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlake.llm.common import BLANKS, split_join, stored, struct
+from loadlake.llm.common import BLANKS, give_back, split_join, stored, struct
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -102,6 +102,8 @@ def repeat_filter(docs: DataFrame, min_chars: int = MIN_CHARS, max_bits: int = M
                 ],
                 ["segment", "once", "twice"],
             )
+        del filters, once, twice
+        give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, once, twice = None, None, None
@@ -156,6 +158,8 @@ def repeated_lines(
                     ids += [doc_id] * len(kept)
                     keys += kept
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(keys, pa.binary())], ["doc_id", "key"])
+        del filter_
+        give_back()
 
     kind = known.schema["doc_id"].dataType.simpleString()
     rows = known.select("doc_id", F.col("text").cast("binary")).mapInArrow(suspect, f"doc_id {kind}, key binary")
