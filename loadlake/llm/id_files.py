@@ -18,13 +18,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadlake.llm import id_coder
-from loadlake.llm.encoding import PieceEncoder
-from loadlake.llm.token_counts import _CHUNK, _SPACE
+from loadlake.llm.encoding import SPACE, PieceEncoder
 
 END_ID = 2
 PAGE_IDS = id_coder.BLOCK * id_coder.LANES
 CHARS_AT_ONCE = 2_000_000
-_EDGE = re.compile(rf"(?<=[^{_SPACE}])(?=[{_SPACE}])")
+_EDGE = re.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])")
 
 
 def parts_of(text: str, size: int = CHARS_AT_ONCE) -> Iterator[str]:
@@ -37,10 +36,20 @@ def parts_of(text: str, size: int = CHARS_AT_ONCE) -> Iterator[str]:
         at = end
 
 
-def token_ids(text: str, encoder: PieceEncoder) -> np.ndarray:
-    """The tokenizer's ids of a whole text."""
-    some = [encoder.ids(encoder.numbers([_CHUNK.findall(part)])[0]) for part in parts_of(text)]
-    return np.concatenate(some) if some else np.zeros(0, "<u4")
+def token_ids(texts: list[str], encoder: PieceEncoder) -> Iterator[np.ndarray]:
+    """The tokenizer's ids of each whole text; short texts are encoded together, long ones in parts."""
+    at = 0
+    while at < len(texts):
+        some, size = [], 0
+        while at < len(texts) and size + len(texts[at]) <= CHARS_AT_ONCE:
+            some.append(texts[at])
+            size += len(texts[at])
+            at += 1
+        if some:
+            yield from encoder.ids(encoder.cut(some))
+        if at < len(texts) and len(texts[at]) > CHARS_AT_ONCE:
+            yield np.concatenate([encoder.ids(encoder.cut([part]))[0] for part in parts_of(texts[at])])
+            at += 1
 
 
 def pages(docs: DataFrame, tokenizer: str, end_id: int = END_ID, page_ids: int = PAGE_IDS) -> DataFrame:
@@ -73,8 +82,8 @@ def pages(docs: DataFrame, tokenizer: str, end_id: int = END_ID, page_ids: int =
             return pa.RecordBatch.from_pydict(columns)
 
         for batch in batches:
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                mine = np.concatenate([token_ids(text, encoder), end])
+            for k, mine in enumerate(token_ids(batch.column(1).to_pylist(), encoder)):
+                mine = np.concatenate([mine, end])
                 if ids and size + len(mine) > page_ids:
                     yield page()
                     first += size
@@ -82,6 +91,7 @@ def pages(docs: DataFrame, tokenizer: str, end_id: int = END_ID, page_ids: int =
                 doc_ids.append(batch.column(0).slice(k, 1))
                 ids.append(mine)
                 size += len(mine)
+        encoder.close()
         if ids:
             yield page()
 

@@ -33,10 +33,10 @@ def token_ids(texts: list[str], encoder: PieceEncoder) -> Iterator[np.ndarray]:
     while at < len(texts):
         some, size = [], 0
         while at < len(texts) and (not some or size + len(texts[at]) < CHARS_AT_ONCE):
-            some.append(texts[at].replace("\n", " ").split(" "))
+            some.append(texts[at])
             size += len(texts[at])
             at += 1
-        yield from map(encoder.ids, encoder.numbers(some))
+        yield from encoder.ids(encoder.cut(some))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
@@ -67,6 +67,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                 ],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        encoder.close()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(

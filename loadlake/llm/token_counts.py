@@ -20,14 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlake.llm.common import struct
-from loadlake.llm.encoding import PieceEncoder
+from loadlake.llm.encoding import SPACE, PieceEncoder
 
 LEAF_CHUNKS = 64
-TEXTS_AT_ONCE = 100
-#: White space as the tokenizers' pre-token patterns have it.
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_IS_SPACE = re.compile(rf"[{_SPACE}]")
+CHARS_AT_ONCE = 2_000_000
+_CHUNK = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+_IS_SPACE = re.compile(rf"[{SPACE}]")
 _LONG_NUMBER = re.compile(r"[0-9]{4,}")
 
 Edit = tuple[int, int, str]
@@ -40,46 +38,47 @@ class Counter:
         self.encoder = PieceEncoder(path, lead=" ", encode_special_tokens=True)
 
     def of(self, chunks: list[str]) -> np.ndarray:
-        numbers = self.encoder.numbers([chunks])[0]
-        return self.encoder.lengths[numbers]
+        return self.encoder.few_counts(chunks)
 
-    def know(self, texts: list[str]) -> None:
-        """Encode the new chunks of several texts together."""
-        self.encoder.numbers([_CHUNK.findall(text) for text in texts])
+    def leaves(self, texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
+        """The leaves of each text with their tokens; all texts are cut and counted together."""
+        pieces = self.encoder.cut(texts)
+        tokens = self.encoder.counts(pieces.strings)
+        raw = pieces.data.tobytes()
+        for first, last in zip(pieces.firsts[:-1].tolist(), pieces.firsts[1:].tolist(), strict=True):
+            at = np.arange(first, last, LEAF_CHUNKS)
+            bounds = pieces.bounds[np.r_[at, last]].tolist()
+            leaves = [raw[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield leaves, np.add.reduceat(tokens[:last], at).tolist() if leaves else []
 
 
 class TokenTree:
     """Leaves of text, and for each node of a binary tree over them the characters and tokens below it."""
 
     def __init__(self, text: str, counter: Counter):
-        self.counter = counter
-        self.encoded = 0
-        chunks = _CHUNK.findall(text)
-        self.leaves = ["".join(chunks[i : i + LEAF_CHUNKS]) for i in range(0, len(chunks), LEAF_CHUNKS)] or [""]
-        n = len(self.leaves)
-        self.width = 1 << (n - 1).bit_length()
-        self.chars = np.zeros(2 * self.width, np.int64)
-        self.tokens = np.zeros(2 * self.width, np.int64)
-        self.chars[self.width : self.width + n] = [len(x) for x in self.leaves]
-        if chunks:
-            self.tokens[self.width : self.width + n] = np.add.reduceat(counter.of(chunks), range(0, len(chunks), LEAF_CHUNKS))
-        for k in range(self.width - 1, 0, -1):
-            self._sum(k)
+        self._fill(*next(counter.leaves([text])), counter)
 
     @classmethod
     def of_leaves(cls, leaves: list[str], tokens: list[int], counter: Counter) -> TokenTree:
         """The tree of stored leaves with their counts; nothing is encoded."""
         tree = cls.__new__(cls)
-        tree.counter, tree.encoded, tree.leaves = counter, 0, list(leaves) or [""]
-        n = len(tree.leaves)
-        tree.width = 1 << (n - 1).bit_length()
-        tree.chars, tree.tokens = np.zeros(2 * tree.width, np.int64), np.zeros(2 * tree.width, np.int64)
-        tree.chars[tree.width : tree.width + n] = [len(x) for x in tree.leaves]
-        tree.tokens[tree.width : tree.width + len(tokens)] = tokens
-        for k in range(tree.width - 1, 0, -1):
-            tree._sum(k)
+        tree._fill(leaves, tokens, counter)
         return tree
 
+    def _fill(self, leaves: list[str], tokens: list[int], counter: Counter) -> None:
+        self.counter, self.encoded, self.leaves = counter, 0, list(leaves) or [""]
+        n = len(self.leaves)
+        self.width = 1 << (n - 1).bit_length()
+        self.chars = np.zeros(2 * self.width, np.int64)
+        self.tokens = np.zeros(2 * self.width, np.int64)
+        self.chars[self.width : self.width + n] = [len(x) for x in self.leaves]
+        self.tokens[self.width : self.width + len(tokens)] = tokens
+        level = self.width
+        while level > 1:
+            for sums in (self.chars, self.tokens):
+                sums[level // 2 : level] = sums[level : 2 * level : 2] + sums[level + 1 : 2 * level : 2]
+            level //= 2
+
     def _sum(self, k: int) -> None:
         self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
         self.tokens[k] = self.tokens[2 * k] + self.tokens[2 * k + 1]
@@ -159,6 +158,20 @@ def applied(tree: TokenTree, edits: list[Edit]) -> None:
         tree.replace(start, end, text)
 
 
+def trees(texts: list[str], counter: Counter) -> Iterator[tuple[str, TokenTree]]:
+    """The texts with their trees, cut and counted some characters at a time."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= CHARS_AT_ONCE):
+            size += len(texts[end])
+            end += 1
+        some = texts[at:end]
+        for text, (leaves, tokens) in zip(some, list(counter.leaves(some)), strict=True):
+            yield text, TokenTree.of_leaves(leaves, tokens, counter)
+        at = end
+
+
 COUNTS = struct(n_tokens=T.LongType(), n_edits=T.LongType(), n_tokens_edited=T.LongType(), n_chars_encoded=T.LongType())
 
 
@@ -173,15 +186,13 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
         counter = Counter(tokenizer)
         for texts in batches:
             rows = []
-            for k, text in enumerate(texts):
-                if k % TEXTS_AT_ONCE == 0:
-                    counter.know([t for t in texts.iloc[k : k + TEXTS_AT_ONCE] if t])
-                tree = TokenTree(text or "", counter)
+            for text, tree in trees([t or "" for t in texts], counter):
                 before = tree.total()
-                edits = cleaning_edits(text) if text else []
+                edits = cleaning_edits(text)
                 applied(tree, edits)
                 rows.append((before, len(edits), tree.total(), tree.encoded))
             yield pd.DataFrame(rows, columns=COUNTS.names)
+        counter.encoder.close()
 
     return docs.withColumn("tokens", count("text"))
 
@@ -201,20 +212,16 @@ def leaf_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(tokenizer)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for k in range(0, len(texts), TEXTS_AT_ONCE):
-                some = [t or "" for t in texts[k : k + TEXTS_AT_ONCE]]
-                counter.know(some)
-                at, leaf, text, tokens = [], [], [], []
-                for i, whole in enumerate(some, k):
-                    tree = TokenTree(whole, counter)
-                    n = len(tree.leaves)
-                    at += [i] * n
-                    leaf += range(n)
-                    text += tree.leaves
-                    tokens += tree.tokens[tree.width : tree.width + n].tolist()
-                columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(leaf, pa.int32()), pa.array(text, pa.string()), pa.array(tokens, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([True] * len(at))], list(LEAF))
+            at, leaf, text, tokens = [], [], [], []
+            for i, (_, tree) in enumerate(trees([t or "" for t in batch.column(1).to_pylist()], counter)):
+                n = len(tree.leaves)
+                at += [i] * n
+                leaf += range(n)
+                text += tree.leaves
+                tokens += tree.tokens[tree.width : tree.width + n].tolist()
+            columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(leaf, pa.int32()), pa.array(text, pa.string()), pa.array(tokens, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([True] * len(at))], list(LEAF))
+        counter.encoder.close()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
