@@ -25,7 +25,7 @@ def test_plain_words_are_encoded_once_and_not_normalised(name, lead):
     path = tokenizer_path(name)
     encoder, whole = packing.PieceEncoder(path, lead=lead), Tokenizer.from_file(path)
     encoder.tokenizer, encoder.bare = Told(encoder.tokenizer), Told(encoder.bare)
-    texts = ["", "a straße, a straße. A déjà\nvu; straße!", "straße (déjà) été 12 straße", " \n", "", "x  y　z\x85 w"]
+    texts = ["", "a straße, a straße. A déjà\nvu; straße!", "- straße (déjà) été 12 straße", " \n", "", "x y　z\x85 w"]
     for _ in range(2):
         for text, ids in zip(texts, encoder.ids(encoder.cut(texts)), strict=True):
             assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
@@ -35,7 +35,7 @@ def test_plain_words_are_encoded_once_and_not_normalised(name, lead):
 
 def test_chunks_are_those_of_the_pattern():
     rng = np.random.default_rng(3)
-    some = [*"ab.\n\t \x1c\x1f", "\x85", "\xa0", "é", " ", " ", "​", " ", " ", " ", "　", "、", "Â", "漢"]
+    some = [*"ab.\n\t \x1c\x1f\x85\xa0é  ​   　、Â漢"]
     texts = ["".join(rng.choice(some, rng.integers(0, 12))) for _ in range(3000)]
     pieces = packing.PieceEncoder(tokenizer_path(BYTE_TOKENIZER), lead=" ").cut(texts)
     strings = pieces.strings.to_pylist()
