@@ -72,6 +72,19 @@ def give_back() -> None:
         trim(0)
 
 
+def collect_driver(spark: SparkSession) -> None:
+    """Collect the driver's garbage once its heap has grown past half of its limit.
+
+    An operator of many small jobs leaves plans, compiled code and broadcast tables behind; the JVM would rather take its
+    whole heap from the system than collect them, and frees broadcasts on all machines only when it does.
+    """
+    jvm = spark.sparkContext._jvm
+    heap = jvm.java.lang.Runtime.getRuntime()
+    if 2 * heap.totalMemory() > heap.maxMemory():
+        gc.collect()  # what Python still refers to is no garbage
+        jvm.java.lang.System.gc()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``; without one a temporary one, on one machine only."""
     context = spark.sparkContext
@@ -114,6 +127,7 @@ class Tables:
             self.spark.conf.set(self._FREED, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.kept.append((table, path))
+        collect_driver(self.spark)
         return table
 
     def drop(self, *tables: DataFrame) -> None:
