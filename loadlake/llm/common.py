@@ -7,7 +7,7 @@ import functools
 import gc
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from uuid import uuid4
 
@@ -163,13 +163,15 @@ def id_filter(ids: DataFrame, name: str, max_bits: int = MAX_FILTER_BITS) -> Cal
     sent = spark.sparkContext.broadcast(words)
 
     @F.pandas_udf(T.BooleanType())
-    def seems_in(hashes: pd.Series) -> pd.Series:
-        h = hashes.to_numpy().view(np.uint64)
-        own = np.ones(len(h), bool)
-        for k in range(3):
-            bit = ((h >> np.uint64(18 * k)) & np.uint64(bits - 1)).astype(np.int64)
-            own &= sent.value[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1) == 1
-        return pd.Series(own)
+    def seems_in(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for hashes in batches:
+            h = hashes.to_numpy().view(np.uint64)
+            own = np.ones(len(h), bool)
+            for k in range(3):
+                bit = ((h >> np.uint64(18 * k)) & np.uint64(bits - 1)).astype(np.int64)
+                own &= sent.value[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1) == 1
+            yield pd.Series(own)
+        give_back()
 
     return lambda column: seems_in(F.xxhash64(column))
 

@@ -16,6 +16,7 @@ Exact copies are one node from the start.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlake.llm.common import Tables, id_filter, split_join
+from loadlake.llm.common import Tables, give_back, id_filter, split_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -115,8 +116,10 @@ def _sketched(keys: np.ndarray) -> list[int]:
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
-def sketches_of(texts: pd.Series) -> pd.Series:
-    return pd.Series([sketches(t) for t in texts], dtype=object)
+def sketches_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        yield pd.Series([sketches(t) for t in texts], dtype=object)
+    give_back()
 
 
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -172,7 +175,7 @@ def _increasing(values: np.ndarray) -> np.ndarray:
 
 
 @F.pandas_udf(T.DoubleType())
-def alignment(left: pd.Series, right: pd.Series) -> pd.Series:
+def alignment(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     last, seen = None, None
 
     def of(text: bytes) -> np.ndarray:
@@ -181,7 +184,10 @@ def alignment(left: pd.Series, right: pd.Series) -> pd.Series:
             last, seen = text, shingles(text)
         return seen
 
-    return pd.Series([aligned(shingles(a), of(b)) for a, b in zip(left, right, strict=True)], dtype=float)
+    for left, right in batches:
+        yield pd.Series([aligned(shingles(a), of(b)) for a, b in zip(left, right, strict=True)], dtype=float)
+    last, seen = None, None
+    give_back()
 
 
 def labelled_part(sketch: str = "sketch") -> Column:
@@ -248,6 +254,8 @@ def _shingle_rows(texts: DataFrame) -> DataFrame:
             columns = [batch.column("node").take(rows), batch.column("root").take(rows)]
             columns += [pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *every]))]
             yield pa.RecordBatch.from_arrays(columns, ["node", "root", "size", "shingle"])
+        batch = every = sizes = rows = columns = None
+        give_back()
 
     kind = texts.schema["node"].dataType.simpleString()
     return texts.select("node", "root", "t").mapInArrow(different, f"node {kind}, root {kind}, size int, shingle long")
@@ -286,6 +294,8 @@ def _that_can_match(rows: DataFrame, least: float) -> DataFrame:
                 yield from chosen(table.slice(0, last)).to_batches()
         if left is not None:
             yield from chosen(left).to_batches()
+        batch = table = nodes = left = None
+        give_back()
 
     return rows.mapInArrow(keep, rows.schema)
 

@@ -2,10 +2,10 @@
 
 from types import SimpleNamespace
 
+import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
-from loadlake.llm import common
+from loadlake.llm import common, order_minhash
 
 
 @pytest.mark.parametrize(("taken", "collected"), [(500, 0), (501, 1)])
@@ -26,3 +26,14 @@ def test_every_kept_table_is_followed_by_a_look_at_the_heap(spark, monkeypatch):
     kept = tables.keep(spark.range(10))
     assert calls == [spark] and kept.count() == 10
     tables.drop(kept)
+
+
+def test_sketches_and_alignments_give_memory_back_at_their_end(monkeypatch):
+    calls = []
+    monkeypatch.setattr(order_minhash, "give_back", lambda: calls.append(1))
+    texts = [pd.Series([b"a b c d e f", None]), pd.Series([b"a b c d e f"])]
+    told = list(order_minhash.sketches_of.func(iter(texts)))
+    assert len(calls) == 1 and [len(x) for x in told] == [2, 1]
+    assert told[0][0] == told[1][0] and told[0][1] is None
+    pairs = [(texts[1], texts[1]), (texts[1], pd.Series([b"x y z"]))]
+    assert [x.tolist() for x in order_minhash.alignment.func(iter(pairs))] == [[1.0], [0.0]] and len(calls) == 2
